@@ -59,7 +59,7 @@ STANDIN_SQL: dict[str, str] = {
         o_orderpriority AS txtsh FROM orders""",
     "real_estate": """SELECT CAST(o_orderdate AS DATE) AS "date",
         CAST(o_totalprice AS DECIMAL(12,2)) AS sale_price FROM orders""",
-    "inventory_parts": """SELECT l_orderkey AS inventory_id, l_partkey AS part_num, l_suppkey AS color_id,
+    "inventory_parts": """SELECT l_suppkey AS inventory_id, l_partkey AS part_num, l_suppkey AS color_id,
         CAST(l_quantity AS INTEGER) AS quantity, l_returnflag AS is_spare FROM lineitem""",
     "colors": "SELECT s_suppkey AS id, s_name AS name FROM supplier",
 }
@@ -112,3 +112,58 @@ def exact_div(num: str, num_scale: int, den: str, den_scale: int, scale: int, pr
     n = f"{hi(num, num_scale)} * {10 ** (den_scale + scale)}"
     d = f"{hi(den, den_scale)} * {10 ** num_scale}"
     return units_to_decimal(round_div_units(n, d), scale, precision)
+
+
+def windows_values(windows) -> str:
+    rows = ", ".join(f"('{w.report_name}', DATE '{w.start}', DATE '{w.end}')" for w in windows)
+    return f"SELECT * FROM (VALUES {rows}) AS v(report_name, ws, we)"
+
+
+def report_sql(windows) -> str:
+    """The store report, written per window the direct way (range join to the windows,
+    DISTINCT coupon rows, COUNT(DISTINCT billnum)), in exact integer units."""
+    disc_units = ("CASE WHEN p.promo_type = '001' THEN CAST(p.discount_amount AS HUGEINT) * 1000000000000 "
+                  "ELSE " + round_div_units(
+                      "CAST(bi.rpa_sat * 100 AS HUGEINT) * p.discount_amount * 100000000",
+                      "CAST(bi.qty AS HUGEINT)") + " END")
+    body = f"""
+, wins AS ({windows_values(windows)})
+, coupon_disc AS (
+    SELECT DISTINCT w.report_name, c.billnum, c.coupon_num, c.material, c.plant, p.promo_type,
+           p.discount_amount, {disc_units} AS disc_u
+    FROM coupons c
+    JOIN promos p ON p.material = c.material AND p.promo_id = c.promo_id
+    JOIN bills bi ON bi.billnum = c.billnum AND c.material = bi.material
+    JOIN wins w ON c."date" >= w.ws AND c."date" < w.we)
+, sum_discount AS (
+    SELECT report_name, plant, SUM(disc_u) AS disc_u, COUNT(material) AS matdisc_qty
+    FROM coupon_disc GROUP BY report_name, plant)
+, sum_traffic AS (
+    SELECT w.report_name, t.plant, SUM(t.quantity) AS t_qty
+    FROM traffic t JOIN wins w ON t."date" >= w.ws AND t."date" < w.we
+    GROUP BY w.report_name, t.plant)
+, sum_turnover AS (
+    SELECT w.report_name, bi.plant, SUM(bi.rpa_sat) AS turnover, SUM(bi.qty) AS quant,
+           COUNT(DISTINCT bi.billnum) AS bill_qty
+    FROM bills bi JOIN wins w ON bi.calday >= w.ws AND bi.calday < w.we
+    GROUP BY w.report_name, bi.plant)
+SELECT w.report_name, s.plant, s.txt,
+  CAST(COALESCE({round_div_units(hi('st.turnover', 2), '100')}, 0) AS BIGINT) AS turnover,
+  CAST(COALESCE({units_to_decimal(round_div_units('sd.disc_u', '10000000000'), 2)}, 0) AS DECIMAL(17,2)) AS coupon_discount,
+  CAST(COALESCE({units_to_decimal(round_div_units(hi('st.turnover', 12) + ' - sd.disc_u', '10000000000'), 2)}, 0) AS DECIMAL(17,2)) AS turnover_with_discount,
+  CAST(COALESCE(st.quant, 0) AS BIGINT) AS material_qty,
+  CAST(COALESCE(st.bill_qty, 0) AS BIGINT) AS bills_qty,
+  CAST(COALESCE(tr.t_qty, 0) AS BIGINT) AS traffic,
+  CAST(COALESCE(sd.matdisc_qty, 0) AS BIGINT) AS matdisc_qty,
+  CAST(COALESCE({exact_div('sd.matdisc_qty * 100', 0, 'st.quant', 0, 1)}, 0) AS DECIMAL(17,1)) AS matdisc_percent,
+  CAST(COALESCE({exact_div('st.quant', 0, 'st.bill_qty', 0, 2)}, 0) AS DECIMAL(17,2)) AS avg_mat_qty,
+  CAST(COALESCE({exact_div('st.bill_qty * 100', 0, 'tr.t_qty', 0, 2)}, 0) AS DECIMAL(17,2)) AS conversion_rate,
+  CAST(COALESCE({exact_div('st.turnover', 2, 'st.bill_qty', 0, 1)}, 0) AS DECIMAL(17,1)) AS avg_bill,
+  CAST(COALESCE({exact_div('st.turnover', 2, 'tr.t_qty', 0, 2)}, 0) AS DECIMAL(17,2)) AS avg_profit
+FROM stores s CROSS JOIN wins w
+LEFT JOIN sum_turnover st ON st.report_name = w.report_name AND s.plant = st.plant
+LEFT JOIN sum_discount sd ON sd.report_name = w.report_name AND s.plant = sd.plant
+LEFT JOIN sum_traffic tr ON tr.report_name = w.report_name AND st.plant = tr.plant
+"""
+    head = with_tables("SELECT 1", "stores", "bills", "coupons", "promos", "traffic")
+    return head[: -len("SELECT 1")].rstrip() + body

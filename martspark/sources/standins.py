@@ -207,7 +207,7 @@ class RetailTables:
     @property
     def inventory_parts(self) -> DataFrame:
         return self.raw("lineitem").select(
-            F.col("l_orderkey").alias("inventory_id"),
+            F.col("l_suppkey").alias("inventory_id"),
             F.col("l_partkey").alias("part_num"),
             F.col("l_suppkey").alias("color_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
