@@ -44,9 +44,11 @@ def plan_fact(sales: DataFrame, plan: DataFrame, month: str) -> DataFrame:
     s = sales.where(F.col("date").between(F.lit(start), F.lit(end)))
 
     total = s.groupBy("region", "material").agg(F.sum("quantity").alias("quantity_day"))
-    best_q = total.groupBy("region").agg(F.max("quantity_day").alias("max_quantity"))
-    best = (total.join(best_q, (total.region == best_q.region) & (total.quantity_day == best_q.max_quantity))
-                 .select(total.region, total.material.alias("mosteff_material")))
+    best_q = (total.groupBy("region").agg(F.max("quantity_day").alias("max_quantity"))
+                   .withColumnRenamed("region", "max_region"))
+    best = (total.join(best_q, (F.col("region") == F.col("max_region"))
+                       & (F.col("quantity_day") == F.col("max_quantity")))
+                 .select("region", F.col("material").alias("mosteff_material")))
 
     # the join to `total` only drops rows whose material or region is NULL
     s_key = (s.where(F.col("material").isNotNull() & F.col("region").isNotNull())
