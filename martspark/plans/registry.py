@@ -271,3 +271,220 @@ register("date_bounds", O.with_tables(
 def _table_size(spark, sf):
     names = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
     return quality.table_sizes(spark, {n: f"{sf.rstrip('/')}/{n}.parquet" for n in names})
+
+
+# ---------------------------------------------------------------- loaders (write, read back)
+# Each query writes under the shared scratch root (spark.checkpoint.dir) and returns the
+# final table state; the oracle states that state in SQL.
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import StructType  # noqa: E402
+
+from martspark.operators import loads as LD  # noqa: E402
+from martspark.operators.merge import rank_merge, upsert_table  # noqa: E402
+from martspark.operators.runlog import RunLog  # noqa: E402
+from martspark.operators.tables import month_key, read_table  # noqa: E402
+from martspark.session import scratch_path  # noqa: E402
+from martspark.sources.dispatch import read_source  # noqa: E402
+from martspark.sources.files import read_csv, read_csv_checked, write_csv  # noqa: E402
+from martspark.sources.schemas import SCHEMAS, _s, I, L, S  # noqa: E402
+
+INVENTORY_SCHEMA: StructType = _s(("inventory_id", L, True), ("part_num", L, True), ("color_id", L, True),
+                                  ("quantity", I, True), ("is_spare", S, True))
+_PM = "CAST(date_trunc('month', {c}) AS DATE) AS pmonth"
+
+
+@register("load_full", O.with_tables("SELECT * FROM bills_head", "bills_head"))
+def _load_full(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "load_full")
+    write_csv(t.bills_head, f"{root}/bills_head_csv")
+    LD.load_full(read_source(spark, "csv", f"{root}/bills_head_csv", SCHEMAS["bills_head"]), f"{root}/bills_head")
+    return read_table(spark, f"{root}/bills_head")
+
+
+@register("load_full_filtered", O.with_tables(
+    "SELECT * FROM bills_head WHERE calday < DATE '1997-01-01'", "bills_head"))
+def _load_full_filtered(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "load_full_filtered")
+    tgt = f"{root}/bills_head"
+    LD.load_filtered(t.bills_head, tgt, "calday < DATE'1996-01-01'", truncate=True)
+    LD.load_filtered(t.bills_head, tgt, (F.col("calday") >= F.lit("1996-01-01").cast("date"))
+                     & (F.col("calday") < F.lit("1997-01-01").cast("date")))
+    return read_table(spark, tgt)
+
+
+@register("load_single_partition", O.with_tables(
+    "SELECT *, DATE '1996-01-02' AS pmonth FROM sales "
+    "WHERE \"date\" >= DATE '1996-01-02' AND \"date\" < DATE '1996-02-02'", "sales"))
+def _load_single_partition(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "load_single_partition")
+    tgt = f"{root}/sales"
+    LD.load_full(t.sales, tgt, partition_col="pmonth", date_key="date", anchor_day=2)
+    LD.load_single_partition(t.sales, tgt, "date", "1996-01-02", "1996-07-27")
+    return read_table(spark, tgt)
+
+
+_DELTA_WIN = "calday >= DATE '1996-01-01' AND calday < DATE '1996-05-01'"
+
+
+@register("load_delta_partition", O.with_tables(f"""
+SELECT *, {_PM.format(c='calday')} FROM bills_head
+WHERE billnum IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') AND NOT ({_DELTA_WIN})
+UNION ALL
+SELECT *, {_PM.format(c='calday')} FROM bills_head WHERE {_DELTA_WIN}""", "bills_head"))
+def _load_delta_partition(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "load_delta_partition")
+    tgt = f"{root}/bills_head"
+    finished = t.raw("orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("billnum"))
+    LD.load_full(t.bills_head.join(finished, "billnum", "left_semi"), tgt, "pmonth", "calday")
+    LD.load_delta_partitions(spark, t.bills_head, tgt, "calday", "1996-01-15", "1996-04-10")
+    return read_table(spark, tgt)
+
+
+@register("load_delta_text_dates", O.with_tables(
+    f"SELECT *, {_PM.format(c='\"date\"')} FROM traffic "
+    "WHERE \"date\" >= DATE '1996-01-01' AND \"date\" < DATE '1996-02-01'", "traffic"))
+def _load_delta_text_dates(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "load_delta_text_dates")
+    write_csv(t.traffic_source, f"{root}/traffic_csv")
+    src = read_source(spark, "csv", f"{root}/traffic_csv", SCHEMAS["traffic_source"])
+    LD.load_delta_partitions(spark, src, f"{root}/traffic", "date", "1996-01-01", "1996-01-31", convert=True)
+    return read_table(spark, f"{root}/traffic")
+
+
+@register("load_header_item", O.with_tables(
+    f"SELECT *, {_PM.format(c='calday')} FROM bills "
+    "WHERE calday >= DATE '1996-01-01' AND calday < DATE '1996-03-01'", "bills"))
+def _load_header_item(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "load_header_item")
+    LD.load_header_item(spark, t.bills_item, t.bills_head, f"{root}/bills", "1996-01-01", "1996-02-28",
+                        key_range_pushdown=True)
+    return read_table(spark, f"{root}/bills")
+
+
+_REVISED_PLAN = ("SELECT \"date\", region, matdirec, quantity - 5 AS quantity, distr_chan FROM plan "
+                 "WHERE \"date\" >= DATE '1996-01-01' AND \"date\" < DATE '1996-02-01'")
+
+
+def _revised_plan(t):
+    return (t.plan.where((F.col("date") >= F.lit("1996-01-01").cast("date"))
+                         & (F.col("date") < F.lit("1996-02-01").cast("date")))
+                  .withColumn("quantity", F.col("quantity") - 5))
+
+
+_UPSERT_SQL = """
+, src AS ({src})
+SELECT p.*{pm} FROM plan p WHERE NOT EXISTS (SELECT 1 FROM src WHERE src."date" IS NOT DISTINCT FROM p."date")
+UNION ALL SELECT src.*{pm2} FROM src"""
+
+
+def _upsert_oracle(with_pm: bool) -> str:
+    head = O.with_tables("SELECT 1", "plan")[: -len("SELECT 1")].rstrip()
+    pm = (", " + _PM.format(c='p."date"')) if with_pm else ""
+    pm2 = (", " + _PM.format(c='src."date"')) if with_pm else ""
+    return head + _UPSERT_SQL.format(src=_REVISED_PLAN, pm=pm, pm2=pm2)
+
+
+@register("upsert", _upsert_oracle(True))
+def _upsert(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "upsert")
+    tgt = f"{root}/plan"
+    LD.load_full(t.plan, tgt, "pmonth", "date")
+    upsert_table(spark, tgt, _revised_plan(t), ["date"], date_key="date")
+    return read_table(spark, tgt)
+
+
+register("rank_merge", _upsert_oracle(False))(
+    lambda spark, sf: rank_merge(T(spark, sf).plan, _revised_plan(T(spark, sf)), ["date"]))
+
+
+_MISSING_SQL = """
+, b AS (SELECT COUNT(DISTINCT date_trunc('month', calday)) AS n,
+               MAX(date_trunc('month', calday)) + INTERVAL 1 MONTH AS s FROM bills_head)
+, g AS (SELECT unnest(generate_series(s, TIMESTAMP '2002-03-01', INTERVAL 1 MONTH)) AS m FROM b WHERE n > 1)
+SELECT CAST(m AS DATE) AS partition_start, CAST(m + INTERVAL 1 MONTH AS DATE) AS partition_end FROM g"""
+
+
+@register("missing_partitions", O.with_tables("SELECT 1", "bills_head")[: -len("SELECT 1")].rstrip() + _MISSING_SQL)
+def _missing_partitions(spark, sf):
+    existing = T(spark, sf).bills_head.select(month_key("calday").alias("pmonth"))
+    return LD.missing_month_partitions(existing, "pmonth", "2002-03-15")
+
+
+_FEB = "calday >= DATE '1996-02-01' AND calday < DATE '1996-03-01'"
+
+
+@register("partition_swap", O.with_tables(f"""
+SELECT *, {_PM.format(c='calday')} FROM bills_head WHERE NOT ({_FEB})
+UNION ALL
+SELECT *, {_PM.format(c='calday')} FROM bills_head
+WHERE {_FEB} AND billnum IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')""", "bills_head"))
+def _partition_swap(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "partition_swap")
+    tgt = f"{root}/bills_head"
+    LD.load_full(t.bills_head, tgt, "pmonth", "calday")
+    open_orders = t.raw("orders").where(F.col("o_orderstatus") == "O").select(F.col("o_orderkey").alias("billnum"))
+    staged = (t.bills_head.where((F.col("calday") >= F.lit("1996-02-01").cast("date"))
+                                 & (F.col("calday") < F.lit("1996-03-01").cast("date")))
+                          .join(open_orders, "billnum", "left_semi"))
+    LD.partition_swap(spark, tgt, staged, "1996-02-01", "calday")
+    return read_table(spark, tgt)
+
+
+@register("table_swap", O.with_tables(
+    "SELECT * FROM bills_head WHERE calday >= DATE '1996-01-01' AND calday < DATE '1997-01-01'", "bills_head"))
+def _table_swap(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "table_swap")
+    tgt = f"{root}/bills_head"
+    LD.load_full(t.bills_head, tgt)
+    staged = LD.stage(spark, t.bills_head.where(F.year("calday") == 1996), tgt)
+    LD.table_swap(spark, tgt, staged)
+    return read_table(spark, tgt)
+
+
+_INV_ORACLE = O.with_tables("SELECT * FROM inventory_parts", "inventory_parts")
+
+
+@register("csv_roundtrip_colon", _INV_ORACLE)
+def _csv_colon(spark, sf):
+    root = scratch_path(spark, "csv_colon")
+    write_csv(T(spark, sf).inventory_parts, f"{root}/lineitem.csv", sep=":")
+    return read_csv(spark, f"{root}/lineitem.csv", INVENTORY_SCHEMA, sep=":")
+
+
+@register("csv_glob", _INV_ORACLE)
+def _csv_glob(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "csv_glob")
+    li = t.raw("lineitem")
+    inv = t.inventory_parts.columns
+    early = F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp")
+    for i, cond in enumerate((early, ~early | F.col("l_shipdate").isNull()), 1):
+        part = li.where(cond).select(
+            F.col("l_suppkey").alias("inventory_id"), F.col("l_partkey").alias("part_num"),
+            F.col("l_suppkey").alias("color_id"), F.col("l_quantity").cast("int").alias("quantity"),
+            F.col("l_returnflag").alias("is_spare"))
+        write_csv(part.select(*inv), f"{root}/lineitem{i}.csv", sep=":")
+    return read_csv(spark, f"{root}/lineitem*.csv", INVENTORY_SCHEMA, sep=":")
+
+
+@register("csv_reject_rows", _INV_ORACLE)
+def _csv_reject(spark, sf):
+    root = scratch_path(spark, "csv_reject")
+    write_csv(T(spark, sf).inventory_parts, f"{root}/lineitem.csv")
+    r = read_csv_checked(spark, f"{root}/lineitem.csv", INVENTORY_SCHEMA, reject_limit=10)
+    LD.load_full(r.good, f"{root}/inventory_parts")
+    r.check()
+    return read_table(spark, f"{root}/inventory_parts")
+
+
+@register("run_log", O.with_tables("""
+SELECT 'INFO' AS log_type, 'Start load_full' AS log_msg, 'full load' AS log_location, false AS is_error
+UNION ALL SELECT 'INFO', CAST(COUNT(*) AS VARCHAR) || ' rows inserted', 'full load', false FROM bills_head
+UNION ALL SELECT 'INFO', 'End load_full', 'full load', false""", "bills_head"))
+def _run_log(spark, sf):
+    t, root = T(spark, sf), scratch_path(spark, "run_log")
+    log = RunLog(spark, f"{root}/logs")
+    log.write("info", "Start load_full", "Full Load")
+    n = LD.load_full(t.bills_head, f"{root}/bills_head")
+    log.write("INFO", f"{n} rows inserted", "Full Load")
+    log.write("INFO", "End load_full", "FULL LOAD")
+    return log.read().select("log_type", "log_msg", "log_location", "is_error")
