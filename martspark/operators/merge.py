@@ -51,26 +51,35 @@ def rank_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
                  date_key: str | None = None, partition_col: str = PART_COL) -> int:
-    """Upsert into a parquet table. For a month-partitioned table only the partitions
-    holding a replaced row or receiving a source row are rewritten. Returns rows inserted."""
+    """Upsert into a parquet table. The source is staged once on shared storage (its row
+    count observed in that write, lineage cut). For a month-partitioned table only the
+    partitions holding a replaced row or receiving a source row are rewritten.
+    Returns the number of source rows inserted."""
     target = read_table(spark, target_path)
+    src = source
+    if date_key is not None and partition_col in target.columns:
+        src = src.withColumn(partition_col, month_key(date_key))
+    src_path = staging_path(spark, target_path + "_source")
+    inserted, _ = write_observed(src.select(*target.columns), src_path)
+    src = read_table(spark, src_path)
+
     if date_key is None or partition_col not in target.columns:
-        merged = upsert(target, source.select(*target.columns), keys)
+        merged = upsert(target, src, keys)
         stage_p = staging_path(spark, target_path)
         write_observed(merged, stage_p)
         write_observed(read_table(spark, stage_p), target_path)
-        return source.count()
+        return inserted
 
-    src = source.withColumn(partition_col, month_key(date_key)).select(*target.columns)
     src_keys = src.select(*keys)
     hit = target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_semi").select(partition_col)
-    affected = hit.unionByName(src.select(partition_col)).distinct()      # months, a small set
-    t_aff = target.join(F.broadcast(affected), partition_col, "left_semi")
+    # affected months: at most one row per partition of the table, so broadcast is bounded
+    affected = hit.unionByName(src.select(partition_col)).distinct()
+    months = [r[0] for r in affected.collect()]
+    t_aff = target.where(F.col(partition_col).isin(months))          # prunes to those partitions
     merged = upsert(t_aff, src, keys)
     stage_p = staging_path(spark, target_path)
-    _, parts = write_observed(merged, stage_p, "overwrite", partition_col)
-    months = [r[0] for r in affected.collect()]
+    write_observed(merged, stage_p, "overwrite", partition_col)
     _, written = write_observed(read_table(spark, stage_p), target_path, "overwrite", partition_col, dynamic=True)
     emptied = {str(m) for m in months} - {str(p) for p in written}
     drop_partitions(spark, target_path, emptied, partition_col)
-    return src.count()
+    return inserted
