@@ -8,6 +8,7 @@ from martspark.functions.core import (  # noqa: F401
     months_between_whole,
     month_window,
     parse_date_text,
+    prune_months,
     split_qualified_name,
     to_int8,
     to_numeric,

@@ -82,6 +82,23 @@ def date_window(c: ColumnOrName, start, end, part_col: str | None = None) -> Col
     return cond
 
 
+def prune_months(df, lo, hi, part_col: str = "pmonth"):
+    """Add a predicate on the month partition column that keeps every partition which
+    can hold a date in [lo, hi]: partition starts in (lo - 1 month, hi]. A no-op for
+    frames without that column. Needed because a filter on the date column itself
+    does not prune a derived partition column."""
+    if part_col not in df.columns:
+        return df
+    return df.where((F.col(part_col) > F.lit(add_months_py(_as_date(lo), -1)))
+                    & (F.col(part_col) <= F.lit(_as_date(hi))))
+
+
+def _as_date(v) -> dt.date:
+    if isinstance(v, dt.datetime):
+        return v.date()
+    return v if isinstance(v, dt.date) else dt.date.fromisoformat(str(v)[:10])
+
+
 def year_window(c: ColumnOrName, year: int) -> Column:
     """``date_trunc('year', c) = year`` rewritten as a range that prunes and pushes down."""
     return (_col(c) >= F.lit(dt.date(year, 1, 1))) & (_col(c) < F.lit(dt.date(year + 1, 1, 1)))

@@ -27,17 +27,24 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Col
     return cond
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is absent from the source, plus all source rows."""
-    src_keys = source.select(*keys)
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], where: str | Column | None = None) -> DataFrame:
+    """Target rows whose key is absent from the source, plus all source rows (of those
+    matching ``where`` when given). The source keys are de-duplicated (combined map-side)
+    so a key repeated many times in the source never builds one huge hash bucket."""
+    if where is not None:
+        source = source.where(F.expr(where) if isinstance(where, str) else where)
+    src_keys = source.select(*keys).distinct()
     kept = target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
-def rank_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rank_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
+               where: str | Column | None = None) -> DataFrame:
     """Tag source 1 and target 2, union, keep the rows whose tag is the smallest of
     their key: ``RANK() OVER (PARTITION BY key ORDER BY tag) = 1`` with ties kept, but
     computed as a (map-side combined) min per key joined back, not as a window."""
+    if where is not None:
+        source = source.where(F.expr(where) if isinstance(where, str) else where)
     cols = target.columns
     u = source.select(*cols, F.lit(1).alias("_tag")).unionByName(target.select(*cols, F.lit(2).alias("_tag")))
     best = u.groupBy(*keys).agg(F.min("_tag").alias("_best"))
@@ -70,7 +77,7 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
         write_observed(read_table(spark, stage_p), target_path)
         return inserted
 
-    src_keys = src.select(*keys)
+    src_keys = src.select(*keys).distinct()
     hit = target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_semi").select(partition_col)
     # affected months: at most one row per partition of the table, so broadcast is bounded
     affected = hit.unionByName(src.select(partition_col)).distinct()

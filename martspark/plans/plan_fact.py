@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.functions import add_months_py
+from martspark.functions import add_months_py, prune_months
 from martspark.operators.lookup import dictionary
 
 PLAN_FACT_COLUMNS = ("region_code", "matdirec_code", "distr_chanel", "planned_quantity",
@@ -31,7 +31,7 @@ def sales_mart(sales: DataFrame, month: str) -> DataFrame:
     window [month start - 3 months, month start]."""
     m = parse_month(month)
     lo = add_months_py(m, -3)
-    return (sales.where(F.col("date").between(F.lit(lo), F.lit(m)))
+    return (prune_months(sales, lo, m).where(F.col("date").between(F.lit(lo), F.lit(m)))
                  .groupBy("region", "material", "distr_chan")
                  .agg(F.sum("quantity").alias("qnt"), F.count_distinct("check_nm").alias("chk_cnt")))
 
@@ -41,7 +41,7 @@ def plan_fact(sales: DataFrame, plan: DataFrame, month: str) -> DataFrame:
     region's best-selling material. Both date bounds are inclusive, as in the source."""
     start = parse_month(month)
     end = add_months_py(start, 1)
-    s = sales.where(F.col("date").between(F.lit(start), F.lit(end)))
+    s = prune_months(sales, start, end).where(F.col("date").between(F.lit(start), F.lit(end)))
 
     total = s.groupBy("region", "material").agg(F.sum("quantity").alias("quantity_day"))
     best_q = (total.groupBy("region").agg(F.max("quantity_day").alias("max_quantity"))
@@ -54,7 +54,7 @@ def plan_fact(sales: DataFrame, plan: DataFrame, month: str) -> DataFrame:
     s_key = (s.where(F.col("material").isNotNull() & F.col("region").isNotNull())
               .groupBy("region", "date", "distr_chan")
               .agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("q")))
-    p = plan.where(F.col("date").between(F.lit(start), F.lit(end)))
+    p = prune_months(plan, start, end).where(F.col("date").between(F.lit(start), F.lit(end)))
     qic = (p.join(s_key, ["region", "date", "distr_chan"])
             .groupBy("region", "matdirec", "distr_chan")
             .agg(F.sum(F.col("quantity") * F.col("n")).alias("planned"), F.sum("q").alias("real")))

@@ -447,8 +447,9 @@ _INV_ORACLE = O.with_tables("SELECT * FROM inventory_parts", "inventory_parts")
 @register("csv_roundtrip_colon", _INV_ORACLE)
 def _csv_colon(spark, sf):
     root = scratch_path(spark, "csv_colon")
-    write_csv(T(spark, sf).inventory_parts, f"{root}/lineitem.csv", sep=":")
-    return read_csv(spark, f"{root}/lineitem.csv", INVENTORY_SCHEMA, sep=":")
+    write_csv(T(spark, sf).inventory_parts, f"{root}/lineitem.csv", distribute_by="part_num", sep=":",
+              header="false")
+    return read_csv(spark, f"{root}/lineitem.csv", INVENTORY_SCHEMA, sep=":", header="false")
 
 
 @register("csv_glob", _INV_ORACLE)
@@ -462,8 +463,8 @@ def _csv_glob(spark, sf):
             F.col("l_suppkey").alias("inventory_id"), F.col("l_partkey").alias("part_num"),
             F.col("l_suppkey").alias("color_id"), F.col("l_quantity").cast("int").alias("quantity"),
             F.col("l_returnflag").alias("is_spare"))
-        write_csv(part.select(*inv), f"{root}/lineitem{i}.csv", sep=":")
-    return read_csv(spark, f"{root}/lineitem*.csv", INVENTORY_SCHEMA, sep=":")
+        write_csv(part.select(*inv), f"{root}/lineitem{i}.csv", sep=":", header="false")
+    return read_csv(spark, f"{root}/lineitem*.csv", INVENTORY_SCHEMA, sep=":", header="false")
 
 
 @register("csv_reject_rows", _INV_ORACLE)

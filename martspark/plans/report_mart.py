@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from martspark.functions import add_months_py, exact_div, months_between_whole, to_int8, to_numeric
+from martspark.functions import add_months_py, exact_div, months_between_whole, prune_months, to_int8, to_numeric
 
 # The selection modes and the promo type whose discount is an amount.
 MODES = ("daily", "day_interval", "monthly", "month_interval")
@@ -134,7 +134,7 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
 
     # ---- bills: per-day sums combine map-side into a tiny shuffle; only the distinct
     # bill count shuffles at bill grain, and only (plant, billnum, first day) ----
-    bf = bills.where(in_range("calday"))
+    bf = prune_months(bills, lo, hi).where(in_range("calday"))
     day_sums = bf.groupBy("plant", "calday").agg(F.sum("rpa_sat").alias("t"), F.sum("qty").alias("q"))
     turnover = (_with_windows(day_sums, "calday", windows)
                 .groupBy("report_name", "plant")
@@ -151,7 +151,7 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     st = turnover.join(bill_cnt, ["report_name", "plant"])
 
     # ---- coupons: distinct coupon rows with their discount ----
-    c = coupons.where(in_range("date")).select("billnum", "coupon_num", "material", "plant", "promo_id", "date")
+    c = prune_months(coupons, lo, hi).where(in_range("date")).select("billnum", "coupon_num", "material", "plant", "promo_id", "date")
     p = promos.select("material", "promo_id", "promo_type", "discount_amount")
     bi = bills.select("billnum", "material", "rpa_sat", "qty")
     cd = (c.join(p, ["material", "promo_id"]).join(bi, ["billnum", "material"])
@@ -171,7 +171,7 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
               .agg(F.sum("coupon_discount").alias("sum_disc"), F.count("material").alias("matdisc_qty")))
 
     # ---- traffic ----
-    tday = traffic.where(in_range("date")).groupBy("plant", "date").agg(F.sum("quantity").alias("t_qty"))
+    tday = prune_months(traffic, lo, hi).where(in_range("date")).groupBy("plant", "date").agg(F.sum("quantity").alias("t_qty"))
     tr = _with_windows(tday, "date", windows).groupBy("report_name", "plant").agg(F.sum("t_qty").alias("t_qty"))
 
     # ---- stores x windows, then the three left joins ----

@@ -25,8 +25,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> D
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", distribute_by: str | None = None,
+              **options) -> None:
+    """Write delimited text; ``distribute_by`` hash-distributes rows over the writer
+    tasks by that column first (a writable table ``DISTRIBUTED BY (col)``)."""
     opts = {**CSV_OPTIONS, **options}
+    if distribute_by:
+        df = df.repartition(distribute_by)
     df.write.mode(mode).options(**opts).csv(path)
 
 
