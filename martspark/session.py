@@ -48,3 +48,36 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared root (never reused between runs)."""
     return f"{shared_root(spark)}/martspark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Settings for a large cluster (100 TB scans, ~1000 executors). Applied by
+# ``tune_for_scale`` only for keys the cluster has not set itself.
+CLUSTER_SETTINGS = {
+    # AQE: coalesce small shuffle partitions, split skewed ones, switch joins at runtime
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # start wide, let AQE coalesce: ~256 MB per task for the largest shuffles
+    "spark.sql.shuffle.partitions": "16000",
+    # scan splits sized to executor memory
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # runtime bloom filters prune the big side of a join with a filtered small side
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def tune_for_scale(spark: SparkSession, overrides: dict | None = None) -> dict:
+    """Apply ``CLUSTER_SETTINGS`` (plus ``overrides``) where the session's launch
+    configuration does not already name the key. Returns what was applied."""
+    launched = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    applied = {}
+    for k, v in {**CLUSTER_SETTINGS, **(overrides or {})}.items():
+        if k not in launched:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
