@@ -10,6 +10,7 @@ from martspark.functions.core import (  # noqa: F401
     parse_date_text,
     prune_months,
     split_qualified_name,
+    to_char_digits,
     to_int8,
     to_numeric,
     trunc_month_py,

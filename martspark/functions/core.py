@@ -51,6 +51,17 @@ def bpchar(c: ColumnOrName, n: int) -> Column:
     return F.rtrim(F.substring(_col(c).cast("string"), 1, n))
 
 
+def to_char_digits(c: ColumnOrName, width: int = 9) -> Column:
+    """``to_char(n, '9' * width)`` for integers: the sign ('-' or a blank) sits right
+    before the digits, right-aligned in ``width + 1`` places; too many digits print
+    as '#' * width."""
+    n = _col(c).cast("bigint")
+    digits = F.abs(n).cast("string")
+    sign = F.when(n < 0, F.lit("-")).otherwise(F.lit(" "))
+    return F.when(F.length(digits) > width, F.concat(sign, F.lit("#" * width))).otherwise(
+        F.lpad(F.concat(sign, digits), width + 1, " "))
+
+
 def unify_name(c: ColumnOrName) -> Column:
     """Name hygiene for text keys: drop ; / and quote characters, trim, lower-case."""
     return F.lower(F.trim(F.translate(_col(c), ";/'", "")))

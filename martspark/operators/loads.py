@@ -50,6 +50,12 @@ def load_filtered(source: DataFrame, target_path: str, where: str | Column | Non
     return rows
 
 
+def insert_rows(spark: SparkSession, target_path: str, rows: list[tuple], schema) -> int:
+    """``INSERT ... VALUES``: append literal rows (a handful, from the caller) to a table."""
+    rows_written, _ = write_observed(spark.createDataFrame(rows, schema), target_path, "append")
+    return rows_written
+
+
 def load_single_partition(source: DataFrame, target_path: str, key: str, start,
                           end=None, partition_col: str = PART_COL, anchor_day: int | None = None) -> int:
     """Empty the WHOLE table, then load the month starting at ``start``

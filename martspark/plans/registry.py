@@ -208,7 +208,12 @@ SELECT p_partkey, upper(p_name) AS name_upper, lower(p_type) AS type_lower,
   trim('  ' || p_name || ' ') AS name_trim, translate(p_brand, '#', '') AS brand_translate,
   replace(p_brand, 'Brand#', 'B-') AS brand_replace, left(p_type, 3) AS type_left,
   right(p_brand, 2) AS brand_right, CAST(instr(p_name, ' ') AS INTEGER) AS name_space_pos,
-  CAST(length(p_name) AS INTEGER) AS name_length, p_brand || '|' || p_type AS brand_type
+  CAST(length(p_name) AS INTEGER) AS name_length, p_brand || '|' || p_type AS brand_type,
+  CAST(len(string_split(p_name, ' ')) AS INTEGER) AS name_words,
+  array_to_string(string_split(p_name, ' '), ',') AS name_words_joined,
+  string_split(p_name, ' ')[1] AS name_first_word,
+  CASE WHEN length(CAST(abs(p_partkey) AS VARCHAR)) > 9 THEN (CASE WHEN p_partkey < 0 THEN '-' ELSE ' ' END) || '#########'
+       ELSE lpad((CASE WHEN p_partkey < 0 THEN '-' ELSE ' ' END) || CAST(abs(p_partkey) AS VARCHAR), 10, ' ') END AS key_to_char
 FROM part""")(lambda spark, sf: SC.text_functions(T(spark, sf).raw("part")))
 
 register("unify_name", """
@@ -233,7 +238,10 @@ SELECT o_orderkey, strftime(d, '%Y%m') AS yyyymm, strftime(d, '%Y%m%d') AS yyyym
   CAST(d + INTERVAL 4 DAY AS DATE) AS plus_4_days, CAST(d - INTERVAL 3 MONTH AS DATE) AS minus_3_months,
   CAST(date_diff('day', d, CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS DATE)) AS INTEGER) AS days_to_month_end,
   CAST(date_diff('month', CAST(date_trunc('month', d) AS DATE), DATE '2002-01-01') AS INTEGER) AS months_to_2002,
-  lpad(CAST(o_orderkey AS VARCHAR), 9, ' ') AS key_char9
+  CASE WHEN length(CAST(abs(o_orderkey - 7500) AS VARCHAR)) > 9
+       THEN (CASE WHEN o_orderkey - 7500 < 0 THEN '-' ELSE ' ' END) || '#########'
+       ELSE lpad((CASE WHEN o_orderkey - 7500 < 0 THEN '-' ELSE ' ' END) || CAST(abs(o_orderkey - 7500) AS VARCHAR), 10, ' ')
+  END AS key_char9
 FROM o""")(lambda spark, sf: SC.date_formats(T(spark, sf).raw("orders")))
 
 register("ordered_concat", """

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.functions import split_qualified_name, unify_name
+from martspark.functions import split_qualified_name, to_char_digits, unify_name
 
 
 def predicates(sales: DataFrame) -> DataFrame:
@@ -42,7 +42,11 @@ def text_functions(part: DataFrame) -> DataFrame:
         F.right(b, F.lit(2)).alias("brand_right"),
         F.instr(n, " ").alias("name_space_pos"),
         F.length(n).alias("name_length"),
-        F.concat(b, F.lit("|"), t).alias("brand_type"))
+        F.concat(b, F.lit("|"), t).alias("brand_type"),
+        F.size(F.split(n, " ")).alias("name_words"),
+        F.array_join(F.split(n, " "), ",").alias("name_words_joined"),
+        F.element_at(F.split(n, " "), 1).alias("name_first_word"),
+        to_char_digits("p_partkey", 9).alias("key_to_char"))
 
 
 def unified_names(part: DataFrame) -> DataFrame:
@@ -76,7 +80,7 @@ def date_formats(orders: DataFrame) -> DataFrame:
         F.add_months(d, -3).alias("minus_3_months"),
         F.datediff(F.add_months(F.trunc(d, "MM"), 1), d).alias("days_to_month_end"),
         F.floor(F.months_between(F.lit("2002-01-01").cast("date"), F.trunc(d, "MM"))).cast("int").alias("months_to_2002"),
-        F.lpad(F.col("o_orderkey").cast("string"), 9, " ").alias("key_char9"))
+        to_char_digits(F.col("o_orderkey") - 7500, 9).alias("key_char9"))
 
 
 def ordered_concat(nation: DataFrame, region: DataFrame) -> DataFrame:

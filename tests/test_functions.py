@@ -57,3 +57,10 @@ def test_month_arithmetic():
     assert add_months_py(dt.date(2020, 11, 1), 3) == dt.date(2021, 2, 1)
     assert months_between_whole(dt.date(2021, 3, 1), dt.date(2021, 1, 1)) == 2
     assert months_between_whole(dt.date(1996, 2, 29), dt.date(1996, 1, 1)) == 1
+
+
+@pytest.mark.parametrize("n,want", [(123, "       123"), (-123, "      -123"), (123456789, " 123456789"),
+                                    (-123456789, "-123456789"), (1234567890, " #########"), (0, "         0")])
+def test_to_char_digits(spark, n, want):
+    from martspark.functions import to_char_digits
+    assert one(spark, to_char_digits(F.lit(n), 9)) == want

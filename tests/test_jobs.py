@@ -62,3 +62,28 @@ def test_month_reload_stream(spark):
     q.awaitTermination()
     rows = sorted((r["plant"], str(r["date"])) for r in spark.read.parquet(f"{root}/traffic").collect())
     assert rows == [("1", "2021-01-05"), ("9", "2021-02-07")]
+
+
+def test_plan_fact_run(spark):
+    from martspark.plans import plan_fact as PF
+    t = RetailTables(spark, SF)
+    root = scratch_path(spark, "tests/pfjob")
+    srcs = {"price": t.price, "chanel": t.chanel, "product": t.product, "region": t.region_dim,
+            "plan": t.plan}
+    sources = {}
+    for name, df in srcs.items():
+        write_csv(df, f"{root}/src/{name}")
+        sources[name] = J.Source("csv", f"{root}/src/{name}")
+    t.sales.write.parquet(f"{root}/src/sales")
+    sources["sales"] = J.Source("parquet", f"{root}/src/sales")
+    cfg = J.RunConfig(warehouse=f"{root}/wh", sources=sources)
+    n = J.plan_fact_run(spark, cfg, "1996-01-02", "199601")
+    wh = J.Warehouse(spark, cfg.warehouse)
+    # the run loads sales only for [1996-01-02, 1996-02-02), as the source's example call does
+    month_sales = t.sales.where((F.col("date") >= "1996-01-02") & (F.col("date") < "1996-02-02"))
+    want = sorted(map(tuple, PF.plan_fact(month_sales, t.plan, "199601").collect()))
+    got = sorted(map(tuple, wh.__getattr__("plan_fact_199601").collect()))
+    assert n == len(want) and got == want
+    assert spark.table("v_plan_fact").count() > 0
+    # a second run upserts the plan (same rows) and gives the same mart
+    assert J.plan_fact_run(spark, cfg, "1996-01-02", "199601") == n

@@ -149,3 +149,10 @@ def test_table_swap_and_filtered(spark, tmp_table):
     staged = LD.stage(spark, src.where("billnum = 2"), p)
     LD.table_swap(spark, p, staged)
     assert [r["billnum"] for r in read_table(spark, p).collect()] == [2]
+
+
+def test_insert_rows_appends(spark, tmp_table):
+    p = tmp_table("ins")
+    assert LD.insert_rows(spark, p, [(1, "A", D_(2021, 1, 1))], HEADS) == 1
+    assert LD.insert_rows(spark, p, [(2, "B", None), (3, None, None)], HEADS) == 2
+    assert sorted(r["billnum"] for r in read_table(spark, p).collect()) == [1, 2, 3]
