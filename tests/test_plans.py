@@ -64,3 +64,22 @@ def test_report_reads_only_needed_columns(spark):
     txt = formatted(df)
     for line in [ln for ln in txt.splitlines() if ln.startswith("ReadSchema: ")]:
         assert "l_comment" not in line and "l_shipdate" not in line
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from martspark.operators.tables import save_bucketed
+    from martspark.session import scratch_path
+    t = RetailTables(spark, SF)
+    root = scratch_path(spark, "tests/bucketed")
+    h = save_bucketed(t.bills_head, "bucketed_heads", f"{root}/heads", "billnum", 8)
+    i = save_bucketed(t.bills_item, "bucketed_items", f"{root}/items", "billnum", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = i.join(h, "billnum")
+        assert j.count() == t.bills.count()
+        txt = formatted(j)
+        assert "SortMergeJoin" in txt and "Exchange" not in txt.split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
