@@ -47,13 +47,21 @@ REPORT_RUNS = {
 }
 
 
+REPORT_RUNS_EXTRA = {
+    # disjoint day windows (cumulative=False): rows are assigned to the windows holding them
+    "report_mart_daily_disjoint": ("19960101", "19960108", 4, ("daily",), False),
+    # all four modes in one call, computed in one pass
+    "report_mart_all_modes": ("19960101", "19960131", 3, ("daily", "day_interval", "monthly", "month_interval"), True),
+}
+
+
 def _report_query(args):
     def q(spark, sf_dir):
         return RM.report_mart(T(spark, sf_dir), *args)
     return q
 
 
-for _name, _args in REPORT_RUNS.items():
+for _name, _args in {**REPORT_RUNS, **REPORT_RUNS_EXTRA}.items():
     register(_name, O.report_sql(RM.report_windows(*_args)))(_report_query(_args))
 
 
