@@ -34,7 +34,7 @@ def load_full(source: DataFrame, target_path: str, partition_col: str | None = N
     df = source
     if partition_col and date_key:
         df = df.withColumn(partition_col, month_key(date_key, anchor_day))
-    rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster_key=date_key)
+    rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
     return rows
 
 
@@ -46,7 +46,7 @@ def load_filtered(source: DataFrame, target_path: str, where: str | Column | Non
     if partition_col and date_key:
         df = df.withColumn(partition_col, month_key(date_key, anchor_day))
     rows, _ = write_observed(df, target_path, "overwrite" if truncate else "append", partition_col,
-                             cluster_key=date_key)
+                             cluster=True)
     return rows
 
 
@@ -64,7 +64,7 @@ def load_single_partition(source: DataFrame, target_path: str, key: str, start,
     e = add_months_py(s, 1)
     df = (source.where((F.col(key) >= F.lit(s)) & (F.col(key) < F.lit(e)))
                 .withColumn(partition_col, month_key(key, anchor_day or s.day)))
-    rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster_key=key)
+    rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
     return rows
 
 
@@ -82,7 +82,7 @@ def replace_months(spark: SparkSession, df: DataFrame, target_path: str, ws: dt.
         staged = staged.withColumn(partition_col, F.when(
             (F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)), F.col(partition_col)
         ).otherwise(F.raise_error(F.concat(F.lit("row outside the partition window: "), F.col(key).cast("string")))))
-    rows, parts = write_observed(staged, target_path, "overwrite", partition_col, dynamic=True, cluster_key=key)
+    rows, parts = write_observed(staged, target_path, "overwrite", partition_col, dynamic=True, cluster=True)
     got = {str(_as_date(p)) for p in parts}
     drop_partitions(spark, target_path, [m for m in map(str, months_in(ws, we)) if m not in got], partition_col)
     return rows

@@ -46,17 +46,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_col: str | None = None, dynamic: bool = False,
-                   cluster_key: str | None = None) -> tuple[int, list]:
+                   cluster: bool = False) -> tuple[int, list]:
     """Write and return (rows written, partition values written) from the same pass.
 
-    With ``cluster_key`` a partitioned write is range-partitioned on
-    (partition column, cluster key) first: every task then writes a contiguous run of
-    months (few, large files instead of tasks x months small ones), and a month holding
-    a large share of the rows is still split across tasks by the second key. AQE sizes
-    the tasks from ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    With ``cluster`` a partitioned write is first rebalanced on the partition column:
+    each task then writes one or a few months (few, large files instead of
+    tasks x months small ones), and AQE splits a month holding a large share of the
+    rows into several tasks (and merges small ones) by
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    if partition_col and cluster_key:
-        df = df.repartitionByRange(partition_col, cluster_key)
+    if partition_col and cluster:
+        df = df.hint("rebalance", partition_col)
     obs = Observation()
     aggs = [F.count(F.lit(1)).alias("rows")]
     if partition_col:

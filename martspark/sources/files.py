@@ -27,11 +27,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> D
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", distribute_by: str | None = None,
               **options) -> None:
-    """Write delimited text; ``distribute_by`` hash-distributes rows over the writer
-    tasks by that column first (a writable table ``DISTRIBUTED BY (col)``)."""
+    """Write delimited text; ``distribute_by`` distributes rows over the writer tasks
+    by that column first (a writable table ``DISTRIBUTED BY (col)``), as a rebalance so
+    AQE splits a hot key's partition instead of giving it to one task."""
     opts = {**CSV_OPTIONS, **options}
     if distribute_by:
-        df = df.repartition(distribute_by)
+        df = df.hint("rebalance", distribute_by)
     df.write.mode(mode).options(**opts).csv(path)
 
 
