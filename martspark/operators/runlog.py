@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from martspark.sources.schemas import SCHEMAS
 
+# The accepted log types, the text for a missing message and the
+# message for a bad type.
 LOG_TYPES = ("ERROR", "INFO")
+EMPTY_MESSAGE = "empty"
+MSG_BAD_TYPE = "Illegal log type. Use one of: ERROR, INFO"
 
 
 class RunLog:
@@ -23,12 +27,12 @@ class RunLog:
     def write(self, log_type: str, message: str | None, location: str | None = None) -> None:
         t = (log_type or "").upper()
         if t not in LOG_TYPES:
-            raise ValueError("Illegal log type. Use one of: ERROR, INFO")
+            raise ValueError(MSG_BAD_TYPE)
         row = self.spark.range(1).select(
             F.expr("uuid()").alias("log_id"),
             F.current_timestamp().cast("timestamp").alias("log_timestamp"),
             F.lit(t).alias("log_type"),
-            F.lit("empty" if message is None else str(message)).alias("log_msg"),
+            F.lit(EMPTY_MESSAGE if message is None else str(message)).alias("log_msg"),
             F.lit(None if location is None else location.lower()).cast("string").alias("log_location"),
             F.lit(t == "ERROR").alias("is_error"),
             F.current_user().alias("log_user"))

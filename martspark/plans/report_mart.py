@@ -21,10 +21,14 @@ from pyspark.sql.types import DecimalType
 
 from martspark.functions import add_months_py, exact_div, months_between_whole, prune_months, to_int8, to_numeric
 
-# The selection modes and the promo type whose discount is an amount.
+# The selection modes, the promo type whose discount is an amount,
+# the report table prefix and the input-check messages.
 MODES = ("daily", "day_interval", "monthly", "month_interval")
 AMOUNT_PROMO_TYPE = "001"
 REPORT_PREFIX = "report_"
+MSG_NO_MODES = "Parameters for p_selection_modes not provided"
+MSG_BAD_MODE = "Invalid value detected in p_selection_modes"
+MSG_BAD_DATE = "Date {} - {} doesn't match the required format. Check your input"
 
 REPORT_COLUMNS = (
     "report_name", "plant", "txt", "turnover", "coupon_discount", "turnover_with_discount",
@@ -62,14 +66,14 @@ def report_windows(start: str, end: str, interval: int = 2,
         raise ReportInputError(msg)
 
     if not modes:
-        fail("Parameters for p_selection_modes not provided")
+        fail(MSG_NO_MODES)
     for m in modes:
         if m not in MODES:
-            fail("Invalid value detected in p_selection_modes")
+            fail(MSG_BAD_MODE)
     try:
         d0, d1 = _parse(start), _parse(end)
     except (TypeError, ValueError):
-        fail(f"Date {start} - {end} doesn't match the required format. Check your input")
+        fail(MSG_BAD_DATE.format(start, end))
 
     out: dict[str, ReportWindow] = {}
 

@@ -8,8 +8,10 @@ from pyspark.sql.types import StructType
 from martspark.sources.files import read_csv
 from martspark.sources.jdbc import read_jdbc
 
-# Source kinds (file server -> CSV files, connector -> JDBC), plus parquet.
+# Source kinds (file server -> CSV files, connector -> JDBC), plus parquet,
+# and the message for an unknown kind.
 SOURCE_KINDS = ("csv", "jdbc", "parquet")
+MSG_UNKNOWN = "Provided external tool not exists"
 
 
 class UnknownSource(ValueError):
@@ -28,4 +30,4 @@ def read_source(spark: SparkSession, kind: str, location: str, schema: StructTyp
     if kind == "parquet":
         r = spark.read if schema is None else spark.read.schema(schema)
         return r.parquet(location)
-    raise UnknownSource(f"Provided external tool not exists: {kind}")
+    raise UnknownSource(f"{MSG_UNKNOWN}: {kind}")

@@ -156,3 +156,14 @@ def test_insert_rows_appends(spark, tmp_table):
     assert LD.insert_rows(spark, p, [(1, "A", D_(2021, 1, 1))], HEADS) == 1
     assert LD.insert_rows(spark, p, [(2, "B", None), (3, None, None)], HEADS) == 2
     assert sorted(r["billnum"] for r in read_table(spark, p).collect()) == [1, 2, 3]
+
+
+def test_run_log_rules(spark, tmp_table):
+    from martspark.operators.runlog import RunLog
+    log = RunLog(spark, tmp_table("log"))
+    with pytest.raises(ValueError):
+        log.write("warning", "x", "Here")
+    log.write("error", None, "Some PLACE")
+    r = log.read().first()
+    assert (r["log_type"], r["log_msg"], r["log_location"], r["is_error"]) == ("ERROR", "empty", "some place", True)
+    assert r["log_id"] and r["log_timestamp"] is not None
