@@ -505,3 +505,19 @@ def _run_log(spark, sf):
     log.write("INFO", f"{n} rows inserted", "Full Load")
     log.write("INFO", "End load_full", "FULL LOAD")
     return log.read().select("log_type", "log_msg", "log_location", "is_error")
+
+
+# ---------------------------------------------------------------- streaming
+from martspark.streaming import month_reload_stream  # noqa: E402
+
+
+@register("traffic_stream_reload", O.with_tables(
+    f"SELECT *, {_PM.format(c='\"date\"')} FROM traffic", "traffic"))
+def _traffic_stream(spark, sf):
+    """Traffic extracts dropped as files are re-loaded month by month by a stream."""
+    t, root = T(spark, sf), scratch_path(spark, "traffic_stream")
+    write_csv(t.traffic_source, f"{root}/drop/extract1")
+    q = month_reload_stream(spark, f"{root}/drop/*", SCHEMAS["traffic_source"], f"{root}/traffic", "date",
+                            f"{root}/checkpoint", convert=True)
+    q.awaitTermination()
+    return read_table(spark, f"{root}/traffic")
