@@ -87,9 +87,10 @@ def parse_date_text(c: ColumnOrName, fmt: str = "dd.MM.yyyy", strict: bool = Tru
 def date_window(c: ColumnOrName, start, end, part_col: str | None = None) -> Column:
     """Half-open ``start <= c < end``; with ``part_col`` the same window on the month
     partition column is added so the scan prunes partitions."""
-    cond = (_col(c) >= F.lit(start)) & (_col(c) < F.lit(end))
-    if part_col is not None:
-        cond = cond & (F.col(part_col) >= F.lit(trunc_month_py(start))) & (F.col(part_col) < F.lit(end))
+    s, e = _as_date(start), _as_date(end)
+    cond = (_col(c) >= F.lit(s)) & (_col(c) < F.lit(e))
+    if part_col is not None:   # partitions starting in (s - 1 month, e) can hold such rows
+        cond = cond & (F.col(part_col) > F.lit(add_months_py(s, -1))) & (F.col(part_col) < F.lit(e))
     return cond
 
 

@@ -64,3 +64,15 @@ def test_month_arithmetic():
 def test_to_char_digits(spark, n, want):
     from martspark.functions import to_char_digits
     assert one(spark, to_char_digits(F.lit(n), 9)) == want
+
+
+def test_date_window_and_month_pruning(spark):
+    from martspark.functions import date_window, prune_months
+    rows = [(dt.date(2021, 1, 31), dt.date(2021, 1, 2)), (dt.date(2021, 2, 1), dt.date(2021, 1, 2)),
+            (dt.date(2021, 2, 15), dt.date(2021, 2, 2)), (dt.date(2021, 3, 1), dt.date(2021, 2, 2))]
+    df = spark.createDataFrame(rows, "d date, pmonth date")
+    got = df.where(date_window("d", "2021-02-01", "2021-03-01", "pmonth")).collect()
+    assert sorted(str(r["d"]) for r in got) == ["2021-02-01", "2021-02-15"]
+    pruned = prune_months(df, dt.date(2021, 2, 1), dt.date(2021, 2, 28)).collect()
+    assert len(pruned) == 4                      # partitions from the 2nd may still hold February rows
+    assert prune_months(df.drop("pmonth"), dt.date(2021, 2, 1), dt.date(2021, 2, 28)).count() == 4
