@@ -50,6 +50,11 @@ def load_filtered(source: DataFrame, target_path: str, where: str | Column | Non
     return rows
 
 
+def truncate_table(spark: SparkSession, target_path: str, schema) -> None:
+    """Empty a table, keeping its schema readable (an overwrite with no rows)."""
+    write_observed(spark.createDataFrame([], schema), target_path, "overwrite")
+
+
 def insert_rows(spark: SparkSession, target_path: str, rows: list[tuple], schema) -> int:
     """``INSERT ... VALUES``: append literal rows (a handful, from the caller) to a table."""
     rows_written, _ = write_observed(spark.createDataFrame(rows, schema), target_path, "append")

@@ -167,3 +167,13 @@ def test_run_log_rules(spark, tmp_table):
     r = log.read().first()
     assert (r["log_type"], r["log_msg"], r["log_location"], r["is_error"]) == ("ERROR", "empty", "some place", True)
     assert r["log_id"] and r["log_timestamp"] is not None
+
+
+def test_truncate_then_reload_is_idempotent(spark, tmp_table):
+    p = tmp_table("trunc")
+    src = heads(spark, [(1, "A", D_(2021, 1, 5)), (2, "B", D_(2021, 2, 5))])
+    assert LD.load_full(src, p) == 2
+    LD.truncate_table(spark, p, HEADS)
+    assert read_table(spark, p).count() == 0 and read_table(spark, p).columns == ["billnum", "plant", "calday"]
+    assert LD.load_full(src, p) == 2 and LD.load_full(src, p) == 2      # running twice: same table
+    assert read_table(spark, p).count() == 2
