@@ -10,6 +10,7 @@ Each pair returns the same rows; the point is the plan each form gets:
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +59,14 @@ def join_agg_pruned(ip: DataFrame, colors: DataFrame) -> DataFrame:
 
 
 def join_agg_implicit(spark: SparkSession, ip: DataFrame, colors: DataFrame) -> DataFrame:
-    """The comma-join form in SQL; Catalyst turns it into the same inner join."""
-    ip.createOrReplaceTempView("inventory_parts")
-    colors.createOrReplaceTempView("colors")
-    return spark.sql("""
+    """The comma-join form in SQL; Catalyst turns it into the same inner join.
+    View names are unique per call, so concurrent callers never see each other's data."""
+    tag = uuid.uuid4().hex[:8]
+    ip.createOrReplaceTempView(f"inventory_parts_{tag}")
+    colors.createOrReplaceTempView(f"colors_{tag}")
+    return spark.sql(f"""
         SELECT c.id, SUM(ip.quantity) AS sum_quantity
-        FROM colors c, inventory_parts ip
+        FROM colors_{tag} c, inventory_parts_{tag} ip
         WHERE c.id = ip.color_id
         GROUP BY c.id""")
 

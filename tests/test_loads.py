@@ -177,3 +177,42 @@ def test_truncate_then_reload_is_idempotent(spark, tmp_table):
     assert read_table(spark, p).count() == 0 and read_table(spark, p).columns == ["billnum", "plant", "calday"]
     assert LD.load_full(src, p) == 2 and LD.load_full(src, p) == 2      # running twice: same table
     assert read_table(spark, p).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["delta", "header_item", "upsert", "swap"])
+def test_loaders_are_idempotent(spark, tmp_table, kind):
+    p = tmp_table(f"idem_{kind}")
+    base = heads(spark, [(1, "A", D_(2021, 1, 5)), (2, "A", D_(2021, 2, 5)), (3, "B", D_(2021, 3, 5))])
+    LD.load_full(base, p, "pmonth", "calday")
+    src = heads(spark, [(2, "Z", D_(2021, 2, 9)), (4, "C", D_(2021, 2, 10))])
+    items = spark.createDataFrame([(2, 1, 5, Decimal("1.00"), Decimal("0.10"), 2, Decimal("3.00"))],
+                                  "billnum long, billitem long, material long, netval decimal(17,2), "
+                                  "tax decimal(17,2), qty long, rpa_sat decimal(17,2)")
+
+    def run():
+        if kind == "delta":
+            LD.load_delta_partitions(spark, src, p, "calday", "2021-02-01", "2021-02-28")
+        elif kind == "header_item":
+            LD.load_header_item(spark, items, src, p + "_bills", "2021-02-01", "2021-02-28")
+        elif kind == "upsert":
+            upsert_table(spark, p, src, ["billnum"], date_key="calday")
+        else:
+            LD.partition_swap(spark, p, src, "2021-02-01", "calday")
+        path = p + "_bills" if kind == "header_item" else p
+        return sorted(map(tuple, read_table(spark, path).collect()))
+
+    first = run()
+    assert run() == first
+
+
+def test_tune_for_scale_respects_launch_settings(spark):
+    from martspark.session import CLUSTER_SETTINGS, tune_for_scale
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    applied = tune_for_scale(spark, {"spark.sql.files.maxPartitionBytes": "128m"})
+    try:
+        assert "spark.sql.shuffle.partitions" in applied or before == spark.conf.get("spark.sql.shuffle.partitions")
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "128m"
+        assert set(applied) <= set(CLUSTER_SETTINGS) | {"spark.sql.files.maxPartitionBytes"}
+    finally:
+        for k in applied:
+            spark.conf.unset(k)
