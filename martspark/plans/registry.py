@@ -52,6 +52,8 @@ REPORT_RUNS_EXTRA = {
     "report_mart_daily_disjoint": ("19960101", "19960108", 4, ("daily",), False),
     # all four modes in one call, computed in one pass
     "report_mart_all_modes": ("19960101", "19960131", 3, ("daily", "day_interval", "monthly", "month_interval"), True),
+    # a month of daily period-to-date reports: 31 window ends, summed as running totals
+    "report_mart_daily_month": ("19960101", "19960201", 1, ("daily",), True),
 }
 
 

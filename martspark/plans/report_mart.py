@@ -15,7 +15,7 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -113,6 +113,43 @@ def _with_windows(df: DataFrame, day: str, windows: Sequence[ReportWindow]) -> D
     return df.withColumn("_w", F.explode(hits)).withColumn("report_name", F.col("_w.report_name")).drop("_w")
 
 
+# Above this many distinct window ends, shared-start windows are summed as running
+# totals instead of repeating each (plant, day) row per window.
+PREFIX_MIN_ENDS = 8
+
+
+def _per_window(df: DataFrame, day: str, cols: Sequence[str], windows: Sequence[ReportWindow],
+                prefix: bool) -> DataFrame:
+    """Sum the additive ``cols`` of a (plant, day) frame per (window, plant); a
+    (window, plant) appears only when it has rows (``_rows`` counts them).
+
+    * explode: each row is repeated for the windows that contain its day, then summed.
+    * prefix (all windows share their start): each day goes to the bucket of the first
+      window end after it; a window is the running total of the buckets up to its end,
+      per plant, over at most one row per window end. Work no longer grows with
+      days x windows.
+    """
+    if not prefix:
+        return (_with_windows(df, day, windows).groupBy("report_name", "plant")
+                .agg(*[F.sum(c).alias(c) for c in cols]))
+    ends = sorted({w.end for w in windows})
+    pos = {e: i for i, e in enumerate(ends)}
+    d = F.col(day)
+    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= d))
+    agg = df.groupBy("plant", bucket.alias("_k")).agg(*[F.sum(c).alias(c) for c in cols],
+                                                      F.sum("_rows").alias("_rows"))
+    dense = agg.select("plant").distinct().select(
+        "plant", F.explode(F.sequence(F.lit(0), F.lit(len(ends) - 1))).alias("_k"))
+    run = Window.partitionBy("plant").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = dense.join(agg, ["plant", "_k"], "left").select(
+        "plant", "_k", *[F.sum(c).over(run).alias(c) for c in cols], F.sum("_rows").over(run).alias("_rows"))
+    wins = F.array(*[F.struct(F.lit(w.report_name).alias("report_name"), F.lit(pos[w.end]).alias("k"))
+                     for w in windows])
+    hits = F.filter(wins, lambda x: x["k"] == F.col("_k"))
+    return (cum.where(F.col("_rows") > 0).select(F.explode(hits).alias("_w"), "plant", *cols)
+               .select(F.col("_w.report_name").alias("report_name"), "plant", *cols))
+
+
 def coupon_discount_expr(rpa_sat: Column, qty: Column, promo_type: Column, amount: Column) -> Column:
     """Amount promos give the amount; others give ``rpa_sat / qty * amount / 100``.
 
@@ -125,13 +162,19 @@ def coupon_discount_expr(rpa_sat: Column, qty: Column, promo_type: Column, amoun
 
 
 def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos: DataFrame,
-                 traffic: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
-    """Report rows for every (window, store); see module doc for the plan shape."""
+                 traffic: DataFrame, windows: Sequence[ReportWindow], strategy: str = "auto") -> DataFrame:
+    """Report rows for every (window, store); see module doc for the plan shape.
+
+    ``strategy``: "explode", "prefix" (shared-start windows only) or "auto" (prefix when
+    all windows share their start and there are more than PREFIX_MIN_ENDS window ends).
+    """
     if not windows:
         raise ReportInputError("no report windows")
     lo = min(w.start for w in windows)
     hi = max(w.end for w in windows)
     shared_start = all(w.start == lo for w in windows)
+    n_ends = len({w.end for w in windows})
+    prefix = shared_start and (strategy == "prefix" or (strategy == "auto" and n_ends > PREFIX_MIN_ENDS))
 
     def in_range(c: str) -> Column:
         return (F.col(c) >= F.lit(lo)) & (F.col(c) < F.lit(hi))
@@ -139,15 +182,14 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     # ---- bills: per-day sums combine map-side into a tiny shuffle; only the distinct
     # bill count shuffles at bill grain, and only (plant, billnum, first day) ----
     bf = prune_months(bills, lo, hi).where(in_range("calday"))
-    day_sums = bf.groupBy("plant", "calday").agg(F.sum("rpa_sat").alias("t"), F.sum("qty").alias("q"))
-    turnover = (_with_windows(day_sums, "calday", windows)
-                .groupBy("report_name", "plant")
-                .agg(F.sum("t").alias("turnover"), F.sum("q").alias("quant")))
+    day_sums = bf.groupBy("plant", "calday").agg(F.sum("rpa_sat").alias("turnover"), F.sum("qty").alias("quant"),
+                                                 F.count(F.lit(1)).alias("_rows"))
+    turnover = _per_window(day_sums, "calday", ["turnover", "quant"], windows, prefix)
     if shared_start:
         first = (bf.groupBy("plant", "billnum").agg(F.min("calday").alias("d"))
-                   .groupBy("plant", "d").agg(F.count(F.lit(1)).alias("n")))
-        bill_cnt = (_with_windows(first, "d", windows).groupBy("report_name", "plant")
-                    .agg(F.sum("n").alias("bill_qty")))
+                   .groupBy("plant", "d").agg(F.count(F.lit(1)).alias("bill_qty"))
+                   .withColumn("_rows", F.col("bill_qty")))
+        bill_cnt = _per_window(first, "d", ["bill_qty"], windows, prefix)
     else:
         bill_cnt = (_with_windows(bf.select("plant", "billnum", "calday").distinct(), "calday", windows)
                     .groupBy("report_name", "plant")
@@ -165,18 +207,19 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     key = ["billnum", "coupon_num", "material", "plant", "promo_type", "discount_amount", "coupon_discount"]
     if shared_start:
         firsts = cd.groupBy(*key).agg(F.min("date").alias("d"))
-        per_day = firsts.groupBy("plant", "d").agg(F.sum("coupon_discount").alias("s"),
-                                                   F.count("material").alias("n"))
-        sd = (_with_windows(per_day, "d", windows).groupBy("report_name", "plant")
-              .agg(F.sum("s").alias("sum_disc"), F.sum("n").alias("matdisc_qty")))
+        per_day = firsts.groupBy("plant", "d").agg(F.sum("coupon_discount").alias("sum_disc"),
+                                                   F.count("material").alias("matdisc_qty"),
+                                                   F.count(F.lit(1)).alias("_rows"))
+        sd = _per_window(per_day, "d", ["sum_disc", "matdisc_qty"], windows, prefix)
     else:
         sd = (_with_windows(cd, "date", windows).select("report_name", *key).distinct()
               .groupBy("report_name", "plant")
               .agg(F.sum("coupon_discount").alias("sum_disc"), F.count("material").alias("matdisc_qty")))
 
     # ---- traffic ----
-    tday = prune_months(traffic, lo, hi).where(in_range("date")).groupBy("plant", "date").agg(F.sum("quantity").alias("t_qty"))
-    tr = _with_windows(tday, "date", windows).groupBy("report_name", "plant").agg(F.sum("t_qty").alias("t_qty"))
+    tday = (prune_months(traffic, lo, hi).where(in_range("date")).groupBy("plant", "date")
+            .agg(F.sum("quantity").alias("t_qty"), F.count(F.lit(1)).alias("_rows")))
+    tr = _per_window(tday, "date", ["t_qty"], windows, prefix)
 
     # ---- stores x windows, then the three left joins ----
     s = stores.select("plant", "txt", F.explode(_window_array(windows)).alias("_w")).select(
@@ -211,7 +254,8 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
 
 def report_mart(tables, start: str, end: str, interval: int = 2,
                 modes: Iterable[str] = ("month_interval",), cumulative: bool = True,
-                log: Callable[[str, str], None] | None = None) -> DataFrame:
+                log: Callable[[str, str], None] | None = None, strategy: str = "auto") -> DataFrame:
     """``build_report`` over a ``RetailTables``-like object (stores, bills, coupons, promos, traffic)."""
     windows = report_windows(start, end, interval, tuple(modes), cumulative, log)
-    return build_report(tables.stores, tables.bills, tables.coupons, tables.promos, tables.traffic, windows)
+    return build_report(tables.stores, tables.bills, tables.coupons, tables.promos, tables.traffic, windows,
+                        strategy)

@@ -104,3 +104,26 @@ def test_general_path_matches(spark):
     apart = sorted(tuple(r) for w in ws for r in rm.build_report(*frames, [w]).collect())
     assert got == apart
     assert {r[0]: r[7] for r in got if r[1] == "A"}["report_20210102"] == 1   # bill 2 on day 2 only
+
+
+@pytest.mark.parametrize("modes,end", [(["daily"], "20210107"), (["daily", "day_interval", "monthly"], "20210106")])
+def test_prefix_strategy_equals_explode(spark, modes, end):
+    frames = _frames(spark)
+    ws = rm.report_windows("20210101", end, 2, modes)
+    a = sorted(tuple(r) for r in rm.build_report(*frames, ws, strategy="explode").collect())
+    b = sorted(tuple(r) for r in rm.build_report(*frames, ws, strategy="prefix").collect())
+    assert a == b
+
+
+def test_prefix_strategy_on_driver_tables(spark):
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    from martspark.sources.standins import RetailTables
+    t = RetailTables(spark, sf)
+    ws = rm.report_windows("19960101", "19960120", 2, ["daily", "day_interval"])
+    args = (t.stores, t.bills, t.coupons, t.promos, t.traffic, ws)
+    a = sorted(tuple(r) for r in rm.build_report(*args, strategy="explode").collect())
+    b = sorted(tuple(r) for r in rm.build_report(*args, strategy="prefix").collect())
+    assert a == b and len(a) == 25 * len(ws)
