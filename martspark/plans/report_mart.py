@@ -6,7 +6,9 @@ All windows of one call are computed in ONE job: every fact is pre-aggregated to
 is attached with an ``explode`` of a literal array, and the per-window sums are taken
 from the day grain. Distinct counts (bills, coupon rows) use first-seen days when all
 windows share their start (the cumulative default), so no fact row is repeated per
-window; otherwise rows are assigned to the windows that contain them.
+window; otherwise rows are assigned to the windows that contain them. With many
+shared-start windows the day aggregates are bucketed by window end and summed as
+running totals per plant instead of being repeated per window.
 """
 
 from __future__ import annotations
@@ -168,8 +170,11 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     ``strategy``: "explode", "prefix" (shared-start windows only) or "auto" (prefix when
     all windows share their start and there are more than PREFIX_MIN_ENDS window ends).
     """
-    if not windows:
-        raise ReportInputError("no report windows")
+    if not windows:      # e.g. a daily run whose end equals its start: no report rows
+        from martspark.sources.schemas import SCHEMAS
+        from pyspark.sql.types import StringType, StructField, StructType
+        schema = StructType([StructField("report_name", StringType(), True)] + list(SCHEMAS["report"].fields))
+        return stores.sparkSession.createDataFrame([], schema)
     lo = min(w.start for w in windows)
     hi = max(w.end for w in windows)
     shared_start = all(w.start == lo for w in windows)

@@ -127,3 +127,10 @@ def test_prefix_strategy_on_driver_tables(spark):
     a = sorted(tuple(r) for r in rm.build_report(*args, strategy="explode").collect())
     b = sorted(tuple(r) for r in rm.build_report(*args, strategy="prefix").collect())
     assert a == b and len(a) == 25 * len(ws)
+
+
+def test_no_windows_gives_empty_report(spark):
+    ws = rm.report_windows("20210105", "20210105", 1, ["daily"])
+    assert ws == []
+    df = rm.build_report(*_frames(spark), ws)
+    assert df.count() == 0 and df.columns == list(rm.REPORT_COLUMNS)
