@@ -145,7 +145,7 @@ def table_swap(spark: SparkSession, target_path: str, staged_path: str, partitio
 
 
 def stage(spark: SparkSession, df: DataFrame, target_path: str, partition_col: str | None = None) -> str:
-    """Write ``df`` to a fresh staging location next to nothing machine-local."""
+    """Write ``df`` to a fresh staging location on the shared folder; returns its path."""
     p = staging_path(spark, target_path)
     write_observed(df, p, "overwrite", partition_col)
     return p

@@ -79,14 +79,16 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
 
     src_keys = src.select(*keys).distinct()
     hit = target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_semi").select(partition_col)
-    # affected months: at most one row per partition of the table, so broadcast is bounded
+    # affected months: at most one value per partition of the table, collected and used
+    # as a partition filter on the target scan
     affected = hit.unionByName(src.select(partition_col)).distinct()
     months = [r[0] for r in affected.collect()]
     t_aff = target.where(F.col(partition_col).isin(months))          # prunes to those partitions
     merged = upsert(t_aff, src, keys)
     stage_p = staging_path(spark, target_path)
-    write_observed(merged, stage_p, "overwrite", partition_col)
-    _, written = write_observed(read_table(spark, stage_p), target_path, "overwrite", partition_col, dynamic=True)
+    write_observed(merged, stage_p, "overwrite", partition_col, cluster=True)
+    _, written = write_observed(read_table(spark, stage_p), target_path, "overwrite", partition_col, dynamic=True,
+                                cluster=True)
     emptied = {str(m) for m in months} - {str(p) for p in written}
     drop_partitions(spark, target_path, emptied, partition_col)
     return inserted
