@@ -72,6 +72,11 @@ STANDIN_DEPS: dict[str, tuple[str, ...]] = {
 }
 
 
+def cte_head(*names: str) -> str:
+    """``WITH <stand-ins needed>`` (no trailing query), for oracles that add more CTEs."""
+    return with_tables("", *names).rstrip()
+
+
 def with_tables(body: str, *names: str) -> str:
     """``WITH <stand-ins needed> <body>``; dependencies are pulled in first."""
     order: list[str] = []
@@ -165,5 +170,4 @@ LEFT JOIN sum_turnover st ON st.report_name = w.report_name AND s.plant = st.pla
 LEFT JOIN sum_discount sd ON sd.report_name = w.report_name AND s.plant = sd.plant
 LEFT JOIN sum_traffic tr ON tr.report_name = w.report_name AND st.plant = tr.plant
 """
-    head = with_tables("SELECT 1", "stores", "bills", "coupons", "promos", "traffic")
-    return head[: -len("SELECT 1")].rstrip() + body
+    return cte_head("stores", "bills", "coupons", "promos", "traffic") + body

@@ -120,8 +120,7 @@ _PLAN_FACT_SQL = """
 
 
 def _with_pf(body: str, *extra: str) -> str:
-    head = O.with_tables("SELECT 1", "sales", "plan", *extra)
-    return head[: -len("SELECT 1")].rstrip() + _PLAN_FACT_SQL + body
+    return O.cte_head("sales", "plan", *extra) + _PLAN_FACT_SQL + body
 
 
 register("plan_fact", _with_pf("SELECT * FROM pf"))(
@@ -396,7 +395,7 @@ UNION ALL SELECT src.*{pm2} FROM src"""
 
 
 def _upsert_oracle(with_pm: bool) -> str:
-    head = O.with_tables("SELECT 1", "plan")[: -len("SELECT 1")].rstrip()
+    head = O.cte_head("plan")
     pm = (", " + _PM.format(c='p."date"')) if with_pm else ""
     pm2 = (", " + _PM.format(c='src."date"')) if with_pm else ""
     return head + _UPSERT_SQL.format(src=_REVISED_PLAN, pm=pm, pm2=pm2)
@@ -422,7 +421,7 @@ _MISSING_SQL = """
 SELECT CAST(m AS DATE) AS partition_start, CAST(m + INTERVAL 1 MONTH AS DATE) AS partition_end FROM g"""
 
 
-@register("missing_partitions", O.with_tables("SELECT 1", "bills_head")[: -len("SELECT 1")].rstrip() + _MISSING_SQL)
+@register("missing_partitions", O.cte_head("bills_head") + _MISSING_SQL)
 def _missing_partitions(spark, sf):
     existing = T(spark, sf).bills_head.select(month_key("calday").alias("pmonth"))
     return LD.missing_month_partitions(existing, "pmonth", "2002-03-15")
