@@ -66,3 +66,15 @@ def schema_mismatches(df: DataFrame, expected: StructType) -> list[tuple[str, st
         if name not in want:
             out.append((name, "<absent>", t))
     return out
+
+
+def table_partitions(spark: SparkSession, table_path: str, partition_col: str = "pmonth") -> DataFrame:
+    """Partition list of a month-partitioned table from its file listing (contents are not
+    read): range start and end, number of files, bytes. The analogue of a catalog's
+    partition view."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(table_path).select("path", "length"))
+    start = F.to_date(F.regexp_extract("path", rf"/{partition_col}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1))
+    g = files.groupBy(start.alias("partition_start")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return g.select("partition_start", F.add_months("partition_start", 1).alias("partition_end"), "files", "bytes")

@@ -522,3 +522,14 @@ def _traffic_stream(spark, sf):
                             f"{root}/checkpoint", convert=True)
     q.awaitTermination()
     return read_table(spark, f"{root}/traffic")
+
+
+@register("partition_list", O.with_tables("""
+SELECT DISTINCT CAST(date_trunc('month', calday) AS DATE) AS partition_start,
+       CAST(date_trunc('month', calday) + INTERVAL 1 MONTH AS DATE) AS partition_end
+FROM bills_head""", "bills_head"))
+def _partition_list(spark, sf):
+    """Load bill heads month-partitioned, then list the table's partitions from files."""
+    t, root = T(spark, sf), scratch_path(spark, "partition_list")
+    LD.load_full(t.bills_head, f"{root}/bills_head", "pmonth", "calday")
+    return quality.table_partitions(spark, f"{root}/bills_head").select("partition_start", "partition_end")
