@@ -20,7 +20,7 @@ with them. Column names and types follow the source warehouse DDL (see FIXTURES.
 
 from __future__ import annotations
 
-from functools import cached_property
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,17 @@ COUPON_MIN_DISCOUNT = 0.05   # line items with at least this discount carry a co
 PLAN_EXTRA = 5               # plan quantity = sold quantity + 5
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
+def _schema_key(path: str) -> tuple:
+    try:
+        st = os.stat(path)                      # local inputs: re-infer if the file changed
+        return (path, st.st_size, st.st_mtime_ns)
+    except OSError:
+        return (path,)
+
+
 class RetailTables:
     """Lazy stand-in tables over ``sf_dir``."""
 
@@ -43,7 +54,16 @@ class RetailTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table. Its parquet schema is inferred once per file and reused, so
+        building a plan does not re-read footers for every reference to the table."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = _schema_key(path)
+        schema = _SCHEMAS.get(key)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[key] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     # ---------------- store-report mart ----------------
     @property
