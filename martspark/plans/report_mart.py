@@ -108,11 +108,13 @@ def _window_array(windows: Sequence[ReportWindow]) -> Column:
                  F.lit(w.end).alias("we")) for w in windows])
 
 
-def _with_windows(df: DataFrame, day: str, windows: Sequence[ReportWindow]) -> DataFrame:
+def _with_windows(df: DataFrame, day: str, windows: Sequence[ReportWindow],
+                  arr: Column | None = None) -> DataFrame:
     """One output row per (row, window containing ``day``); no join, bounded fan-out."""
     day_col = F.col(day)
-    hits = F.filter(_window_array(windows), lambda w: (day_col >= w["ws"]) & (day_col < w["we"]))
-    return df.withColumn("_w", F.explode(hits)).withColumn("report_name", F.col("_w.report_name")).drop("_w")
+    arr = _window_array(windows) if arr is None else arr
+    hits = F.filter(arr, lambda w: (day_col >= w["ws"]) & (day_col < w["we"]))
+    return df.select("*", F.explode(F.transform(hits, lambda w: w["report_name"])).alias("report_name"))
 
 
 # Above this many distinct window ends, shared-start windows are summed as running
@@ -123,7 +125,7 @@ PREFIX_MIN_ENDS = 64
 
 
 def _per_window(df: DataFrame, day: str, cols: Sequence[str], windows: Sequence[ReportWindow],
-                prefix: bool) -> DataFrame:
+                prefix: bool, arr: Column | None = None) -> DataFrame:
     """Sum the additive ``cols`` of a (plant, day) frame per (window, plant); a
     (window, plant) appears only when it has rows (``_rows`` counts them).
 
@@ -134,7 +136,7 @@ def _per_window(df: DataFrame, day: str, cols: Sequence[str], windows: Sequence[
       days x windows.
     """
     if not prefix:
-        return (_with_windows(df, day, windows).groupBy("report_name", "plant")
+        return (_with_windows(df, day, windows, arr).groupBy("report_name", "plant")
                 .agg(*[F.sum(c).alias(c) for c in cols]))
     ends = sorted({w.end for w in windows})
     pos = {e: i for i, e in enumerate(ends)}
@@ -181,6 +183,7 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     hi = max(w.end for w in windows)
     shared_start = all(w.start == lo for w in windows)
     n_ends = len({w.end for w in windows})
+    arr = _window_array(windows)
     prefix = shared_start and (strategy == "prefix" or (strategy == "auto" and n_ends > PREFIX_MIN_ENDS))
 
     def in_range(c: str) -> Column:
@@ -191,14 +194,14 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     bf = prune_months(bills, lo, hi).where(in_range("calday"))
     day_sums = bf.groupBy("plant", "calday").agg(F.sum("rpa_sat").alias("turnover"), F.sum("qty").alias("quant"),
                                                  F.count(F.lit(1)).alias("_rows"))
-    turnover = _per_window(day_sums, "calday", ["turnover", "quant"], windows, prefix)
+    turnover = _per_window(day_sums, "calday", ["turnover", "quant"], windows, prefix, arr)
     if shared_start:
         first = (bf.groupBy("plant", "billnum").agg(F.min("calday").alias("d"))
                    .groupBy("plant", "d").agg(F.count(F.lit(1)).alias("bill_qty"))
                    .withColumn("_rows", F.col("bill_qty")))
-        bill_cnt = _per_window(first, "d", ["bill_qty"], windows, prefix)
+        bill_cnt = _per_window(first, "d", ["bill_qty"], windows, prefix, arr)
     else:
-        bill_cnt = (_with_windows(bf.select("plant", "billnum", "calday").distinct(), "calday", windows)
+        bill_cnt = (_with_windows(bf.select("plant", "billnum", "calday").distinct(), "calday", windows, arr)
                     .groupBy("report_name", "plant")
                     .agg(F.count_distinct("billnum").alias("bill_qty")))
     st = turnover.join(bill_cnt, ["report_name", "plant"])
@@ -217,20 +220,19 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
         per_day = firsts.groupBy("plant", "d").agg(F.sum("coupon_discount").alias("sum_disc"),
                                                    F.count("material").alias("matdisc_qty"),
                                                    F.count(F.lit(1)).alias("_rows"))
-        sd = _per_window(per_day, "d", ["sum_disc", "matdisc_qty"], windows, prefix)
+        sd = _per_window(per_day, "d", ["sum_disc", "matdisc_qty"], windows, prefix, arr)
     else:
-        sd = (_with_windows(cd, "date", windows).select("report_name", *key).distinct()
+        sd = (_with_windows(cd, "date", windows, arr).select("report_name", *key).distinct()
               .groupBy("report_name", "plant")
               .agg(F.sum("coupon_discount").alias("sum_disc"), F.count("material").alias("matdisc_qty")))
 
     # ---- traffic ----
     tday = (prune_months(traffic, lo, hi).where(in_range("date")).groupBy("plant", "date")
             .agg(F.sum("quantity").alias("t_qty"), F.count(F.lit(1)).alias("_rows")))
-    tr = _per_window(tday, "date", ["t_qty"], windows, prefix)
+    tr = _per_window(tday, "date", ["t_qty"], windows, prefix, arr)
 
     # ---- stores x windows, then the three left joins ----
-    s = stores.select("plant", "txt", F.explode(_window_array(windows)).alias("_w")).select(
-        F.col("_w.report_name").alias("report_name"), "plant", "txt")
+    s = stores.select(F.explode(F.transform(arr, lambda w: w["report_name"])).alias("report_name"), "plant", "txt")
     s, st, sd, tr = s.alias("s"), st.alias("st"), sd.alias("sd"), tr.alias("tr")
     j = (s.join(st, (F.col("s.report_name") == F.col("st.report_name")) & (F.col("s.plant") == F.col("st.plant")), "left")
           .join(sd, (F.col("s.report_name") == F.col("sd.report_name")) & (F.col("s.plant") == F.col("sd.plant")), "left")
