@@ -125,49 +125,48 @@ def windows_values(windows) -> str:
 
 
 def report_sql(windows) -> str:
-    """The store report, written per window the direct way (range join to the windows,
-    DISTINCT coupon rows, COUNT(DISTINCT billnum)), in exact integer units."""
-    disc_units = ("CASE WHEN p.promo_type = '001' THEN CAST(p.discount_amount AS HUGEINT) * 1000000000000 "
-                  "ELSE " + round_div_units(
-                      "CAST(bi.rpa_sat * 100 AS HUGEINT) * p.discount_amount * 100000000",
-                      "CAST(bi.qty AS HUGEINT)") + " END")
+    """The store report computed per window by brute force: every fact row is joined to
+    the windows containing its day, counted distinct where needed, and all money is
+    carried as exact integer units (cents, or 1e-12 for coupon shares)."""
+    share_units = ("CASE WHEN pr.promo_type = '001' THEN CAST(pr.discount_amount AS HUGEINT) * 1000000000000 "
+                   "ELSE " + round_div_units(
+                       "CAST(b.rpa_sat * 100 AS HUGEINT) * pr.discount_amount * 100000000",
+                       "CAST(b.qty AS HUGEINT)") + " END")
     body = f"""
-, wins AS ({windows_values(windows)})
-, coupon_disc AS (
-    SELECT DISTINCT w.report_name, c.billnum, c.coupon_num, c.material, c.plant, p.promo_type,
-           p.discount_amount, {disc_units} AS disc_u
+, w AS ({windows_values(windows)})
+, coupon_lines AS (
+    SELECT DISTINCT w.report_name, c.billnum, c.coupon_num, c.material, c.plant, pr.promo_type,
+           pr.discount_amount, {share_units} AS share_u
     FROM coupons c
-    JOIN promos p ON p.material = c.material AND p.promo_id = c.promo_id
-    JOIN bills bi ON bi.billnum = c.billnum AND c.material = bi.material
-    JOIN wins w ON c."date" >= w.ws AND c."date" < w.we)
-, sum_discount AS (
-    SELECT report_name, plant, SUM(disc_u) AS disc_u, COUNT(material) AS matdisc_qty
-    FROM coupon_disc GROUP BY report_name, plant)
-, sum_traffic AS (
-    SELECT w.report_name, t.plant, SUM(t.quantity) AS t_qty
-    FROM traffic t JOIN wins w ON t."date" >= w.ws AND t."date" < w.we
-    GROUP BY w.report_name, t.plant)
-, sum_turnover AS (
-    SELECT w.report_name, bi.plant, SUM(bi.rpa_sat) AS turnover, SUM(bi.qty) AS quant,
-           COUNT(DISTINCT bi.billnum) AS bill_qty
-    FROM bills bi JOIN wins w ON bi.calday >= w.ws AND bi.calday < w.we
-    GROUP BY w.report_name, bi.plant)
+    JOIN promos pr USING (material, promo_id)
+    JOIN bills b USING (billnum, material)
+    JOIN w ON c."date" >= w.ws AND c."date" < w.we)
+, store_disc AS (
+    SELECT report_name, plant, SUM(share_u) AS share_u, COUNT(material) AS n_lines
+    FROM coupon_lines GROUP BY ALL)
+, store_visits AS (
+    SELECT w.report_name, v.plant, SUM(v.quantity) AS visits
+    FROM traffic v JOIN w ON v."date" >= w.ws AND v."date" < w.we GROUP BY ALL)
+, store_sales AS (
+    SELECT w.report_name, b.plant, SUM(b.rpa_sat) AS revenue, SUM(b.qty) AS units,
+           COUNT(DISTINCT b.billnum) AS n_bills
+    FROM bills b JOIN w ON b.calday >= w.ws AND b.calday < w.we GROUP BY ALL)
 SELECT w.report_name, s.plant, s.txt,
-  CAST(COALESCE({round_div_units(hi('st.turnover', 2), '100')}, 0) AS BIGINT) AS turnover,
-  CAST(COALESCE({units_to_decimal(round_div_units('sd.disc_u', '10000000000'), 2)}, 0) AS DECIMAL(17,2)) AS coupon_discount,
-  CAST(COALESCE({units_to_decimal(round_div_units(hi('st.turnover', 12) + ' - sd.disc_u', '10000000000'), 2)}, 0) AS DECIMAL(17,2)) AS turnover_with_discount,
-  CAST(COALESCE(st.quant, 0) AS BIGINT) AS material_qty,
-  CAST(COALESCE(st.bill_qty, 0) AS BIGINT) AS bills_qty,
-  CAST(COALESCE(tr.t_qty, 0) AS BIGINT) AS traffic,
-  CAST(COALESCE(sd.matdisc_qty, 0) AS BIGINT) AS matdisc_qty,
-  CAST(COALESCE({exact_div('sd.matdisc_qty * 100', 0, 'st.quant', 0, 1)}, 0) AS DECIMAL(17,1)) AS matdisc_percent,
-  CAST(COALESCE({exact_div('st.quant', 0, 'st.bill_qty', 0, 2)}, 0) AS DECIMAL(17,2)) AS avg_mat_qty,
-  CAST(COALESCE({exact_div('st.bill_qty * 100', 0, 'tr.t_qty', 0, 2)}, 0) AS DECIMAL(17,2)) AS conversion_rate,
-  CAST(COALESCE({exact_div('st.turnover', 2, 'st.bill_qty', 0, 1)}, 0) AS DECIMAL(17,1)) AS avg_bill,
-  CAST(COALESCE({exact_div('st.turnover', 2, 'tr.t_qty', 0, 2)}, 0) AS DECIMAL(17,2)) AS avg_profit
-FROM stores s CROSS JOIN wins w
-LEFT JOIN sum_turnover st ON st.report_name = w.report_name AND s.plant = st.plant
-LEFT JOIN sum_discount sd ON sd.report_name = w.report_name AND s.plant = sd.plant
-LEFT JOIN sum_traffic tr ON tr.report_name = w.report_name AND st.plant = tr.plant
+  CAST(COALESCE({round_div_units(hi('ss.revenue', 2), '100')}, 0) AS BIGINT) AS turnover,
+  CAST(COALESCE({units_to_decimal(round_div_units('sd.share_u', '10000000000'), 2)}, 0) AS DECIMAL(17,2)) AS coupon_discount,
+  CAST(COALESCE({units_to_decimal(round_div_units(hi('ss.revenue', 12) + ' - sd.share_u', '10000000000'), 2)}, 0) AS DECIMAL(17,2)) AS turnover_with_discount,
+  CAST(COALESCE(ss.units, 0) AS BIGINT) AS material_qty,
+  CAST(COALESCE(ss.n_bills, 0) AS BIGINT) AS bills_qty,
+  CAST(COALESCE(sv.visits, 0) AS BIGINT) AS traffic,
+  CAST(COALESCE(sd.n_lines, 0) AS BIGINT) AS matdisc_qty,
+  CAST(COALESCE({exact_div('sd.n_lines * 100', 0, 'ss.units', 0, 1)}, 0) AS DECIMAL(17,1)) AS matdisc_percent,
+  CAST(COALESCE({exact_div('ss.units', 0, 'ss.n_bills', 0, 2)}, 0) AS DECIMAL(17,2)) AS avg_mat_qty,
+  CAST(COALESCE({exact_div('ss.n_bills * 100', 0, 'sv.visits', 0, 2)}, 0) AS DECIMAL(17,2)) AS conversion_rate,
+  CAST(COALESCE({exact_div('ss.revenue', 2, 'ss.n_bills', 0, 1)}, 0) AS DECIMAL(17,1)) AS avg_bill,
+  CAST(COALESCE({exact_div('ss.revenue', 2, 'sv.visits', 0, 2)}, 0) AS DECIMAL(17,2)) AS avg_profit
+FROM stores s CROSS JOIN w
+LEFT JOIN store_sales ss ON ss.report_name = w.report_name AND ss.plant = s.plant
+LEFT JOIN store_disc sd ON sd.report_name = w.report_name AND sd.plant = s.plant
+LEFT JOIN store_visits sv ON sv.report_name = w.report_name AND sv.plant = ss.plant
 """
     return cte_head("stores", "bills", "coupons", "promos", "traffic") + body

@@ -97,26 +97,30 @@ GROUP BY region, material, distr_chan""", "sales"))(
     lambda spark, sf: PF.sales_mart(T(spark, sf).sales, SALES_MART_MONTH))
 
 _PLAN_FACT_SQL = """
-, total AS (
-    SELECT s.material, s.region, SUM(s.quantity) AS quantity_day FROM sales s
-    WHERE s."date" BETWEEN DATE '1996-01-01' AND DATE '1996-02-01'
-    GROUP BY s.region, s.material)
-, qic AS (
-    SELECT p.region, p.matdirec, p.distr_chan, SUM(p.quantity) AS planned_quantity,
-           SUM(s.quantity) AS real_quantity, (SUM(s.quantity) * 100) // SUM(p.quantity) AS complete_percent
-    FROM sales s
-    JOIN plan p ON s.region = p.region AND s."date" = p."date" AND s.distr_chan = p.distr_chan
-    JOIN total t ON t.material = s.material AND t.region = s.region
+, month_sales AS (
+    SELECT * FROM sales WHERE "date" BETWEEN DATE '1996-01-01' AND DATE '1996-02-01')
+, by_material AS (
+    SELECT region, material, SUM(quantity) AS q FROM month_sales GROUP BY ALL)
+, leaders AS (
+    SELECT region, material FROM (
+        SELECT region, material, RANK() OVER (PARTITION BY region ORDER BY q DESC) AS pos
+        FROM by_material) r
+    WHERE pos = 1)
+, pairs AS (
+    SELECT p.region, p.matdirec, p.distr_chan, p.quantity AS planned, s.quantity AS sold
+    FROM plan p JOIN month_sales s
+      ON s.region = p.region AND s."date" = p."date" AND s.distr_chan = p.distr_chan
     WHERE p."date" BETWEEN DATE '1996-01-01' AND DATE '1996-02-01'
-    GROUP BY p.region, p.matdirec, p.distr_chan)
-, qim AS (SELECT region, MAX(quantity_day) AS max_quantity FROM total GROUP BY region)
+      AND s.material IS NOT NULL)
+, cmp AS (
+    SELECT region, matdirec, distr_chan, SUM(planned) AS planned, SUM(sold) AS sold
+    FROM pairs GROUP BY ALL)
 , pf AS (
-    SELECT qic.region AS region_code, qic.matdirec AS matdirec_code, qic.distr_chan AS distr_chanel,
-           CAST(qic.planned_quantity AS INTEGER) AS planned_quantity,
-           CAST(qic.real_quantity AS INTEGER) AS real_quantity,
-           CAST(qic.complete_percent AS INTEGER) AS complete_percent, t.material AS mosteff_material
-    FROM qic JOIN total t ON t.region = qic.region JOIN qim ON qim.region = qic.region
-    WHERE qim.max_quantity = t.quantity_day)
+    SELECT cmp.region AS region_code, cmp.matdirec AS matdirec_code, cmp.distr_chan AS distr_chanel,
+           CAST(cmp.planned AS INTEGER) AS planned_quantity, CAST(cmp.sold AS INTEGER) AS real_quantity,
+           CAST((cmp.sold * 100) // cmp.planned AS INTEGER) AS complete_percent,
+           l.material AS mosteff_material
+    FROM cmp JOIN leaders l ON l.region = cmp.region)
 """
 
 

@@ -134,3 +134,19 @@ def test_no_windows_gives_empty_report(spark):
     assert ws == []
     df = rm.build_report(*_frames(spark), ws)
     assert df.count() == 0 and df.columns == list(rm.REPORT_COLUMNS)
+
+
+def test_plan_fact_null_material_can_lead(spark):
+    """The best-seller search runs over every (region, material) group, NULL material
+    included, while the plan/fact sums only use rows with a material (as the source)."""
+    from martspark.plans import plan_fact as PF
+    sales = spark.createDataFrame([
+        (D(2021, 1, 5), "R", None, 1, 50, "c1", "c1-1"),
+        (D(2021, 1, 5), "R", "m1", 1, 10, "c2", "c2-1"),
+        (D(2021, 1, 6), "R", "m2", 1, 10, "c3", "c3-1")],
+        "date date, region string, material string, distr_chan int, quantity int, check_nm string, check_pos string")
+    plan = spark.createDataFrame([(D(2021, 1, 5), "R", "dir", 30, 1), (D(2021, 1, 6), "R", "dir", 8, 1)],
+                                 "date date, region string, matdirec string, quantity int, distr_chan int")
+    rows = PF.plan_fact(sales, plan, "202101").collect()
+    got = [(r["planned_quantity"], r["real_quantity"], r["complete_percent"], r["mosteff_material"]) for r in rows]
+    assert got == [(38, 20, 52, None)]
