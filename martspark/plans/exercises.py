@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from martspark.functions import bpchar, year_window
+from martspark.functions import bpchar, prune_months, year_window
 
 INVENTORY_COLUMNS = ("inventory_id", "part_num", "color_id", "quantity", "is_spare")
 
@@ -28,14 +28,15 @@ def year_sum_trunc(real_estate: DataFrame, year: int) -> DataFrame:
 
 
 def year_sum_range(real_estate: DataFrame, year: int) -> DataFrame:
-    """``date >= 'Y-01-01' AND date <= 'Y-12-31'``: pushed to the scan, prunes partitions."""
+    """``date >= 'Y-01-01' AND date <= 'Y-12-31'``: pushed to the scan; on a
+    month-partitioned table the same range on the partition column prunes partitions."""
     cond = (F.col("date") >= F.lit(dt.date(year, 1, 1))) & (F.col("date") <= F.lit(dt.date(year, 12, 31)))
-    return real_estate.where(cond).agg(F.sum("sale_price").cast(DecimalType(18, 2)).alias("sum_sale_price"))
+    return prune_months(real_estate, dt.date(year, 1, 1), dt.date(year, 12, 31)).where(cond).agg(F.sum("sale_price").cast(DecimalType(18, 2)).alias("sum_sale_price"))
 
 
 def year_sum_window(real_estate: DataFrame, year: int) -> DataFrame:
     """The half-open form used by the loaders (``functions.year_window``)."""
-    return real_estate.where(year_window("date", year)).agg(
+    return prune_months(real_estate, dt.date(year, 1, 1), dt.date(year, 12, 31)).where(year_window("date", year)).agg(
         F.sum("sale_price").cast(DecimalType(18, 2)).alias("sum_sale_price"))
 
 
