@@ -9,15 +9,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martspark import oracle as O
 from martspark.operators import export, quality
+from martspark.operators import loads as LD
 from martspark.operators.lookup import dict_get, dictionary
+from martspark.operators.merge import rank_merge, upsert_table
+from martspark.operators.runlog import RunLog
+from martspark.operators.tables import month_key, read_table
 from martspark.plans import exercises as X
 from martspark.plans import plan_fact as PF
 from martspark.plans import report_mart as RM
 from martspark.plans import showcase as SC
+from martspark.session import scratch_path
+from martspark.sources.dispatch import read_source
+from martspark.sources.files import read_csv, read_csv_checked, write_csv
+from martspark.sources.schemas import SCHEMAS, I, L, S, _s
 from martspark.sources.standins import RetailTables
+from martspark.streaming import month_reload_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -298,17 +309,7 @@ def _table_size(spark, sf):
 # ---------------------------------------------------------------- loaders (write, read back)
 # Each query writes under the shared scratch root (spark.checkpoint.dir) and returns the
 # final table state; the oracle states that state in SQL.
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import StructType  # noqa: E402
-
-from martspark.operators import loads as LD  # noqa: E402
-from martspark.operators.merge import rank_merge, upsert_table  # noqa: E402
-from martspark.operators.runlog import RunLog  # noqa: E402
-from martspark.operators.tables import month_key, read_table  # noqa: E402
-from martspark.session import scratch_path  # noqa: E402
-from martspark.sources.dispatch import read_source  # noqa: E402
-from martspark.sources.files import read_csv, read_csv_checked, write_csv  # noqa: E402
-from martspark.sources.schemas import SCHEMAS, _s, I, L, S  # noqa: E402
+
 
 INVENTORY_SCHEMA: StructType = _s(("inventory_id", L, True), ("part_num", L, True), ("color_id", L, True),
                                   ("quantity", I, True), ("is_spare", S, True))
@@ -514,7 +515,6 @@ def _run_log(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-from martspark.streaming import month_reload_stream  # noqa: E402
 
 
 @register("traffic_stream_reload", O.with_tables(
