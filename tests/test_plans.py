@@ -83,3 +83,17 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+# Windows are allowed only over small results: the export's row_number (|stores| rows
+# per report) and the report's running totals (one row per plant and window end).
+WINDOW_OK = {"report_export_plant_id", "report_mart_daily_month"}
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_every_query_plan_has_no_cross_product(spark, name):
+    df = registry.QUERIES[name](spark, SF)
+    physical = plan_text(df)
+    assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
+    if name not in WINDOW_OK:
+        assert "Window" not in optimized(df), name
