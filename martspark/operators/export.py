@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType
+from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType
 
 # The export table's column types.
 EXPORT_SCHEMA = (
@@ -24,10 +24,26 @@ EXPORT_SCHEMA = (
 )
 
 
-def export_frame(report: DataFrame) -> DataFrame:
+# The same columns without narrowing: 64-bit counts and amounts, report precision kept.
+# The declared export table is Int32 / Decimal(7, s); with ANSI casts a store whose
+# turnover or counts exceed it fails the export instead of wrapping, so at large scale
+# publish with this schema.
+EXPORT_SCHEMA_WIDE = (
+    ("plant_id", IntegerType()), ("plant", StringType()), ("txt", StringType()),
+    ("turnover", LongType()), ("coupon_discount", DecimalType(17, 2)),
+    ("turnover_with_discount", DecimalType(17, 2)), ("material_qty", LongType()),
+    ("bills_qty", LongType()), ("traffic", LongType()), ("matdisc_qty", LongType()),
+    ("matdisc_percent", DecimalType(17, 1)), ("avg_mat_qty", DecimalType(17, 2)),
+    ("conversion_rate", DecimalType(17, 2)), ("avg_bill", DecimalType(17, 1)),
+    ("avg_profit", DecimalType(17, 1)),
+)
+
+
+def export_frame(report: DataFrame, schema=EXPORT_SCHEMA) -> DataFrame:
+    """Number the stores per report and cast to the export schema (declared by default)."""
     w = Window.partitionBy("report_name").orderBy("plant")
     numbered = report.withColumn("plant_id", F.row_number().over(w))
-    return numbered.select("report_name", *[F.col(n).cast(t).alias(n) for n, t in EXPORT_SCHEMA])
+    return numbered.select("report_name", *[F.col(n).cast(t).alias(n) for n, t in schema])
 
 
 def publish_sharded(df: DataFrame, path: str, shards: int, shard_key: str = "plant_id",

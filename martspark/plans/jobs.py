@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from martspark.operators import loads as LD
-from martspark.operators.export import export_frame, publish_sharded
+from martspark.operators.export import EXPORT_SCHEMA, EXPORT_SCHEMA_WIDE, export_frame, publish_sharded
 from martspark.operators.merge import upsert_table
 from martspark.operators.runlog import RunLog
 from martspark.operators.tables import path_exists, read_table, write_observed
@@ -88,7 +88,7 @@ def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month:
 
 def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_end: str,
                      heads_start: str, report_months: tuple[str, str, int], report_days: tuple[str, str, int],
-                     shards: int = 4) -> int:
+                     shards: int = 4, wide_export: bool = False) -> int:
     wh, log = Warehouse(spark, cfg.warehouse), _log(spark, cfg, "Report")
     log("INFO", "Start store report run")
     for dim in ("promos", "promo_types", "stores"):
@@ -111,6 +111,7 @@ def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_
         rows, _ = write_observed(rep, wh.path("report"), "overwrite", "report_name", dynamic=True)
         total += rows
         log("INFO", f"{rows} rows inserted")
-    publish_sharded(export_frame(wh.report), wh.path("report_export"), shards)
+    schema = EXPORT_SCHEMA_WIDE if wide_export else EXPORT_SCHEMA
+    publish_sharded(export_frame(wh.report, schema), wh.path("report_export"), shards)
     log("INFO", "End store report run")
     return total

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from martspark.plans import report_mart as rm
 
@@ -150,3 +151,14 @@ def test_plan_fact_null_material_can_lead(spark):
     rows = PF.plan_fact(sales, plan, "202101").collect()
     got = [(r["planned_quantity"], r["real_quantity"], r["complete_percent"], r["mosteff_material"]) for r in rows]
     assert got == [(38, 20, 52, None)]
+
+
+def test_export_narrow_overflow_fails_wide_keeps(spark):
+    from martspark.operators.export import EXPORT_SCHEMA_WIDE, export_frame
+    rep = rm.build_report(*_frames(spark), rm.report_windows("20210101", "20210103", 1, ["daily"]))
+    big = rep.withColumn("turnover", F.lit(5_000_000_000).cast("bigint"))
+    with pytest.raises(Exception):
+        export_frame(big).collect()                  # Int32 in the declared export table
+    wide = export_frame(big, EXPORT_SCHEMA_WIDE).collect()
+    assert {r["turnover"] for r in wide} == {5_000_000_000}
+    assert sorted(r["plant_id"] for r in wide if r["report_name"] == "report_20210101") == [1, 2, 3, 4]
