@@ -36,9 +36,12 @@ def sales_mart(sales: DataFrame, month: str) -> DataFrame:
                  .agg(F.sum("quantity").alias("qnt"), F.count_distinct("check_nm").alias("chk_cnt")))
 
 
-def plan_fact(sales: DataFrame, plan: DataFrame, month: str) -> DataFrame:
+def plan_fact(sales: DataFrame, plan: DataFrame, month: str, wide: bool = False) -> DataFrame:
     """Planned vs sold quantity by (region, direction, channel) for one month, with the
-    region's best-selling material. Both date bounds are inclusive, as in the source."""
+    region's best-selling material. Both date bounds are inclusive, as in the source.
+
+    The mart declares int4 quantities; a month sum beyond that range fails (ANSI), as an
+    out-of-range assignment does in the source. ``wide=True`` keeps 64-bit sums."""
     start = parse_month(month)
     end = add_months_py(start, 1)
     s = prune_months(sales, start, end).where(F.col("date").between(F.lit(start), F.lit(end)))
@@ -58,13 +61,14 @@ def plan_fact(sales: DataFrame, plan: DataFrame, month: str) -> DataFrame:
     qic = (p.join(s_key, ["region", "date", "distr_chan"])
             .groupBy("region", "matdirec", "distr_chan")
             .agg(F.sum(F.col("quantity") * F.col("n")).alias("planned"), F.sum("q").alias("real")))
+    qty_type = "bigint" if wide else "int"
     return (qic.join(best, "region")
                .select(F.col("region").alias("region_code"),
                        F.col("matdirec").alias("matdirec_code"),
                        F.col("distr_chan").alias("distr_chanel"),
-                       F.col("planned").cast("int").alias("planned_quantity"),
-                       F.col("real").cast("int").alias("real_quantity"),
-                       F.expr("(real * 100) div planned").cast("int").alias("complete_percent"),
+                       F.col("planned").cast(qty_type).alias("planned_quantity"),
+                       F.col("real").cast(qty_type).alias("real_quantity"),
+                       F.expr("(real * 100) div planned").cast(qty_type).alias("complete_percent"),
                        "mosteff_material"))
 
 

@@ -162,3 +162,17 @@ def test_export_narrow_overflow_fails_wide_keeps(spark):
     wide = export_frame(big, EXPORT_SCHEMA_WIDE).collect()
     assert {r["turnover"] for r in wide} == {5_000_000_000}
     assert sorted(r["plant_id"] for r in wide if r["report_name"] == "report_20210101") == [1, 2, 3, 4]
+
+
+def test_plan_fact_wide_quantities(spark):
+    from martspark.plans import plan_fact as PF
+    sales = spark.createDataFrame([(D(2021, 1, 5), "R", "m1", 1, 2_000_000_000, "c1", "c1-1"),
+                                   (D(2021, 1, 5), "R", "m1", 1, 2_000_000_000, "c2", "c2-1")],
+                                  "date date, region string, material string, distr_chan int, quantity int, "
+                                  "check_nm string, check_pos string")
+    plan = spark.createDataFrame([(D(2021, 1, 5), "R", "dir", 2_000_000_000, 1)],
+                                 "date date, region string, matdirec string, quantity int, distr_chan int")
+    with pytest.raises(Exception):
+        PF.plan_fact(sales, plan, "202101").collect()
+    r = PF.plan_fact(sales, plan, "202101", wide=True).first()
+    assert (r["planned_quantity"], r["real_quantity"], r["complete_percent"]) == (4_000_000_000, 4_000_000_000, 100)
