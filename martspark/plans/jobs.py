@@ -1,7 +1,8 @@
 """The two warehouse runs as plain job functions, in the order of the source schedule.
 
 Plan/fact run:   full loads of the dimensions -> month load of sales -> upsert of plan
-                 -> plan/fact mart (+ view over product and price)
+                 -> plan/fact mart (+ view over product and price); the trailing sales
+                 mart can follow (``sales_mart_run``)
 Store report run: full loads of promos, promo types, stores -> delta loads of traffic
                  (text dates), coupons, bill heads -> upsert of bill items -> header x
                  item load of bills -> month report + day report -> sharded export
@@ -86,6 +87,16 @@ def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month:
     return n
 
 
+def sales_mart_run(spark: SparkSession, cfg: RunConfig, month: str) -> int:
+    """The trailing sales mart over the warehouse's sales, replaced as a whole table."""
+    wh, log = Warehouse(spark, cfg.warehouse), _log(spark, cfg, "Sales mart calculation")
+    log("INFO", "Start sales mart")
+    n, _ = write_observed(PF.sales_mart(wh.sales, month), wh.path("mart"))
+    log("INFO", f"{n} rows inserted")
+    log("INFO", "End sales mart")
+    return n
+
+
 def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_end: str,
                      heads_start: str, report_months: tuple[str, str, int], report_days: tuple[str, str, int],
                      shards: int = 4, wide_export: bool = False) -> int:

@@ -87,3 +87,7 @@ def test_plan_fact_run(spark):
     assert spark.table("v_plan_fact").count() > 0
     # a second run upserts the plan (same rows) and gives the same mart
     assert J.plan_fact_run(spark, cfg, "1996-01-02", "199601") == n
+    m = J.sales_mart_run(spark, cfg, "199602")
+    want_mart = sorted(map(tuple, PF.sales_mart(month_sales, "199602").collect()))
+    assert m == len(want_mart) and sorted(map(tuple, wh.mart.collect())) == want_mart
+    assert "End sales mart" in [r["log_msg"] for r in wh.logs.collect()]
