@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
+LEVEL = 9              # of zstd
 STAGED = "block long, bucket int, doc_ids binary, sizes binary, body binary, words binary, numbers binary, counts binary"
 ANSWER = "block long, numbers binary, answer binary, total long, known long"
 
@@ -29,7 +30,7 @@ ANSWER = "block long, numbers binary, answer binary, total long, known long"
 def pack(x: np.ndarray, kind: str = "<u4") -> bytes:
     """Whole numbers as zstd of their bytes, lowest bytes first together."""
     planes = np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(len(x), np.dtype(kind).itemsize).T
-    return zstandard.ZstdCompressor(3).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(LEVEL).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(b: bytes, kind: str = "<u4") -> np.ndarray:
@@ -37,9 +38,18 @@ def unpack(b: bytes, kind: str = "<u4") -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def pack_rising(x: np.ndarray) -> bytes:
+    """Rising numbers, by their steps."""
+    return pack(np.diff(x, prepend=0))
+
+
+def unpack_rising(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b), dtype=np.int64)
+
+
 def words_blob(words: list[bytes]) -> bytes:
     sizes = pack(np.fromiter(map(len, words), np.uint32, len(words)))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(3).compress(b"".join(words))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(LEVEL).compress(b"".join(words))
 
 
 def blob_words(blob: bytes) -> list[bytes]:
@@ -72,11 +82,11 @@ class _Block:
         self.counts.append((own, learn))
         self.bytes += len(data)
 
-    def rows(self, block: int, buckets: int) -> Iterator[dict]:
+    def rows(self, block: int, buckets: int, counted: bool) -> Iterator[dict]:
         body = np.concatenate(self.body)
         order = np.argsort(-np.bincount(body, minlength=len(self.number)), kind="stable")   # small numbers pack best
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
         words = list(self.number)
         words = [words[i] for i in order.tolist()]
         count = np.zeros(len(words), np.int64)
@@ -92,19 +102,18 @@ class _Block:
         order = np.argsort(at, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
             if len(part):
-                mine = sorted(part.tolist(), key=words.__getitem__)
                 yield dict(block=block, bucket=int(at[part[0]]), doc_ids=None, sizes=None, body=None,
-                           words=words_blob([words[i] for i in mine]), numbers=pack(np.array(mine)), counts=pack(count[mine], "<u8"))
+                           words=words_blob([words[i] for i in part.tolist()]), numbers=pack_rising(part), counts=pack(count[part], "<u8") if counted else None)
 
 
 def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, name: str = "blocks") -> DataFrame:
     """Staged rows: one with the bodies per block, and one packet per block and bucket.
 
     ``tokens(data, offs)`` gives starts, ends and each text's first token; ``trained`` is a
-    boolean column, the texts whose words are counted (default: all).
+    boolean column, the texts whose words are counted (default: no counts).
     """
-    src = C.byte_texts(docs)
-    src = src.withColumn("trained", (trained if trained is not None else F.lit(True)))
+    counted = trained is not None
+    src = C.byte_texts(docs).withColumn("trained", trained if counted else F.lit(False))
 
     def build(batches):
         from pyspark import TaskContext
@@ -120,10 +129,10 @@ def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, name:
             for i, j in C.chunks(offs):
                 cur.add(ids[i:j], valid[i:j], data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], learn[i:j], tokens)
                 if cur.bytes >= BLOCK_BYTES:
-                    yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets)), schema)
+                    yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted)), schema)
                     made, cur = made + 1, _Block()
         if cur.ids:
-            yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets)), schema)
+            yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted)), schema)
 
     return C.staged(src.mapInArrow(build, STAGED), name)
 
@@ -139,7 +148,7 @@ def per_word(parts: DataFrame, buckets: int, answer: Callable) -> DataFrame:
         for words, n in zip(g["words"], g["counts"]):
             own = np.fromiter((number.setdefault(w, len(number)) for w in blob_words(words)), np.int64)
             packets.append(own)
-            counts.append(unpack(n, "<u8").astype(np.int64))
+            counts.append(unpack(n, "<u8").astype(np.int64) if n is not None else 0)
         total = np.zeros(len(number), np.int64)
         for own, n in zip(packets, counts):
             total[own] += n

@@ -129,7 +129,7 @@ def word_ids(answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     for n, a in zip(answers["numbers"], answers["answer"]):
         got = B.unpack(a).astype(np.int64)
         k = got[0]
-        numbers.append(B.unpack(n).astype(np.int64))
+        numbers.append(B.unpack_rising(n))
         sizes.append(got[1:1 + k])
         flats.append(got[1 + k:])
     if not numbers:
