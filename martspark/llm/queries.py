@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_rules, mixing, simhash
+from . import bpe, license_join, line_rules, mixing, pii, simhash
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -30,16 +30,27 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train(pii.labelled_table(spark))
+    return pii.find(table(spark, sf_dir, "documents"), field)
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.sample(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_line_rules": op3_line_rules,
     "op4_simhash": op4_simhash,
+    "op5_pii": op5_pii,
     "op6_mix": op6_mix,
+    "op8_licenses": op8_licenses,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from martspark.llm import pii as P
+from martspark.llm.common import table
+from tests.llm import helpers as H
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return P.train(P.labelled_table(spark))
+
+
+def brute_base(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        twice = [x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(reversed(d))]
+        if 16 <= len(d) <= 19 and sum(twice) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_base_spans_random():
+    rng = random.Random(1)
+    for _ in range(30000):
+        t = "".join(rng.choice("aZ0159.@-+ ()_%é\n") for _ in range(rng.randint(0, 40)))
+        assert P.joined(P.base_spans(t)) == P.joined(brute_base(t)), t
+    for d in ("4111111111111111", "4111 1111-1111 1111", "4111111111111112"):
+        assert P.joined(P.base_spans(d)) == P.joined(brute_base(d))
+
+
+def check(df, field):
+    want = {}
+    for r in df.select("doc_id", "text").collect():
+        b = brute_base(r["text"] or "")
+        want.setdefault(str(r["doc_id"]), []).append((*(sum(k == x for x, _, _ in b) for k in P.BASE), hashlib.sha256(P.joined(b).encode()).hexdigest()))
+    got = {}
+    for r in P.find(df, field).collect():
+        got.setdefault(str(r["doc_id"]), []).append((r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_tables(spark, field):
+    df = table(spark, SF, "documents")
+    check(df, field)
+    found = {r["doc_id"]: r["spans"] for r in P.find(df, field).collect()}
+    wrong = 0
+    for r in df.collect():
+        secrets = {m.span() for m in re.finditer(r"\b(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,}\b", r["text"])}
+        mine = {tuple(map(int, x.split(":")[1:])) for x in found[r["doc_id"]].split(",") if x.startswith("secret")}
+        wrong += len(secrets ^ mine)
+    assert wrong == 0
+
+
+def test_odd_texts(spark, field):
+    check(H.odd(spark), field)
+
+
+def test_empty(spark, field):
+    assert P.find(H.empty(spark), field).count() == 0
+
+
+def test_held_out(spark, field):
+    """Word labels of a labelled table made with another seed."""
+    rows = P.labelled_table(spark, rows=300, seed=99).collect()
+    import numpy as np
+    hit = miss = false = 0
+    for r in rows:
+        data = np.frombuffer(r["text"].encode(), np.uint8)
+        _, got = P.added_spans(field, data, np.array([0, len(data)]))
+        got = {(k, len(data.tobytes()[:a].decode()), len(data.tobytes()[:b].decode())) for k, a, b in got}
+        want = {tuple(x) for x in r["spans"] if x["kind"] == "secret"}
+        got = {x for x in got if x[0] == "secret"}
+        hit, miss, false = hit + len(want & got), miss + len(want - got), false + len(got - want)
+    assert hit > 50 and miss + false <= 0.05 * hit
+
+
+def test_redact(spark, field):
+    df = H.frame(spark, [(1, 'write a.b@c.org or +1 (555) 123-4567 now, token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ok'), (2, None)])
+    out = P.redact(df, field)
+    assert out.columns == df.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[1]["text"] == 'write [email] or [phone] now, token = "[secret]" ok' and got[1]["n_chars"] == len(got[1]["text"])
+    assert got[2]["text"] is None
