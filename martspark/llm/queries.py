@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, license_join, line_rules, mixing, pii, simhash
+from . import bpe, license_join, line_rules, mixing, pii, repeats, simhash
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -40,6 +40,10 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(table(spark, sf_dir, "documents")).drop("found")
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
     "op6_mix": op6_mix,
+    "op7_repeats": op7_repeats,
     "op8_licenses": op8_licenses,
 }
 
