@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, license_join, line_rules, mixing, pii, repeats, simhash
+from . import bpe, gam, license_join, line_rules, mixing, pii, repeats, simhash
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (line_rules.judged(table(spark, sf_dir, "documents"))
             .select("doc_id", *line_rules.STATS, "base_failed", "kept", "words_left"))
@@ -50,6 +54,7 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_gam": op2_gam,
     "op3_line_rules": op3_line_rules,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,

@@ -87,6 +87,6 @@ def test_empty(spark):
 
 
 def test_real_outputs(spark):
-    p = "".join(random.Random(9).choice("abcdefghij") for _ in range(150))
+    p = "".join(random.Random(9).choices("abcdefghij", k=150))
     got = {r["doc_id"]: r for r in R.remove_repeats(H.frame(spark, [(1, "A" + p), (2, "B" + p + "C")]), keep=True).collect()}
     assert bytes(got[2]["kept"]) == b"BC" and got[2]["spans"] == [[1, 151]] and got[1]["n_removed"] == 0
