@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gam, license_join, line_rules, mixing, pii, repeats, simhash
+from . import bpe, gam, iblt, license_join, line_rules, mixing, pii, repeats, simhash
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op9_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_gam": op2_gam,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mix": op6_mix,
     "op7_repeats": op7_repeats,
     "op8_licenses": op8_licenses,
+    "op9_iblt": op9_iblt,
 }
 
 ORACLES: dict[str, str] = {
