@@ -24,7 +24,7 @@ from . import common as C
 BLOCK_BYTES = 32 << 20
 LEVEL = 9              # of zstd
 STAGED = "block long, bucket int, doc_ids binary, sizes binary, body binary, words binary, numbers binary, counts binary"
-ANSWER = "block long, numbers binary, answer binary, total long, known long"
+ANSWER = "block long, numbers binary, answer binary, total long, known long, extra binary"
 
 
 def pack(x: np.ndarray, kind: str = "<u4") -> bytes:
@@ -106,11 +106,11 @@ class _Block:
                            words=words_blob([words[i] for i in part.tolist()]), numbers=pack_rising(part), counts=pack(count[part], "<u8") if counted else None)
 
 
-def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, name: str = "blocks") -> DataFrame:
+def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold: np.ndarray | None = None, name: str = "blocks") -> DataFrame:
     """Staged rows: one with the bodies per block, and one packet per block and bucket.
 
     ``tokens(data, offs)`` gives starts, ends and each text's first token; ``trained`` is a
-    boolean column, the texts whose words are counted (default: no counts).
+    boolean column, the texts whose words are counted (default: no counts); ``fold`` replaces bytes.
     """
     counted = trained is not None
     src = C.byte_texts(docs).withColumn("trained", trained if counted else F.lit(False))
@@ -122,6 +122,7 @@ def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, name:
                             ("doc_ids", "sizes", "body", "words", "numbers", "counts"))])
         for b in batches:
             offs, data = C.buffers(b.column("text"))
+            data = data if fold is None else fold[data]
             col = b.column("doc_id")
             ids = np.asarray(col.fill_null(0))
             valid = np.asarray(col.is_valid()).astype(np.uint8)
@@ -140,8 +141,8 @@ def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, name:
 def per_word(parts: DataFrame, buckets: int, answer: Callable) -> DataFrame:
     """(block, numbers, answer, total, known) of ``answer(words, counts)``, called once per bucket
     with its distinct words and their counts over the corpus; it returns a function of word
-    indices that gives a packet's answer. total and known are the bucket's sum of counts and
-    number of counted words, on one of its rows."""
+    indices that gives a packet's answer, and bytes of its own. total and known are the bucket's
+    sum of counts and number of counted words; with those bytes, extra, they are on one of its rows."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
         number: dict[bytes, int] = {}
         packets, counts = [], []
@@ -152,9 +153,10 @@ def per_word(parts: DataFrame, buckets: int, answer: Callable) -> DataFrame:
         total = np.zeros(len(number), np.int64)
         for own, n in zip(packets, counts):
             total[own] += n
-        reply = answer(list(number), total)
+        reply, extra = answer(list(number), total)
         out = pd.DataFrame({"block": g["block"].to_numpy(), "numbers": g["numbers"], "answer": [reply(p) for p in packets]})
         out["total"] = out["known"] = 0
+        out["extra"] = [extra] + [None] * (len(out) - 1)
         out.loc[0, "total"], out.loc[0, "known"] = int(total.sum()), int((total > 0).sum())
         return out
 

@@ -106,7 +106,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], buckets: int | None = None)
         def reply(own):
             n = size[own]
             return B.pack(np.concatenate([[len(own)], n, flat[C.ragged(first[own], n)]]))
-        return reply
+        return reply, None
 
     return parts, B.per_word(parts, buckets, answer)
 

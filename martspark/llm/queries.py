@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gam, iblt, license_join, line_rules, mixing, pii, repeats, simhash
+from . import bpe, gam, iblt, license_join, line_rules, lm, mixing, pii, repeats, simhash
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -56,6 +56,10 @@ def op9_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_gam": op2_gam,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_repeats": op7_repeats,
     "op8_licenses": op8_licenses,
     "op9_iblt": op9_iblt,
+    "op10_lm": op10_lm,
 }
 
 ORACLES: dict[str, str] = {
