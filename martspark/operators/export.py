@@ -3,7 +3,7 @@
 The export narrows the report to the target schema, numbers the stores by plant within
 each report (``row_number`` over the report's rows only: one row per store, so the
 window holds |stores| rows, never facts), and writes ``repartition(shards, shard_key)``
-+ ``sortWithinPartitions(order_key)``. Reading the root back gives all shards.
++ ``sortWithinPartitions`` by report and order key. Reading the root back gives all shards.
 """
 
 from __future__ import annotations
@@ -48,8 +48,31 @@ def export_frame(report: DataFrame, schema=EXPORT_SCHEMA) -> DataFrame:
 
 def publish_sharded(df: DataFrame, path: str, shards: int, shard_key: str = "plant_id",
                     order_key: str = "plant", partition_by: tuple[str, ...] = ("report_name",)) -> None:
-    writer = (df.repartition(shards, shard_key).sortWithinPartitions(order_key)
+    """``shards`` files a report, each in order of ``order_key``: the rows are sorted by the
+    folders' columns first, so the writer has no reason to sort them again."""
+    writer = (df.repartition(shards, shard_key).sortWithinPartitions(*partition_by, order_key)
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+# The columns of the plan/fact export table (shards by ``complete_percent``,
+# order by ``region_code``; unsigned 32-bit columns there, so no value may be negative).
+PLAN_FACT_UNSIGNED = ("distr_chanel", "planned_quantity", "real_quantity", "complete_percent")
+
+
+def plan_fact_export_frame(mart: DataFrame) -> DataFrame:
+    """The plan/fact mart as the export table declares it: its whole-number columns are
+    unsigned 32-bit there. A negative or larger value ends the export, it never wraps."""
+    out = mart
+    for name in PLAN_FACT_UNSIGNED:
+        n = F.col(name).cast("bigint")
+        out = out.withColumn(name, F.when(n.isNull() | n.between(0, 4294967295), n).otherwise(
+            F.raise_error(F.concat(F.lit(f"{name} does not fit UInt32: "), n.cast("string")))))
+    return out.withColumn("matdirec_code", F.col("matdirec_code").cast("string"))
+
+
+def publish_plan_fact(mart: DataFrame, path: str, shards: int) -> None:
+    """Write the plan/fact export: sharded by completion, in order of the region."""
+    publish_sharded(plan_fact_export_frame(mart), path, shards, "complete_percent", "region_code", ())

@@ -4,14 +4,18 @@ missing-month partitions. Each returns the number of rows it loaded."""
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martspark.functions import add_months_py, parse_date_text, trunc_month_py
-from martspark.operators.tables import (PART_COL, drop_partitions, month_key, months_in, read_table,
-                                        staging_path, write_observed)
+from martspark.functions import add_months_py, parse_date_text, prune_months, trunc_month_py
+from martspark.operators.tables import (PART_COL, beside, check_anchor, delete_path, drop_partitions, month_key,
+                                        month_start, months_in, next_month_start, read_table,
+                                        staging_path, swap_in, write_observed)
+from martspark.sources.files import CheckedRead
 
 
 def _as_date(v) -> dt.date:
@@ -28,25 +32,45 @@ def _cond(where: str | Column | None) -> Column:
     return F.expr(where) if isinstance(where, str) else where
 
 
-def load_full(source: DataFrame, target_path: str, partition_col: str | None = None,
+@contextlib.contextmanager
+def accepted(source: DataFrame | CheckedRead, target_path: str) -> Iterator[DataFrame]:
+    """The rows of a source. Of a read with a reject limit, the good rows, staged and counted
+    first: a limit that is reached ends the load before the target is touched."""
+    if not isinstance(source, CheckedRead):
+        yield source
+        return
+    spark = source.good.sparkSession
+    path = staging_path(spark, target_path)
+    try:
+        write_observed(source.good, path)
+        source.check()
+        yield read_table(spark, path, source.good.schema)
+    finally:
+        delete_path(spark, path)
+
+
+def load_full(source: DataFrame | CheckedRead, target_path: str, partition_col: str | None = None,
               date_key: str | None = None, anchor_day: int = 1) -> int:
     """Truncate the target and load every source row (one overwrite)."""
-    df = source
-    if partition_col and date_key:
-        df = df.withColumn(partition_col, month_key(date_key, anchor_day))
-    rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
+    with accepted(source, target_path) as df:
+        if partition_col and date_key:
+            df = df.withColumn(partition_col, month_key(date_key, anchor_day))
+        rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
     return rows
 
 
-def load_filtered(source: DataFrame, target_path: str, where: str | Column | None = None,
+def load_filtered(source: DataFrame | CheckedRead, target_path: str, where: str | Column | None = None,
                   truncate: bool = False, partition_col: str | None = None,
                   date_key: str | None = None, anchor_day: int = 1) -> int:
     """Load the source rows matching ``where`` (default: all); append unless ``truncate``."""
-    df = source.where(_cond(where))
-    if partition_col and date_key:
-        df = df.withColumn(partition_col, month_key(date_key, anchor_day))
-    rows, _ = write_observed(df, target_path, "overwrite" if truncate else "append", partition_col,
-                             cluster=True)
+    with accepted(source, target_path) as df:
+        df = df.where(_cond(where))
+        if partition_col and date_key:
+            if not truncate:
+                check_anchor(df.sparkSession, target_path, anchor_day, partition_col)
+            df = df.withColumn(partition_col, month_key(date_key, anchor_day))
+        rows, _ = write_observed(df, target_path, "overwrite" if truncate else "append", partition_col,
+                                 cluster=True)
     return rows
 
 
@@ -61,48 +85,56 @@ def insert_rows(spark: SparkSession, target_path: str, rows: list[tuple], schema
     return rows_written
 
 
-def load_single_partition(source: DataFrame, target_path: str, key: str, start,
+def load_single_partition(source: DataFrame | CheckedRead, target_path: str, key: str, start,
                           end=None, partition_col: str = PART_COL, anchor_day: int | None = None) -> int:
     """Empty the WHOLE table, then load the month starting at ``start``
     (``[start, start + 1 month)``). ``end`` is accepted and ignored, as in the source."""
     s = _as_date(start)
     e = add_months_py(s, 1)
-    df = (source.where((F.col(key) >= F.lit(s)) & (F.col(key) < F.lit(e)))
+    with accepted(source, target_path) as df:
+        df = (df.where((F.col(key) >= F.lit(s)) & (F.col(key) < F.lit(e)))
                 .withColumn(partition_col, month_key(key, anchor_day or s.day)))
-    rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
+        rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
     return rows
 
 
-def delta_window(start, end) -> tuple[dt.date, dt.date]:
-    """Whole months covering [start, end]: [trunc(start), trunc(end) + 1 month)."""
-    return trunc_month_py(_as_date(start)), add_months_py(trunc_month_py(_as_date(end)), 1)
+def delta_window(start, end, anchor_day: int = 1) -> tuple[dt.date, dt.date]:
+    """Whole months covering [start, end], from the start of the first's to the start of the
+    one after the last's; months start on ``anchor_day``."""
+    return (month_start(_as_date(start), anchor_day),
+            next_month_start(month_start(_as_date(end), anchor_day), anchor_day))
 
 
 def replace_months(spark: SparkSession, df: DataFrame, target_path: str, ws: dt.date, we: dt.date,
-                   key: str, partition_col: str = PART_COL, validate: bool = True) -> int:
+                   key: str, partition_col: str = PART_COL, validate: bool = True, anchor_day: int = 1) -> int:
     """Replace every month partition in [ws, we) with the rows of ``df`` (one dynamic
-    overwrite); months of the window that receive no row are emptied."""
-    staged = df.withColumn(partition_col, month_key(key))
+    overwrite); months of the window that receive no row are emptied. The table's months must
+    start on ``anchor_day``, or the load is refused."""
+    check_anchor(spark, target_path, anchor_day, partition_col)
+    staged = df.withColumn(partition_col, month_key(key, anchor_day))
     if validate:
         staged = staged.withColumn(partition_col, F.when(
             (F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)), F.col(partition_col)
         ).otherwise(F.raise_error(F.concat(F.lit("row outside the partition window: "), F.col(key).cast("string")))))
     rows, parts = write_observed(staged, target_path, "overwrite", partition_col, dynamic=True, cluster=True)
-    got = {str(_as_date(p)) for p in parts}
-    drop_partitions(spark, target_path, [m for m in map(str, months_in(ws, we)) if m not in got], partition_col)
+    got = {str(_as_date(p)) for p in parts if p is not None}
+    drop_partitions(spark, target_path, [m for m in map(str, months_in(ws, we, anchor_day)) if m not in got],
+                    partition_col)
     return rows
 
 
-def load_delta_partitions(spark: SparkSession, source: DataFrame, target_path: str, key: str, start, end,
-                          convert: bool = False, date_format: str = "dd.MM.yyyy",
-                          partition_col: str = PART_COL) -> int:
+def load_delta_partitions(spark: SparkSession, source: DataFrame | CheckedRead, target_path: str, key: str,
+                          start, end, convert: bool = False, date_format: str = "dd.MM.yyyy",
+                          partition_col: str = PART_COL, anchor_day: int = 1) -> int:
     """Replace the whole months covering [start, end] with the source rows of those
     months. With ``convert`` the source key is text in ``date_format`` and is parsed
     before filtering (bad text raises, as the source database does)."""
-    ws, we = delta_window(start, end)
-    src = source.withColumn(key, parse_date_text(key, date_format)) if convert else source
-    df = src.where((F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)))
-    return replace_months(spark, df, target_path, ws, we, key, partition_col, validate=False)
+    ws, we = delta_window(start, end, anchor_day)
+    with accepted(source, target_path) as src:
+        src = src.withColumn(key, parse_date_text(key, date_format)) if convert else src
+        df = src.where((F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)))
+        return replace_months(spark, df, target_path, ws, we, key, partition_col, validate=False,
+                              anchor_day=anchor_day)
 
 
 HEADER_ITEM_COLUMNS = ("billnum", "billitem", "material", "plant", "calday", "calmonth",
@@ -111,12 +143,16 @@ HEADER_ITEM_COLUMNS = ("billnum", "billitem", "material", "plant", "calday", "ca
 
 def load_header_item(spark: SparkSession, items: DataFrame, heads: DataFrame, target_path: str,
                      start, end, key: str = "calday", join_key: str = "billnum",
-                     key_range_pushdown: bool = False, partition_col: str = PART_COL) -> int:
+                     key_range_pushdown: bool = False, partition_col: str = PART_COL,
+                     anchor_day: int = 1) -> int:
     """Items joined to the heads of each month in the window, ``calmonth`` derived,
-    months replaced. ``key_range_pushdown`` first takes MIN/MAX of the heads' join key
-    and adds a BETWEEN on the items, which a JDBC source evaluates remotely."""
-    ws, we = delta_window(start, end)
-    h = heads.where((F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)))
+    months replaced. Of heads partitioned by month only the window's partitions are opened.
+    ``key_range_pushdown`` first takes MIN/MAX of the heads' join key and adds a BETWEEN on
+    the items, which a JDBC source evaluates remotely and which skips the row groups of items
+    laid out by that key."""
+    ws, we = delta_window(start, end, anchor_day)
+    h = prune_months(heads, ws, we, partition_col).where((F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)))
+    h = h.drop(partition_col)
     it = items
     if key_range_pushdown:
         lo_hi = h.agg(F.min(join_key).alias("lo"), F.max(join_key).alias("hi")).first()
@@ -127,26 +163,29 @@ def load_header_item(spark: SparkSession, items: DataFrame, heads: DataFrame, ta
     j = it.join(h, join_key).select(
         join_key, "billitem", "material", "plant", key,
         F.date_format(key, "yyyyMM").alias("calmonth"), "rpa_sat", "qty", "netval", "tax")
-    return replace_months(spark, j, target_path, ws, we, key, partition_col, validate=False)
+    return replace_months(spark, j, target_path, ws, we, key, partition_col, validate=False, anchor_day=anchor_day)
 
 
 def partition_swap(spark: SparkSession, target_path: str, staged: DataFrame, month, key: str,
-                   partition_col: str = PART_COL, validate: bool = True) -> int:
+                   partition_col: str = PART_COL, validate: bool = True, anchor_day: int = 1) -> int:
     """Exchange one month partition with the staged rows. With ``validate`` every staged
     row must lie in that month (the write fails otherwise). An empty stage empties it."""
-    ws = trunc_month_py(_as_date(month))
-    return replace_months(spark, staged, target_path, ws, add_months_py(ws, 1), key, partition_col, validate)
+    ws = month_start(_as_date(month), anchor_day)
+    return replace_months(spark, staged, target_path, ws, next_month_start(ws, anchor_day), key, partition_col,
+                          validate, anchor_day)
 
 
-def table_swap(spark: SparkSession, target_path: str, staged_path: str, partition_col: str | None = None) -> int:
-    """Replace the whole table with a staged table."""
-    rows, _ = write_observed(read_table(spark, staged_path), target_path, "overwrite", partition_col)
+def table_swap(spark: SparkSession, target_path: str, staged_path: str) -> int:
+    """Replace the whole table with a table staged beside it (``stage``), by renames: no row is
+    copied, and the old table stays until the new one is in. Returns the rows by file footers."""
+    rows = read_table(spark, staged_path).count()
+    swap_in(spark, staged_path, target_path)
     return rows
 
 
 def stage(spark: SparkSession, df: DataFrame, target_path: str, partition_col: str | None = None) -> str:
-    """Write ``df`` to a fresh staging location on the shared folder; returns its path."""
-    p = staging_path(spark, target_path)
+    """Write ``df`` to a fresh hidden place beside the target; returns its path."""
+    p = beside(target_path)
     write_observed(df, p, "overwrite", partition_col)
     return p
 

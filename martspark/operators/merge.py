@@ -4,8 +4,8 @@ Keys match NULL-safely (``<=>``), and every source row is inserted, duplicates
 included. Both are joins/aggregates on the key, so a hot key is split by AQE's skew
 handling instead of landing in one window partition.
 
-``upsert_table`` rewrites only the month partitions that the upsert touches, through a
-staging copy on shared storage (a path cannot be read and overwritten in one job).
+``upsert_table`` rewrites only the month partitions that the upsert touches, beside the
+table (a path cannot be read and overwritten in one job), and renames them into place.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martspark.operators.tables import (PART_COL, drop_partitions, month_key, read_table, staging_path,
-                                        write_observed)
+from martspark.operators.loads import accepted
+from martspark.operators.tables import (PART_COL, beside, check_anchor, delete_path, month_key, read_table,
+                                        staging_path, swap_in, write_observed)
+from martspark.sources.files import CheckedRead
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -40,55 +42,50 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], where: str
 
 def rank_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
                where: str | Column | None = None) -> DataFrame:
-    """Tag source 1 and target 2, union, keep the rows whose tag is the smallest of
-    their key: ``RANK() OVER (PARTITION BY key ORDER BY tag) = 1`` with ties kept, but
-    computed as a (map-side combined) min per key joined back, not as a window."""
-    if where is not None:
-        source = source.where(F.expr(where) if isinstance(where, str) else where)
-    cols = target.columns
-    u = source.select(*cols, F.lit(1).alias("_tag")).unionByName(target.select(*cols, F.lit(2).alias("_tag")))
-    best = u.groupBy(*keys).agg(F.min("_tag").alias("_best"))
-    b = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_best")
-    cond = None
-    for k in keys:
-        c = u[k].eqNullSafe(b[f"_k_{k}"])
-        cond = c if cond is None else cond & c
-    return u.join(b, cond & (u["_tag"] == b["_best"])).select(*cols)
+    """Tag source 1 and target 2, union, keep the rows whose tag is the smallest of their key
+    (``RANK() OVER (PARTITION BY key ORDER BY tag) = 1``, ties kept). The smallest tag of a key
+    that the source has is the source's, so these are all source rows and the target rows of
+    other keys: each input is read once, and no key's rows meet in a window."""
+    return upsert(target, source, keys, where)
 
 
-def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
-                 date_key: str | None = None, partition_col: str = PART_COL) -> int:
+def upsert_table(spark: SparkSession, target_path: str, source: DataFrame | CheckedRead, keys: Sequence[str],
+                 date_key: str | None = None, partition_col: str = PART_COL, anchor_day: int = 1) -> int:
     """Upsert into a parquet table. The source is staged once on shared storage (its row
-    count observed in that write, lineage cut). For a month-partitioned table only the
-    partitions holding a replaced row or receiving a source row are rewritten.
+    count observed in that write, lineage cut); the new rows are written once, beside the
+    table, and renamed into it, so a failure leaves the old table whole. For a
+    month-partitioned table only the partitions that hold a replaced row or receive a source
+    row are rewritten, the partition of NULL dates among them; where the date is a key these
+    are the source's months, and the target is not searched for them.
     Returns the number of source rows inserted."""
     target = read_table(spark, target_path)
-    src = source
-    if date_key is not None and partition_col in target.columns:
-        src = src.withColumn(partition_col, month_key(date_key))
     src_path = staging_path(spark, target_path + "_source")
-    inserted, _ = write_observed(src.select(*target.columns), src_path)
-    src = read_table(spark, src_path)
-
-    if date_key is None or partition_col not in target.columns:
-        merged = upsert(target, src, keys)
-        stage_p = staging_path(spark, target_path)
-        write_observed(merged, stage_p)
-        write_observed(read_table(spark, stage_p), target_path)
-        return inserted
-
-    src_keys = src.select(*keys).distinct()
-    hit = target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_semi").select(partition_col)
-    # affected months: at most one value per partition of the table, collected and used
-    # as a partition filter on the target scan
-    affected = hit.unionByName(src.select(partition_col)).distinct()
-    months = [r[0] for r in affected.collect()]
-    t_aff = target.where(F.col(partition_col).isin(months))          # prunes to those partitions
-    merged = upsert(t_aff, src, keys)
-    stage_p = staging_path(spark, target_path)
-    write_observed(merged, stage_p, "overwrite", partition_col, cluster=True)
-    _, written = write_observed(read_table(spark, stage_p), target_path, "overwrite", partition_col, dynamic=True,
-                                cluster=True)
-    emptied = {str(m) for m in months} - {str(p) for p in written}
-    drop_partitions(spark, target_path, emptied, partition_col)
+    new_path = beside(target_path)
+    by_month = date_key is not None and partition_col in target.columns
+    if by_month:
+        check_anchor(spark, target_path, anchor_day, partition_col)
+    try:
+        with accepted(source, target_path) as src:
+            if by_month:
+                src = src.withColumn(partition_col, month_key(date_key, anchor_day))
+            src = src.select(*target.columns)
+            inserted, months = write_observed(src, src_path)[0], None
+        src = read_table(spark, src_path, src.schema)
+        if by_month:
+            found = src.select(partition_col)
+            if date_key not in keys:
+                src_keys = src.select(*keys).distinct()
+                found = found.unionByName(target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_semi")
+                                          .select(partition_col))
+            # at most one value per partition of the table, a partition filter on the target
+            months = [r[0] for r in found.distinct().collect()]
+            known = [m for m in months if m is not None]
+            hit = F.col(partition_col).isin(known)
+            target = target.where(hit | F.col(partition_col).isNull() if None in months else hit)
+        write_observed(upsert(target, src, keys), new_path, "overwrite", partition_col if by_month else None,
+                       cluster=by_month)
+        swap_in(spark, new_path, target_path, months, partition_col)
+    finally:
+        delete_path(spark, src_path)
+        delete_path(spark, new_path)
     return inserted

@@ -4,6 +4,7 @@ dropping partition directories that a swap leaves empty."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -20,34 +21,62 @@ def month_key(c: Column | str, anchor_day: int = 1) -> Column:
     ``anchor_day`` (a table whose ranges run from the 2nd to the 2nd uses 2)."""
     col = F.col(c) if isinstance(c, str) else c
     d = col.cast("date")
+    first = F.trunc(d, "MM")
     if anchor_day == 1:
-        return F.trunc(d, "MM")
-    this = F.make_date(F.year(d), F.month(d), F.lit(anchor_day))
-    return F.when(F.dayofmonth(d) >= anchor_day, this).otherwise(F.add_months(this, -1))
+        return first
+    here = _boundary(first, anchor_day)
+    return F.when(d >= here, here).otherwise(_boundary(F.add_months(first, -1), anchor_day))
+
+
+def _boundary(first: Column, anchor_day: int) -> Column:
+    """The range start in the month that begins on ``first``: its ``anchor_day``, or its
+    last day where the month is shorter."""
+    return F.date_add(first, F.least(F.lit(anchor_day), F.dayofmonth(F.last_day(first))) - 1)
+
+
+def month_start(day: dt.date, anchor_day: int = 1) -> dt.date:
+    """``month_key`` of one date, for parameters."""
+    here = _anchored(day, anchor_day)
+    return here if day >= here else _anchored(day.replace(day=1) - dt.timedelta(days=1), anchor_day)
+
+
+def next_month_start(start: dt.date, anchor_day: int = 1) -> dt.date:
+    from martspark.functions import add_months_py
+    return _anchored(add_months_py(start.replace(day=1), 1), anchor_day)
+
+
+def _anchored(day: dt.date, anchor_day: int) -> dt.date:
+    from martspark.functions import add_months_py
+    first = day.replace(day=1)
+    return first + dt.timedelta(days=min(anchor_day, (add_months_py(first, 1) - first).days) - 1)
 
 
 def months_in(start: dt.date, end: dt.date, anchor_day: int = 1) -> list[dt.date]:
     """Partition values m with start <= m < end (driver-side, parameter-bounded)."""
-    from martspark.functions import add_months_py
-    out, m = [], start.replace(day=anchor_day)
+    out, m = [], month_start(start, anchor_day)
     while m < end:
         if m >= start:
             out.append(m)
-        m = add_months_py(m, 1)
+        m = next_month_start(m, anchor_day)
     return out
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    r = spark.read
+    """A parquet table. Without a schema, a month column whose folders are all NULL (no
+    type can be told from them) is a date."""
     if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    if PART_COL in df.columns and df.schema[PART_COL].dataType.typeName() == "void":
+        df = df.withColumn(PART_COL, F.col(PART_COL).cast("date"))
+    return df
 
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_col: str | None = None, dynamic: bool = False,
                    cluster: bool = False) -> tuple[int, list]:
-    """Write and return (rows written, partition values written) from the same pass.
+    """Write and return (rows written, partition values written) from the same pass;
+    None among the values is the partition of NULL keys.
 
     With ``cluster`` a partitioned write is first rebalanced on the partition column:
     each task then writes one or a few months (few, large files instead of
@@ -60,7 +89,7 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
     obs = Observation()
     aggs = [F.count(F.lit(1)).alias("rows")]
     if partition_col:
-        aggs.append(F.collect_set(partition_col).alias("parts"))
+        aggs += [F.collect_set(partition_col).alias("parts"), F.max(F.col(partition_col).isNull()).alias("null_part")]
     w = df.observe(obs, *aggs).write.mode(mode)
     if partition_col:
         w = w.partitionBy(partition_col)
@@ -68,7 +97,7 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
             w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     m = obs.get
-    return int(m.get("rows", 0) or 0), list(m.get("parts") or [])
+    return int(m.get("rows", 0) or 0), list(m.get("parts") or []) + ([None] if m.get("null_part") else [])
 
 
 def _fs(spark: SparkSession, path: str):
@@ -87,13 +116,90 @@ def drop_partitions(spark: SparkSession, table_path: str, values: Iterable, part
     staging table does). Returns how many existed."""
     n = 0
     for v in values:
-        fs, p = _fs(spark, f"{table_path.rstrip('/')}/{partition_col}={v}")
-        if fs.exists(p):
-            fs.delete(p, True)
-            n += 1
+        n += delete_path(spark, f"{table_path.rstrip('/')}/{partition_folder(partition_col, v)}")
     return n
 
 
+def partition_folder(partition_col: str, value) -> str:
+    return f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder; whether there was one."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p)) and bool(fs.delete(p, True))
+
+
+def drop_table(spark: SparkSession, table_path: str) -> bool:
+    """``DROP TABLE IF EXISTS``: remove the table's files; whether there was one."""
+    return delete_path(spark, table_path)
+
+
+def create_table(spark: SparkSession, table_path: str, schema: StructType, partition_col: str | None = None) -> None:
+    """An empty table with declared types. An empty partitioned parquet table has no folder
+    that could name its partition column, so the schema's column stays in the file of no rows;
+    loads with that ``partition_col`` replace or join it."""
+    if partition_col and partition_col not in schema.fieldNames():
+        schema = StructType([*schema.fields]).add(partition_col, "date", True)
+    write_observed(spark.createDataFrame([], schema), table_path, "overwrite")
+
+
+def table_partition_values(spark: SparkSession, table_path: str, partition_col: str = PART_COL) -> list[str | None]:
+    """Partition values by the table's folders (one per month), no data read."""
+    fs, p = _fs(spark, table_path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}=")]
+    return [None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values]
+
+
+def check_anchor(spark: SparkSession, table_path: str, anchor_day: int, partition_col: str = PART_COL) -> None:
+    """Refuse a load whose months start on another day than the table's partitions do: its
+    rows would land beside those that they should replace."""
+    for v in table_partition_values(spark, table_path, partition_col):
+        if v is not None and (d := dt.date.fromisoformat(v)) != _anchored(d, anchor_day):
+            raise ValueError(f"{table_path} has a partition that starts on {v}, the load's months start on day {anchor_day}")
+
+
+def beside(table_path: str) -> str:
+    """A fresh hidden path in the table's own folder, from where a rename can bring it in."""
+    head, _, name = table_path.rstrip("/").rpartition("/")
+    return f"{head}/_swap-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def swap_in(spark: SparkSession, new_path: str, table_path: str, values: Iterable | None = None,
+            partition_col: str = PART_COL) -> None:
+    """Bring a table (or its partitions ``values``) written beside ``table_path`` into its
+    place by renames. What was there is kept aside until everything is in, and put back if a
+    rename fails. Partitions without a folder in ``new_path`` are left empty."""
+    table_path, new_path, old = table_path.rstrip("/"), new_path.rstrip("/"), beside(table_path)
+    folders = [""] if values is None else [f"/{partition_folder(partition_col, v)}" for v in values]
+    moved: list[tuple[str, str]] = []
+
+    def move(src: str, dst: str) -> None:
+        fs, p = _fs(spark, src)
+        if not fs.exists(p):
+            return
+        q = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+        fs.mkdirs(q.getParent())
+        if not fs.rename(p, q):
+            raise OSError(f"can't rename {src} to {dst}")
+        moved.append((src, dst))
+
+    try:
+        for f in folders:
+            move(table_path + f, old + f)
+            move(new_path + f, table_path + f)
+    except BaseException:
+        for src, dst in reversed(list(moved)):
+            move(dst, src)
+        raise
+    delete_path(spark, old)
+    delete_path(spark, new_path)
+    spark.catalog.refreshByPath(table_path)
+
+
 def staging_path(spark: SparkSession, table_path: str) -> str:
     """Fresh staging location for a table, on the shared folder (never machine-local)."""
     name = table_path.rstrip("/").rsplit("/", 1)[-1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from martspark.sources.files import read_csv
+from martspark.sources.files import CheckedRead, read_csv, read_csv_checked
 from martspark.sources.jdbc import read_jdbc
 
 # Source kinds (file server -> CSV files, connector -> JDBC), plus parquet,
@@ -19,10 +19,14 @@ class UnknownSource(ValueError):
 
 
 def read_source(spark: SparkSession, kind: str, location: str, schema: StructType | None = None,
-                **options) -> DataFrame:
+                **options) -> DataFrame | CheckedRead:
+    """The rows of a source; of a CSV source with a ``reject_limit``, a checked read, whose
+    malformed rows the loaders leave out as long as they stay below the limit."""
     if kind == "csv":
         if schema is None:
             raise ValueError("a CSV source needs its source schema")
+        if "reject_limit" in options:
+            return read_csv_checked(spark, location, schema, **options)
         return read_csv(spark, location, schema, **options)
     if kind == "jdbc":
         return read_jdbc(spark, options.pop("url"), location, options.pop("properties", None),

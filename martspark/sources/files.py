@@ -20,17 +20,27 @@ CSV_OPTIONS = {"header": "true", "sep": ";", "nullValue": "", "emptyValue": "",
                "escape": '"', "encoding": "UTF-8", "dateFormat": "yyyy-MM-dd"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    opts = {**CSV_OPTIONS, **options}
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, **options) -> DataFrame:
+    """A row that doesn't fit the schema ends the read: missing or surplus fields whichever
+    columns are used, a bad value where its column is. ``multi_line`` reads quoted fields with line breaks; such
+    files can't be split, so it is off unless asked for."""
+    opts = {**CSV_OPTIONS, "mode": "FAILFAST", "columnPruning": "false", "multiLine": str(multi_line).lower(), **options}
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", distribute_by: str | None = None,
-              **options) -> None:
+              multi_line: bool = False, **options) -> None:
     """Write delimited text; ``distribute_by`` distributes rows over the writer tasks
     by that column first (a writable table ``DISTRIBUTED BY (col)``), as a rebalance so
-    AQE splits a hot key's partition instead of giving it to one task."""
-    opts = {**CSV_OPTIONS, **options}
+    AQE splits a hot key's partition instead of giving it to one task. A text with a line
+    break, which a plain read would take apart, is refused unless ``multi_line``."""
+    # the writer would trim texts unless told not to
+    opts = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", **options}
+    if not multi_line:
+        for f in df.schema.fields:
+            if isinstance(f.dataType, StringType):
+                c = F.col(f"`{f.name}`")
+                df = df.withColumn(f.name, F.when(c.rlike(r"[\r\n]"), F.raise_error(F.lit(f"a line break in {f.name}"))).otherwise(c))
     if distribute_by:
         df = df.hint("rebalance", distribute_by)
     df.write.mode(mode).options(**opts).csv(path)

@@ -20,8 +20,6 @@ with them. Column names and types follow the source warehouse DDL (see FIXTURES.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -35,35 +33,21 @@ COUPON_MIN_DISCOUNT = 0.05   # line items with at least this discount carry a co
 PLAN_EXTRA = 5               # plan quantity = sold quantity + 5
 
 
-_SCHEMAS: dict[tuple, object] = {}
-
-
-def _schema_key(path: str) -> tuple:
-    try:
-        st = os.stat(path)                      # local inputs: re-infer if the file changed
-        return (path, st.st_size, st.st_mtime_ns)
-    except OSError:
-        return (path,)
-
-
 class RetailTables:
     """Lazy stand-in tables over ``sf_dir``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._schemas: dict[str, object] = {}
 
     def raw(self, name: str) -> DataFrame:
-        """A driver table. Its parquet schema is inferred once per file and reused, so
-        building a plan does not re-read footers for every reference to the table."""
+        """A driver table. Its parquet schema is read once by this object, which lives as long
+        as the query that is being built."""
         path = f"{self.sf_dir}/{name}.parquet"
-        key = _schema_key(path)
-        schema = _SCHEMAS.get(key)
-        if schema is None:
-            df = self.spark.read.parquet(path)
-            _SCHEMAS[key] = df.schema
-            return df
-        return self.spark.read.schema(schema).parquet(path)
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     # ---------------- store-report mart ----------------
     @property
@@ -158,8 +142,8 @@ class RetailTables:
         r = self.raw("region").select("r_regionkey", "r_name")
         return (li.join(o, li.l_orderkey == o.o_orderkey)
                   .join(c, o.o_custkey == c.c_custkey)
-                  .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)   # 25 rows
-                  .join(F.broadcast(r), n.n_regionkey == r.r_regionkey))  # 5 rows
+                  .join(n, c.c_nationkey == n.n_nationkey)
+                  .join(r, n.n_regionkey == r.r_regionkey))
 
     @staticmethod
     def _sales_cols():
