@@ -16,15 +16,18 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martspark.operators import loads as LD
-from martspark.operators.export import EXPORT_SCHEMA, EXPORT_SCHEMA_WIDE, export_frame, publish_sharded
+from martspark.operators.export import EXPORT_SCHEMA, EXPORT_SCHEMA_WIDE, export_frame, publish_plan_fact, publish_sharded
 from martspark.operators.merge import upsert_table
 from martspark.operators.runlog import RunLog
 from martspark.operators.tables import path_exists, read_table, write_observed
 from martspark.plans import plan_fact as PF
 from martspark.plans import report_mart as RM
+from martspark.session import tune_for_scale
 from martspark.sources.dispatch import read_source
+from martspark.sources.files import CheckedRead
 from martspark.sources.schemas import SCHEMAS
 
 
@@ -58,7 +61,7 @@ class Warehouse:
         return read_table(self.spark, self.path(name))
 
 
-def _src(spark, cfg: RunConfig, name: str) -> DataFrame:
+def _src(spark, cfg: RunConfig, name: str) -> DataFrame | CheckedRead:
     s = cfg.sources[name]
     schema = SCHEMAS[s.schema or name] if (s.schema or name) in SCHEMAS else None
     return read_source(spark, s.kind, s.location, schema, **dict(s.options))
@@ -69,7 +72,9 @@ def _log(spark, cfg: RunConfig, where: str):
     return log.bind(where)
 
 
-def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month: str) -> int:
+def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month: str, shards: int = 0) -> int:
+    """``shards``: also publish the mart as the sharded export, in so many files."""
+    tune_for_scale(spark)
     wh, log = Warehouse(spark, cfg.warehouse), _log(spark, cfg, "Sales plan calculation")
     log("INFO", "Start plan/fact run")
     for dim in ("price", "chanel", "product", "region"):
@@ -82,6 +87,8 @@ def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month:
     mart = PF.plan_fact(wh.sales, wh.plan, month)
     n, _ = write_observed(mart, wh.path(f"plan_fact_{month}"))
     PF.plan_fact_view(wh.__getattr__(f"plan_fact_{month}"), wh.product, wh.price).createOrReplaceTempView("v_plan_fact")
+    if shards:
+        publish_plan_fact(wh.__getattr__(f"plan_fact_{month}"), wh.path("plan_fact_export"), shards)
     log("INFO", f"{n} rows inserted")
     log("INFO", "End plan/fact run")
     return n
@@ -100,6 +107,7 @@ def sales_mart_run(spark: SparkSession, cfg: RunConfig, month: str) -> int:
 def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_end: str,
                      heads_start: str, report_months: tuple[str, str, int], report_days: tuple[str, str, int],
                      shards: int = 4, wide_export: bool = False) -> int:
+    tune_for_scale(spark)
     wh, log = Warehouse(spark, cfg.warehouse), _log(spark, cfg, "Report")
     log("INFO", "Start store report run")
     for dim in ("promos", "promo_types", "stores"):
@@ -113,16 +121,19 @@ def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_
         upsert_table(spark, wh.path("bills_item"), _src(spark, cfg, "bills_item"), ["billnum"])
     else:
         LD.load_full(_src(spark, cfg, "bills_item"), wh.path("bills_item"))
-    LD.load_header_item(spark, wh.bills_item, wh.bills_head, wh.path("bills"), load_start, load_end)
+    LD.load_header_item(spark, wh.bills_item, wh.bills_head, wh.path("bills"), load_start, load_end,
+                        key_range_pushdown=True)
 
-    total = 0
+    total, names = 0, []
     for start, end, n, modes in ((*report_months, ("month_interval", "monthly")),
                                  (*report_days, ("day_interval", "daily"))):
         rep = RM.report_mart(wh, start, end, n, modes, log=log)
+        names += [w.report_name for w in RM.report_windows(start, end, n, modes)]
         rows, _ = write_observed(rep, wh.path("report"), "overwrite", "report_name", dynamic=True)
         total += rows
         log("INFO", f"{rows} rows inserted")
     schema = EXPORT_SCHEMA_WIDE if wide_export else EXPORT_SCHEMA
-    publish_sharded(export_frame(wh.report, schema), wh.path("report_export"), shards)
+    mine = wh.report.where(F.col("report_name").isin(names))       # the reports of this run only
+    publish_sharded(export_frame(mine, schema), wh.path("report_export"), shards)
     log("INFO", "End store report run")
     return total

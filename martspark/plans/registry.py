@@ -18,14 +18,14 @@ from martspark.operators import loads as LD
 from martspark.operators.lookup import dict_get, dictionary
 from martspark.operators.merge import rank_merge, upsert_table
 from martspark.operators.runlog import RunLog
-from martspark.operators.tables import month_key, read_table
+from martspark.operators.tables import create_table, month_key, read_table
 from martspark.plans import exercises as X
 from martspark.plans import plan_fact as PF
 from martspark.plans import report_mart as RM
 from martspark.plans import showcase as SC
 from martspark.session import scratch_path
 from martspark.sources.dispatch import read_source
-from martspark.sources.files import read_csv, read_csv_checked, write_csv
+from martspark.sources.files import read_csv, write_csv
 from martspark.sources.schemas import SCHEMAS, I, L, S, _s
 from martspark.sources.standins import RetailTables
 from martspark.streaming import month_reload_stream
@@ -63,9 +63,8 @@ REPORT_RUNS_EXTRA = {
     "report_mart_daily_disjoint": ("19960101", "19960108", 4, ("daily",), False),
     # all four modes in one call, computed in one pass
     "report_mart_all_modes": ("19960101", "19960131", 3, ("daily", "day_interval", "monthly", "month_interval"), True),
-    # a month of daily period-to-date reports: 31 window ends, computed with the
-    # running-total strategy (the one used automatically beyond 64 window ends)
-    "report_mart_daily_month": ("19960101", "19960201", 1, ("daily",), True, None, "prefix"),
+    # a month of daily period-to-date reports: 31 window ends
+    "report_mart_daily_month": ("19960101", "19960201", 1, ("daily",), True),
 }
 
 
@@ -93,7 +92,10 @@ SELECT report_name, CAST(row_number() OVER (PARTITION BY report_name ORDER BY pl
   CAST({O.units_to_decimal(O.round_div_units(O.hi('avg_profit', 2), '10'), 1, 7)} AS DECIMAL(7,1)) AS avg_profit
 FROM rep""")
 def _report_export(spark, sf_dir):
-    return export.export_frame(RM.report_mart(T(spark, sf_dir), *_EXPORT_ARGS))
+    """Published to shards and read back from their root."""
+    path = f"{scratch_path(spark, 'report_export')}/report"
+    export.publish_sharded(export.export_frame(RM.report_mart(T(spark, sf_dir), *_EXPORT_ARGS)), path, 4)
+    return read_table(spark, path)
 
 
 # ---------------------------------------------------------------- plan/fact marts
@@ -143,6 +145,30 @@ register("plan_fact", _with_pf("SELECT * FROM pf"))(
     lambda spark, sf: PF.plan_fact(T(spark, sf).sales, T(spark, sf).plan, PLAN_MONTH))
 
 
+@register("plan_fact_export", _with_pf("""
+SELECT region_code, matdirec_code, CAST(distr_chanel AS BIGINT) AS distr_chanel, CAST(planned_quantity AS BIGINT) AS planned_quantity,
+  CAST(real_quantity AS BIGINT) AS real_quantity, CAST(complete_percent AS BIGINT) AS complete_percent, mosteff_material FROM pf"""))
+def _plan_fact_export(spark, sf):
+    """The mart published to shards by completion, in order of the region, and read back."""
+    t, path = T(spark, sf), f"{scratch_path(spark, 'plan_fact_export')}/plan_fact"
+    export.publish_plan_fact(PF.plan_fact(t.sales, t.plan, PLAN_MONTH), path, 4)
+    return read_table(spark, path)
+
+
+@register("plan_fact_view_key", _with_pf("""
+SELECT pr.brand, COUNT(*) AS rows, CAST(SUM(pf.real_quantity) AS BIGINT) AS real_quantity FROM pf
+JOIN product pr ON pf.mosteff_material = pr.material
+JOIN price pc ON pc.material = pf.mosteff_material
+WHERE pf.region_code = 'ASIA' GROUP BY pr.brand""", "product", "price"))
+def _plan_fact_view_key(spark, sf):
+    """The stored mart queried through the session's view by region."""
+    t, path = T(spark, sf), f"{scratch_path(spark, 'plan_fact_view')}/plan_fact"
+    LD.load_full(PF.plan_fact(t.sales, t.plan, PLAN_MONTH), path)
+    PF.plan_fact_view(read_table(spark, path), t.product, t.price).createOrReplaceTempView("v_plan_fact")
+    return spark.sql("SELECT brand, COUNT(*) AS rows, SUM(real_quantity) AS real_quantity FROM v_plan_fact "
+                     "WHERE region_code = 'ASIA' GROUP BY brand")
+
+
 @register("plan_fact_view", _with_pf("""
 SELECT pf.*, pr.brand, pr.txt, pc.price FROM pf
 JOIN product pr ON pf.mosteff_material = pr.material
@@ -165,13 +191,14 @@ def _plan_fact_lookup(spark, sf):
 
 @register("dict_lookup", O.with_tables("""
 SELECT k.material, COALESCE(d.v.asgrp, '') AS asgrp, COALESCE(d.v.brand, '') AS brand
-FROM (SELECT DISTINCT material FROM sales) k
+FROM (SELECT DISTINCT material FROM sales UNION SELECT DISTINCT material || '-x' FROM sales) k
 LEFT JOIN (SELECT material, min(struct_pack(asgrp := asgrp, brand := brand)) AS v
            FROM product WHERE material IS NOT NULL GROUP BY material) d ON d.material = k.material""",
     "sales", "product"))
 def _dict_lookup(spark, sf):
     t = T(spark, sf)
-    keys = t.sales.select("material").distinct()
+    sold = t.sales.select("material").distinct()
+    keys = sold.union(sold.select(F.concat("material", F.lit("-x"))))     # half of them in no dictionary
     return dict_get(keys, "material", dictionary(t.product, "material", ["asgrp", "brand"]), "material",
                     ["asgrp", "brand"])
 
@@ -300,12 +327,6 @@ register("date_bounds", O.with_tables(
     lambda spark, sf: quality.date_bounds(T(spark, sf).sales, "date"))
 
 
-@register("table_size")
-def _table_size(spark, sf):
-    names = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
-    return quality.table_sizes(spark, {n: f"{sf.rstrip('/')}/{n}.parquet" for n in names})
-
-
 # ---------------------------------------------------------------- loaders (write, read back)
 # Each query writes under the shared scratch root (spark.checkpoint.dir) and returns the
 # final table state; the oracle states that state in SQL.
@@ -313,6 +334,7 @@ def _table_size(spark, sf):
 
 INVENTORY_SCHEMA: StructType = _s(("inventory_id", L, True), ("part_num", L, True), ("color_id", L, True),
                                   ("quantity", I, True), ("is_spare", S, True))
+COLORS_SCHEMA: StructType = _s(("id", L, True), ("name", S, True))
 _PM = "CAST(date_trunc('month', {c}) AS DATE) AS pmonth"
 
 
@@ -346,6 +368,22 @@ def _load_single_partition(spark, sf):
     return read_table(spark, tgt)
 
 
+_SECOND = "CAST(date_trunc('month', \"date\" - INTERVAL 1 DAY) + INTERVAL 1 DAY AS DATE)"
+
+
+@register("load_delta_anchored", O.with_tables(f"""
+SELECT s.*, {_SECOND} AS pmonth FROM sales s
+WHERE distr_chan <> 5 OR ("date" >= DATE '1996-01-02' AND "date" < DATE '1996-04-02')""", "sales"))
+def _load_delta_anchored(spark, sf):
+    """Months that run from the 2nd to the 2nd: a table without one channel's rows gets them
+    back for the months of the load."""
+    t, root = T(spark, sf), scratch_path(spark, "load_delta_anchored")
+    tgt = f"{root}/sales"
+    LD.load_full(t.sales.where("distr_chan <> 5"), tgt, "pmonth", "date", anchor_day=2)
+    LD.load_delta_partitions(spark, t.sales, tgt, "date", "1996-01-15", "1996-04-01", anchor_day=2)
+    return read_table(spark, tgt)
+
+
 _DELTA_WIN = "calday >= DATE '1996-01-01' AND calday < DATE '1996-05-01'"
 
 
@@ -384,19 +422,27 @@ def _load_header_item(spark, sf):
     return read_table(spark, f"{root}/bills")
 
 
-_REVISED_PLAN = ("SELECT \"date\", region, matdirec, quantity - 5 AS quantity, distr_chan FROM plan "
-                 "WHERE \"date\" >= DATE '1996-01-01' AND \"date\" < DATE '1996-02-01'")
+# The plan of one region and channel has no date: NULL keys, and a partition of NULL months.
+_UNDATED = "region = 'ASIA' AND distr_chan = 5"
+_REVISED_PLAN = ("SELECT \"date\", region, matdirec, quantity - 5 AS quantity, distr_chan FROM undated "
+                 "WHERE (\"date\" >= DATE '1996-01-01' AND \"date\" < DATE '1996-02-01') OR (\"date\" IS NULL AND quantity > 50)")
+
+
+def _undated_plan(t):
+    return t.plan.withColumn("date", F.when(~F.expr(_UNDATED), F.col("date")))
 
 
 def _revised_plan(t):
-    return (t.plan.where((F.col("date") >= F.lit("1996-01-01").cast("date"))
-                         & (F.col("date") < F.lit("1996-02-01").cast("date")))
-                  .withColumn("quantity", F.col("quantity") - 5))
+    d = F.col("date")
+    return (_undated_plan(t).where(((d >= F.lit("1996-01-01").cast("date")) & (d < F.lit("1996-02-01").cast("date")))
+                                   | (d.isNull() & (F.col("quantity") > 50)))
+                            .withColumn("quantity", F.col("quantity") - 5))
 
 
 _UPSERT_SQL = """
+, undated AS (SELECT CASE WHEN NOT (region = 'ASIA' AND distr_chan = 5) THEN "date" END AS "date", region, matdirec, quantity, distr_chan FROM plan)
 , src AS ({src})
-SELECT p.*{pm} FROM plan p WHERE NOT EXISTS (SELECT 1 FROM src WHERE src."date" IS NOT DISTINCT FROM p."date")
+SELECT p.*{pm} FROM undated p WHERE NOT EXISTS (SELECT 1 FROM src WHERE src."date" IS NOT DISTINCT FROM p."date")
 UNION ALL SELECT src.*{pm2} FROM src"""
 
 
@@ -411,13 +457,13 @@ def _upsert_oracle(with_pm: bool) -> str:
 def _upsert(spark, sf):
     t, root = T(spark, sf), scratch_path(spark, "upsert")
     tgt = f"{root}/plan"
-    LD.load_full(t.plan, tgt, "pmonth", "date")
+    LD.load_full(_undated_plan(t), tgt, "pmonth", "date")
     upsert_table(spark, tgt, _revised_plan(t), ["date"], date_key="date")
     return read_table(spark, tgt)
 
 
 register("rank_merge", _upsert_oracle(False))(
-    lambda spark, sf: rank_merge(T(spark, sf).plan, _revised_plan(T(spark, sf)), ["date"]))
+    lambda spark, sf: rank_merge(_undated_plan(T(spark, sf)), _revised_plan(T(spark, sf)), ["date"]))
 
 
 _MISSING_SQL = """
@@ -464,6 +510,18 @@ def _table_swap(spark, sf):
     return read_table(spark, tgt)
 
 
+@register("insert_literals", O.with_tables("""
+SELECT id, name FROM colors UNION ALL SELECT * FROM (VALUES (CAST(-1 AS BIGINT), 'none'), (-2, NULL)) v(id, name)""", "colors"))
+def _insert_literals(spark, sf):
+    """Literal rows appended to a table created empty with declared types and then loaded."""
+    t, root = T(spark, sf), scratch_path(spark, "insert_literals")
+    tgt = f"{root}/colors"
+    create_table(spark, tgt, COLORS_SCHEMA)
+    LD.load_filtered(t.colors, tgt)
+    LD.insert_rows(spark, tgt, [(-1, "none"), (-2, None)], COLORS_SCHEMA)
+    return read_table(spark, tgt)
+
+
 _INV_ORACLE = O.with_tables("SELECT * FROM inventory_parts", "inventory_parts")
 
 
@@ -492,14 +550,32 @@ def _csv_glob(spark, sf):
 
 @register("csv_reject_rows", _INV_ORACLE)
 def _csv_reject(spark, sf):
-    root = scratch_path(spark, "csv_reject")
-    write_csv(T(spark, sf).inventory_parts, f"{root}/lineitem.csv")
-    r = read_csv_checked(spark, f"{root}/lineitem.csv", INVENTORY_SCHEMA, reject_limit=10)
-    LD.load_full(r.good, f"{root}/inventory_parts")
-    r.check()
+    """Lines with a text for a number, and lines with a field too many, stand among the rows."""
+    t, root = T(spark, sf), scratch_path(spark, "csv_reject")
+    write_csv(t.inventory_parts, f"{root}/lineitem.csv", header="false")
+    bad = t.raw("lineitem").where(F.col("l_linenumber") == 1).select(F.concat_ws(
+        ";", "l_suppkey", "l_partkey", "l_suppkey",
+        F.when(F.col("l_orderkey") % 2 == 0, F.lit("many")).otherwise(F.col("l_linenumber").cast("string")), "l_returnflag",
+        F.when(F.col("l_orderkey") % 2 == 1, F.lit("surplus"))))
+    bad.write.mode("append").text(f"{root}/lineitem.csv")
+    n_bad = bad.count()
+    source = read_source(spark, "csv", f"{root}/lineitem.csv", INVENTORY_SCHEMA, reject_limit=n_bad + 1, header="false")
+    LD.load_full(source, f"{root}/inventory_parts")
+    if source.check() != n_bad:
+        raise AssertionError(f"{source.check()} of {n_bad} malformed rows were rejected")
     return read_table(spark, f"{root}/inventory_parts")
 
 
+@register("csv_line_breaks", """
+SELECT p_partkey, p_name || chr(10) || '"' || p_brand || '";' || chr(10) AS txt FROM part""")
+def _csv_line_breaks(spark, sf):
+    """Texts with line breaks, quotes and delimiters, written and read back."""
+    t, root = T(spark, sf), scratch_path(spark, "csv_line_breaks")
+    txt = F.concat(F.col("p_name"), F.lit("\n\""), F.col("p_brand"), F.lit('";\n'))
+    write_csv(t.raw("part").select("p_partkey", txt.alias("txt")), f"{root}/part.csv", multi_line=True)
+    return read_csv(spark, f"{root}/part.csv", _s(("p_partkey", L, True), ("txt", S, True)), multi_line=True)
+
+
 @register("run_log", O.with_tables("""
 SELECT 'INFO' AS log_type, 'Start load_full' AS log_msg, 'full load' AS log_location, false AS is_error
 UNION ALL SELECT 'INFO', CAST(COUNT(*) AS VARCHAR) || ' rows inserted', 'full load', false FROM bills_head
@@ -520,11 +596,13 @@ def _run_log(spark, sf):
 @register("traffic_stream_reload", O.with_tables(
     f"SELECT *, {_PM.format(c='\"date\"')} FROM traffic", "traffic"))
 def _traffic_stream(spark, sf):
-    """Traffic extracts dropped as files are re-loaded month by month by a stream."""
+    """Traffic extracts dropped as files are re-loaded month by month by a stream; the months
+    are spread over two extracts, one file a batch."""
     t, root = T(spark, sf), scratch_path(spark, "traffic_stream")
-    write_csv(t.traffic_source, f"{root}/drop/extract1")
+    for i in range(2):
+        write_csv(t.traffic_source.where(F.col("frame_id").cast("long") % 2 == i), f"{root}/drop/extract{i}")
     q = month_reload_stream(spark, f"{root}/drop/*", SCHEMAS["traffic_source"], f"{root}/traffic", "date",
-                            f"{root}/checkpoint", convert=True)
+                            f"{root}/checkpoint", convert=True, maxFilesPerTrigger=3)
     q.awaitTermination()
     return read_table(spark, f"{root}/traffic")
 

@@ -1,14 +1,12 @@
 """Per-store KPI report (turnover, coupon discounts, traffic, conversion, average bill)
 over day or month windows.
 
-All windows of one call are computed in ONE job: every fact is pre-aggregated to
-(plant, day) grain with map-side combine, the (small, parameter-bounded) list of windows
-is attached with an ``explode`` of a literal array, and the per-window sums are taken
-from the day grain. Distinct counts (bills, coupon rows) use first-seen days when all
-windows share their start (the cumulative default), so no fact row is repeated per
-window; otherwise rows are assigned to the windows that contain them. With many
-shared-start windows the day aggregates are bucketed by window end and summed as
-running totals per plant instead of being repeated per window.
+All windows of one call are computed in ONE job. Bills are scanned once for their sums and
+their count: one aggregate by (plant, bill, day). Every fact comes down to (plant, day) grain
+with map-side combine before windows are attached. Windows that share their start (the
+cumulative default) are running totals per plant over the days' first window ends, and distinct
+bills and coupon rows count on their first day; other windows meet the facts by day, in a join
+with the windows' days, never in a test of every window on every row.
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -108,52 +106,35 @@ def _window_array(windows: Sequence[ReportWindow]) -> Column:
                  F.lit(w.end).alias("we")) for w in windows])
 
 
-def _with_windows(df: DataFrame, day: str, windows: Sequence[ReportWindow],
-                  arr: Column | None = None) -> DataFrame:
-    """One output row per (row, window containing ``day``); no join, bounded fan-out."""
-    day_col = F.col(day)
-    arr = _window_array(windows) if arr is None else arr
-    hits = F.filter(arr, lambda w: (day_col >= w["ws"]) & (day_col < w["we"]))
-    return df.select("*", F.explode(F.transform(hits, lambda w: w["report_name"])).alias("report_name"))
+def _window_days(spark: SparkSession, windows: Sequence[ReportWindow]) -> DataFrame:
+    """(day, report_name) of every day of every window; bounded by the parameters."""
+    w = spark.range(1).select(F.explode(_window_array(windows)).alias("w"))
+    return w.select(F.explode(F.sequence("w.ws", F.date_sub("w.we", 1))).alias("_day"), "w.report_name")
 
 
-# Above this many distinct window ends, shared-start windows are summed as running
-# totals instead of repeating each (plant, day) row per window. The explode works on
-# (plant, day) aggregates, whose count does not grow with the facts, so it stays the
-# cheaper plan (fewer stages) up to a few dozen windows.
-PREFIX_MIN_ENDS = 64
+def _running(df: DataFrame, day: str, cols: Sequence[str], windows: Sequence[ReportWindow]) -> DataFrame:
+    """Sums of the additive ``cols`` of a (plant, day) frame per (window, plant), for windows
+    with one start; a (window, plant) appears only when it has rows.
 
-
-def _per_window(df: DataFrame, day: str, cols: Sequence[str], windows: Sequence[ReportWindow],
-                prefix: bool, arr: Column | None = None) -> DataFrame:
-    """Sum the additive ``cols`` of a (plant, day) frame per (window, plant); a
-    (window, plant) appears only when it has rows (``_rows`` counts them).
-
-    * explode: each row is repeated for the windows that contain its day, then summed.
-    * prefix (all windows share their start): each day goes to the bucket of the first
-      window end after it; a window is the running total of the buckets up to its end,
-      per plant, over at most one row per window end. Work no longer grows with
-      days x windows.
+    Each day goes to the first window end after it; a window is the running total of these
+    buckets up to its end, so a bucket's total holds for all ends up to the plant's next bucket.
+    One aggregate and one pass per plant over at most one row per window end.
     """
-    if not prefix:
-        return (_with_windows(df, day, windows, arr).groupBy("report_name", "plant")
-                .agg(*[F.sum(c).alias(c) for c in cols]))
     ends = sorted({w.end for w in windows})
-    pos = {e: i for i, e in enumerate(ends)}
-    d = F.col(day)
-    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= d))
-    agg = df.groupBy("plant", bucket.alias("_k")).agg(*[F.sum(c).alias(c) for c in cols],
-                                                      F.sum("_rows").alias("_rows"))
-    dense = agg.select("plant").distinct().select(
-        "plant", F.explode(F.sequence(F.lit(0), F.lit(len(ends) - 1))).alias("_k"))
-    run = Window.partitionBy("plant").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = dense.join(agg, ["plant", "_k"], "left").select(
-        "plant", "_k", *[F.sum(c).over(run).alias(c) for c in cols], F.sum("_rows").over(run).alias("_rows"))
-    wins = F.array(*[F.struct(F.lit(w.report_name).alias("report_name"), F.lit(pos[w.end]).alias("k"))
-                     for w in windows])
-    hits = F.filter(wins, lambda x: x["k"] == F.col("_k"))
-    return (cum.where(F.col("_rows") > 0).select(F.explode(hits).alias("_w"), "plant", *cols)
-               .select(F.col("_w.report_name").alias("report_name"), "plant", *cols))
+    names = F.array(*[F.array(*[F.lit(w.report_name) for w in windows if w.end == e]) for e in ends])
+    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col(day)))
+    agg = df.groupBy("plant", bucket.alias("_k")).agg(*[F.sum(c).alias(c) for c in cols])
+    along = Window.partitionBy("plant").orderBy("_k")
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.coalesce(F.lead("_k").over(along) - 1, F.lit(len(ends) - 1))
+    cum = agg.select("plant", F.col("_k"), last.alias("_last"), *[F.sum(c).over(upto).alias(c) for c in cols])
+    return (cum.select("plant", F.explode(F.flatten(F.transform(F.sequence("_k", "_last"), lambda k: names[k]))).alias("report_name"), *cols)
+               .select("report_name", "plant", *cols))
+
+
+def _by_day(df: DataFrame, day: str, days: DataFrame) -> DataFrame:
+    """A row of ``df`` for each window that holds its day, with the window's report_name."""
+    return df.join(days, df[day] == days["_day"]).drop("_day")
 
 
 def coupon_discount_expr(rpa_sat: Column, qty: Column, promo_type: Column, amount: Column) -> Column:
@@ -168,43 +149,38 @@ def coupon_discount_expr(rpa_sat: Column, qty: Column, promo_type: Column, amoun
 
 
 def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos: DataFrame,
-                 traffic: DataFrame, windows: Sequence[ReportWindow], strategy: str = "auto") -> DataFrame:
-    """Report rows for every (window, store); see module doc for the plan shape.
-
-    ``strategy``: "explode", "prefix" (shared-start windows only) or "auto" (prefix when
-    all windows share their start and there are more than PREFIX_MIN_ENDS window ends).
-    """
+                 traffic: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
+    """Report rows for every (window, store); see module doc for the plan shape."""
+    spark = stores.sparkSession
     if not windows:      # e.g. a daily run whose end equals its start: no report rows
         from martspark.sources.schemas import SCHEMAS
         from pyspark.sql.types import StringType, StructField, StructType
         schema = StructType([StructField("report_name", StringType(), True)] + list(SCHEMAS["report"].fields))
-        return stores.sparkSession.createDataFrame([], schema)
+        return spark.createDataFrame([], schema)
     lo = min(w.start for w in windows)
     hi = max(w.end for w in windows)
     shared_start = all(w.start == lo for w in windows)
-    n_ends = len({w.end for w in windows})
     arr = _window_array(windows)
-    prefix = shared_start and (strategy == "prefix" or (strategy == "auto" and n_ends > PREFIX_MIN_ENDS))
+    days = None if shared_start else _window_days(spark, windows)
 
     def in_range(c: str) -> Column:
         return (F.col(c) >= F.lit(lo)) & (F.col(c) < F.lit(hi))
 
-    # ---- bills: per-day sums combine map-side into a tiny shuffle; only the distinct
-    # bill count shuffles at bill grain, and only (plant, billnum, first day) ----
+    # ---- bills: one scan, one aggregate at the grain of a bill's day ----
     bf = prune_months(bills, lo, hi).where(in_range("calday"))
-    day_sums = bf.groupBy("plant", "calday").agg(F.sum("rpa_sat").alias("turnover"), F.sum("qty").alias("quant"),
-                                                 F.count(F.lit(1)).alias("_rows"))
-    turnover = _per_window(day_sums, "calday", ["turnover", "quant"], windows, prefix, arr)
+    bd = bf.groupBy("plant", "billnum", "calday").agg(F.sum("rpa_sat").alias("turnover"), F.sum("qty").alias("quant"))
     if shared_start:
-        first = (bf.groupBy("plant", "billnum").agg(F.min("calday").alias("d"))
-                   .groupBy("plant", "d").agg(F.count(F.lit(1)).alias("bill_qty"))
-                   .withColumn("_rows", F.col("bill_qty")))
-        bill_cnt = _per_window(first, "d", ["bill_qty"], windows, prefix, arr)
+        # a bill counts on its first day; count(DISTINCT billnum) does not count a NULL number
+        own = bd.groupBy("plant", "billnum").agg(F.array_sort(F.collect_list(F.struct("calday", "turnover", "quant"))).alias("own"))
+        per_day = (own.select("plant", "billnum", F.posexplode("own").alias("nth", "x"))
+                      .select("plant", "x.*", ((F.col("nth") == 0) & F.col("billnum").isNotNull()).cast("bigint").alias("bill_qty"))
+                      .groupBy("plant", "calday").agg(*[F.sum(c).alias(c) for c in ("turnover", "quant", "bill_qty")]))
+        st = _running(per_day, "calday", ["turnover", "quant", "bill_qty"], windows)
     else:
-        bill_cnt = (_with_windows(bf.select("plant", "billnum", "calday").distinct(), "calday", windows, arr)
-                    .groupBy("report_name", "plant")
-                    .agg(F.count_distinct("billnum").alias("bill_qty")))
-    st = turnover.join(bill_cnt, ["report_name", "plant"])
+        st = (_by_day(bd, "calday", days).groupBy("report_name", "plant", "billnum")
+              .agg(F.sum("turnover").alias("turnover"), F.sum("quant").alias("quant"))
+              .groupBy("report_name", "plant").agg(F.sum("turnover").alias("turnover"), F.sum("quant").alias("quant"),
+                                                   F.count("billnum").alias("bill_qty")))
 
     # ---- coupons: distinct coupon rows with their discount ----
     c = prune_months(coupons, lo, hi).where(in_range("date")).select("billnum", "coupon_num", "material", "plant", "promo_id", "date")
@@ -218,18 +194,18 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
     if shared_start:
         firsts = cd.groupBy(*key).agg(F.min("date").alias("d"))
         per_day = firsts.groupBy("plant", "d").agg(F.sum("coupon_discount").alias("sum_disc"),
-                                                   F.count("material").alias("matdisc_qty"),
-                                                   F.count(F.lit(1)).alias("_rows"))
-        sd = _per_window(per_day, "d", ["sum_disc", "matdisc_qty"], windows, prefix, arr)
+                                                   F.count("material").alias("matdisc_qty"))
+        sd = _running(per_day, "d", ["sum_disc", "matdisc_qty"], windows)
     else:
-        sd = (_with_windows(cd, "date", windows, arr).select("report_name", *key).distinct()
+        sd = (_by_day(cd, "date", days).select("report_name", *key).distinct()
               .groupBy("report_name", "plant")
               .agg(F.sum("coupon_discount").alias("sum_disc"), F.count("material").alias("matdisc_qty")))
 
     # ---- traffic ----
     tday = (prune_months(traffic, lo, hi).where(in_range("date")).groupBy("plant", "date")
-            .agg(F.sum("quantity").alias("t_qty"), F.count(F.lit(1)).alias("_rows")))
-    tr = _per_window(tday, "date", ["t_qty"], windows, prefix, arr)
+            .agg(F.sum("quantity").alias("t_qty")))
+    tr = (_running(tday, "date", ["t_qty"], windows) if shared_start else
+          _by_day(tday, "date", days).groupBy("report_name", "plant").agg(F.sum("t_qty").alias("t_qty")))
 
     # ---- stores x windows, then the three left joins ----
     s = stores.select(F.explode(F.transform(arr, lambda w: w["report_name"])).alias("report_name"), "plant", "txt")
@@ -263,8 +239,7 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
 
 def report_mart(tables, start: str, end: str, interval: int = 2,
                 modes: Iterable[str] = ("month_interval",), cumulative: bool = True,
-                log: Callable[[str, str], None] | None = None, strategy: str = "auto") -> DataFrame:
+                log: Callable[[str, str], None] | None = None) -> DataFrame:
     """``build_report`` over a ``RetailTables``-like object (stores, bills, coupons, promos, traffic)."""
     windows = report_windows(start, end, interval, tuple(modes), cumulative, log)
-    return build_report(tables.stores, tables.bills, tables.coupons, tables.promos, tables.traffic, windows,
-                        strategy)
+    return build_report(tables.stores, tables.bills, tables.coupons, tables.promos, tables.traffic, windows)

@@ -85,7 +85,7 @@ def date_formats(orders: DataFrame) -> DataFrame:
 
 def ordered_concat(nation: DataFrame, region: DataFrame) -> DataFrame:
     """``string_agg(n_name, ',' ORDER BY n_nationkey)`` per region (ordered listagg)."""
-    j = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return j.groupBy("r_name").agg(
         F.expr("listagg(n_name, ',') WITHIN GROUP (ORDER BY n_nationkey)").alias("nations"))
 

@@ -108,15 +108,15 @@ def test_general_path_matches(spark):
 
 
 @pytest.mark.parametrize("modes,end", [(["daily"], "20210107"), (["daily", "day_interval", "monthly"], "20210106")])
-def test_prefix_strategy_equals_explode(spark, modes, end):
+def test_running_totals_equal_single_windows(spark, modes, end):
     frames = _frames(spark)
     ws = rm.report_windows("20210101", end, 2, modes)
-    a = sorted(tuple(r) for r in rm.build_report(*frames, ws, strategy="explode").collect())
-    b = sorted(tuple(r) for r in rm.build_report(*frames, ws, strategy="prefix").collect())
+    a = sorted(tuple(r) for r in rm.build_report(*frames, ws).collect())
+    b = sorted(tuple(r) for w in ws for r in rm.build_report(*frames, [w]).collect())
     assert a == b
 
 
-def test_prefix_strategy_on_driver_tables(spark):
+def test_running_totals_equal_windows_met_by_day(spark):
     import os
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
@@ -125,8 +125,10 @@ def test_prefix_strategy_on_driver_tables(spark):
     t = RetailTables(spark, sf)
     ws = rm.report_windows("19960101", "19960120", 2, ["daily", "day_interval"])
     args = (t.stores, t.bills, t.coupons, t.promos, t.traffic, ws)
-    a = sorted(tuple(r) for r in rm.build_report(*args, strategy="explode").collect())
-    b = sorted(tuple(r) for r in rm.build_report(*args, strategy="prefix").collect())
+    a = sorted(tuple(r) for r in rm.build_report(*args).collect())
+    # a window with another start sends all windows the other way
+    other = rm.ReportWindow("report_other", ws[0].start - dt.timedelta(days=1), ws[0].end)
+    b = sorted(tuple(r) for r in rm.build_report(*args[:-1], [*ws, other]).collect() if r[0] != "report_other")
     assert a == b and len(a) == 25 * len(ws)
 
 
