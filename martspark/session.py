@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -32,16 +33,20 @@ def build_session(master: str | None = None, app: str = "martspark",
 def shared_root(spark: SparkSession) -> str:
     """Root of the shared folder jobs write staging data and lineage cuts to.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    runs, tests) a private temporary folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a ``local[...]`` session may do
+    without (a private temporary folder is created and registered): on a cluster the
+    executors' own disks are not shared, so an unset folder raises there. One under ``file:``
+    must be named by the cluster itself, as a mount that all its machines share.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    local = sc.master.startswith("local[") or sc.master == "local"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir()
+    if not local and not named and (not root or urlparse(root).scheme in ("", "file")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; master is {sc.master}, the folder is {root}")
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="martspark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="martspark-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
