@@ -97,8 +97,9 @@ def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_s
             yield pa.RecordBatch.from_arrays([b.column(f.name) if f.name in ("doc_id", "host", "carry", "lines", "sign") else pa.array(cols[f.name], pa.int64()) for f in schema], names=schema.names)
 
     counted = C.staged(src.mapInArrow(count, schema), "line_rules")
-    lines = counted.select("row", "host", "sign", F.explode("lines").alias("line")).select("row", "host", "sign", "line.h", "line.w")
-    per_sign = lines.groupBy("host", "h", "sign").agg(F.count("*").alias("c"))
+    lines = counted.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.w")
+    once = counted.select("host", "sign", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))     # a document counts once
+    per_sign = once.groupBy("host", "h", "sign").agg(F.count("*").alias("c"))
     above = (per_sign.groupBy("host", "h").agg(F.count("*").alias("distinct_docs"), F.sum("c").alias("c"))
              .filter((F.col("distinct_docs") > doc_limit) & (F.col("distinct_docs") >= min_share * F.col("c")))
              .select(F.col("host").alias("a_host"), F.col("h").alias("a_h")))

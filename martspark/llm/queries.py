@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gam, iblt, license_join, line_rules, lm, mixing, pii, repeats, simhash
+from . import bpe, gam, iblt, license_join, line_rules, lm, mixing, oracles, pii, repeats, simhash
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -74,32 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op6_mix": r"""
-WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
-), s AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
-  FROM d GROUP BY source
-), l AS (
-  SELECT *, 2 * source_size AS most, row_number() OVER o AS nth,
-         (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5
-          - coalesce(CAST(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE), 0))
-         / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
-  FROM s WINDOW o AS (ORDER BY 2.0 * source_size / weight, source NULLS LAST)
-), t AS (
-  SELECT source, source_size,
-         least(CAST(most AS DOUBLE), (SELECT arg_min(level, nth) FROM l WHERE level * weight <= most) * weight) AS target
-  FROM l
-), r AS (
-  SELECT d.*, t.source_size, t.target,
-         row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS nth,
-         CAST('0x' || substr(md5('mix' || coalesce('=' || d.source, '')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u,
-         CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0.0::DOUBLE END AS rate
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-)
-SELECT doc_id, size, source_size, target,
-       CAST(size * (floor(u + rate * nth) - floor(u + rate * (nth - 1))) AS BIGINT) AS taken
-FROM r
-""",
+    "op3_line_rules": oracles.LINE_RULES,
+    "op7_repeats": oracles.REPEATS,
+    "op8_licenses": oracles.licenses(),
+    "op6_mix": oracles.MIX,
 }

@@ -33,7 +33,7 @@ def brute(rows, doc_limit, min_share, min_left):
     lines = [[(norm(x), len(WORD.findall(x))) for x in t.split("\n") if WORD.search(x)] for _, t, _ in rows]
     signs, count = defaultdict(set), Counter()
     for (_, _, h), ls in zip(rows, lines):
-        for x, _ in ls:
+        for x in {x for x, _ in ls}:
             signs[h, x].add(min((y for y, _ in ls), key=lambda y: y.encode()))
             count[h, x] += 1
     out = []
