@@ -50,12 +50,12 @@ def accepted(source: DataFrame | CheckedRead, target_path: str) -> Iterator[Data
 
 
 def load_full(source: DataFrame | CheckedRead, target_path: str, partition_col: str | None = None,
-              date_key: str | None = None, anchor_day: int = 1) -> int:
+              date_key: str | None = None, anchor_day: int = 1, order_by: str | None = None) -> int:
     """Truncate the target and load every source row (one overwrite)."""
     with accepted(source, target_path) as df:
         if partition_col and date_key:
             df = df.withColumn(partition_col, month_key(date_key, anchor_day))
-        rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
+        rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True, order_by=order_by)
     return rows
 
 

@@ -50,7 +50,8 @@ def rank_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert_table(spark: SparkSession, target_path: str, source: DataFrame | CheckedRead, keys: Sequence[str],
-                 date_key: str | None = None, partition_col: str = PART_COL, anchor_day: int = 1) -> int:
+                 date_key: str | None = None, partition_col: str = PART_COL, anchor_day: int = 1,
+                 order_by: str | None = None) -> int:
     """Upsert into a parquet table. The source is staged once on shared storage (its row
     count observed in that write, lineage cut); the new rows are written once, beside the
     table, and renamed into it, so a failure leaves the old table whole. For a
@@ -83,7 +84,7 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame | Chec
             hit = F.col(partition_col).isin(known)
             target = target.where(hit | F.col(partition_col).isNull() if None in months else hit)
         write_observed(upsert(target, src, keys), new_path, "overwrite", partition_col if by_month else None,
-                       cluster=by_month)
+                       cluster=by_month, order_by=order_by)
         swap_in(spark, new_path, target_path, months, partition_col)
     finally:
         delete_path(spark, src_path)

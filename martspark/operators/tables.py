@@ -74,7 +74,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_col: str | None = None, dynamic: bool = False,
-                   cluster: bool = False) -> tuple[int, list]:
+                   cluster: bool = False, order_by: str | None = None) -> tuple[int, list]:
     """Write and return (rows written, partition values written) from the same pass;
     None among the values is the partition of NULL keys.
 
@@ -82,8 +82,11 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
     each task then writes one or a few months (few, large files instead of
     tasks x months small ones), and AQE splits a month holding a large share of the
     rows into several tasks (and merges small ones) by
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. ``order_by`` lays an unpartitioned
+    table out in ranges of that column, so a key range skips files and row groups.
     """
+    if order_by and not partition_col:
+        df = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
     if partition_col and cluster:
         df = df.hint("rebalance", partition_col)
     obs = Observation()

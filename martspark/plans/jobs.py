@@ -118,9 +118,10 @@ def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_
     LD.load_delta_partitions(spark, _src(spark, cfg, "bills_head"), wh.path("bills_head"), "calday",
                              heads_start, load_end)
     if path_exists(spark, wh.path("bills_item")):
-        upsert_table(spark, wh.path("bills_item"), _src(spark, cfg, "bills_item"), ["billnum"])
+        upsert_table(spark, wh.path("bills_item"), _src(spark, cfg, "bills_item"), ["billnum"],
+                     order_by="billnum")
     else:
-        LD.load_full(_src(spark, cfg, "bills_item"), wh.path("bills_item"))
+        LD.load_full(_src(spark, cfg, "bills_item"), wh.path("bills_item"), order_by="billnum")
     LD.load_header_item(spark, wh.bills_item, wh.bills_head, wh.path("bills"), load_start, load_end,
                         key_range_pushdown=True)
 

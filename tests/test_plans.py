@@ -103,3 +103,40 @@ def test_every_query_plan_has_no_cross_product(spark, name):
     physical = plan_text(df)
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
     assert only_running_totals(optimized(df)), name
+
+
+def test_report_over_stored_tables(spark):
+    """Two scans of bills, and the coupons' bills as a runtime filter on the one without dates."""
+    from martspark.plans import report_mart as RM
+    from martspark.session import scratch_path
+    t, root = RetailTables(spark, SF), scratch_path(spark, "tests/report_scans")
+    names = ("bills", "coupons", "promos", "traffic", "stores")
+    for n in names:
+        getattr(t, n).write.parquet(f"{root}/{n}")
+    stored = type("Stored", (), {n: spark.read.parquet(f"{root}/{n}") for n in names})
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        plan = optimized(RM.report_mart(stored, "19960101", "19960228", 2, ("month_interval",)))
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert len(re.findall(r"Relation \[[^\]]*rpa_sat", plan)) == 2
+    assert len(re.findall(r"isnotnull\(calday#\d+\)", plan)) == 1
+    assert re.search(r"Filter \(+isnotnull\(billnum#\d+L\) AND isnotnull\(material#\d+L\)\) AND \(might_contain\(", plan)
+
+
+def test_items_laid_out_by_bill(spark):
+    from martspark.operators.loads import load_full
+    from martspark.operators.merge import upsert_table
+    from martspark.operators.tables import read_table
+    from martspark.session import scratch_path
+    items, path = RetailTables(spark, SF).bills_item, f"{scratch_path(spark, 'tests/laid_out')}/items"
+    load_full(items, path, order_by="billnum")
+    for _ in range(2):
+        files = (read_table(spark, path).groupBy(F.input_file_name().alias("f")).agg(F.min("billnum").alias("lo"), F.max("billnum").alias("hi"))
+                 .orderBy("lo").collect())
+        assert all(a["hi"] <= b["lo"] for a, b in zip(files, files[1:])) and read_table(spark, path).count() == items.count()
+        upsert_table(spark, path, items.where("billnum % 7 = 0"), ["billnum"], order_by="billnum")
