@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martspark.session import scratch_path
@@ -41,6 +41,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def matched(docs: DataFrame, keys: DataFrame, others: dict[str, str] | None = None) -> DataFrame:
+    """Rows of ``docs`` as a struct ``carry``, joined with the rows of ``keys`` (doc_id, th and the
+    columns that ``others`` maps from columns of docs) that have the same doc_id and text hash, and
+    ``nth``, a number among rows that are equal in these. Texts cross the network once, and no
+    copy of them is staged. ``keys`` has a row at most for each key."""
+    others = others or {}
+    left = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("carry"), F.col("doc_id").cast("long").alias("k_doc_id"), text_hash().alias("k_th"),
+                       *[F.col(c).cast("string").alias(f"k_{k}") for k, c in others.items()])
+    names = ["doc_id", "th", *others]
+    on = F.lit(True)
+    for k in names:
+        on = on & (left[f"k_{k}"].eqNullSafe(keys[k]))
+    same = Window.partitionBy(*[f"k_{k}" for k in names]).orderBy("k_th")
+    return left.join(keys, on).withColumn("nth", F.row_number().over(same)).drop(*names, *[f"k_{k}" for k in names])
+
+
 def buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (n + 1, from 0) and bytes of a string or binary array; a null is empty."""
     if isinstance(arr, pa.ChunkedArray):

@@ -68,19 +68,18 @@ def line_array(text: Column) -> Column:
                                           normal(x).alias("s")))
 
 
-def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_share: float = 0.2, min_left: float = 0.3,
-           carry: list[str] | None = None) -> DataFrame:
-    """Per text: doc_id, the base counts, base_failed, kept, words_left, removed (hashes of its
-    lines above the limits), and ``carry``, a struct of input columns.
+def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_share: float = 0.2, min_left: float = 0.3) -> DataFrame:
+    """Per text: doc_id, host, th (hash of the text), the base counts, base_failed, kept,
+    words_left, and removed (hashes of its lines above the limits).
 
     A line of a host is above the limits if over ``doc_limit`` distinct documents have it and
     they are ``min_share`` or more of all its documents there. A document is depleted if less
     than ``min_left`` of its words is left.
     """
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                      F.col(host_col).cast("string").alias("host"), F.struct(*([docs[c] for c in carry] if carry else [F.lit(0).alias("none")])).alias("carry"))
+                      F.col(host_col).cast("string").alias("host"), C.text_hash().alias("th"))
     src = src.withColumn("found", line_array(F.col("text"))).select(
-        "doc_id", "host", "carry", F.col("text").cast("binary").alias("text"),
+        "doc_id", "host", "th", F.col("text").cast("binary").alias("text"),
         F.transform("found", lambda x: F.struct(x["h"].alias("h"), x["w"].alias("w"))).alias("lines"),
         F.xxhash64(F.array_min(F.transform("found", lambda x: x["s"]))).alias("sign"))
     schema = src.drop("text").withColumn("row", F.lit(0).cast("long")).withColumns({c: F.lit(0).cast("long") for c in STATS}).schema
@@ -94,7 +93,7 @@ def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_s
             cols = {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in STATS}
             cols["row"] = np.arange(row, row + len(b))
             row += len(b)
-            yield pa.RecordBatch.from_arrays([b.column(f.name) if f.name in ("doc_id", "host", "carry", "lines", "sign") else pa.array(cols[f.name], pa.int64()) for f in schema], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(f.name) if f.name in ("doc_id", "host", "th", "lines", "sign") else pa.array(cols[f.name], pa.int64()) for f in schema], names=schema.names)
 
     counted = C.staged(src.mapInArrow(count, schema), "line_rules")
     lines = counted.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.w")
@@ -108,8 +107,8 @@ def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_s
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("n_words") - F.coalesce(F.col("w"), F.lit(0))
     return (counted.join(gone, "row", "left")
-            .select("doc_id", *STATS, failed.alias("base_failed"), (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
-                    left.alias("words_left"), F.coalesce("removed", F.array().cast("array<long>")).alias("removed"), "carry"))
+            .select("doc_id", "host", "th", *STATS, failed.alias("base_failed"), (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
+                    left.alias("words_left"), F.coalesce("removed", F.array().cast("array<long>")).alias("removed")))
 
 
 def without(text: Column, removed: Column) -> Column:
@@ -118,10 +117,11 @@ def without(text: Column, removed: Column) -> Column:
     return F.when(F.size(removed) > 0, F.array_join(lines, "\n")).otherwise(text)
 
 
-def clean(docs: DataFrame, **limits) -> DataFrame:
+def clean(docs: DataFrame, host_col: str = "source", **limits) -> DataFrame:
     """The kept documents, all their columns, without the lines above the limits; n_chars, where
     there is one, counts what is left. A null text stays null (and is rejected: no words)."""
-    got = judged(docs, carry=docs.columns, **limits).filter("kept")
+    kept = judged(docs, host_col, **limits).filter("kept").groupBy("doc_id", "host", "th").agg(F.first("removed").alias("removed"))
+    got = C.matched(docs, kept, {"host": host_col})
     text = without(F.col("carry.text"), F.col("removed"))
     cols = [text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"carry.`{c}`").alias(c) for c in docs.columns]
     return got.select(*cols)

@@ -53,10 +53,10 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, ceiling: in
 
 def sample(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, ceiling: int = 2, seed: str = "mix",
            carry: list[str] | None = None) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, copies, taken, and ``carry``, a struct of
+    """Per document: doc_id, source, th (hash of the text), size, source_size, target, copies, taken, and ``carry``, a struct of
     input columns."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                      F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+                      C.text_hash().alias("th"), F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
                       F.struct(*([docs[c] for c in carry] if carry else [F.lit(0).alias("none")])).alias("carry"))
     # equal rows are told apart by the last key: they may go to several ranges
     dealt = (src.withColumn("tie", F.monotonically_increasing_id())
@@ -76,10 +76,13 @@ def sample(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, ceiling: int =
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     upto = lambda k: F.floor(offset(F.col("source"), seed) + rate * (F.col("before") + k))
     copies = (upto(F.col("nth")) - upto(F.col("nth") - 1)).cast("long")
-    return ranked.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "carry")
+    return ranked.select("doc_id", "source", "th", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "carry")
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every document, all its columns, as many times as it is taken."""
-    got = sample(docs, carry=docs.columns, **how).filter("copies > 0")
-    return got.select("carry", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*[F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    """The mix itself: every document, all its columns, as many times as it is taken. Rows that
+    are equal in doc_id, source and text share their copies as evenly as these allow."""
+    taken = sample(docs, **how).groupBy("doc_id", "source", "th").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).filter("copies > 0")
+    got = C.matched(docs, taken, {"source": "source"})
+    own = F.expr("cast(copies div rows + if(nth <= copies % rows, 1, 0) as int)")
+    return got.select("carry", F.explode(F.array_repeat(F.lit(0), own))).select(*[F.col(f"carry.`{c}`").alias(c) for c in docs.columns])

@@ -49,23 +49,18 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * total > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 3, carry: list[str] | None = None) -> DataFrame:
-    """Staged (row, doc_id, fp long, carry) of every text; row tells repeated rows apart."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
-                      F.struct(*([docs[c] for c in carry] if carry else [F.lit(0).alias("none")])).alias("carry"))
-    schema = src.drop("text").withColumns({"row": F.lit(0).cast("long"), "fp": F.lit(0).cast("long")}).schema
+def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
+    """Staged (doc_id, th, fp long) of every text; th is the hash of the text as it is."""
+    src = C.byte_texts(docs).withColumn("th", F.xxhash64("text"))
 
     def run(batches):
-        from pyspark import TaskContext
-        row = TaskContext.get().partitionId() << 40
         for b in batches:
             offs, data = C.buffers(b.column("text"))
             raw = data.tobytes()
             fps = np.array([fingerprint(raw[i:j], width) for i, j in zip(offs[:-1].tolist(), offs[1:].tolist())], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("carry"), pa.array(np.arange(row, row + len(b))), pa.array(fps)], names=["doc_id", "carry", "row", "fp"])
-            row += len(b)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fps)], names=["doc_id", "th", "fp"])
 
-    return C.staged(src.mapInArrow(run, schema), "simhash")
+    return C.staged(src.mapInArrow(run, "doc_id long, th long, fp long"), "simhash")
 
 
 def parts_of(free: np.ndarray, n: int) -> list[np.ndarray]:
@@ -247,7 +242,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = BITS) -> DataFr
 
 def survivors(docs: DataFrame, width: int = 3, bits: int = BITS) -> DataFrame:
     """One document of each group, with the smallest doc_id (a null one last), all its columns."""
-    prints = fingerprints(docs, width, carry=docs.columns)
+    prints = fingerprints(docs, width)
     of = grouped(prints, bits).select("fp", "root")
-    first = prints.select("doc_id", "row", "fp").join(of, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return prints.join(first.select(F.col("first.row").alias("row")), "row").select(*[F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    first = prints.join(of, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"))
+    # two groups may not name one key: a doc_id and text have one fingerprint
+    got = C.matched(docs, first.select("first.doc_id", "first.th")).filter("nth = 1")
+    return got.select(*[F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
