@@ -4,9 +4,8 @@ Base rules count words, symbols, repeated lines and repeated 5-word windows of a
 are normalised and hashed, the distinct documents of each line are counted per host, lines above
 the limits are removed, and documents that the removal depletes are rejected.
 
-Documents with the same smallest line are taken as copies and count once for a line, and a line
-is only above the limits if such distinct documents are also a share of all documents that hold
-it: a group of copies is no reason to call its lines boilerplate.
+Documents of a host with equal whole texts are copies and count once for a line: a group of copies
+is no reason to call its lines boilerplate. Any difference in the text makes another document.
 
 Null text: no words, fails the base rules. Null host: a host of its own. Null doc_id: kept.
 Repeated rows: a result each. Other columns of the input are not read, but ``clean`` carries them
@@ -62,26 +61,22 @@ def normal(line: Column) -> Column:
 
 
 def line_array(text: Column) -> Column:
-    """(h, w, s) of each line with a word: hash and text of the normalised line, its words."""
+    """(h, w) of each line with a word: hash of the normalised line, its words."""
     return F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
-                       lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).cast("long").alias("w"),
-                                          normal(x).alias("s")))
+                       lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).cast("long").alias("w")))
 
 
-def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_share: float = 0.2, min_left: float = 0.3) -> DataFrame:
+def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_share: float = 0.0, min_left: float = 0.3) -> DataFrame:
     """Per text: doc_id, host, th (hash of the text), the base counts, base_failed, kept,
     words_left, and removed (hashes of its lines above the limits).
 
-    A line of a host is above the limits if over ``doc_limit`` distinct documents have it and
-    they are ``min_share`` or more of all its documents there. A document is depleted if less
+    A line of a host is above the limits if over ``doc_limit`` distinct documents have it and, with
+    ``min_share``, they are such a share or more of all its documents there. A document is depleted if less
     than ``min_left`` of its words is left.
     """
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
                       F.col(host_col).cast("string").alias("host"), C.text_hash().alias("th"))
-    src = src.withColumn("found", line_array(F.col("text"))).select(
-        "doc_id", "host", "th", F.col("text").cast("binary").alias("text"),
-        F.transform("found", lambda x: F.struct(x["h"].alias("h"), x["w"].alias("w"))).alias("lines"),
-        F.xxhash64(F.array_min(F.transform("found", lambda x: x["s"]))).alias("sign"))
+    src = src.select("doc_id", "host", "th", F.col("text").cast("binary").alias("text"), line_array(F.col("text")).alias("lines"))
     schema = src.drop("text").withColumn("row", F.lit(0).cast("long")).withColumns({c: F.lit(0).cast("long") for c in STATS}).schema
 
     def count(batches):
@@ -93,13 +88,13 @@ def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_s
             cols = {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in STATS}
             cols["row"] = np.arange(row, row + len(b))
             row += len(b)
-            yield pa.RecordBatch.from_arrays([b.column(f.name) if f.name in ("doc_id", "host", "th", "lines", "sign") else pa.array(cols[f.name], pa.int64()) for f in schema], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(f.name) if f.name in ("doc_id", "host", "th", "lines") else pa.array(cols[f.name], pa.int64()) for f in schema], names=schema.names)
 
     counted = C.staged(src.mapInArrow(count, schema), "line_rules")
     lines = counted.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.w")
-    once = counted.select("host", "sign", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))     # a document counts once
-    per_sign = once.groupBy("host", "h", "sign").agg(F.count("*").alias("c"))
-    above = (per_sign.groupBy("host", "h").agg(F.count("*").alias("distinct_docs"), F.sum("c").alias("c"))
+    once = counted.select("host", "th", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))     # a document counts once
+    per_text = once.groupBy("host", "h", "th").agg(F.count("*").alias("c"))
+    above = (per_text.groupBy("host", "h").agg(F.count("*").alias("distinct_docs"), F.sum("c").alias("c"))
              .filter((F.col("distinct_docs") > doc_limit) & (F.col("distinct_docs") >= min_share * F.col("c")))
              .select(F.col("host").alias("a_host"), F.col("h").alias("a_h")))
     gone = (lines.join(above, lines["host"].eqNullSafe(above["a_host"]) & (lines["h"] == above["a_h"]))

@@ -81,3 +81,13 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert "letter" not in out[0]["text"] and out[0]["n_chars"] == len(out[0]["text"])
     assert set(out[0].asDict()) == set(df.columns)
     assert L.clean(df).columns == df.columns
+
+
+def test_line_that_sorts_first_goes_too(spark):
+    word = lambda k: f"w{k * 7919 % 100003}"
+    own = lambda k: " ".join(word(100 * k + j) for j in range(15))
+    rows = [(k, f"- menu - of this site\n{own(k)}\nzz all about our site") for k in range(30)]
+    rows += [(100 + k, "- a notice\n" + own(500)) for k in range(30)]                             # copies count once
+    kept = {r["doc_id"]: r for r in L.judged(H.frame(spark, rows)).collect()}
+    assert all(kept[k]["kept"] and kept[k]["words_left"] == 15 for k in range(30))
+    assert all(kept[100 + k]["kept"] and kept[100 + k]["words_left"] == 18 for k in range(30))
