@@ -109,3 +109,29 @@ def test_training_learns_a_pattern():
 def test_classes_are_a_distribution():
     c = M.Classes(np.random.default_rng(0).integers(0, 1000, 5000))
     assert np.allclose(np.bincount(c.of, np.exp(c.inside), M.CLASSES)[np.unique(c.of)], 1)
+
+
+def test_rounds_train_on_every_window_once():
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 200, 30)
+    ids = rng.integers(0, M.CLASSES, sizes.sum())
+    win, goal, _ = M.windows_of(ids, sizes, 0)
+    rounds = [M.windows_of(ids, sizes, 0, M.ROUNDS, k)[:2] for k in range(M.ROUNDS)]
+    rows = lambda w, g: sorted(np.concatenate([w, g], 1).tolist())
+    assert rows(*map(np.concatenate, zip(*rounds))) == rows(win, goal)
+
+
+def test_held_out_scores_need_attention(spark):
+    """Words follow the word two before them: the best model without attention knows only the last."""
+    rng, names = np.random.default_rng(6), ["the", "of", "and", "to", "in", "is"]
+    rows = []
+    for k in range(900):
+        x = rng.integers(0, 6, 600)
+        for t in range(2, 600):
+            x[t] = (x[t - 2] + 1) % 6 if rng.random() < 0.95 else x[t]
+        rows.append((k, " ".join(names[i] for i in x)))
+    held = [r for r in M.score(H.frame(spark, rows), tokenizer_path()).collect() if r["held_out"]]
+    pairs = Counter(p for _, t in rows for p in zip(t.split(), t.split()[1:]))
+    first = Counter(w for _, t in rows for w in t.split()[:-1])
+    plain = -sum(n * math.log10(n / first[a]) for (a, _), n in pairs.items()) / sum(pairs.values())
+    assert -sum(r["score"] for r in held) / sum(r["n_ids"] for r in held) < 0.9 * plain
