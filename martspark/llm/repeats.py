@@ -36,7 +36,7 @@ CHUNK = 1 << 20            # window starts looked at together
 BLOCK = 32 << 20           # bytes of text combined before the shuffle
 LEAF = 2000                # most contexts in one group's suffix array
 SUFFIXES = 60_000          # suffixes sorted together (whole groups)
-FIELDS = (("a", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("null", "u1"), ("tie", "<u4"), ("lo", "<u4"), ("len", "<u2"))
+FIELDS = (("a", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("null", "u1"), ("tie", "<u8"), ("lo", "<u4"), ("len", "<u2"))
 PACKET = "bucket int, " + ", ".join(f"`{n}` binary" for n, _ in FIELDS)
 SPANS = "doc long, tie long, lo binary, hi binary"
 
@@ -170,8 +170,10 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, tie, text): tie tells different texts with one doc_id apart."""
-    return C.byte_texts(docs).select(F.col("doc_id").alias("doc"), F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie"), "text")
+    """(doc, tie, text): tie, the text's hash with its halves swapped, tells different texts with
+    one doc_id apart."""
+    h = F.xxhash64("text")
+    return C.byte_texts(docs).select(F.col("doc_id").alias("doc"), F.shiftleft(h, 32).bitwiseOR(F.shiftrightunsigned(h, 32)).alias("tie"), "text")
 
 
 _PACKET_TYPE = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n, _ in FIELDS), ("doc_", pa.int64()), ("tie_", pa.int64()), ("lo_", pa.binary()), ("hi_", pa.binary())])
@@ -201,7 +203,7 @@ def context_packets(texts: DataFrame, buckets: int) -> DataFrame:
         for b in batches:
             offs, data = C.buffers(b.column("text"))
             doc, null = np.asarray(b.column("doc").fill_null(0)), np.asarray(b.column("doc").is_null()).astype(np.uint8)
-            tie = np.asarray(b.column("tie")).astype(np.uint32)
+            tie = np.asarray(b.column("tie")).astype(np.uint64)
             for i, j in C.chunks(offs):
                 a, c, text, lo, n = anchors(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                 text = text + i
@@ -236,11 +238,11 @@ def compared(packed: DataFrame, buckets: int, leaf: int) -> DataFrame:
         for hot in (False, True):
             rows = np.flatnonzero((group > 1) & ((group > leaf) == hot))
             rows = rows[np.lexsort((t["lo"][rows], t["tie"][rows], t["doc"][rows], t["null"][rows]))]
-            key = np.stack([t[k][rows] for k in ("doc", "null", "tie")]) if len(rows) else np.zeros((3, 0), np.int64)
+            key = np.stack([t[k][rows].astype(np.int64) for k in ("doc", "null", "tie")]) if len(rows) else np.zeros((3, 0), np.int64)
             for part in np.split(rows, np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1):
                 if len(part):
                     p = part[0]
-                    out.append(dict(doc=None if t["null"][p] else int(t["doc"][p]), tie=int(t["tie"][p]), lo=pack(t["lo"][part]),
+                    out.append(dict(doc=None if t["null"][p] else int(t["doc"][p]), tie=int(t["tie"][p].astype(np.int64)), lo=pack(t["lo"][part]),
                                     hi=pack(t["lo"][part] + t["len"][part]), a=pack(t["a"][part], "<u8"), hot=hot))
         out = pd.DataFrame(out, columns=["doc", "tie", "lo", "hi", "a", "hot"])
         return out.astype({"doc": "Int64"})
@@ -343,7 +345,7 @@ def repeat_spans(t: dict, group: np.ndarray, offs: np.ndarray, data: np.ndarray)
 
 def _columns(b) -> dict:
     return dict(doc=np.asarray(b.column("doc").fill_null(0)), null=np.asarray(b.column("doc").is_null()).astype(np.int64),
-                tie=np.asarray(b.column("tie")), lo=np.asarray(b.column("lo")))
+                tie=np.asarray(b.column("tie")).astype(np.uint64), lo=np.asarray(b.column("lo")))
 
 
 def by_suffix_array(contexts: DataFrame, buckets: int) -> DataFrame:

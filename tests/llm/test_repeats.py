@@ -90,3 +90,16 @@ def test_real_outputs(spark):
     p = "".join(random.Random(9).choices("abcdefghij", k=150))
     got = {r["doc_id"]: r for r in R.remove_repeats(H.frame(spark, [(1, "A" + p), (2, "B" + p + "C")]), keep=True).collect()}
     assert bytes(got[2]["kept"]) == b"BC" and got[2]["spans"] == [[1, 151]] and got[1]["n_removed"] == 0
+
+
+@pytest.mark.parametrize("leaf", [R.LEAF, 1])
+def test_texts_of_one_id_that_share_half_a_hash(spark, leaf):
+    import xxhash
+    p, seen = "".join(random.Random(11).choices("abcdefghij", k=150)), {}
+    for k in range(1_000_000):
+        other = seen.setdefault(xxhash.xxh64(f"{p}{k}", seed=42).intdigest() & 0xFFFFFFFF, k)
+        if other != k:
+            break
+    got = R.remove_repeats(H.frame(spark, [(None, f"{p}{other}"), (None, f"{p}{k}"), (1, "x" + p[:120])]), leaf=leaf).collect()
+    removed = sorted(r["n_removed"] for r in got)
+    assert removed[0] == 0 and removed[1] == 120 and removed[2] >= 150
