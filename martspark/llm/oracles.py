@@ -97,6 +97,56 @@ SELECT h.doc_id, CAST(h.n AS BIGINT) AS n_bytes, CAST(h.n - length(kept) / 2 AS
 FROM h JOIN kept USING (doc_id)
 """
 
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')) v(conv_id, turn, role, text)
+), s AS (
+  SELECT *, row_number() OVER o - 1 AS pos, coalesce(lag(role) OVER o, 'start') AS prev,
+         14 + length(role) + length(text) + len(regexp_extract_all(role, '[\\#:<]')) + len(regexp_extract_all(text, '[\\#:<]')) AS chars
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+         CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+         sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY pos)) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+         min(pos) FILTER (WHERE (prev, role) NOT IN (('start', 'system'), ('start', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))) AS bad_turn,
+         arg_max(role, pos) AS ending
+  FROM s GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+       CASE WHEN bad_turn IS NOT NULL THEN 'order' WHEN ending = 'assistant' THEN 'ok' ELSE 'open' END AS verdict, bad_turn
+FROM g
+"""
+
+
+def vector_codes() -> str:
+    """For vectors of 64 components: 16 parts of four."""
+    four = lambda f: ", ".join(f(c) for c in "abcd")
+    way = " + ".join(f"(x.{c} - k.{c}) * (x.{c} - k.{c})" for c in "abcd")
+
+    def near(n: int) -> str:
+        return (f"n{n} AS (SELECT r, part, min(({way}) * 64 + k.entry) AS found FROM x JOIN k{n} k USING (part) GROUP BY ALL)")
+
+    def mean(n: int) -> str:
+        floor = four(lambda c: f"(sum({c}) - ((sum({c}) % count(*)) + count(*)) % count(*)) // count(*) AS {c}")
+        return (f"m{n} AS (SELECT part, found % 64 AS entry, {floor} FROM x JOIN n{n} USING (r, part) GROUP BY ALL), "
+                f"k{n + 1} AS (SELECT part, entry, {four(lambda c: f'CAST(coalesce(m.{c}, k.{c}) AS BIGINT) AS {c}')} FROM k{n} k LEFT JOIN m{n} m USING (part, entry))")
+
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+), x AS (
+  SELECT r, part, {four(lambda c: f"CAST(floor(256 * CAST(embedding[4 * part + {1 + 'abcd'.index(c)}] AS DOUBLE)) AS BIGINT) AS {c}")}
+  FROM (SELECT r, embedding, unnest(range(16)) AS part FROM v)
+), k0 AS (SELECT part, r AS entry, a, b, c, d FROM x WHERE r < 64), {near(0)}, {mean(0)}, {near(1)}, {mean(1)}, {near(2)}, e AS (
+  SELECT r, string_agg(printf('%02x', CAST(found % 64 AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(found // 64) AS BIGINT) AS error FROM n2 GROUP BY r
+), b AS (
+  SELECT sha256(string_agg(a || ',' || b || ',' || c || ',' || d, ',' ORDER BY part, entry)) AS codebooks_sha256 FROM k2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM e JOIN v USING (r) CROSS JOIN b
+"""
+
 
 def licenses() -> str:
     values = lambda rows: ", ".join("(" + ", ".join(repr(x) for x in r) + ")" for r in rows)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gam, iblt, license_join, line_rules, lm, mixing, oracles, pii, repeats, simhash
+from . import bpe, chat, gam, iblt, license_join, line_rules, lm, mixing, oracles, pii, repeats, simhash, vector_codes
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -60,6 +60,14 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_gam": op2_gam,
@@ -71,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_iblt": op9_iblt,
     "op10_lm": op10_lm,
+    "op11_chat": op11_chat,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
@@ -78,4 +88,6 @@ ORACLES: dict[str, str] = {
     "op7_repeats": oracles.REPEATS,
     "op8_licenses": oracles.licenses(),
     "op6_mix": oracles.MIX,
+    "op11_chat": oracles.CHAT,
+    "op13_vector_codes": oracles.vector_codes(),
 }
