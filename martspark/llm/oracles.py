@@ -118,6 +118,41 @@ SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
 FROM g
 """
 
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents
+), p AS (
+  SELECT doc, lang, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS nth FROM d
+), s AS (
+  SELECT doc, lang, nth, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), w AS (
+  SELECT doc, lang, nth, unnest(words) AS w1, generate_subscripts(words, 1) AS pos FROM s
+), ahead AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY doc, nth ORDER BY pos)
+), one AS (SELECT lang, w1, count(*) AS f FROM ahead GROUP BY ALL
+), two AS (SELECT lang, w1, w2, count(*) AS a FROM ahead WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), three AS (SELECT lang, w1, w2, w3, count(*) AS a FROM ahead WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang
+), longer AS (
+  SELECT lang, w1, w2, max(a) AS most FROM (SELECT lang, w1, w2, a FROM three UNION ALL SELECT lang, w2, w3, a FROM three) GROUP BY ALL
+), cut AS (
+  SELECT lang, w1 || ' ' || w2 AS phrase, a, x.f AS l, y.f AS r, 1 AS k
+  FROM two JOIN one x USING (lang, w1) JOIN one y ON y.lang = two.lang AND y.w1 = two.w2 LEFT JOIN longer USING (lang, w1, w2)
+  WHERE most IS NULL OR 100 * most < 50 * a
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, x.f, y.a, 1 FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, x.a, y.f, 2 FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN one y ON y.lang = t.lang AND y.w1 = t.w3
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cut
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 def vector_codes() -> str:
     """For vectors of 64 components: 16 parts of four."""

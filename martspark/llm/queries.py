@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, gam, iblt, license_join, line_rules, lm, mixing, oracles, pii, repeats, simhash, vector_codes
+from . import bpe, chat, collocations, gam, iblt, license_join, line_rules, lm, mixing, oracles, pii, repeats, simhash, vector_codes
 from .common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -64,6 +64,10 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_iblt": op9_iblt,
     "op10_lm": op10_lm,
     "op11_chat": op11_chat,
+    "op12_collocations": op12_collocations,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -89,5 +94,6 @@ ORACLES: dict[str, str] = {
     "op8_licenses": oracles.licenses(),
     "op6_mix": oracles.MIX,
     "op11_chat": oracles.CHAT,
+    "op12_collocations": oracles.COLLOCATIONS,
     "op13_vector_codes": oracles.vector_codes(),
 }
