@@ -34,8 +34,8 @@ from . import common as C
 from .blocks import blob_words, pack, pack_rising, unpack, unpack_rising, words_blob
 
 LEAST, SHARE, TOP = 10, 50, 2000          # occurrences of a candidate; per cent of it in a longer one; rows a language
-BLOCK_WORDS = 2 << 20                     # of a block, about
-BUDGET = 2 << 20                          # suffixes of a group
+BLOCK_WORDS = 1 << 20                     # of a block, about
+BUDGET = 1 << 20                          # suffixes of a group
 BUCKET_BYTES = 64 << 20                   # of text a dictionary bucket
 BITS = 21                                 # numbers below 2**21: three fit a 64-bit code
 
