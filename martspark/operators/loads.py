@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martspark.functions import add_months_py, parse_date_text, prune_months, trunc_month_py
-from martspark.operators.tables import (PART_COL, beside, check_anchor, delete_path, drop_partitions, month_key,
-                                        month_start, months_in, next_month_start, read_table,
-                                        staging_path, swap_in, write_observed)
+from martspark.operators.ranges import RANGES, in_ranges, key_ranges
+from martspark.operators.tables import (PART_COL, beside, check_anchor, delete_path, month_key, month_start,
+                                        months_in, next_month_start, path_exists, read_table, replace_table,
+                                        staging_path, swap_in, table_partition_values, write_observed)
 from martspark.sources.files import CheckedRead
 
 
@@ -50,13 +51,13 @@ def accepted(source: DataFrame | CheckedRead, target_path: str) -> Iterator[Data
 
 
 def load_full(source: DataFrame | CheckedRead, target_path: str, partition_col: str | None = None,
-              date_key: str | None = None, anchor_day: int = 1, order_by: str | None = None) -> int:
-    """Truncate the target and load every source row (one overwrite)."""
+              date_key: str | None = None, anchor_day: int = 1, order_by: str | None = None,
+              bucket: tuple[str, int] | None = None) -> int:
+    """Replace the target by every source row. A load that fails leaves the target as it was."""
     with accepted(source, target_path) as df:
         if partition_col and date_key:
             df = df.withColumn(partition_col, month_key(date_key, anchor_day))
-        rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True, order_by=order_by)
-    return rows
+        return replace_table(df, target_path, partition_col, cluster=True, order_by=order_by, bucket=bucket)
 
 
 def load_filtered(source: DataFrame | CheckedRead, target_path: str, where: str | Column | None = None,
@@ -69,14 +70,14 @@ def load_filtered(source: DataFrame | CheckedRead, target_path: str, where: str
             if not truncate:
                 check_anchor(df.sparkSession, target_path, anchor_day, partition_col)
             df = df.withColumn(partition_col, month_key(date_key, anchor_day))
-        rows, _ = write_observed(df, target_path, "overwrite" if truncate else "append", partition_col,
-                                 cluster=True)
-    return rows
+        if truncate:
+            return replace_table(df, target_path, partition_col, cluster=True)
+        return write_observed(df, target_path, "append", partition_col, cluster=True)[0]
 
 
 def truncate_table(spark: SparkSession, target_path: str, schema) -> None:
     """Empty a table, keeping its schema readable (an overwrite with no rows)."""
-    write_observed(spark.createDataFrame([], schema), target_path, "overwrite")
+    replace_table(spark.createDataFrame([], schema), target_path)
 
 
 def insert_rows(spark: SparkSession, target_path: str, rows: list[tuple], schema) -> int:
@@ -94,8 +95,7 @@ def load_single_partition(source: DataFrame | CheckedRead, target_path: str, key
     with accepted(source, target_path) as df:
         df = (df.where((F.col(key) >= F.lit(s)) & (F.col(key) < F.lit(e)))
                 .withColumn(partition_col, month_key(key, anchor_day or s.day)))
-        rows, _ = write_observed(df, target_path, "overwrite", partition_col, cluster=True)
-    return rows
+        return replace_table(df, target_path, partition_col, cluster=True)
 
 
 def delta_window(start, end, anchor_day: int = 1) -> tuple[dt.date, dt.date]:
@@ -105,27 +105,59 @@ def delta_window(start, end, anchor_day: int = 1) -> tuple[dt.date, dt.date]:
             next_month_start(month_start(_as_date(end), anchor_day), anchor_day))
 
 
+def month_digests(df: DataFrame, columns: list[str], partition_col: str = PART_COL) -> DataFrame:
+    """Row count and two order-free hashes of the rows of each month: equal rows, as often, in
+    any order and any files give equal digests."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    g = F.xxhash64(F.lit("second"), *[F.col(f"`{c}`") for c in columns])
+    return df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("total"),
+                                         F.bit_xor(g).alias("parity"))
+
+
+def unchanged_months(spark: SparkSession, staged_path: str, target_path: str, months: list[str],
+                     partition_col: str = PART_COL) -> set[str]:
+    """Those of ``months`` that hold the same rows in both tables."""
+    here = set(table_partition_values(spark, target_path, partition_col)) & set(table_partition_values(spark, staged_path, partition_col)) & set(months)
+    if not here:
+        return set()
+    new, old = read_table(spark, staged_path), read_table(spark, target_path)
+    if sorted(new.dtypes) != sorted(old.dtypes):
+        return set()
+    cols, hit = sorted(new.columns), F.col(partition_col).isin([dt.date.fromisoformat(m) for m in sorted(here)])
+    a, b = (month_digests(x.where(hit), cols, partition_col) for x in (new, old))
+    return {str(r[0]) for r in a.intersect(b).select(partition_col).collect()}
+
+
 def replace_months(spark: SparkSession, df: DataFrame, target_path: str, ws: dt.date, we: dt.date,
-                   key: str, partition_col: str = PART_COL, validate: bool = True, anchor_day: int = 1) -> int:
-    """Replace every month partition in [ws, we) with the rows of ``df`` (one dynamic
-    overwrite); months of the window that receive no row are emptied. The table's months must
-    start on ``anchor_day``, or the load is refused."""
+                   key: str, partition_col: str = PART_COL, validate: bool = True, anchor_day: int = 1,
+                   keep_equal: bool = False) -> int:
+    """Replace every month partition in [ws, we) with the rows of ``df``: written beside the
+    table, then all months renamed in together; months of the window that receive no row are
+    emptied. A load that fails leaves the table as it was. The table's months must start on
+    ``anchor_day``, or the load is refused. ``keep_equal`` leaves months alone whose rows are the
+    same as before (their files keep their names), for a scan of both."""
     check_anchor(spark, target_path, anchor_day, partition_col)
-    staged = df.withColumn(partition_col, month_key(key, anchor_day))
+    staged, new_path = df.withColumn(partition_col, month_key(key, anchor_day)), beside(target_path)
     if validate:
         staged = staged.withColumn(partition_col, F.when(
             (F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)), F.col(partition_col)
         ).otherwise(F.raise_error(F.concat(F.lit("row outside the partition window: "), F.col(key).cast("string")))))
-    rows, parts = write_observed(staged, target_path, "overwrite", partition_col, dynamic=True, cluster=True)
-    got = {str(_as_date(p)) for p in parts if p is not None}
-    drop_partitions(spark, target_path, [m for m in map(str, months_in(ws, we, anchor_day)) if m not in got],
-                    partition_col)
+    try:
+        rows, _ = write_observed(staged, new_path, "overwrite", partition_col, cluster=True)
+        months = [str(m) for m in months_in(ws, we, anchor_day)]
+        same = unchanged_months(spark, new_path, target_path, months, partition_col) if keep_equal else set()
+        if rows and not path_exists(spark, target_path):
+            swap_in(spark, new_path, target_path)
+        else:
+            swap_in(spark, new_path, target_path, [m for m in months if m not in same], partition_col)
+    finally:
+        delete_path(spark, new_path)
     return rows
 
 
 def load_delta_partitions(spark: SparkSession, source: DataFrame | CheckedRead, target_path: str, key: str,
                           start, end, convert: bool = False, date_format: str = "dd.MM.yyyy",
-                          partition_col: str = PART_COL, anchor_day: int = 1) -> int:
+                          partition_col: str = PART_COL, anchor_day: int = 1, keep_equal: bool = False) -> int:
     """Replace the whole months covering [start, end] with the source rows of those
     months. With ``convert`` the source key is text in ``date_format`` and is parsed
     before filtering (bad text raises, as the source database does)."""
@@ -134,7 +166,7 @@ def load_delta_partitions(spark: SparkSession, source: DataFrame | CheckedRead,
         src = src.withColumn(key, parse_date_text(key, date_format)) if convert else src
         df = src.where((F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)))
         return replace_months(spark, df, target_path, ws, we, key, partition_col, validate=False,
-                              anchor_day=anchor_day)
+                              anchor_day=anchor_day, keep_equal=keep_equal)
 
 
 HEADER_ITEM_COLUMNS = ("billnum", "billitem", "material", "plant", "calday", "calmonth",
@@ -144,26 +176,22 @@ HEADER_ITEM_COLUMNS = ("billnum", "billitem", "material", "plant", "calday", "ca
 def load_header_item(spark: SparkSession, items: DataFrame, heads: DataFrame, target_path: str,
                      start, end, key: str = "calday", join_key: str = "billnum",
                      key_range_pushdown: bool = False, partition_col: str = PART_COL,
-                     anchor_day: int = 1) -> int:
+                     anchor_day: int = 1, ranges: int = RANGES, keep_equal: bool = False) -> int:
     """Items joined to the heads of each month in the window, ``calmonth`` derived,
     months replaced. Of heads partitioned by month only the window's partitions are opened.
-    ``key_range_pushdown`` first takes MIN/MAX of the heads' join key and adds a BETWEEN on
-    the items, which a JDBC source evaluates remotely and which skips the row groups of items
-    laid out by that key."""
+    ``key_range_pushdown`` first cuts the heads' join keys into up to ``ranges`` ranges at their
+    largest gaps and reads the items in these only: a JDBC source evaluates that remotely, and of
+    items laid out by that key the row groups between the ranges are skipped. Items bucketed by
+    the join key (``catalog.register``) meet the heads where they lie."""
     ws, we = delta_window(start, end, anchor_day)
     h = prune_months(heads, ws, we, partition_col).where((F.col(key) >= F.lit(ws)) & (F.col(key) < F.lit(we)))
     h = h.drop(partition_col)
-    it = items
-    if key_range_pushdown:
-        lo_hi = h.agg(F.min(join_key).alias("lo"), F.max(join_key).alias("hi")).first()
-        if lo_hi["lo"] is None:        # no heads in the window: nothing to join
-            it = it.where(F.lit(False))
-        else:
-            it = it.where(F.col(join_key).between(lo_hi["lo"], lo_hi["hi"]))
+    it = items.where(in_ranges(join_key, key_ranges(h, join_key, ranges))) if key_range_pushdown else items
     j = it.join(h, join_key).select(
         join_key, "billitem", "material", "plant", key,
         F.date_format(key, "yyyyMM").alias("calmonth"), "rpa_sat", "qty", "netval", "tax")
-    return replace_months(spark, j, target_path, ws, we, key, partition_col, validate=False, anchor_day=anchor_day)
+    return replace_months(spark, j, target_path, ws, we, key, partition_col, validate=False, anchor_day=anchor_day,
+                          keep_equal=keep_equal)
 
 
 def partition_swap(spark: SparkSession, target_path: str, staged: DataFrame, month, key: str,

@@ -4,6 +4,7 @@ dropping partition directories that a swap leaves empty."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Iterable
 
@@ -74,7 +75,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_col: str | None = None, dynamic: bool = False,
-                   cluster: bool = False, order_by: str | None = None) -> tuple[int, list]:
+                   cluster: bool = False, order_by: str | None = None,
+                   bucket: tuple[str, int] | None = None) -> tuple[int, list]:
     """Write and return (rows written, partition values written) from the same pass;
     None among the values is the partition of NULL keys.
 
@@ -84,8 +86,13 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
     rows into several tasks (and merges small ones) by
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. ``order_by`` lays an unpartitioned
     table out in ranges of that column, so a key range skips files and row groups.
+    ``bucket`` (key, number) writes files bucketed and sorted by the key, as a catalog table
+    ``CLUSTERED BY`` it expects them (``catalog.register``). Which partitions an overwrite
+    replaces is said here, whatever the session's ``partitionOverwriteMode``.
     """
-    if order_by and not partition_col:
+    if bucket:
+        df = df.repartition(bucket[1], bucket[0])
+    elif order_by and not partition_col:
         df = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
     if partition_col and cluster:
         df = df.hint("rebalance", partition_col)
@@ -95,10 +102,13 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
         aggs += [F.collect_set(partition_col).alias("parts"), F.max(F.col(partition_col).isNull()).alias("null_part")]
     w = df.observe(obs, *aggs).write.mode(mode)
     if partition_col:
-        w = w.partitionBy(partition_col)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+        w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    if bucket:      # only a table can be bucketed: one over the path, whose files stay when it goes
+        name = f"bucketed_{uuid.uuid4().hex}"
+        w.format("parquet").bucketBy(bucket[1], bucket[0]).sortBy(bucket[0]).option("path", path).saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")
+    else:
+        w.parquet(path)
     m = obs.get
     return int(m.get("rows", 0) or 0), list(m.get("parts") or []) + ([None] if m.get("null_part") else [])
 
@@ -144,7 +154,7 @@ def create_table(spark: SparkSession, table_path: str, schema: StructType, parti
     loads with that ``partition_col`` replace or join it."""
     if partition_col and partition_col not in schema.fieldNames():
         schema = StructType([*schema.fields]).add(partition_col, "date", True)
-    write_observed(spark.createDataFrame([], schema), table_path, "overwrite")
+    replace_table(spark.createDataFrame([], schema), table_path)
 
 
 def table_partition_values(spark: SparkSession, table_path: str, partition_col: str = PART_COL) -> list[str | None]:
@@ -203,20 +213,67 @@ def swap_in(spark: SparkSession, new_path: str, table_path: str, values: Iterabl
     spark.catalog.refreshByPath(table_path)
 
 
+def replace_table(df: DataFrame, table_path: str, partition_col: str | None = None, cluster: bool = False,
+                  order_by: str | None = None, bucket: tuple[str, int] | None = None) -> int:
+    """Replace a whole table by ``df``: written beside it, then renamed into its place, so a load
+    that fails leaves the old table as it was (and ``df`` may read it). Returns the rows."""
+    spark, new_path = df.sparkSession, beside(table_path)
+    try:
+        rows, _ = write_observed(df, new_path, "overwrite", partition_col, cluster=cluster, order_by=order_by, bucket=bucket)
+        swap_in(spark, new_path, table_path)
+    finally:
+        delete_path(spark, new_path)
+    return rows
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files below a path, hidden ones and folders left out."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    root, found, it = fs.makeQualified(p).toString(), [], fs.listFiles(p, True)
+    while it.hasNext():
+        name = it.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) and "=" not in part for part in name[len(root):].split("/")):
+            found.append(name)
+    return found
+
+
+def swap_files(spark: SparkSession, new_path: str, table_path: str, old_files: Iterable[str]) -> None:
+    """Bring the files below ``new_path`` into a table, in place of ``old_files``; its other files
+    stay untouched. What is replaced is kept aside until all files are in, and put back if a rename
+    fails."""
+    old, moved = beside(table_path), []
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs, table = _fs(spark, table_path)
+    root, new_root = fs.makeQualified(table).toString(), fs.makeQualified(Path(new_path)).toString()
+
+    def move(src: str, dst: str) -> None:
+        fs.mkdirs(Path(dst).getParent())
+        if not fs.rename(Path(src), Path(dst)):
+            raise OSError(f"can't rename {src} to {dst}")
+        moved.append((src, dst))
+
+    try:
+        for f in old_files:
+            move(f, old + f[len(root):])
+        for f in data_files(spark, new_path):
+            move(f, root + f[len(new_root):])
+    except BaseException:
+        for src, dst in reversed(list(moved)):
+            move(dst, src)
+        raise
+    delete_path(spark, old)
+    delete_path(spark, new_path)
+    spark.catalog.refreshByPath(table_path)
+
+
 def staging_path(spark: SparkSession, table_path: str) -> str:
     """Fresh staging location for a table, on the shared folder (never machine-local)."""
     name = table_path.rstrip("/").rsplit("/", 1)[-1]
     return scratch_path(spark, f"staging/{name}")
 
 
-def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
-                  mode: str = "overwrite") -> DataFrame:
-    """Write ``df`` as an external table bucketed and sorted by ``key`` at ``path``.
-
-    Two tables bucketed on the join key with the same bucket count join without a
-    shuffle (co-located join by distribution key), e.g. bill heads and bill items on
-    ``billnum``. The table is registered in the session catalog under ``name``.
-    """
-    (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
-       .option("path", path).saveAsTable(name))
-    return df.sparkSession.table(name)
+def is_bucketed(spark: SparkSession, table_path: str) -> bool:
+    """Whether all files of a table were written in buckets (their names say which)."""
+    return all(re.search(r"_\d{5}(\.c\d+)?\.[^/]*$", f) for f in data_files(spark, table_path))

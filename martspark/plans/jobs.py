@@ -1,7 +1,7 @@
 """The two warehouse runs as plain job functions, in the order of the source schedule.
 
 Plan/fact run:   full loads of the dimensions -> month load of sales -> upsert of plan
-                 -> plan/fact mart (+ view over product and price); the trailing sales
+                 -> plan/fact mart (+ a view of the catalog over product and price); the trailing sales
                  mart can follow (``sales_mart_run``)
 Store report run: full loads of promos, promo types, stores -> delta loads of traffic
                  (text dates), coupons, bill heads -> upsert of bill items -> header x
@@ -18,11 +18,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martspark.operators import catalog
 from martspark.operators import loads as LD
 from martspark.operators.export import EXPORT_SCHEMA, EXPORT_SCHEMA_WIDE, export_frame, publish_plan_fact, publish_sharded
 from martspark.operators.merge import upsert_table
 from martspark.operators.runlog import RunLog
-from martspark.operators.tables import path_exists, read_table, write_observed
+from martspark.operators.tables import is_bucketed, path_exists, read_table, replace_table, write_observed
 from martspark.plans import plan_fact as PF
 from martspark.plans import report_mart as RM
 from martspark.session import tune_for_scale
@@ -44,6 +45,8 @@ class RunConfig:
     warehouse: str
     sources: dict[str, Source]
     log_path: str | None = None
+    database: str = "retail"       # of the catalog, for the tables that views and bucketed joins read
+    buckets: int = 200             # of bill items by bill number; stays as the table was first loaded
 
 
 class Warehouse:
@@ -72,6 +75,28 @@ def _log(spark, cfg: RunConfig, where: str):
     return log.bind(where)
 
 
+def in_catalog(spark: SparkSession, cfg: RunConfig, *names: str, bucket: tuple[str, int] | None = None) -> str:
+    """Make tables of the warehouse known to the catalog; returns the name of their database."""
+    wh = Warehouse(spark, cfg.warehouse)
+    catalog.create_database(spark, cfg.database, wh.path("_database"))
+    for name in names:
+        catalog.register(spark, f"{cfg.database}.{name}", wh.path(name), bucket=bucket)
+    return cfg.database
+
+
+def load_bill_items(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """Bill items, kept bucketed by bill number: an upsert rewrites the files of replaced bills
+    only, and a join on the bill number needs no shuffle of the items."""
+    path, by = Warehouse(spark, cfg.warehouse).path("bills_item"), ("billnum", cfg.buckets)
+    if not path_exists(spark, path):
+        LD.load_full(_src(spark, cfg, "bills_item"), path, bucket=by)
+    else:
+        if not is_bucketed(spark, path):        # loaded before items were bucketed
+            replace_table(read_table(spark, path), path, bucket=by)
+        upsert_table(spark, path, _src(spark, cfg, "bills_item"), ["billnum"], bucket=by)
+    return spark.table(f"{in_catalog(spark, cfg, 'bills_item', bucket=by)}.bills_item")
+
+
 def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month: str, shards: int = 0) -> int:
     """``shards``: also publish the mart as the sharded export, in so many files."""
     tune_for_scale(spark)
@@ -85,8 +110,9 @@ def plan_fact_run(spark: SparkSession, cfg: RunConfig, sales_start: str, month:
     else:
         LD.load_full(_src(spark, cfg, "plan"), wh.path("plan"), "pmonth", "date")
     mart = PF.plan_fact(wh.sales, wh.plan, month)
-    n, _ = write_observed(mart, wh.path(f"plan_fact_{month}"))
-    PF.plan_fact_view(wh.__getattr__(f"plan_fact_{month}"), wh.product, wh.price).createOrReplaceTempView("v_plan_fact")
+    n = replace_table(mart, wh.path(f"plan_fact_{month}"))
+    db = in_catalog(spark, cfg, f"plan_fact_{month}", "product", "price")
+    catalog.create_view(spark, f"{db}.v_plan_fact", PF.plan_fact_view_sql(f"{db}.plan_fact_{month}", f"{db}.product", f"{db}.price"))
     if shards:
         publish_plan_fact(wh.__getattr__(f"plan_fact_{month}"), wh.path("plan_fact_export"), shards)
     log("INFO", f"{n} rows inserted")
@@ -98,7 +124,7 @@ def sales_mart_run(spark: SparkSession, cfg: RunConfig, month: str) -> int:
     """The trailing sales mart over the warehouse's sales, replaced as a whole table."""
     wh, log = Warehouse(spark, cfg.warehouse), _log(spark, cfg, "Sales mart calculation")
     log("INFO", "Start sales mart")
-    n, _ = write_observed(PF.sales_mart(wh.sales, month), wh.path("mart"))
+    n = replace_table(PF.sales_mart(wh.sales, month), wh.path("mart"))
     log("INFO", f"{n} rows inserted")
     log("INFO", "End sales mart")
     return n
@@ -113,17 +139,14 @@ def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_
     for dim in ("promos", "promo_types", "stores"):
         LD.load_full(_src(spark, cfg, dim), wh.path(dim))
     LD.load_delta_partitions(spark, _src(spark, cfg, "traffic"), wh.path("traffic"), "date", load_start, load_end,
-                             convert=True)
-    LD.load_delta_partitions(spark, _src(spark, cfg, "coupons"), wh.path("coupons"), "date", load_start, load_end)
+                             convert=True, keep_equal=True)
+    LD.load_delta_partitions(spark, _src(spark, cfg, "coupons"), wh.path("coupons"), "date", load_start, load_end,
+                             keep_equal=True)
     LD.load_delta_partitions(spark, _src(spark, cfg, "bills_head"), wh.path("bills_head"), "calday",
-                             heads_start, load_end)
-    if path_exists(spark, wh.path("bills_item")):
-        upsert_table(spark, wh.path("bills_item"), _src(spark, cfg, "bills_item"), ["billnum"],
-                     order_by="billnum")
-    else:
-        LD.load_full(_src(spark, cfg, "bills_item"), wh.path("bills_item"), order_by="billnum")
-    LD.load_header_item(spark, wh.bills_item, wh.bills_head, wh.path("bills"), load_start, load_end,
-                        key_range_pushdown=True)
+                             heads_start, load_end, keep_equal=True)
+    items = load_bill_items(spark, cfg)
+    LD.load_header_item(spark, items, wh.bills_head, wh.path("bills"), load_start, load_end,
+                        key_range_pushdown=True, keep_equal=True)
 
     total, names = 0, []
     for start, end, n, modes in ((*report_months, ("month_interval", "monthly")),

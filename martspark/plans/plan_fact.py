@@ -82,6 +82,13 @@ def plan_fact_view(pf: DataFrame, product: DataFrame, price: DataFrame) -> DataF
               .select(*PLAN_FACT_COLUMNS, "brand", "txt", "price"))
 
 
+def plan_fact_view_sql(mart: str, product: str, price: str) -> str:
+    """``plan_fact_view`` over catalog tables, for a view that outlives the session."""
+    columns = ", ".join(f"p.{c}" for c in PLAN_FACT_COLUMNS)
+    return (f"SELECT {columns}, pr.brand, pr.txt, pc.price FROM {mart} p "
+            f"JOIN {product} pr ON p.mosteff_material = pr.material JOIN {price} pc ON pc.material = p.mosteff_material")
+
+
 def plan_fact_lookup(pf: DataFrame, product: DataFrame, price: DataFrame) -> DataFrame:
     """The same view over key-value dictionaries: one product and one price per material."""
     pr = dictionary(product, "material", ["brand", "txt"])

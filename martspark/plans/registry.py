@@ -6,6 +6,7 @@ them. Oracles are written independently in DuckDB SQL over the same stand-ins.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martspark import oracle as O
-from martspark.operators import export, quality
+from martspark.operators import catalog, export, quality
 from martspark.operators import loads as LD
 from martspark.operators.lookup import dict_get, dictionary
 from martspark.operators.merge import rank_merge, upsert_table
 from martspark.operators.runlog import RunLog
-from martspark.operators.tables import create_table, month_key, read_table
+from martspark.operators.tables import create_table, read_table
 from martspark.plans import exercises as X
 from martspark.plans import plan_fact as PF
 from martspark.plans import report_mart as RM
@@ -44,6 +45,14 @@ def register(name: str, oracle_sql: str | None = None):
     return deco
 
 
+def database(spark, name: str) -> tuple[str, str]:
+    """A fresh folder and a catalog database of its own for a query's tables."""
+    root = scratch_path(spark, name)
+    db = f"q_{root.rsplit('/', 1)[-1].replace('-', '_')}"
+    catalog.create_database(spark, db, f"{root}/_database")
+    return root, db
+
+
 def T(spark, sf_dir) -> RetailTables:
     return RetailTables(spark, sf_dir)
 
@@ -161,11 +170,14 @@ JOIN product pr ON pf.mosteff_material = pr.material
 JOIN price pc ON pc.material = pf.mosteff_material
 WHERE pf.region_code = 'ASIA' GROUP BY pr.brand""", "product", "price"))
 def _plan_fact_view_key(spark, sf):
-    """The stored mart queried through the session's view by region."""
-    t, path = T(spark, sf), f"{scratch_path(spark, 'plan_fact_view')}/plan_fact"
-    LD.load_full(PF.plan_fact(t.sales, t.plan, PLAN_MONTH), path)
-    PF.plan_fact_view(read_table(spark, path), t.product, t.price).createOrReplaceTempView("v_plan_fact")
-    return spark.sql("SELECT brand, COUNT(*) AS rows, SUM(real_quantity) AS real_quantity FROM v_plan_fact "
+    """The stored mart queried by region through the catalog's view over stored tables."""
+    t = T(spark, sf)
+    root, db = database(spark, "plan_fact_view")
+    for name, df in (("plan_fact", PF.plan_fact(t.sales, t.plan, PLAN_MONTH)), ("product", t.product), ("price", t.price)):
+        LD.load_full(df, f"{root}/{name}")
+        catalog.register(spark, f"{db}.{name}", f"{root}/{name}")
+    catalog.create_view(spark, f"{db}.v_plan_fact", PF.plan_fact_view_sql(f"{db}.plan_fact", f"{db}.product", f"{db}.price"))
+    return spark.sql(f"SELECT brand, COUNT(*) AS rows, SUM(real_quantity) AS real_quantity FROM {db}.v_plan_fact "
                      "WHERE region_code = 'ASIA' GROUP BY brand")
 
 
@@ -467,16 +479,24 @@ register("rank_merge", _upsert_oracle(False))(
 
 
 _MISSING_SQL = """
-, b AS (SELECT COUNT(DISTINCT date_trunc('month', calday)) AS n,
-               MAX(date_trunc('month', calday)) + INTERVAL 1 MONTH AS s FROM bills_head)
-, g AS (SELECT unnest(generate_series(s, TIMESTAMP '2002-03-01', INTERVAL 1 MONTH)) AS m FROM b WHERE n > 1)
+, g AS (SELECT unnest(generate_series(date_trunc('month', MIN(calday)), TIMESTAMP '2002-03-01', INTERVAL 1 MONTH)) AS m FROM bills_head)
 SELECT CAST(m AS DATE) AS partition_start, CAST(m + INTERVAL 1 MONTH AS DATE) AS partition_end FROM g"""
 
 
 @register("missing_partitions", O.cte_head("bills_head") + _MISSING_SQL)
 def _missing_partitions(spark, sf):
-    existing = T(spark, sf).bills_head.select(month_key("calday").alias("pmonth"))
-    return LD.missing_month_partitions(existing, "pmonth", "2002-03-15")
+    """A typed table with a partition for each month of the stored dates gets the months up to a
+    later date; the catalog lists them."""
+    t = T(spark, sf)
+    root, db = database(spark, "missing_partitions")
+    b = quality.date_bounds(t.bills_head, "calday").first()
+    n = catalog.create_month_table(spark, f"{db}.bills_head", SCHEMAS["bills_head"], f"{root}/bills_head",
+                                   b["min_date"].replace(day=1), b["max_date"] + dt.timedelta(days=1))
+    added = catalog.add_missing_months(spark, f"{db}.bills_head", "2002-03-15")
+    months = catalog.month_partitions(spark, f"{db}.bills_head")
+    if added < 1 or months.count() != n + added:
+        raise AssertionError(f"{n} months, {added} added, {months.count()} listed")
+    return months
 
 
 _FEB = "calday >= DATE '1996-02-01' AND calday < DATE '1996-03-01'"
@@ -499,6 +519,24 @@ def _partition_swap(spark, sf):
     return read_table(spark, tgt)
 
 
+@register("catalog_exchange", O.with_tables(f"""
+SELECT *, {_PM.format(c='calday')} FROM bills_head WHERE NOT ({_FEB}) AND calday < DATE '1996-07-01' AND calday >= DATE '1995-07-01'
+UNION ALL
+SELECT *, {_PM.format(c='calday')} FROM bills_head
+WHERE {_FEB} AND billnum IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')""", "bills_head"))
+def _catalog_exchange(spark, sf):
+    """A year of months loaded into a typed table of the catalog, one of them exchanged, read by name."""
+    t = T(spark, sf)
+    root, db = database(spark, "catalog_exchange")
+    table = f"{db}.bills_head"
+    catalog.create_month_table(spark, table, SCHEMAS["bills_head"], f"{root}/bills_head", "1995-07-01", "1996-07-01")
+    catalog.load_delta(spark, table, t.bills_head, "calday", "1995-07-01", "1996-06-30")
+    open_orders = t.raw("orders").where(F.col("o_orderstatus") == "O").select(F.col("o_orderkey").alias("billnum"))
+    feb = ((F.col("calday") >= F.lit("1996-02-01").cast("date")) & (F.col("calday") < F.lit("1996-03-01").cast("date")))
+    catalog.exchange_month(spark, table, t.bills_head.where(feb).join(open_orders, "billnum", "left_semi"), "1996-02-01", "calday")
+    return spark.table(table)
+
+
 @register("table_swap", O.with_tables(
     "SELECT * FROM bills_head WHERE calday >= DATE '1996-01-01' AND calday < DATE '1997-01-01'", "bills_head"))
 def _table_swap(spark, sf):

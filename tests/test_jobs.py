@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martspark import oracle as O
 from martspark.plans import jobs as J
+from martspark.operators.tables import data_files, is_bucketed
 from martspark.plans import report_mart as RM
 from martspark.session import scratch_path
 from martspark.sources.files import write_csv
@@ -31,7 +32,7 @@ def test_store_report_run_matches_oracle(spark):
         write_csv(df, f"{root}/src/{name}")
         sources[name] = J.Source("csv", f"{root}/src/{name}",
                                  schema="traffic_source" if name == "traffic" else name)
-    cfg = J.RunConfig(warehouse=f"{root}/wh", sources=sources)
+    cfg = J.RunConfig(warehouse=f"{root}/wh", sources=sources, database="store_report_test", buckets=8)
     J.store_report_run(spark, cfg, "1996-01-01", "1996-02-28", "1995-11-01",
                        ("19960101", "19960228", 2), ("19960101", "19960105", 4))
     wh = J.Warehouse(spark, cfg.warehouse)
@@ -46,6 +47,36 @@ def test_store_report_run_matches_oracle(spark):
     logs = [r["log_msg"] for r in wh.logs.collect()]
     assert "End store report run" in logs
 
+    # a second run: months and items that are the same keep their files; items join without a shuffle
+    files = {n: data_files(spark, f"{cfg.warehouse}/{n}") for n in ("traffic", "coupons", "bills_head", "bills")}
+    some = t.bills_item.where("billnum % 500 = 1")
+    write_csv(some, f"{root}/src/bills_item")
+    before = set(data_files(spark, f"{cfg.warehouse}/bills_item"))
+    J.store_report_run(spark, cfg, "1996-01-01", "1996-02-28", "1995-11-01",
+                       ("19960101", "19960228", 2), ("19960101", "19960105", 4))
+    assert {n: data_files(spark, f"{cfg.warehouse}/{n}") for n in files} == files
+    after = set(data_files(spark, f"{cfg.warehouse}/bills_item"))
+    touched = {r[0] for r in some.select(F.pmod(F.hash("billnum"), F.lit(8))).distinct().collect()}
+    assert len(before - after) == len(touched) < 8 and is_bucketed(spark, f"{cfg.warehouse}/bills_item")
+    assert sorted(map(str, wh.bills_item.collect())) == sorted(map(str, t.bills_item.select(*wh.bills_item.columns).collect()))
+    ok, msg = compare(wh.report.select(*RM.REPORT_COLUMNS), O.report_sql(windows), duck(SF))
+    assert ok, msg
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = spark.table("store_report_test.bills_item").join(wh.bills_head, "billnum")._jdf.queryExecution().executedPlan()
+        sides = {}
+        todo = [(plan, False)]
+        while todo:
+            p, shuffled = todo.pop()
+            if p.nodeName().startswith("Scan"):
+                sides["bills_item" in p.nodeName()] = shuffled
+            todo += [(p.children().apply(i), shuffled or p.nodeName() == "Exchange") for i in range(p.children().size())]
+        assert sides == {True: False, False: True}          # the heads come to the items
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
 
 def test_month_reload_stream(spark):
     root = scratch_path(spark, "tests/stream")
@@ -76,7 +107,7 @@ def test_plan_fact_run(spark):
         sources[name] = J.Source("csv", f"{root}/src/{name}")
     t.sales.write.parquet(f"{root}/src/sales")
     sources["sales"] = J.Source("parquet", f"{root}/src/sales")
-    cfg = J.RunConfig(warehouse=f"{root}/wh", sources=sources)
+    cfg = J.RunConfig(warehouse=f"{root}/wh", sources=sources, database="plan_fact_test")
     n = J.plan_fact_run(spark, cfg, "1996-01-02", "199601")
     wh = J.Warehouse(spark, cfg.warehouse)
     # the run loads sales only for [1996-01-02, 1996-02-02), as the source's example call does
@@ -84,7 +115,9 @@ def test_plan_fact_run(spark):
     want = sorted(map(tuple, PF.plan_fact(month_sales, t.plan, "199601").collect()))
     got = sorted(map(tuple, wh.__getattr__("plan_fact_199601").collect()))
     assert n == len(want) and got == want
-    assert spark.table("v_plan_fact").count() > 0
+    view = spark.newSession().sql("SELECT * FROM plan_fact_test.v_plan_fact")       # no temporary view is seen there
+    want_view = PF.plan_fact_view(PF.plan_fact(month_sales, t.plan, "199601"), t.product, t.price)
+    assert view.columns == want_view.columns and sorted(map(str, view.collect())) == sorted(map(str, want_view.collect()))
     # a second run upserts the plan (same rows) and gives the same mart
     assert J.plan_fact_run(spark, cfg, "1996-01-02", "199601") == n
     m = J.sales_mart_run(spark, cfg, "199602")

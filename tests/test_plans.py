@@ -75,12 +75,16 @@ def test_report_reads_only_needed_columns(spark):
 
 
 def test_bucketed_tables_join_without_shuffle(spark):
-    from martspark.operators.tables import save_bucketed
+    from martspark.operators import catalog
+    from martspark.operators.loads import load_full
     from martspark.session import scratch_path
     t = RetailTables(spark, SF)
     root = scratch_path(spark, "tests/bucketed")
-    h = save_bucketed(t.bills_head, "bucketed_heads", f"{root}/heads", "billnum", 8)
-    i = save_bucketed(t.bills_item, "bucketed_items", f"{root}/items", "billnum", 8)
+    catalog.create_database(spark, "bucketed", root)
+    for name in ("bills_head", "bills_item"):
+        load_full(getattr(t, name), f"{root}/{name}", bucket=("billnum", 8))
+        catalog.register(spark, f"bucketed.{name}", f"{root}/{name}", bucket=("billnum", 8))
+    h, i = spark.table("bucketed.bills_head"), spark.table("bucketed.bills_item")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
