@@ -49,14 +49,14 @@ def create_like(spark: SparkSession, table: str, like: str, location: str) -> No
 
 
 def register(spark: SparkSession, table: str, path: str, partition_col: str | None = None,
-             bucket: tuple[str, int] | None = None) -> None:
+             bucket: tuple[str, int] | None = None, order_by: str | None = None) -> None:
     """Make a path table known to the catalog, or known anew: its columns from its files, its
     partitions from its folders. ``bucket`` says how its files were written (``write_observed``):
     joins and aggregates on that key then need no shuffle of it, a filter on it reads its bucket."""
     schema = spark.read.parquet(path).schema
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     by = f"PARTITIONED BY (`{partition_col}`) " if partition_col else ""
-    into = f"CLUSTERED BY (`{bucket[0]}`) SORTED BY (`{bucket[0]}`) INTO {bucket[1]} BUCKETS " if bucket else ""
+    into = f"CLUSTERED BY (`{bucket[0]}`) SORTED BY (`{order_by or bucket[0]}`) INTO {bucket[1]} BUCKETS " if bucket else ""
     spark.sql(f"CREATE TABLE {table} ({_columns(schema)}) USING parquet {by}{into}LOCATION '{path}'")
     if partition_col:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")

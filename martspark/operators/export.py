@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType
 
+from martspark.operators import catalog
+from martspark.operators.tables import beside, delete_path, path_exists, swap_in, write_observed
+
 # The export table's column types.
 EXPORT_SCHEMA = (
     ("plant_id", IntegerType()), ("plant", StringType()), ("txt", StringType()),
@@ -57,6 +60,25 @@ def publish_sharded(df: DataFrame, path: str, shards: int, shard_key: str = "pla
     writer.parquet(path)
 
 
+def publish_shards(df: DataFrame, table: str, path: str, shards: int, shard_key: str = "plant_id",
+                   order_key: str = "plant", report_col: str = "report_name") -> int:
+    """The export as a table of the catalog whose shards can be read by key: a folder a report,
+    ``shards`` buckets of ``shard_key`` in each, in order of ``order_key``. A filter on the key
+    reads its bucket only. Reports in ``df`` are written beside the table and exchanged; other
+    reports' files stay. Returns the rows."""
+    spark, new_path = df.sparkSession, beside(path)
+    try:
+        rows, reports = write_observed(df, new_path, "overwrite", report_col, order_by=order_key, bucket=(shard_key, shards))
+        if path_exists(spark, path):
+            swap_in(spark, new_path, path, reports, report_col)
+        else:
+            swap_in(spark, new_path, path)
+    finally:
+        delete_path(spark, new_path)
+    catalog.register(spark, table, path, report_col, (shard_key, shards), order_key)
+    return rows
+
+
 # The columns of the plan/fact export table (shards by ``complete_percent``,
 # order by ``region_code``; unsigned 32-bit columns there, so no value may be negative).
 PLAN_FACT_UNSIGNED = ("distr_chanel", "planned_quantity", "real_quantity", "complete_percent")

@@ -10,13 +10,14 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martspark.functions import add_months_py, parse_date_text, prune_months, trunc_month_py
 from martspark.operators.ranges import RANGES, in_ranges, key_ranges
 from martspark.operators.tables import (PART_COL, beside, check_anchor, delete_path, month_key, month_start,
                                         months_in, next_month_start, path_exists, read_table, replace_table,
                                         staging_path, swap_in, table_partition_values, write_observed)
-from martspark.sources.files import CheckedRead
+from martspark.sources.files import CheckedRead, RejectLimitExceeded, split_rejects
 
 
 def _as_date(v) -> dt.date:
@@ -75,6 +76,27 @@ def load_filtered(source: DataFrame | CheckedRead, target_path: str, where: str
         return write_observed(df, target_path, "append", partition_col, cluster=True)[0]
 
 
+def load_full_keeping_rejects(spark: SparkSession, path: str, schema: StructType, target_path: str, rejects_path: str,
+                              limit: int | None = 10, partition_col: str | None = None, date_key: str | None = None,
+                              **options) -> tuple[int, int]:
+    """Replace the target by the good rows of delimited files and keep the malformed lines, with
+    their file and the time of the load, in a table of their own. The files are read once. ``limit``
+    counts by file, as the source counts by segment: a file with so many malformed lines ends the
+    load, the target and the kept lines stay as they were. Returns (rows loaded, lines rejected)."""
+    staged = staging_path(spark, target_path)
+    try:
+        good, bad = split_rejects(spark, path, schema, staged, **options)
+        per_file = bad.groupBy("file").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "file")
+        worst = per_file.first()
+        if limit is not None and worst is not None and worst["n"] >= limit:
+            raise RejectLimitExceeded(f"{worst['n']} rejected rows in {worst['file']} reach the reject limit {limit}")
+        rows = load_full(good, target_path, partition_col, date_key)
+        kept, _ = write_observed(bad.withColumn("loaded_at", F.current_timestamp()), rejects_path, "append")
+    finally:
+        delete_path(spark, staged)
+    return rows, kept
+
+
 def truncate_table(spark: SparkSession, target_path: str, schema) -> None:
     """Empty a table, keeping its schema readable (an overwrite with no rows)."""
     replace_table(spark.createDataFrame([], schema), target_path)

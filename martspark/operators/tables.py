@@ -86,7 +86,7 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
     rows into several tasks (and merges small ones) by
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. ``order_by`` lays an unpartitioned
     table out in ranges of that column, so a key range skips files and row groups.
-    ``bucket`` (key, number) writes files bucketed and sorted by the key, as a catalog table
+    ``bucket`` (key, number) writes files bucketed by the key, sorted by ``order_by`` or the key, as a catalog table
     ``CLUSTERED BY`` it expects them (``catalog.register``). Which partitions an overwrite
     replaces is said here, whatever the session's ``partitionOverwriteMode``.
     """
@@ -105,7 +105,7 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
         w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if bucket:      # only a table can be bucketed: one over the path, whose files stay when it goes
         name = f"bucketed_{uuid.uuid4().hex}"
-        w.format("parquet").bucketBy(bucket[1], bucket[0]).sortBy(bucket[0]).option("path", path).saveAsTable(name)
+        w.format("parquet").bucketBy(bucket[1], bucket[0]).sortBy(order_by or bucket[0]).option("path", path).saveAsTable(name)
         df.sparkSession.sql(f"DROP TABLE {name}")
     else:
         w.parquet(path)

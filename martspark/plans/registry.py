@@ -107,6 +107,18 @@ def _report_export(spark, sf_dir):
     return read_table(spark, path)
 
 
+@register("report_export_shard", f"""
+SELECT plant_id, plant, turnover, bills_qty FROM (
+  SELECT CAST(row_number() OVER (PARTITION BY report_name ORDER BY plant) AS INTEGER) AS plant_id, plant,
+    CAST(turnover AS INTEGER) AS turnover, CAST(bills_qty AS INTEGER) AS bills_qty, report_name
+  FROM ({O.report_sql(RM.report_windows(*_EXPORT_ARGS))})) WHERE plant_id = 7""")
+def _report_export_shard(spark, sf_dir):
+    """One store's rows of all published reports, from its shard."""
+    root, db = database(spark, "report_export_shard")
+    export.publish_shards(export.export_frame(RM.report_mart(T(spark, sf_dir), *_EXPORT_ARGS)), f"{db}.report", f"{root}/report", 4)
+    return spark.table(f"{db}.report").where("plant_id = 7").select("plant_id", "plant", "turnover", "bills_qty")
+
+
 # ---------------------------------------------------------------- plan/fact marts
 PLAN_MONTH = "199601"
 SALES_MART_MONTH = "199604"
@@ -320,6 +332,15 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")(
 
 # ---------------------------------------------------------------- quality / metadata
 SEGMENTS = 8
+
+
+def _stored(spark, sf, name: str, partition_col: str | None = None, date_key: str | None = None) -> str:
+    """A stand-in table loaded to a path of its own."""
+    path = f"{scratch_path(spark, f'stored_{name}')}/{name}"
+    LD.load_full(getattr(T(spark, sf), name), path, partition_col, date_key)
+    return path
+
+
 register("distribution_rows", O.with_tables(
     f"SELECT CAST(billnum % {SEGMENTS} AS INTEGER) AS segment, COUNT(*) AS rows FROM bills_head GROUP BY 1",
     "bills_head"))(lambda spark, sf: quality.rows_per_segment(T(spark, sf).bills_head, "billnum", SEGMENTS))
@@ -333,10 +354,15 @@ SELECT CAST(date_trunc('month', calday) AS DATE) AS partition_start,
   CAST(date_trunc('month', calday) + INTERVAL 1 MONTH AS DATE) AS partition_end,
   COUNT(*) AS rows, MIN(calday) AS min_date, MAX(calday) AS max_date
 FROM bills_head GROUP BY 1, 2""", "bills_head"))(
-    lambda spark, sf: quality.partition_bounds(T(spark, sf).bills_head, "calday"))
+    lambda spark, sf: quality.stored_partition_bounds(spark, _stored(spark, sf, "bills_head", "pmonth", "calday"), "calday"))
 register("date_bounds", O.with_tables(
     'SELECT MIN("date") AS min_date, MAX("date") AS max_date, COUNT(*) AS rows FROM sales', "sales"))(
-    lambda spark, sf: quality.date_bounds(T(spark, sf).sales, "date"))
+    lambda spark, sf: quality.stored_date_bounds(spark, _stored(spark, sf, "sales"), "date"))
+HEAVY_PCT = 4
+register("distribution_heavy_keys", O.with_tables(f"""
+SELECT plant, COUNT(*) AS rows, CAST(CAST(COUNT(*) AS DOUBLE) * 100 / (SELECT COUNT(*) FROM bills) AS DECIMAL(7,4)) AS share_pct
+FROM bills GROUP BY plant HAVING COUNT(*) * 100 >= {HEAVY_PCT} * (SELECT COUNT(*) FROM bills)""", "bills"))(
+    lambda spark, sf: quality.heavy_keys(T(spark, sf).bills, "plant", HEAVY_PCT / 100))
 
 
 # ---------------------------------------------------------------- loaders (write, read back)
@@ -604,6 +630,22 @@ def _csv_reject(spark, sf):
     return read_table(spark, f"{root}/inventory_parts")
 
 
+@register("csv_rejects_kept", """
+SELECT l_suppkey || ';' || l_partkey || ';many' AS line, count(*) AS lines FROM lineitem WHERE l_linenumber = 2 GROUP BY 1""")
+def _csv_rejects_kept(spark, sf):
+    """The malformed lines of a load, as the table of rejects keeps them."""
+    t, root = T(spark, sf), scratch_path(spark, "csv_rejects")
+    li = t.raw("lineitem")
+    good = li.where("l_linenumber <> 2").select(F.concat_ws(";", "l_suppkey", "l_partkey", F.col("l_linenumber").cast("string")).alias("value"))
+    bad = li.where("l_linenumber = 2").select(F.concat_ws(";", "l_suppkey", "l_partkey", F.lit("many")).alias("value"))
+    good.unionByName(bad).write.text(f"{root}/lines.csv")
+    schema = _s(("supplier", L, True), ("part", L, True), ("line", I, True))
+    n, rejected = LD.load_full_keeping_rejects(spark, f"{root}/lines.csv", schema, f"{root}/lines", f"{root}/rejects", None, header="false")
+    if n != read_table(spark, f"{root}/lines").count():
+        raise AssertionError(f"{n} rows loaded, {rejected} rejected")
+    return read_table(spark, f"{root}/rejects").groupBy("line").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @register("csv_line_breaks", """
 SELECT p_partkey, p_name || chr(10) || '"' || p_brand || '";' || chr(10) AS txt FROM part""")
 def _csv_line_breaks(spark, sf):

@@ -79,3 +79,18 @@ def read_csv_checked(spark: SparkSession, path: str, schema: StructType, reject_
     good = tagged.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     rejected = raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     return CheckedRead(good, rejected, obs, reject_limit)
+
+
+def split_rejects(spark: SparkSession, path: str, schema: StructType, staged_path: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Read delimited files once and write their rows to two places below ``staged_path``: the good
+    ones with their types, the malformed ones as (file, line). Returns both, read back."""
+    opts = {**CSV_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    full = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+    raw = spark.read.schema(full).options(**opts).csv(path)
+    bad = F.col(CORRUPT).isNotNull()
+    rows = raw.select(*[F.when(~bad, F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields], CORRUPT,
+                      F.when(bad, F.col("_metadata.file_path")).alias("_source_file"), bad.alias("_rejected"))
+    rows.write.partitionBy("_rejected").parquet(staged_path)
+    back = spark.read.schema(rows.schema).parquet(staged_path)
+    good = back.where(~F.col("_rejected")).select(*[f"`{f.name}`" for f in schema.fields])
+    return good, back.where("_rejected").select(F.col("_source_file").alias("file"), F.col(CORRUPT).alias("line"))

@@ -13,7 +13,7 @@ from martspark.operators.tables import (create_table, drop_table, month_key, mon
 from martspark.session import scratch_path, shared_root
 from martspark.sources.dispatch import read_source
 from martspark.sources.files import RejectLimitExceeded, read_csv, write_csv
-from martspark.sources.schemas import I, S, _s
+from martspark.sources.schemas import D, I, S, _s
 
 ROW = "day date, region string, n int"
 
@@ -248,3 +248,39 @@ def test_scratch_folder_on_a_cluster():
     assert shared_root(Session(Context("spark://host:7077", "hdfs://a/b"))) == "hdfs://a/b"
     assert shared_root(Session(Context("local-cluster[2,1,1024]"), **{"spark.checkpoint.dir": "file:///shared/x"})) == "file:///shared/x"
     assert shared_root(Session(Context("local[4]")))
+
+
+def test_malformed_lines_are_kept_and_counted_by_file(spark, target):
+    root = scratch_path(spark, "tests/rejects")
+    for i, bad in enumerate((2, 3)):
+        lines = [f"1996-01-0{i + 1};A;{n}" for n in range(4)] + [f"1996-01-0{i + 1};A;x{n}" for n in range(bad)]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/src/f{i}")
+    schema, rejects = _s(("day", D, True), ("region", S, True), ("n", I, True)), f"{root}/rejects"
+    load = lambda limit: LD.load_full_keeping_rejects(spark, f"{root}/src/*", schema, target, rejects, limit, "pmonth", "day", header="false")
+    assert load(4) == (8, 5)                      # five in all, three in the worst file
+    kept = read_table(spark, rejects).collect()
+    assert sorted((r["file"].split("/")[-2], r["line"]) for r in kept) == [(f"f{i}", f"1996-01-0{i + 1};A;x{n}") for i, k in enumerate((2, 3)) for n in range(k)]
+    before = rows_of(read_table(spark, target))
+    assert len(before) == 8
+    with pytest.raises(RejectLimitExceeded, match="3 rejected rows in .*f1"):
+        load(3)
+    assert rows_of(read_table(spark, target)) == before and read_table(spark, rejects).count() == 5
+    assert load(None) == (8, 5) and read_table(spark, rejects).count() == 10
+
+
+def test_a_shard_is_read_by_key_and_a_report_replaced_alone(spark, target):
+    from martspark.operators import catalog
+    from martspark.operators.tables import data_files
+    catalog.create_database(spark, "shards", target + "_db")
+    rows = [(f"report_{r}", i, f"p{i}", r) for r in (1, 2) for i in range(40)]
+    schema = "report_name string, plant_id int, plant string, v int"
+    assert export.publish_shards(spark.createDataFrame(rows, schema), "shards.report", target, 4) == 80
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")     # else the plan doesn't say it
+    one = spark.table("shards.report").where("plant_id = 7")
+    text = spark._jvm.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 4" in text and sorted(r["v"] for r in one.collect()) == [1, 2]
+    before = {f for f in data_files(spark, target) if "report_1" in f}
+    export.publish_shards(spark.createDataFrame([("report_2", 7, "p7", 9)], schema), "shards.report", target, 4)
+    assert before <= set(data_files(spark, target))
+    assert sorted((r["report_name"], r["v"]) for r in spark.table("shards.report").where("plant_id = 7").collect()) == [("report_1", 1), ("report_2", 9)]
