@@ -23,9 +23,10 @@ from martspark.operators import loads as LD
 from martspark.operators.export import EXPORT_SCHEMA, EXPORT_SCHEMA_WIDE, export_frame, publish_plan_fact, publish_sharded
 from martspark.operators.merge import upsert_table
 from martspark.operators.runlog import RunLog
-from martspark.operators.tables import is_bucketed, path_exists, read_table, replace_table, write_observed
+from martspark.operators.tables import is_bucketed, months_in, path_exists, read_table, replace_table, write_observed
 from martspark.plans import plan_fact as PF
 from martspark.plans import report_mart as RM
+from martspark.plans import report_state as RS
 from martspark.session import tune_for_scale
 from martspark.sources.dispatch import read_source
 from martspark.sources.files import CheckedRead
@@ -148,10 +149,12 @@ def store_report_run(spark: SparkSession, cfg: RunConfig, load_start: str, load_
     LD.load_header_item(spark, items, wh.bills_head, wh.path("bills"), load_start, load_end,
                         key_range_pushdown=True, keep_equal=True)
 
+    months = months_in(*LD.delta_window(load_start, load_end))
+    RS.refresh(spark, wh.path("report_state"), wh.bills, wh.coupons, wh.promos, wh.traffic, months)
     total, names = 0, []
     for start, end, n, modes in ((*report_months, ("month_interval", "monthly")),
                                  (*report_days, ("day_interval", "daily"))):
-        rep = RM.report_mart(wh, start, end, n, modes, log=log)
+        rep = RS.report(spark, wh.path("report_state"), wh.stores, start, end, n, modes, log=log)
         names += [w.report_name for w in RM.report_windows(start, end, n, modes)]
         rows, _ = write_observed(rep, wh.path("report"), "overwrite", "report_name", dynamic=True)
         total += rows

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from martspark.functions import add_months_py, exact_div, months_between_whole, prune_months, to_int8, to_numeric
+from martspark.operators.ranges import in_ranges, key_ranges
 
 # The selection modes, the promo type whose discount is an amount,
 # the report table prefix and the input-check messages.
@@ -148,27 +149,69 @@ def coupon_discount_expr(rpa_sat: Column, qty: Column, promo_type: Column, amoun
     return F.when(promo_type == AMOUNT_PROMO_TYPE, amount.cast(DecimalType(20, 0))).otherwise(pct)
 
 
+def bill_days(bills: DataFrame) -> DataFrame:
+    """Sums of each bill's days: (plant, billnum, calday, turnover, quant)."""
+    return bills.groupBy("plant", "billnum", "calday").agg(F.sum("rpa_sat").alias("turnover"), F.sum("qty").alias("quant"))
+
+
+COUPON_KEY = ["billnum", "coupon_num", "material", "plant", "promo_type", "discount_amount", "coupon_discount"]
+
+
+def coupon_lines(coupons: DataFrame, promos: DataFrame, bills: DataFrame, ranges: int = 0) -> DataFrame:
+    """Coupons with their discount on each line of their bill: ``COUPON_KEY`` and date. With
+    ``ranges`` the bills are read in so many ranges of the coupons' bill numbers only (found
+    first, in a job of its own): for stored bills, whose row groups between these are skipped."""
+    c = coupons.select("billnum", "coupon_num", "material", "plant", "promo_id", "date")
+    p = promos.select("material", "promo_id", "promo_type", "discount_amount")
+    if ranges:
+        bills = bills.where(in_ranges("billnum", key_ranges(c, "billnum", ranges)))
+    bi = bills.select("billnum", "material", "rpa_sat", "qty")
+    return (c.join(p, ["material", "promo_id"]).join(bi, ["billnum", "material"])
+             .select("billnum", "coupon_num", "material", "plant", "promo_type", "discount_amount", "date",
+                     coupon_discount_expr(F.col("rpa_sat"), F.col("qty"), F.col("promo_type"),
+                                          F.col("discount_amount")).alias("coupon_discount")))
+
+
+def traffic_days(traffic: DataFrame) -> DataFrame:
+    """Visitors of each store's days: (plant, date, t_qty)."""
+    return traffic.groupBy("plant", "date").agg(F.sum("quantity").alias("t_qty"))
+
+
 def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos: DataFrame,
-                 traffic: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
+                 traffic: DataFrame, windows: Sequence[ReportWindow], ranges: int = 0) -> DataFrame:
     """Report rows for every (window, store); see module doc for the plan shape."""
+    if not windows:
+        return _no_report(stores.sparkSession)
+    c = within(coupons, windows, "date")
+    return assemble(stores, bill_days(within(bills, windows, "calday")), coupon_lines(c, promos, bills, ranges),
+                    traffic_days(within(traffic, windows, "date")), windows)
+
+
+def _no_report(spark: SparkSession) -> DataFrame:
+    """E.g. a daily run whose end equals its start: no report rows."""
+    from martspark.sources.schemas import SCHEMAS
+    from pyspark.sql.types import StringType, StructField, StructType
+    return spark.createDataFrame([], StructType([StructField("report_name", StringType(), True)] + list(SCHEMAS["report"].fields)))
+
+
+def within(df: DataFrame, windows: Sequence[ReportWindow], day: str) -> DataFrame:
+    """The rows from the first window's start to the last one's end, months pruned."""
+    lo, hi = min(w.start for w in windows), max(w.end for w in windows)
+    return prune_months(df, lo, hi).where((F.col(day) >= F.lit(lo)) & (F.col(day) < F.lit(hi)))
+
+
+def assemble(stores: DataFrame, bd: DataFrame, cd: DataFrame, tday: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
+    """The report from its day-grain parts (``bill_days``, ``coupon_lines``, ``traffic_days``) of
+    the windows' days."""
     spark = stores.sparkSession
-    if not windows:      # e.g. a daily run whose end equals its start: no report rows
-        from martspark.sources.schemas import SCHEMAS
-        from pyspark.sql.types import StringType, StructField, StructType
-        schema = StructType([StructField("report_name", StringType(), True)] + list(SCHEMAS["report"].fields))
-        return spark.createDataFrame([], schema)
+    if not windows:
+        return _no_report(spark)
     lo = min(w.start for w in windows)
-    hi = max(w.end for w in windows)
     shared_start = all(w.start == lo for w in windows)
     arr = _window_array(windows)
     days = None if shared_start else _window_days(spark, windows)
 
-    def in_range(c: str) -> Column:
-        return (F.col(c) >= F.lit(lo)) & (F.col(c) < F.lit(hi))
-
-    # ---- bills: one scan, one aggregate at the grain of a bill's day ----
-    bf = prune_months(bills, lo, hi).where(in_range("calday"))
-    bd = bf.groupBy("plant", "billnum", "calday").agg(F.sum("rpa_sat").alias("turnover"), F.sum("qty").alias("quant"))
+    # ---- bills ----
     if shared_start:
         # a bill counts on its first day; count(DISTINCT billnum) does not count a NULL number
         own = bd.groupBy("plant", "billnum").agg(F.array_sort(F.collect_list(F.struct("calday", "turnover", "quant"))).alias("own"))
@@ -183,27 +226,17 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
                                                    F.count("billnum").alias("bill_qty")))
 
     # ---- coupons: distinct coupon rows with their discount ----
-    c = prune_months(coupons, lo, hi).where(in_range("date")).select("billnum", "coupon_num", "material", "plant", "promo_id", "date")
-    p = promos.select("material", "promo_id", "promo_type", "discount_amount")
-    bi = bills.select("billnum", "material", "rpa_sat", "qty")
-    cd = (c.join(p, ["material", "promo_id"]).join(bi, ["billnum", "material"])
-           .select("billnum", "coupon_num", "material", "plant", "promo_type", "discount_amount", "date",
-                   coupon_discount_expr(F.col("rpa_sat"), F.col("qty"), F.col("promo_type"),
-                                        F.col("discount_amount")).alias("coupon_discount")))
-    key = ["billnum", "coupon_num", "material", "plant", "promo_type", "discount_amount", "coupon_discount"]
     if shared_start:
-        firsts = cd.groupBy(*key).agg(F.min("date").alias("d"))
+        firsts = cd.groupBy(*COUPON_KEY).agg(F.min("date").alias("d"))
         per_day = firsts.groupBy("plant", "d").agg(F.sum("coupon_discount").alias("sum_disc"),
                                                    F.count("material").alias("matdisc_qty"))
         sd = _running(per_day, "d", ["sum_disc", "matdisc_qty"], windows)
     else:
-        sd = (_by_day(cd, "date", days).select("report_name", *key).distinct()
+        sd = (_by_day(cd, "date", days).select("report_name", *COUPON_KEY).distinct()
               .groupBy("report_name", "plant")
               .agg(F.sum("coupon_discount").alias("sum_disc"), F.count("material").alias("matdisc_qty")))
 
     # ---- traffic ----
-    tday = (prune_months(traffic, lo, hi).where(in_range("date")).groupBy("plant", "date")
-            .agg(F.sum("quantity").alias("t_qty")))
     tr = (_running(tday, "date", ["t_qty"], windows) if shared_start else
           _by_day(tday, "date", days).groupBy("report_name", "plant").agg(F.sum("t_qty").alias("t_qty")))
 
@@ -239,7 +272,7 @@ def build_report(stores: DataFrame, bills: DataFrame, coupons: DataFrame, promos
 
 def report_mart(tables, start: str, end: str, interval: int = 2,
                 modes: Iterable[str] = ("month_interval",), cumulative: bool = True,
-                log: Callable[[str, str], None] | None = None) -> DataFrame:
+                log: Callable[[str, str], None] | None = None, ranges: int = 0) -> DataFrame:
     """``build_report`` over a ``RetailTables``-like object (stores, bills, coupons, promos, traffic)."""
     windows = report_windows(start, end, interval, tuple(modes), cumulative, log)
-    return build_report(tables.stores, tables.bills, tables.coupons, tables.promos, tables.traffic, windows)
+    return build_report(tables.stores, tables.bills, tables.coupons, tables.promos, tables.traffic, windows, ranges)
