@@ -45,14 +45,20 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
+def named(name: str, of: str | None = None) -> Column:
+    """The column, or the field of the struct ``of``, with exactly this name."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
+
+
 def matched(docs: DataFrame, keys: DataFrame, others: dict[str, str] | None = None) -> DataFrame:
     """Rows of ``docs`` as a struct ``carry``, joined with the rows of ``keys`` (doc_id, th and the
     columns that ``others`` maps from columns of docs) that have the same doc_id and text hash, and
     ``nth``, a number among rows that are equal in these. Texts cross the network once, and no
     copy of them is staged. ``keys`` has a row at most for each key."""
     others = others or {}
-    left = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("carry"), F.col("doc_id").cast("long").alias("k_doc_id"), text_hash().alias("k_th"),
-                       *[F.col(c).cast("string").alias(f"k_{k}") for k, c in others.items()])
+    left = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("carry"), F.col("doc_id").cast("long").alias("k_doc_id"), text_hash().alias("k_th"),
+                       *[named(c).cast("string").alias(f"k_{k}") for k, c in others.items()])
     names = ["doc_id", "th", *others]
     on = F.lit(True)
     for k in names:

@@ -1,11 +1,13 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A text is cut into blocks of 2 * ``STRIDE`` words that overlap by ``STRIDE``, so a template, which
-has no more words than that, lies whole in one. Tokens are ordered by the number of blocks of the
+A text is cut into blocks that overlap by half, of twice 64 words or twice the longest template's,
+so a template lies whole in one. Tokens are ordered by the number of blocks of the
 corpus that have them, rarest first. A block that holds the threshold's share of a template's
 tokens must hold one of the template's first ones (prefix filter), must have so many tokens
 (length filter), and must still be able to reach the share from the place of its first match
-(positional filter); what is left is verified. Phrases of the base are found as they stand.
+(positional filter); what is left is verified: the share, and that the template's anchor, the words
+that tell its license from others, stands together in the block. Phrases of the base are found as
+they stand. A text of any length is cut so; of templates with one label the larger share counts.
 
 The corpus sends one row per template token and task; templates are a parameter, bounded by
 ``MAX_TEMPLATES``, and are all that is broadcast.
@@ -28,17 +30,19 @@ STRIDE = 64
 THRESHOLD = 0.8
 MAX_TEMPLATES = 1000
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
+TEMPLATES = (          # label, text, and the anchor: words of it that must stand together
+    ("mit", "released under the mit license", "mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby"),
+    ("apache", "licensed under the apache license version 2 0", "apache license"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at", "use this file"),
+    ("gpl", "this work is licensed under the gnu general public license version 3", "general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "free software"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    ("mpl", "licensed under the mozilla public license version 2 0", "mozilla"),
+    ("bsd", "released under the bsd license", "bsd license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "by nc"),
 )
 
 _WORD = C.table_of(bytes([*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]))
@@ -59,15 +63,17 @@ class Templates:
     """Templates as sets of numbered tokens, and the phrases of the base."""
 
     def __init__(self, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD):
-        if len(templates) > MAX_TEMPLATES or any(len(t.split()) > STRIDE for _, t in templates):
-            raise ValueError(f"at most {MAX_TEMPLATES} templates of at most {STRIDE} words")
-        self.labels = [k for k, _ in templates]
-        sets = [sorted(set(t.split())) for _, t in templates]
-        self.tokens = sorted({w for s in sets for w in s} | {w for p, _ in phrases for w in p.split()})
+        if len(templates) > MAX_TEMPLATES:
+            raise ValueError(f"at most {MAX_TEMPLATES} templates")
+        self.stride = max([STRIDE, *(len(t.split()) for _, t, _ in templates)])
+        self.labels = [k for k, _, _ in templates]
+        sets = [sorted(set(t.split())) for _, t, _ in templates]
+        self.tokens = sorted({w for s in sets for w in s} | {w for p, _ in phrases for w in p.split()} | {w for _, _, a in templates for w in a.split()})
         number = {w: i for i, w in enumerate(self.tokens)}
         self.sets = [np.array([number[w] for w in s]) for s in sets]
         self.need = np.array([int(np.ceil(threshold * len(s) - 1e-9)) for s in sets])
         self.phrases = [([number[w] for w in p.split()], k) for p, k in phrases]
+        self.anchors = [[number[w] for w in a.split()] for _, _, a in templates]
         h = hashes_of(self.tokens)
         self.order = np.argsort(h)
         self.hashes = h[self.order]
@@ -102,12 +108,12 @@ def block_tokens(t: Templates, number: np.ndarray, first: np.ndarray):
     """Distinct (block, token number) of all blocks; a block is the text's place of its first word
     over the stride. Also each text's first block, and words per block."""
     sizes = np.diff(first)
-    n_blocks = np.maximum(1, -(-sizes // STRIDE) - 1)
+    n_blocks = np.maximum(1, -(-sizes // t.stride) - 1)
     start = np.cumsum(n_blocks) - n_blocks
     doc = np.repeat(np.arange(len(sizes)), sizes)
     at = np.flatnonzero(number >= 0)
     d = doc[at]
-    part = (at - first[d]) // STRIDE
+    part = (at - first[d]) // t.stride
     # a word lies in the block that starts with its part, and in the one before
     low, high = np.maximum(part - 1, 0), np.minimum(part, n_blocks[d] - 1)
     pair = np.concatenate([start[d] + low, (start[d] + high)[high > low]]) * len(t.tokens) + np.concatenate([number[at], number[at][high > low]])
@@ -153,6 +159,15 @@ def matches(t: Templates, block: np.ndarray, number: np.ndarray):
     return block[head[own[good]]], temp[good], both[good] / sizes[temp[good]]
 
 
+def standing(phrase: list[int], number: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Places where the words of a phrase, by number, stand together in one text."""
+    k = len(phrase)
+    at = np.flatnonzero(number[:max(0, len(number) - k + 1)] == phrase[0])
+    for step in range(1, k):
+        at = at[number[at + step] == phrase[step]]
+    return at[doc[at] == doc[at + k - 1]]
+
+
 def token_frequencies(docs: DataFrame, t: Templates) -> dict[int, int]:
     """Number of blocks of the corpus with each template token; one row per token and task."""
     def run(batches):
@@ -183,11 +198,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
         doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
         out = [dict(n_words=int(k), n_base=0, first_word=None, last_word=None, base=set(), more=set(), score=0.0, found=[]) for k in np.diff(first)]
         for phrase, label in t.phrases:
-            k = len(phrase)
-            at = np.flatnonzero(number[:max(0, len(number) - k + 1)] == phrase[0])
-            for step in range(1, k):
-                at = at[number[at + step] == phrase[step]]
-            at = at[doc[at] == doc[at + k - 1]]
+            at = standing(phrase, number, doc)
             for p, d in zip((at - first[doc[at]]).tolist(), doc[at].tolist()):
                 r = out[d]
                 r["n_base"] += 1
@@ -196,12 +207,20 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
                 r["base"].add(label)
                 r["score"] = 1.0
         block, token, start, n_blocks = block_tokens(t, number, first)
+        places: dict[int, np.ndarray] = {}
         for b, temp, share in zip(*(x.tolist() for x in matches(t, block, token))):
             d = int(np.searchsorted(start, b, "right")) - 1
-            r, at = out[d], (b - int(start[d])) * STRIDE
+            r, at = out[d], (b - int(start[d])) * t.stride
+            if t.anchors[temp]:
+                if temp not in places:
+                    places[temp] = standing(t.anchors[temp], number, doc)
+                lo = int(first[d]) + at
+                end = min(lo + 2 * t.stride, int(first[d + 1])) - len(t.anchors[temp])
+                if np.searchsorted(places[temp], lo) == np.searchsorted(places[temp], end, "right"):
+                    continue
             r["more"].add(t.labels[temp])
             r["score"] = max(r["score"], share)
-            r["found"].append(dict(label=t.labels[temp], word=at, words=min(2 * STRIDE, r["n_words"] - at), share=share))
+            r["found"].append(dict(label=t.labels[temp], word=at, words=min(2 * t.stride, r["n_words"] - at), share=share))
         return out
 
     schema = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "

@@ -75,7 +75,7 @@ def judged(docs: DataFrame, host_col: str = "source", doc_limit: int = 20, min_s
     than ``min_left`` of its words is left.
     """
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                      F.col(host_col).cast("string").alias("host"), C.text_hash().alias("th"))
+                      C.named(host_col).cast("string").alias("host"), C.text_hash().alias("th"))
     src = src.select("doc_id", "host", "th", F.col("text").cast("binary").alias("text"), line_array(F.col("text")).alias("lines"))
     schema = src.drop("text").withColumn("row", F.lit(0).cast("long")).withColumns({c: F.lit(0).cast("long") for c in STATS}).schema
 
@@ -118,5 +118,5 @@ def clean(docs: DataFrame, host_col: str = "source", **limits) -> DataFrame:
     kept = judged(docs, host_col, **limits).filter("kept").groupBy("doc_id", "host", "th").agg(F.first("removed").alias("removed"))
     got = C.matched(docs, kept, {"host": host_col})
     text = without(F.col("carry.text"), F.col("removed"))
-    cols = [text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"carry.`{c}`").alias(c) for c in docs.columns]
+    cols = [text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else C.named(c, "carry").alias(c) for c in docs.columns]
     return got.select(*cols)

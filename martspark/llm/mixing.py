@@ -57,10 +57,10 @@ def sample(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, ceiling: int =
     input columns."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                       C.text_hash().alias("th"), F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-                      F.struct(*([docs[c] for c in carry] if carry else [F.lit(0).alias("none")])).alias("carry"))
-    # equal rows are told apart by the last key: they may go to several ranges
+                      F.struct(*([C.named(c) for c in carry] if carry else [F.lit(0).alias("none")])).alias("carry"))
+    # rows that are equal in all of it are told apart by the last key: they may go to several ranges
     dealt = (src.withColumn("tie", F.monotonically_increasing_id())
-             .repartitionByRange(F.col("source").asc_nulls_last(), "size", "doc_id", "tie")
+             .repartitionByRange(F.col("source").asc_nulls_last(), "size", "doc_id", "th", "tie")
              .withColumn("part", F.spark_partition_id()))
     dealt = C.staged(dealt, "mix")
     per_part = dealt.groupBy("source", "part").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
@@ -70,7 +70,7 @@ def sample(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, ceiling: int =
     level = level.select(F.col("source").alias("l_source"), "source_size", "target")
     before = before.join(level, before["source"].eqNullSafe(level["l_source"])).select(
         F.col("source").alias("b_source"), F.col("part").alias("b_part"), "before", "source_size", "target")
-    inside = Window.partitionBy("part", "source").orderBy("size", "doc_id", "tie")
+    inside = Window.partitionBy("part", "source").orderBy("size", "doc_id", "th", "tie")
     ranked = dealt.withColumn("nth", F.row_number().over(inside).cast("long"))
     ranked = ranked.join(before, (ranked["part"] == before["b_part"]) & ranked["source"].eqNullSafe(before["b_source"]))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -85,4 +85,4 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     taken = sample(docs, **how).groupBy("doc_id", "source", "th").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).filter("copies > 0")
     got = C.matched(docs, taken, {"source": "source"})
     own = F.expr("cast(copies div rows + if(nth <= copies % rows, 1, 0) as int)")
-    return got.select("carry", F.explode(F.array_repeat(F.lit(0), own))).select(*[F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    return got.select("carry", F.explode(F.array_repeat(F.lit(0), own))).select(*[C.named(c, "carry").alias(c) for c in docs.columns])

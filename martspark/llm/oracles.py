@@ -54,10 +54,9 @@ WITH d AS (
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
   FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dup AS (
-  SELECT doc_id, count(*) - count(DISTINCT line) AS n, min(norm) AS sign FROM l GROUP BY doc_id
-), above AS (
-  SELECT host, norm FROM (SELECT DISTINCT l.doc_id, host, norm, sign FROM l JOIN dup USING (doc_id))
-  GROUP BY host, norm HAVING count(DISTINCT sign) > 20 AND count(DISTINCT sign) >= 0.2::DOUBLE * count(*)
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id
+), above AS (      -- distinct documents: distinct texts
+  SELECT l.host, norm FROM l JOIN (SELECT doc_id, md5(text) AS own FROM d) USING (doc_id) GROUP BY l.host, norm HAVING count(DISTINCT own) > 20
 ), gone AS (
   SELECT l.doc_id, sum(n) AS n FROM l JOIN above ON l.norm = above.norm AND l.host IS NOT DISTINCT FROM above.host GROUP BY l.doc_id
 ), r AS (
@@ -185,8 +184,9 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 
 def licenses() -> str:
     values = lambda rows: ", ".join("(" + ", ".join(repr(x) for x in r) + ")" for r in rows)
-    tokens = [(i, label, w) for i, (label, t) in enumerate(J.TEMPLATES) for w in sorted(set(t.split()))]
-    need = [(i, len(set(t.split())), -(-round(len(set(t.split())) * J.THRESHOLD * 1000) // 1000)) for i, (_, t) in enumerate(J.TEMPLATES)]
+    tokens = [(i, label, w) for i, (label, t, _) in enumerate(J.TEMPLATES) for w in sorted(set(t.split()))]
+    need = [(i, len(set(t.split())), -(-round(len(set(t.split())) * J.THRESHOLD * 1000) // 1000)) for i, (_, t, _) in enumerate(J.TEMPLATES)]
+    anchors = [(i, *(a.split() + [""] * 3)[:3], len(a.split())) for i, (_, _, a) in enumerate(J.TEMPLATES)]
     ladder = " ".join(
         "WHEN " + " AND ".join(f"{'word' if k == 0 else f'w{k}'} = '{w}'" for k, w in enumerate(p.split())) + f" THEN '{label}'" for p, label in J.PHRASES)
     return rf"""
@@ -201,12 +201,16 @@ WITH d AS (
   SELECT doc_id, pos, CASE {ladder} END AS label FROM ahead
 ), t(id, label, token) AS (VALUES {values(tokens)}
 ), size(id, n, need) AS (VALUES {values(need)}
+), anchor(id, a0, a1, a2, k) AS (VALUES {values(anchors)}
+), stands AS (
+  SELECT doc_id, id, pos, k FROM ahead JOIN anchor ON word = a0 AND (k < 2 OR w1 = a1) AND (k < 3 OR w2 = a2)
 ), block AS (
   SELECT DISTINCT doc_id, unnest([greatest(pos // {J.STRIDE} - 1, 0), least(pos // {J.STRIDE}, greatest(1, (n + {J.STRIDE - 1}) // {J.STRIDE} - 1) - 1)]) AS block, word FROM w
 ), shared AS (
   SELECT doc_id, block, id, label, count(DISTINCT word) AS has FROM block JOIN t ON word = token GROUP BY ALL
 ), found AS (
-  SELECT doc_id, label, CAST(has AS DOUBLE) / CAST(n AS DOUBLE) AS share FROM shared JOIN size USING (id) WHERE has >= need
+  SELECT doc_id, label, CAST(has AS DOUBLE) / CAST(n AS DOUBLE) AS share FROM shared s JOIN size USING (id)
+  WHERE has >= need AND EXISTS (SELECT 1 FROM stands a WHERE a.doc_id = s.doc_id AND a.id = s.id AND a.pos >= {J.STRIDE} * s.block AND a.pos + a.k <= {J.STRIDE} * (s.block + 2))
 ), every AS (
   SELECT doc_id, label, 1.0::DOUBLE AS share, pos FROM base WHERE label IS NOT NULL UNION ALL SELECT doc_id, label, share, NULL FROM found
 ), mine AS (

@@ -363,11 +363,11 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact(docs: DataFrame, field: Field) -> DataFrame:
     """All rows and columns of ``docs`` with personal data masked; n_chars, where there is one,
     counts the new text. A null text stays null."""
-    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("carry"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    src = docs.select(F.struct(*[C.named(c) for c in docs.columns]).alias("carry"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
     def rows(b, found):
         return pa.RecordBatch.from_arrays([b.column("carry"), pa.array([masked(t, base + more) for t, base, more in found], pa.string())], names=["carry", "masked"])
 
     got = _over_texts(src, field, src.drop("text").withColumn("masked", F.lit("")).schema, rows)
     text = F.when(F.col("carry.text").isNotNull(), F.col("masked"))
-    return got.select(*[text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    return got.select(*[text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else C.named(c, "carry").alias(c) for c in docs.columns])

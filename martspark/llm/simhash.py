@@ -247,4 +247,4 @@ def survivors(docs: DataFrame, width: int = 3, bits: int = BITS) -> DataFrame:
     first = prints.join(of, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"))
     # two groups may not name one key: a doc_id and text have one fingerprint
     got = C.matched(docs, first.select("first.doc_id", "first.th")).filter("nth = 1")
-    return got.select(*[F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    return got.select(*[C.named(c, "carry").alias(c) for c in docs.columns])

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -54,3 +55,41 @@ def test_odd_texts_and_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in G.classify(H.odd(spark), none).collect()} == {0.5}
     assert G.classify(H.empty(spark), labels).count() == 0
+
+
+def test_score_and_first_trees_by_plain_loops():
+    """Scores as sums of looked-up values; the first round's tables as trees found by trying all cuts."""
+    rng = np.random.default_rng(4)
+    x = np.round(rng.random((400, 3)), 2)
+    y = (x[:, 0] + 0.3 * rng.random(400) > 0.6).astype(float)
+    m = G.AdditiveModel(bins=9, grid=4, rounds=5, pair_rounds=3, pairs=2).fit(x, y)
+
+    def looked_up(row):
+        total = m.base
+        for v, cuts, table in zip(row, m.cuts, m.tables):
+            total += table[sum(v >= c for c in cuts)]
+        for (i, j), table in zip(m.pairs, m.pair_tables):
+            total += table[sum(row[i] >= c for c in m.coarse[i])][sum(row[j] >= c for c in m.coarse[j])]
+        return 1 / (1 + math.exp(-total))
+    assert np.allclose(m.score(x), [looked_up(r) for r in x])
+
+    m = G.AdditiveModel(bins=9, rounds=1, pair_rounds=0, pairs=0, leaves=3).fit(x, y)
+    score = [m.base] * len(y)
+    for j, (cuts, table) in enumerate(zip(m.cuts, m.tables)):
+        at = [sum(v >= c for c in cuts) for v in x[:, j]]
+        p = [1 / (1 + math.exp(-s)) for s in score]
+        g, h = [0.0] * len(table), [0.0] * len(table)
+        for a, want, have in zip(at, y, p):
+            g[a] += want - have
+            h[a] += have * (1 - have)
+        worth = lambda lo, hi: sum(g[lo:hi]) ** 2 / (sum(h[lo:hi]) + m.ridge)  # noqa: B023, E731
+        leaves = [(0, len(table))]
+        for _ in range(2):          # the best cut of any leaf, twice
+            gain, leaf, cut = max((worth(lo, c) + worth(c, hi) - worth(lo, hi), (lo, hi), c) for lo, hi in leaves for c in range(lo + 1, hi))
+            leaves = [x for x in leaves if x != leaf] + [(leaf[0], cut), (cut, leaf[1])]
+        want = [0.0] * len(table)
+        for lo, hi in leaves:
+            for b in range(lo, hi):
+                want[b] = m.rate * sum(g[lo:hi]) / (sum(h[lo:hi]) + m.ridge)
+        assert np.allclose(table, want)
+        score = [s + want[a] for s, a in zip(score, at)]

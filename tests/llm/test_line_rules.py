@@ -32,9 +32,9 @@ def brute(rows, doc_limit, min_share, min_left):
     rows = [(i, t or "", h) for i, t, h in rows]
     lines = [[(norm(x), len(WORD.findall(x))) for x in t.split("\n") if WORD.search(x)] for _, t, _ in rows]
     signs, count = defaultdict(set), Counter()
-    for (_, _, h), ls in zip(rows, lines):
+    for (_, t, h), ls in zip(rows, lines):
         for x in {x for x, _ in ls}:
-            signs[h, x].add(min((y for y, _ in ls), key=lambda y: y.encode()))
+            signs[h, x].add(t)
             count[h, x] += 1
     out = []
     for (i, t, h), ls in zip(rows, lines):

@@ -80,3 +80,9 @@ def test_mix_repeats_whole_rows(spark):
 def test_oracle(spark):
     ok, why = compare(op6_mix(spark, SF), ORACLES["op6_mix"], duck(SF))
     assert ok, why
+
+
+def test_texts_of_one_id_and_size_take_the_same_copies_in_any_order(spark):
+    rows = [(1, f"{w} two three", "en", f"s{k}") for w in ("a", "b", "c") for k in (0, 1)] + [(i, "x y z", "en", "s1") for i in range(2, 9)]
+    taken = [sorted((r["doc_id"], r["th"], r["copies"]) for r in M.sample(H.frame(spark, order).repartition(n)).collect()) for order, n in ((rows, 1), (rows[::-1], 3), (rows[3:] + rows[:3], 5))]
+    assert taken[0] == taken[1] == taken[2]
