@@ -1,17 +1,21 @@
 """Language-model scores: a causal self-attention model on subword ids, trained in numpy.
 
 Words are counted over all training texts (``blocks``), each distinct word is encoded once into
-subword ids, and the ids' counts are summed. Ids fall into classes by count: frequent ids are
-alone, the others share. The model gives the class of the next id by self-attention over the ids
-before it (weights by pairs of classes and by distance), and the id within its class by its share
-of the corpus. All windows of all training texts are trained on, each in one of the rounds, so
-training grows with the input; partitions train on their own windows from common weights, which are
-averaged after each round. A text is scored in windows that overlap by half: each id once, with
-the ids of the window before it masked so that none sees a later one.
+subword ids, and the ids' counts are summed. Ids are numbered by count; each has an embedding, made
+of the classes that are its neighbours in the corpus and of its own class, from which trained maps
+give its query, key and value. The next id is given by its class (ids of about equal shares of the
+corpus) and its place in the class: the class by self-attention over the ids before it, on top of
+the counts of classes after the last id; the id in its class by the counts of ids after the last id
+where both are frequent, else after the last id's class. All windows of all
+training texts are trained on, each text in one of the rounds, so training grows with the input;
+partitions train on their own windows from common weights, which are averaged after each round. A
+text is scored in windows that overlap by half: each id once, with the ids of the window before it
+masked so that none sees a later one. A very long text is windows like any other's. The tables
+are bounded by the vocabulary: numbers x classes, and FREQUENT x FREQUENT.
 
 Null text: empty, one token, the end. Null doc_id: as the empty text for the remainder. Repeated
-rows: a result each, and counted each. Other columns are not read. Without any training text the
-counts are 0 and all classes alike. An empty table gives no rows.
+rows: a result each, and counted each. Ids of one count are numbered by id. Other columns are not
+read. Without any training text the counts are 0 and all ids alike. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,44 +32,116 @@ from . import bpe
 from . import common as C
 
 STRIDE = 16                # ids scored in a window, after as many that are only seen
-CLASSES, ALONE = 64, 40    # classes of ids, and how many have one of their own (the end included)
-WIDTH = 16
-ROUNDS, RATE, BATCH = 8, 0.02, 128     # a round trains on one window in ROUNDS, another in each
-PAD = CLASSES
+CLASSES = 32               # classes of ids, the last for ids that training has not seen
+FREQUENT = 2048            # ids whose pairs are counted each
+SMOOTH = 4.0               # counts that the coarser table is worth
+EMBED, WIDTH = 32, 16      # of an id: half from its neighbours, half its class's; of a query, key, value
+ROUNDS, RATE, BATCH = 4, 0.02, 128     # a text is trained on in one of the rounds
+PIECES = 64                # of a summed vector
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray):
     return C.spans(~C.IS_SPACE[data], offs)
 
 
-class Classes:
-    """The class of each id and the log of its share in the class; the end is the last id."""
+class Numbers:
+    """Ids by falling count: ``of`` an id its number, all unseen ids the last; ``group`` of a number
+    its class; ``unseen`` ids share the last number. The end is the last id."""
 
     def __init__(self, counts: np.ndarray):
-        n = len(counts)
-        order = np.lexsort((np.arange(n), -counts))
-        order = np.concatenate([[n - 1], order[order != n - 1]])
-        self.of = np.empty(n, np.int64)
-        self.of[order[:ALONE]] = np.arange(min(ALONE, n))
-        rest = order[ALONE:]
-        weight = np.cumsum(counts[rest] + 1.0)
-        if len(rest):       # equal shares of what is left, in order of count
-            self.of[rest] = ALONE + np.minimum((weight - 1) / weight[-1] * (CLASSES - ALONE), CLASSES - ALONE - 1).astype(np.int64)
-        total = np.bincount(self.of, counts + 1.0, CLASSES)
-        self.total = np.maximum(total, 1e-9)
-        self.inside = np.log(counts + 1.0) - np.log(self.total[self.of])
+        order = np.lexsort((np.arange(len(counts)), -counts))
+        self.seen = int((counts > 0).sum())
+        self.of = np.empty(len(counts), np.int64)
+        self.of[order] = np.minimum(np.arange(len(counts)), self.seen)
+        self.unseen = len(counts) - self.seen
+        self.count = np.append(counts[order[:self.seen]], 0)
+        self.size = self.seen + 1
+        self.pad = self.size
+        upto = np.cumsum(self.count) - self.count / 2
+        self.group = np.minimum(upto / max(1, self.count.sum()) * (CLASSES - 1), CLASSES - 2).astype(np.int64)
+        self.group[-1] = CLASSES - 1
+        # classes whose ids are all frequent come first, as classes follow the count
+        self.exact = int(self.group[FREQUENT]) if self.size > FREQUENT else CLASSES - 1
+        self.kind = np.uint16 if self.size < 1 << 16 else np.uint32
+
+
+class Pairs:
+    """Counts of neighbours: class after number, number after class, number after number where both
+    are frequent; one flat vector, so that it can be summed."""
+
+    def __init__(self, known: Numbers):
+        self.known, self.edge = known, min(FREQUENT, known.size)
+        self.ends = np.cumsum([known.size * CLASSES, CLASSES * known.size, self.edge * self.edge])
+        self.flat = np.zeros(int(self.ends[-1]), np.int64)
+
+    def add(self, last: np.ndarray, then: np.ndarray) -> None:
+        a, b, c = np.split(self.flat, self.ends[:2])
+        group = self.known.group
+        a += np.bincount(last * CLASSES + group[then], minlength=len(a))
+        b += np.bincount(group[last] * self.known.size + then, minlength=len(b))
+        both = (last < self.edge) & (then < self.edge)
+        c += np.bincount((last * self.edge + then)[both], minlength=len(c))
+
+
+class Prior:
+    """Logs of the chance of a class after a number, and of a number in its class after a number."""
+
+    def __init__(self, pairs: Pairs):
+        known = self.known = pairs.known
+        after, coarse, fine = (x.astype(np.float64) for x in np.split(pairs.flat, pairs.ends[:2]))
+        after, coarse, fine = after.reshape(-1, CLASSES), coarse.reshape(CLASSES, -1), fine.reshape(pairs.edge, -1)
+        group, weight = known.group, known.count + 1.0
+        total = np.bincount(group, weight, CLASSES)
+        share = total / total.sum()
+        self.after = np.log((after + SMOOTH * share + 1e-6) / (after.sum(1, keepdims=True) + SMOOTH + 1e-6 * CLASSES)).astype(np.float32)
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        per = np.zeros((CLASSES, CLASSES))
+        per[:, group[starts]] = np.add.reduceat(coarse, starts, axis=1)
+        self.embed = self.embeddings(coarse.T, share)
+        within = (coarse + SMOOTH * (weight / total[group])) / (per[:, group] + SMOOTH)
+        self.coarse = np.log(within).astype(np.float32)
+        self.coarse[:, -1] -= np.log(max(1, known.unseen))
+        n = len(fine)
+        self.fine = np.zeros((n, n), np.float32)
+        for i in range(n):
+            self.fine[i] = np.log((fine[i] + SMOOTH * within[group[i], :n]) / (after[i, group[:n]] + SMOOTH))
+
+    def inside(self, last: np.ndarray, then: np.ndarray) -> np.ndarray:
+        group = self.known.group
+        out = self.coarse[group[last], then].astype(np.float64)
+        both = np.flatnonzero((last < len(self.fine)) & (group[then] < self.known.exact))
+        out[both] = self.fine[last[both], then[both]]
+        return out
+
+    def embeddings(self, before: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Of each number: principal parts of its neighbours' classes, and a random vector of its
+        class, by which ids that have the same neighbours differ."""
+        known, half = self.known, EMBED // 2
+        shape = lambda n: np.log((n + SMOOTH * share + 1e-6) / (n.sum(1, keepdims=True) + SMOOTH) / (share + 1e-6))
+        x = np.concatenate([self.after - np.log(share + 1e-6), shape(before)], axis=1)
+        weight = np.sqrt(known.count + 1.0)[:, None]
+        x -= (x * weight).sum(0) / weight.sum()
+        value, vector = np.linalg.eigh((x * weight).T @ x / weight.sum())
+        vector *= np.where(vector[np.abs(vector).argmax(0), np.arange(len(value))] < 0, -1, 1)
+        parts = x @ vector[:, -half:] / np.sqrt(np.maximum(value[-half:], 1e-2))
+        own = np.random.default_rng(1).standard_normal((CLASSES, half))
+        return np.concatenate([np.clip(parts, -4, 4), own[known.group]], axis=1).astype(np.float32)
 
 
 class Attention:
-    """Parameters by class: query, key, value and residual vectors; distance weights; the output."""
+    """Parameters: maps from embeddings to queries, and to keys and values; distance weights; the
+    output. ``after``, the log chance of classes after a number, and the embeddings are fixed."""
 
-    NAMES = ("query", "key", "value", "own", "near", "out", "bias")
+    NAMES = ("query", "both", "near", "out", "bias")
+    GAP = STRIDE + np.arange(STRIDE)[:, None] - np.arange(2 * STRIDE)
 
-    def __init__(self, start: np.ndarray, seed: int = 0):
+    def __init__(self, prior: Prior, seed: int = 0):
         rng = np.random.default_rng(seed)
-        rand = lambda *shape: (rng.standard_normal(shape) * 0.2).astype(np.float32)
-        self.w = {"query": rand(CLASSES, WIDTH), "key": rand(CLASSES, WIDTH), "value": rand(CLASSES, WIDTH), "own": rand(CLASSES, WIDTH),
-                  "near": np.zeros(2 * STRIDE, np.float32), "out": rand(WIDTH, CLASSES), "bias": np.log(start).astype(np.float32)}
+        rand = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
+        self.after, self.embed = prior.after, prior.embed
+        self.pad, self.tables = len(self.after), None
+        self.w = {"query": rand(EMBED, WIDTH), "both": rand(EMBED, 2 * WIDTH), "near": np.zeros(2 * STRIDE, np.float32),
+                  "out": rand(WIDTH, CLASSES), "bias": np.zeros(CLASSES, np.float32)}
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.w[k].ravel() for k in self.NAMES])
@@ -78,101 +155,112 @@ class Attention:
         return self
 
     def ready(self) -> Attention:
-        """Tables for scoring: attention before normalising, by pair of classes and by place."""
-        w = self.w
-        self.pair = np.zeros((CLASSES + 1, CLASSES + 1), np.float32)
-        self.pair[:CLASSES, :CLASSES] = np.exp(np.clip(w["query"] @ w["key"].T / np.sqrt(WIDTH), -30, 30))
-        self.pair[PAD, :] = 1e-9
-        self.value = np.concatenate([w["value"], np.zeros((1, WIDTH), np.float32)])
-        self.own = np.concatenate([w["own"], np.zeros((1, WIDTH), np.float32)])
-        self.place = self._place(np.exp(np.clip(w["near"], -30, 30)), 0.0)
+        """Queries, and keys and values, of all numbers: for scoring only."""
+        self.tables = self.embed @ (self.w["query"] * np.float32(1 / np.sqrt(WIDTH))), self.embed @ self.w["both"]
         return self
 
-    @staticmethod
-    def _place(by_distance: np.ndarray, masked: float) -> np.ndarray:
-        """(query, seen): the value for their distance; ``masked`` where seen is later."""
-        gap = STRIDE + np.arange(STRIDE)[:, None] - np.arange(2 * STRIDE)
-        return np.where(gap >= 0, by_distance[np.maximum(gap, 0)], masked).astype(np.float32)
-
-    def hidden(self, win: np.ndarray):
-        q = win[:, STRIDE:]
-        a = self.pair.ravel()[(q * (CLASSES + 1))[:, :, None] + win[:, None, :]]
-        a *= self.place
-        a /= a.sum(axis=2, keepdims=True) + 1e-20
-        return a, a @ self.value[win] + self.own[q]
+    def seen(self, win: np.ndarray):
+        """Embeddings, queries, keys and values of windows (n, 2 * STRIDE), attention before it is
+        divided by its sums, these sums, and the attended values."""
+        if self.tables is None:
+            x = self.embed.take(win, axis=0, mode="clip")
+            both = (x.reshape(-1, EMBED) @ self.w["both"]).reshape(*win.shape, 2 * WIDTH)
+            q = (x[:, STRIDE:].reshape(-1, EMBED) @ (self.w["query"] * np.float32(1 / np.sqrt(WIDTH)))).reshape(len(win), STRIDE, WIDTH)
+        else:
+            x, (q, both) = None, (t.take(w, axis=0, mode="clip") for t, w in zip(self.tables, (win[:, STRIDE:], win)))
+        a = q @ both[:, :, :WIDTH].transpose(0, 2, 1)
+        np.clip(a, -30, 30, out=a)
+        np.exp(a, out=a)
+        a *= np.where(self.GAP >= 0, np.exp(np.clip(self.w["near"], -30, 30))[np.maximum(self.GAP, 0)], 0).astype(np.float32)
+        a[np.flatnonzero(win[:, 0] == self.pad), :, :STRIDE] = 0     # a text's first window
+        total = (a.reshape(-1, 2 * STRIDE) @ np.ones(2 * STRIDE, np.float32)).reshape(len(win), STRIDE, 1)
+        return x, q, both, a, total, a @ both[:, :, WIDTH:] / total
+
+    def chances(self, win: np.ndarray, y: np.ndarray):
+        """Exponents of the classes, and their sums."""
+        z = y.reshape(-1, WIDTH) @ self.w["out"]
+        z += self.after.take(win[:, STRIDE:].ravel(), axis=0, mode="clip")
+        z += self.w["bias"]
+        np.clip(z, -60, 60, out=z)
+        p = np.exp(z)
+        return z, p, p @ np.ones(CLASSES, np.float32)
 
     def log_chances(self, win: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log of the chance of each target class (PAD: 0), of windows (n, 2 * STRIDE)."""
-        _, y = self.hidden(win)
-        z = y.reshape(-1, WIDTH) @ self.w["out"] + self.w["bias"]
+        """Log of the chance of each target class (CLASSES: 0)."""
+        z, _, total = self.chances(win, self.seen(win)[-1])
         t = target.ravel()
         mine = z[np.arange(len(z)), np.minimum(t, CLASSES - 1)]
-        top = z.max(axis=1)
-        z -= top[:, None]
-        np.exp(z, out=z)
-        return np.where(t == PAD, 0.0, mine - top - np.log(z.sum(axis=1))).reshape(target.shape)
+        return np.where(t == CLASSES, 0.0, mine - np.log(total)).reshape(target.shape)
 
     def gradient(self, win: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
-        w = self.w
-        self.ready()
-        a, y = self.hidden(win)
-        q = win[:, STRIDE:]
-        z = y @ w["out"] + w["bias"]
-        z -= z.max(axis=2, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=2, keepdims=True)
-        real = target != PAD
-        n, i = np.nonzero(real)
-        p[n, i, target[n, i]] -= 1
-        p[~real] = 0
-        p /= max(1, int(real.sum()))
-        g = {"out": y.reshape(-1, WIDTH).T @ p.reshape(-1, CLASSES), "bias": p.sum(axis=(0, 1))}
-        dy = p @ w["out"].T
-        one = np.eye(CLASSES + 1, dtype=np.float32)
-        scatter = lambda at, *d: np.split((one[at.ravel()].T @ np.concatenate(d, 2).reshape(-1, 2 * WIDTH))[:CLASSES], 2, 1)
-        da = dy @ self.value[win].transpose(0, 2, 1)
-        ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-        gap = (STRIDE + np.arange(STRIDE)[:, None] - np.arange(2 * STRIDE))
-        by_gap = ds.sum(axis=0)
-        g["near"] = np.bincount(np.maximum(gap, 0).ravel(), np.where(gap >= 0, by_gap, 0).ravel(), 2 * STRIDE)
-        wide = lambda x: np.concatenate([x, np.zeros((1, WIDTH), np.float32)])
-        root = np.float32(np.sqrt(WIDTH))
-        g["own"], g["query"] = scatter(q, dy, ds @ wide(w["key"])[win] / root)
-        g["value"], g["key"] = scatter(win, a.transpose(0, 2, 1) @ dy, ds.transpose(0, 2, 1) @ wide(w["query"])[q] / root)
+        """Of the mean loss of a target."""
+        x, q, both, a, total, y = self.seen(win)
+        _, p, sums = self.chances(win, y)
+        t = target.ravel()
+        real = np.flatnonzero(t != CLASSES)
+        p *= (1 / sums)[:, None]
+        p[real, t[real]] -= 1
+        if len(real) < len(t):
+            p[t == CLASSES] = 0
+        p *= np.float32(1 / max(1, len(real)))
+        g = {"out": y.reshape(-1, WIDTH).T @ p, "bias": np.ones(len(p), np.float32) @ p}
+        dy = (p @ self.w["out"].T).reshape(y.shape) / total
+        ds = dy @ both[:, :, WIDTH:].transpose(0, 2, 1)
+        ds -= np.einsum("nij,nij->ni", dy, y)[:, :, None]
+        ds *= a
+        g["near"] = np.bincount(np.maximum(self.GAP, 0).ravel(), np.where(self.GAP >= 0, ds.sum(axis=0), 0).ravel(), 2 * STRIDE)
+        d = np.empty_like(both)
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, :WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dy, out=d[:, :, WIDTH:])
+        g["both"] = x.reshape(-1, EMBED).T @ d.reshape(-1, 2 * WIDTH)
+        g["query"] = x[:, STRIDE:].reshape(-1, EMBED).T @ (ds @ both[:, :, :WIDTH]).reshape(-1, WIDTH) * np.float32(1 / np.sqrt(WIDTH))
         return g
 
-    def train(self, win: np.ndarray, target: np.ndarray, rate: float, seed: int) -> Attention:
-        """One pass of Adam over the windows."""
+    def train(self, win: np.ndarray, target: np.ndarray, rate: float, seed: int, state: dict | None = None) -> Attention:
+        """One pass of Adam over the windows; ``state`` keeps its means from call to call."""
+        state = {} if state is None else state
         order = np.random.default_rng(seed).permutation(len(win))
-        state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.w.items()}
-        for t, lo in enumerate(range(0, len(win), BATCH), 1):
+        for lo in range(0, len(win), BATCH):
             rows = order[lo:lo + BATCH]
+            t = state["steps"] = state.get("steps", 0) + 1
             for k, g in self.gradient(win[rows], target[rows]).items():
-                m, v = state[k]
+                m, v = state.setdefault(k, (np.zeros_like(self.w[k]), np.zeros_like(self.w[k])))
                 m += 0.1 * (g - m)
                 v += 0.02 * (g * g - v)
                 self.w[k] -= (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.98 ** t)) + 1e-6)).astype(np.float32)
         return self
 
 
-def windows_of(classes: np.ndarray, sizes: np.ndarray, end: int, every: int = 1, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of inputs, their targets, and windows per text. A text's inputs are the end and its
-    ids, its targets the ids and the end; both are filled up with PAD. With ``every``, only each
-    so-manieth window from ``first`` on."""
+def windows_of(numbers: np.ndarray, sizes: np.ndarray, end: int, known: Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of inputs, their target classes, and windows per text. A text's inputs are the end
+    and its numbers, its targets the numbers and the end; both are filled up."""
     n = -(-(sizes + 1) // STRIDE)
     slots = STRIDE * (n + 1)
     start = np.cumsum(slots) - slots
-    flat = np.full(int(slots.sum()) + STRIDE, PAD, np.int32)
+    flat = np.full(int(slots.sum()) + STRIDE, known.pad, np.int32)
     place = C.ragged(start + STRIDE + 1, sizes)
     flat[start + STRIDE] = end
-    flat[place] = classes
-    goal = np.full(len(flat), PAD, np.int32)
-    goal[place - 1] = classes
-    goal[start + STRIDE + sizes] = end
-    head = C.ragged(start // STRIDE, n)[first::every] * STRIDE
+    flat[place] = numbers
+    goal = np.full(len(flat), CLASSES, np.int32)
+    goal[place - 1] = known.group[numbers]
+    goal[start + STRIDE + sizes] = known.group[end]
+    head = C.ragged(start // STRIDE, n) * STRIDE
     return flat[head[:, None] + np.arange(2 * STRIDE)], goal[head[:, None] + STRIDE + np.arange(STRIDE)], n
 
 
+def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each target of the texts, the end of each included, the number before it, and its text."""
+    stop = np.cumsum(sizes + 1) - 1
+    then = np.empty(len(numbers) + len(sizes), np.int64)
+    last = np.empty_like(then)
+    at = np.ones(len(then), bool)
+    at[stop] = False
+    then[at], then[stop] = numbers, end
+    last[1:] = then[:-1]
+    last[stop - sizes] = end
+    return last, then, np.repeat(np.arange(len(sizes)), sizes + 1)
+
+
 def counted(docs: DataFrame, ranks: dict[bytes, int], buckets: int):
     """Staged blocks, and staged answers: count and ids of each block's words."""
     spark = docs.sparkSession
@@ -218,33 +306,48 @@ def block_words(right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return count, first, n, flat.astype(np.int64)
 
 
-def id_counts(answers: DataFrame, n_ids: int) -> np.ndarray:
-    """Counts of all ids over the corpus: vectors are summed in tasks, 16 reach the driver."""
-    schema = "part int, seen binary"
+def summed(rows: DataFrame, make, kind: type) -> np.ndarray:
+    """The sum over tasks of the vector that ``make(batches)`` gives, or None. It is cut into pieces
+    that are summed in two steps, so that no group holds more than some tasks' share of a piece."""
+    schema = "piece int, task int, part binary"
+    squeeze = lambda x: zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(x).tobytes())
+
+    def give(batches):
+        from pyspark import TaskContext
+        task, got = TaskContext.get().partitionId(), make(batches)
+        if got is not None:
+            for i, x in enumerate(np.array_split(got.astype(kind), PIECES)):
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([task % PIECES], pa.int32()), pa.array([squeeze(x)], pa.binary())], names=["piece", "task", "part"])
+
+    def add(g: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind) for x in g["part"])
+        return pd.DataFrame({"piece": g["piece"].iloc[:1], "task": g["task"].iloc[:1], "part": [squeeze(total)]})
+
+    some = rows.mapInArrow(give, schema).groupBy("piece", "task").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
+    got = sorted(some.collect(), key=lambda r: r["piece"])      # PIECES rows, together one vector
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(zstandard.ZstdDecompressor().decompress(r["part"]), kind) for r in got)])
+
 
-    def add(batches):
-        total, part = np.zeros(n_ids, np.int64), 0
+def id_counts(answers: DataFrame, n_ids: int) -> np.ndarray:
+    """Counts of all ids over the corpus."""
+    def make(batches):
+        total = np.zeros(n_ids, np.int64)
         for b in batches:
             for x in b.column("extra").to_pylist():
                 seen = B.unpack(x, "<u8").astype(np.int64)
                 total[:len(seen)] += seen
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId() % 16
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([B.pack(total, "<u8")], pa.binary())], names=["part", "seen"])
-
-    def join(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": [g["part"].iloc[0]], "seen": [B.pack(sum(B.unpack(x, "<u8").astype(np.int64) for x in g["seen"]), "<u8")]})
+        return total
 
-    rows = answers.filter("extra is not null").select("extra").mapInArrow(add, schema).groupBy("part").applyInPandas(join, schema).collect()
-    return sum((B.unpack(r["seen"], "<u8").astype(np.int64) for r in rows), np.zeros(n_ids, np.int64))
+    got = summed(answers.filter("extra is not null").select("extra"), make, np.int64)
+    return got if len(got) else np.zeros(n_ids, np.int64)
 
 
-def train(parts: DataFrame, answers: DataFrame, classes: Classes, end: int) -> Attention:
-    """The model from all windows of all training texts, one in ``ROUNDS`` a round."""
-    spark = parts.sparkSession
-    known = spark.sparkContext.broadcast(classes)
+def training_texts(parts: DataFrame, answers: DataFrame, known: Numbers) -> DataFrame:
+    """Staged rows (block, numbers, sizes) of the training texts' ids."""
+    sent = parts.sparkSession.sparkContext.broadcast(known)
 
     def pick(row, right):
+        known = sent.value
         ids_of, valid, sizes, body = B.bodies(row)
         _, first, n, flat = block_words(right)
         own = np.array([_remainder(i if v else None) != 2 for i, v in zip(ids_of.tolist(), valid.tolist())], bool)
@@ -252,36 +355,60 @@ def train(parts: DataFrame, answers: DataFrame, classes: Classes, end: int) -> A
         k = n[w]
         ends = np.cumsum(sizes[own])
         per = np.diff(np.concatenate([[0], np.cumsum(k)])[np.concatenate([[0], ends])])
-        parts = [known.value.of[flat[C.ragged(first[w[i:i + (1 << 17)]], k[i:i + (1 << 17)])]].astype(np.uint8) for i in range(0, len(w), 1 << 17)]
-        return pd.DataFrame({"block": [row["block"]], "ids": [np.concatenate([*parts, np.zeros(0, np.uint8)]).tobytes()], "sizes": [per.astype(np.int64).tobytes()]})
+        flat = known.of[flat].astype(known.kind)
+        some = [flat[C.ragged(first[w[i:i + (1 << 17)]], k[i:i + (1 << 17)])] for i in range(0, len(w), 1 << 17)]
+        return pd.DataFrame({"block": [row["block"]], "ids": [np.concatenate([*some, np.zeros(0, known.kind)]).tobytes()], "sizes": [per.astype(np.int64).tobytes()]})
+
+    return C.staged(B.reassemble(parts, answers, pick, "block long, ids binary, sizes binary"), "lm")
+
+
+def _texts(batches, kind: type):
+    for b in batches:
+        for x, y, at in zip(b.column("ids").to_pylist(), b.column("sizes").to_pylist(), b.column("block").to_pylist()):
+            yield np.frombuffer(x, kind), np.frombuffer(y, np.int64), at
+
+
+def count_pairs(rows: DataFrame, known: Numbers, end: int) -> Pairs:
+    """Neighbours in all training texts."""
+    sent = rows.sparkSession.sparkContext.broadcast(known)
+
+    def make(batches):
+        pairs = Pairs(sent.value)
+        for numbers, sizes, _ in _texts(batches, sent.value.kind):
+            stop = np.concatenate([[0], np.cumsum(sizes)])
+            for i, j in C.chunks(stop, 1 << 21):
+                pairs.add(*neighbours(numbers[stop[i]:stop[j]], sizes[i:j], end)[:2])
+        return pairs.flat
+
+    pairs = Pairs(known)
+    got = summed(rows.select("ids", "sizes", "block"), make, np.int64)
+    if len(got):
+        pairs.flat = got
+    return pairs
+
 
-    rows = C.staged(B.reassemble(parts, answers, pick, "block long, ids binary, sizes binary"), "lm")
-    last = int(classes.of[end])
-    model = Attention(classes.total / classes.total.sum())
+def train(rows: DataFrame, prior: Prior, end: int) -> Attention:
+    """The model from all windows of all training texts, each text in one of ``ROUNDS``."""
+    spark = rows.sparkSession
+    fixed = spark.sparkContext.broadcast(prior)
+    model = Attention(prior)
     for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast(model.flat())
 
-        def fit(batches, turn=turn, sent=sent):
-            from pyspark import TaskContext
-            part = TaskContext.get().partitionId()
-            mine, seen = Attention(np.ones(CLASSES)).load(sent.value), 0
-            for b in batches:
-                for x, y, at in zip(b.column("ids").to_pylist(), b.column("sizes").to_pylist(), b.column("block").to_pylist()):
-                    win, goal, _ = windows_of(np.frombuffer(x, np.uint8), np.frombuffer(y, np.int64), last, ROUNDS, (turn + at) % ROUNDS)
-                    if len(win):
-                        mine.train(win, goal, RATE / (1 + turn), turn)
-                        seen += len(win)
-            yield pa.RecordBatch.from_arrays([pa.array([part % 16], pa.int32()), pa.array([seen]), pa.array([(mine.flat() * np.float64(seen)).tobytes()], pa.binary())], names=["part", "n", "w"])
-
-        def add(g: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"part": [g["part"].iloc[0]], "n": [g["n"].sum()], "w": [sum(np.frombuffer(x) for x in g["w"]).tobytes()]})
-
-        schema = "part int, n long, w binary"
-        got = rows.select("ids", "sizes", "block").mapInArrow(fit, schema).groupBy("part").applyInPandas(add, schema).collect()      # 16 rows
-        total = sum(r["n"] for r in got)
-        if not total:       # few windows: none in this round
-            continue
-        model.load(sum(np.frombuffer(r["w"]) for r in sorted(got, key=lambda r: r["part"])) / total)
+        def make(batches, turn=turn, sent=sent):
+            known = fixed.value.known
+            mine, seen, state = Attention(fixed.value).load(sent.value), 0, {}
+            for numbers, sizes, at in _texts(batches, known.kind):
+                stop = np.cumsum(sizes)
+                own = np.arange((turn + at) % ROUNDS, len(sizes), ROUNDS)
+                win, goal, _ = windows_of(numbers[C.ragged((stop - sizes)[own], sizes[own])].astype(np.int64), sizes[own], end, known)
+                mine.train(win, goal, RATE / (1 + turn), turn, state)
+                seen += len(win)
+            return np.append(mine.flat().astype(np.float64) * seen, seen) if seen else None
+
+        got = summed(rows.select("ids", "sizes", "block"), make, np.float64)
+        if len(got):        # else few texts: none in this round
+            model.load(got[:-1] / got[-1])
     return model.ready()
 
 
@@ -299,23 +426,23 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     ends = docs.filter(C.remainder("doc_id", 7) != 2).count()
     sums = answers.agg(F.sum("total"), F.sum("known")).first()
     n, v = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
-    end = max(ranks.values()) + 1
-    seen = id_counts(answers, end + 1)
-    seen[end] = ends
-    classes = Classes(seen)
-    model = train(parts, answers, classes, end)
-    sent = spark.sparkContext.broadcast((model, classes))
+    end_id = max(ranks.values()) + 1
+    seen = id_counts(answers, end_id + 1)
+    seen[end_id] = ends
+    known = Numbers(seen)
+    end = int(known.of[end_id])
+    rows = training_texts(parts, answers, known)
+    prior = Prior(count_pairs(rows, known, end))
+    sent = spark.sparkContext.broadcast((train(rows, prior, end), prior))
 
     def work(row, right):
-        model, classes = sent.value
+        model, prior = sent.value
+        known = prior.known
         ids_of, valid, sizes, body = B.bodies(row)
         count, first, k, flat = block_words(right)
         base = np.log10((count + 1.0) / (n + v + 1.0))
         last = np.log10((ends + 1.0) / (n + v + 1.0))
-        word_inside = np.zeros(len(first))
-        if len(flat):       # every word has an id
-            order = np.argsort(first)
-            word_inside[order] = np.add.reduceat(classes.inside[flat], first[order])
+        flat = known.of[flat]
         stop = np.cumsum(sizes)
         out = []
         for i, j in C.chunks(np.concatenate([[0], stop]), 1 << 15):
@@ -323,11 +450,12 @@ def score(docs: DataFrame, path: str) -> DataFrame:
             w = body[lo:stop[j - 1]]
             doc = np.repeat(np.arange(j - i), sizes[i:j])
             per_doc = lambda x: np.bincount(doc, x, j - i)  # noqa: B023, E731
-            cls = classes.of[flat[C.ragged(first[w], k[w])]]
+            numbers = flat[C.ragged(first[w], k[w])]
             ids = per_doc(k[w]).astype(np.int64)
-            win, goal, many = windows_of(cls, ids, int(classes.of[end]))
-            logs = np.concatenate([model.log_chances(win[p:p + 4096], goal[p:p + 4096]).sum(axis=1) for p in range(0, len(win), 4096)])
-            total = np.bincount(np.repeat(np.arange(j - i), many), logs, j - i) + per_doc(word_inside[w]) + classes.inside[end]
+            win, goal, many = windows_of(numbers, ids, end, known)
+            logs = np.concatenate([model.log_chances(win[p:p + BATCH], goal[p:p + BATCH]).sum(axis=1) for p in range(0, len(win), BATCH)])
+            before, then, text = neighbours(numbers, ids, end)
+            total = np.bincount(np.repeat(np.arange(j - i), many), logs, j - i) + np.bincount(text, prior.inside(before, then), j - i)
             out.append(pd.DataFrame({"doc_id": pd.array(ids_of[i:j], "Int64"), "n_tokens": sizes[i:j] + 1, "n_known": per_doc(count[w] > 0).astype(np.int64) + (ends > 0),
                                      "base_score": per_doc(base[w]) + last, "score": total / np.log(10), "n_ids": ids + 1}))
             out[-1].loc[~valid[i:j], "doc_id"] = pd.NA
