@@ -37,7 +37,7 @@ FREQUENT = 2048            # ids whose pairs are counted each
 SMOOTH = 4.0               # counts that the coarser table is worth
 EMBED, WIDTH = 32, 16      # of an id: half from its neighbours, half its class's; of a query, key, value
 ROUNDS, RATE, BATCH = 4, 0.02, 128     # a text is trained on in one of the rounds
-PIECES = 64                # of a summed vector
+PIECES = 64                # of a summed vector, at most
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray):
@@ -316,7 +316,7 @@ def summed(rows: DataFrame, make, kind: type) -> np.ndarray:
         from pyspark import TaskContext
         task, got = TaskContext.get().partitionId(), make(batches)
         if got is not None:
-            for i, x in enumerate(np.array_split(got.astype(kind), PIECES)):
+            for i, x in enumerate(np.array_split(got.astype(kind), min(PIECES, 1 + (len(got) >> 14)))):
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([task % PIECES], pa.int32()), pa.array([squeeze(x)], pa.binary())], names=["piece", "task", "part"])
 
     def add(g: pd.DataFrame) -> pd.DataFrame:
@@ -324,7 +324,7 @@ def summed(rows: DataFrame, make, kind: type) -> np.ndarray:
         return pd.DataFrame({"piece": g["piece"].iloc[:1], "task": g["task"].iloc[:1], "part": [squeeze(total)]})
 
     some = rows.mapInArrow(give, schema).groupBy("piece", "task").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
-    got = sorted(some.collect(), key=lambda r: r["piece"])      # PIECES rows, together one vector
+    got = sorted(some.collect(), key=lambda r: r["piece"])      # at most PIECES rows, together one vector
     return np.concatenate([np.zeros(0, kind), *(np.frombuffer(zstandard.ZstdDecompressor().decompress(r["part"]), kind) for r in got)])
 
 
@@ -351,12 +351,15 @@ def training_texts(parts: DataFrame, answers: DataFrame, known: Numbers) -> Data
         ids_of, valid, sizes, body = B.bodies(row)
         _, first, n, flat = block_words(right)
         own = np.array([_remainder(i if v else None) != 2 for i, v in zip(ids_of.tolist(), valid.tolist())], bool)
-        w = body[np.repeat(own, sizes)]
-        k = n[w]
-        ends = np.cumsum(sizes[own])
-        per = np.diff(np.concatenate([[0], np.cumsum(k)])[np.concatenate([[0], ends])])
         flat = known.of[flat].astype(known.kind)
-        some = [flat[C.ragged(first[w[i:i + (1 << 17)]], k[i:i + (1 << 17)])] for i in range(0, len(w), 1 << 17)]
+        stop, some, per = np.concatenate([[0], np.cumsum(sizes)]), [], []
+        for i, j in C.chunks(stop, 1 << 17):
+            text = np.repeat(np.arange(j - i), sizes[i:j])
+            learn = own[i:j][text]
+            w, text = body[stop[i]:stop[j]][learn], text[learn]
+            some.append(flat[C.ragged(first[w], n[w])])
+            per.append(np.bincount(text, n[w], j - i)[own[i:j]])
+        per = np.concatenate([*per, np.zeros(0)])
         return pd.DataFrame({"block": [row["block"]], "ids": [np.concatenate([*some, np.zeros(0, known.kind)]).tobytes()], "sizes": [per.astype(np.int64).tobytes()]})
 
     return C.staged(B.reassemble(parts, answers, pick, "block long, ids binary, sizes binary"), "lm")
@@ -376,7 +379,7 @@ def count_pairs(rows: DataFrame, known: Numbers, end: int) -> Pairs:
         pairs = Pairs(sent.value)
         for numbers, sizes, _ in _texts(batches, sent.value.kind):
             stop = np.concatenate([[0], np.cumsum(sizes)])
-            for i, j in C.chunks(stop, 1 << 21):
+            for i, j in C.chunks(stop, 1 << 19):
                 pairs.add(*neighbours(numbers[stop[i]:stop[j]], sizes[i:j], end)[:2])
         return pairs.flat
 
@@ -401,9 +404,11 @@ def train(rows: DataFrame, prior: Prior, end: int) -> Attention:
             for numbers, sizes, at in _texts(batches, known.kind):
                 stop = np.cumsum(sizes)
                 own = np.arange((turn + at) % ROUNDS, len(sizes), ROUNDS)
-                win, goal, _ = windows_of(numbers[C.ragged((stop - sizes)[own], sizes[own])].astype(np.int64), sizes[own], end, known)
-                mine.train(win, goal, RATE / (1 + turn), turn, state)
-                seen += len(win)
+                for i, j in C.chunks(np.concatenate([[0], np.cumsum(sizes[own])]), 1 << 19):
+                    some = own[i:j]
+                    win, goal, _ = windows_of(numbers[C.ragged((stop - sizes)[some], sizes[some])], sizes[some], end, known)
+                    mine.train(win, goal, RATE / (1 + turn), turn, state)
+                    seen += len(win)
             return np.append(mine.flat().astype(np.float64) * seen, seen) if seen else None
 
         got = summed(rows.select("ids", "sizes", "block"), make, np.float64)
