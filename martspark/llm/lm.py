@@ -38,6 +38,7 @@ SMOOTH = 4.0               # counts that the coarser table is worth
 EMBED, WIDTH = 32, 16      # of an id: half from its neighbours, half its class's; of a query, key, value
 ROUNDS, RATE, BATCH = 4, 0.02, 128     # a text is trained on in one of the rounds
 PIECES = 64                # of a summed vector, at most
+SLICE = 1 << 18            # ids, or words, of a block looked at together
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray):
@@ -192,6 +193,13 @@ class Attention:
         mine = z[np.arange(len(z)), np.minimum(t, CLASSES - 1)]
         return np.where(t == CLASSES, 0.0, mine - np.log(total)).reshape(target.shape)
 
+    def log_sums(self, windows: Windows) -> np.ndarray:
+        """Log of the chance of the target classes of each text."""
+        logs = np.zeros(len(windows))
+        for p in range(0, len(logs), BATCH):
+            logs[p:p + BATCH] = self.log_chances(*windows.of(slice(p, p + BATCH))).sum(axis=1)
+        return np.bincount(np.repeat(np.arange(len(windows.many)), windows.many), logs, len(windows.many))
+
     def gradient(self, win: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss of a target."""
         x, q, both, a, total, y = self.seen(win)
@@ -216,14 +224,13 @@ class Attention:
         g["query"] = x[:, STRIDE:].reshape(-1, EMBED).T @ (ds @ both[:, :, :WIDTH]).reshape(-1, WIDTH) * np.float32(1 / np.sqrt(WIDTH))
         return g
 
-    def train(self, win: np.ndarray, target: np.ndarray, rate: float, seed: int, state: dict | None = None) -> Attention:
+    def train(self, windows: Windows, rate: float, seed: int, state: dict | None = None) -> Attention:
         """One pass of Adam over the windows; ``state`` keeps its means from call to call."""
         state = {} if state is None else state
-        order = np.random.default_rng(seed).permutation(len(win))
-        for lo in range(0, len(win), BATCH):
-            rows = order[lo:lo + BATCH]
+        order = np.random.default_rng(seed).permutation(len(windows))
+        for lo in range(0, len(windows), BATCH):
             t = state["steps"] = state.get("steps", 0) + 1
-            for k, g in self.gradient(win[rows], target[rows]).items():
+            for k, g in self.gradient(*windows.of(order[lo:lo + BATCH])).items():
                 m, v = state.setdefault(k, (np.zeros_like(self.w[k]), np.zeros_like(self.w[k])))
                 m += 0.1 * (g - m)
                 v += 0.02 * (g * g - v)
@@ -231,34 +238,49 @@ class Attention:
         return self
 
 
-def windows_of(numbers: np.ndarray, sizes: np.ndarray, end: int, known: Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of inputs, their target classes, and windows per text. A text's inputs are the end
-    and its numbers, its targets the numbers and the end; both are filled up."""
-    n = -(-(sizes + 1) // STRIDE)
-    slots = STRIDE * (n + 1)
-    start = np.cumsum(slots) - slots
-    flat = np.full(int(slots.sum()) + STRIDE, known.pad, np.int32)
-    place = C.ragged(start + STRIDE + 1, sizes)
-    flat[start + STRIDE] = end
-    flat[place] = numbers
-    goal = np.full(len(flat), CLASSES, np.int32)
-    goal[place - 1] = known.group[numbers]
-    goal[start + STRIDE + sizes] = known.group[end]
-    head = C.ragged(start // STRIDE, n) * STRIDE
-    return flat[head[:, None] + np.arange(2 * STRIDE)], goal[head[:, None] + STRIDE + np.arange(STRIDE)], n
-
-
-def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each target of the texts, the end of each included, the number before it, and its text."""
+class Windows:
+    """Windows of some texts. A text's inputs are the end and its numbers, its targets the classes
+    of the numbers and of the end; both are filled up. ``many`` counts the windows of each text."""
+
+    def __init__(self, numbers: np.ndarray, sizes: np.ndarray, end: int, known: Numbers):
+        self.many = -(-(sizes + 1) // STRIDE)
+        slots = STRIDE * (self.many + 1)
+        start = np.cumsum(slots) - slots
+        self.flat = np.full(int(slots.sum()) + STRIDE, known.pad, np.int32)
+        self.goal = np.full(len(self.flat), CLASSES, np.int32)
+        self.flat[start + STRIDE] = end
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        for i in range(0, len(numbers), SLICE):
+            x = numbers[i:i + SLICE]
+            text = np.searchsorted(upto, np.arange(i, i + len(x)), "right") - 1
+            place = np.arange(i, i + len(x)) + (start - upto[:-1])[text] + STRIDE
+            self.flat[place + 1] = x
+            self.goal[place] = known.group[x]
+        self.goal[start + STRIDE + sizes] = known.group[end]
+        self.head = (C.ragged(start // STRIDE, self.many) * STRIDE).astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.head)
+
+    def of(self, rows) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs (n, 2 * STRIDE) and targets (n, STRIDE) of some windows."""
+        at = self.head[rows][:, None]
+        return self.flat[at + np.arange(2 * STRIDE)], self.goal[at + np.arange(STRIDE, 2 * STRIDE)]
+
+
+def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int):
+    """Slices of: the number before a target, the target, and its text; targets are each text's
+    numbers and the end, which also stands before the first."""
     stop = np.cumsum(sizes + 1) - 1
-    then = np.empty(len(numbers) + len(sizes), np.int64)
-    last = np.empty_like(then)
+    then = np.empty(len(numbers) + len(sizes), numbers.dtype)
     at = np.ones(len(then), bool)
     at[stop] = False
     then[at], then[stop] = numbers, end
-    last[1:] = then[:-1]
-    last[stop - sizes] = end
-    return last, then, np.repeat(np.arange(len(sizes)), sizes + 1)
+    before = end
+    for i in range(0, len(then), SLICE):
+        x = then[i:i + SLICE].astype(np.int64)
+        yield np.concatenate([[before], x[:-1]]), x, np.searchsorted(stop, np.arange(i, i + len(x)))
+        before = x[-1]
 
 
 def counted(docs: DataFrame, ranks: dict[bytes, int], buckets: int):
@@ -352,14 +374,15 @@ def training_texts(parts: DataFrame, answers: DataFrame, known: Numbers) -> Data
         _, first, n, flat = block_words(right)
         own = np.array([_remainder(i if v else None) != 2 for i, v in zip(ids_of.tolist(), valid.tolist())], bool)
         flat = known.of[flat].astype(known.kind)
-        stop, some, per = np.concatenate([[0], np.cumsum(sizes)]), [], []
-        for i, j in C.chunks(stop, 1 << 17):
-            text = np.repeat(np.arange(j - i), sizes[i:j])
-            learn = own[i:j][text]
-            w, text = body[stop[i]:stop[j]][learn], text[learn]
+        stop, some, per = np.cumsum(sizes), [], np.zeros(len(sizes))
+        for i in range(0, len(body), SLICE):
+            w = body[i:i + SLICE]
+            text = np.searchsorted(stop, np.arange(i, i + len(w)), "right")
+            learn = own[text]
+            w, text = w[learn], text[learn]
             some.append(flat[C.ragged(first[w], n[w])])
-            per.append(np.bincount(text, n[w], j - i)[own[i:j]])
-        per = np.concatenate([*per, np.zeros(0)])
+            per += np.bincount(text, n[w], len(per))
+        per = per[own]
         return pd.DataFrame({"block": [row["block"]], "ids": [np.concatenate([*some, np.zeros(0, known.kind)]).tobytes()], "sizes": [per.astype(np.int64).tobytes()]})
 
     return C.staged(B.reassemble(parts, answers, pick, "block long, ids binary, sizes binary"), "lm")
@@ -378,9 +401,8 @@ def count_pairs(rows: DataFrame, known: Numbers, end: int) -> Pairs:
     def make(batches):
         pairs = Pairs(sent.value)
         for numbers, sizes, _ in _texts(batches, sent.value.kind):
-            stop = np.concatenate([[0], np.cumsum(sizes)])
-            for i, j in C.chunks(stop, 1 << 19):
-                pairs.add(*neighbours(numbers[stop[i]:stop[j]], sizes[i:j], end)[:2])
+            for last, then, _ in neighbours(numbers, sizes, end):
+                pairs.add(last, then)
         return pairs.flat
 
     pairs = Pairs(known)
@@ -404,11 +426,11 @@ def train(rows: DataFrame, prior: Prior, end: int) -> Attention:
             for numbers, sizes, at in _texts(batches, known.kind):
                 stop = np.cumsum(sizes)
                 own = np.arange((turn + at) % ROUNDS, len(sizes), ROUNDS)
-                for i, j in C.chunks(np.concatenate([[0], np.cumsum(sizes[own])]), 1 << 19):
+                for i, j in C.chunks(np.concatenate([[0], np.cumsum(sizes[own])]), SLICE):
                     some = own[i:j]
-                    win, goal, _ = windows_of(numbers[C.ragged((stop - sizes)[some], sizes[some])], sizes[some], end, known)
-                    mine.train(win, goal, RATE / (1 + turn), turn, state)
-                    seen += len(win)
+                    windows = Windows(np.concatenate([numbers[stop[k] - sizes[k]:stop[k]] for k in some]), sizes[some], end, known)
+                    mine.train(windows, RATE / (1 + turn), turn, state)
+                    seen += len(windows)
             return np.append(mine.flat().astype(np.float64) * seen, seen) if seen else None
 
         got = summed(rows.select("ids", "sizes", "block"), make, np.float64)
@@ -447,7 +469,7 @@ def score(docs: DataFrame, path: str) -> DataFrame:
         count, first, k, flat = block_words(right)
         base = np.log10((count + 1.0) / (n + v + 1.0))
         last = np.log10((ends + 1.0) / (n + v + 1.0))
-        flat = known.of[flat]
+        flat = known.of[flat].astype(known.kind)
         stop = np.cumsum(sizes)
         out = []
         for i, j in C.chunks(np.concatenate([[0], stop]), 1 << 15):
@@ -455,12 +477,11 @@ def score(docs: DataFrame, path: str) -> DataFrame:
             w = body[lo:stop[j - 1]]
             doc = np.repeat(np.arange(j - i), sizes[i:j])
             per_doc = lambda x: np.bincount(doc, x, j - i)  # noqa: B023, E731
-            numbers = flat[C.ragged(first[w], k[w])]
+            numbers = np.concatenate([flat[C.ragged(first[x], k[x])] for x in np.split(w, range(SLICE, len(w), SLICE))])
             ids = per_doc(k[w]).astype(np.int64)
-            win, goal, many = windows_of(numbers, ids, end, known)
-            logs = np.concatenate([model.log_chances(win[p:p + BATCH], goal[p:p + BATCH]).sum(axis=1) for p in range(0, len(win), BATCH)])
-            before, then, text = neighbours(numbers, ids, end)
-            total = np.bincount(np.repeat(np.arange(j - i), many), logs, j - i) + np.bincount(text, prior.inside(before, then), j - i)
+            total = model.log_sums(Windows(numbers, ids, end, known))
+            for before, then, text in neighbours(numbers, ids, end):
+                total += np.bincount(text, prior.inside(before, then), j - i)
             out.append(pd.DataFrame({"doc_id": pd.array(ids_of[i:j], "Int64"), "n_tokens": sizes[i:j] + 1, "n_known": per_doc(count[w] > 0).astype(np.int64) + (ends > 0),
                                      "base_score": per_doc(base[w]) + last, "score": total / np.log(10), "n_ids": ids + 1}))
             out[-1].loc[~valid[i:j], "doc_id"] = pd.NA

@@ -65,7 +65,8 @@ def corpus(n=400, texts=40, seed=0):
     known = M.Numbers(counts)
     numbers, end = known.of[ids], int(known.of[-1])
     pairs = M.Pairs(known)
-    pairs.add(*M.neighbours(numbers, sizes, end)[:2])
+    for last, then, _ in M.neighbours(numbers, sizes, end):
+        pairs.add(last, then)
     return known, numbers, sizes, end, pairs
 
 
@@ -91,16 +92,17 @@ def plain(m, known, seq, end):
 
 
 @pytest.mark.parametrize("ready", [False, True])
-def test_windows_against_plain_attention(ready):
+def test_windows_against_plain_attention(monkeypatch, ready):
     known, _, _, end, pairs = corpus()
     m = model(M.Prior(pairs))
     rng = np.random.default_rng(3)
     sizes = np.array([0, 1, 15, 16, 17, 31, 32, 100])
     seqs = [rng.integers(0, known.size, k) for k in sizes]
-    win, goal, many = M.windows_of(np.concatenate(seqs), sizes, end, known)
+    monkeypatch.setattr(M, "SLICE", 20)
+    windows = M.Windows(np.concatenate(seqs), sizes, end, known)
     if ready:
         m.ready()
-    got = np.bincount(np.repeat(np.arange(len(sizes)), many), m.log_chances(win, goal).sum(axis=1))
+    got = m.log_sums(windows)
     assert np.allclose(got, [plain(m, known, s.tolist(), end) for s in seqs], atol=2e-3)
 
 
@@ -108,7 +110,7 @@ def test_gradient_against_differences():
     known, _, _, end, pairs = corpus()
     prior = M.Prior(pairs)
     seq, m = np.random.default_rng(4).integers(0, known.size, 60), model(prior)
-    win, goal, _ = M.windows_of(seq, np.array([60]), end, known)
+    win, goal = M.Windows(seq, np.array([60]), end, known).of(slice(None))
     g = m.gradient(win, goal)
     for name in m.NAMES:
         at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
@@ -125,19 +127,21 @@ def test_training_learns_a_pattern():
     known = M.Numbers(np.append(np.bincount(seq), 1))
     numbers, end = known.of[seq], int(known.of[-1])
     pairs = M.Pairs(known)
-    pairs.add(*M.neighbours(numbers, np.array([len(seq)]), end)[:2])
-    win, goal, _ = M.windows_of(numbers, np.array([len(seq)]), end, known)
+    for last, then, _ in M.neighbours(numbers, np.array([len(seq)]), end):
+        pairs.add(last, then)
+    windows = M.Windows(numbers, np.array([len(seq)]), end, known)
     m = M.Attention(M.Prior(pairs))
-    before = m.log_chances(win, goal).sum() / len(seq)
+    before = m.log_sums(windows)[0] / len(seq)
     for k in range(60):
-        m.train(win, goal, 0.03, k)
-    assert before < -0.2 and m.log_chances(win, goal).sum() / len(seq) > -0.05
+        m.train(windows, 0.03, k)
+    assert before < -0.2 and m.log_sums(windows)[0] / len(seq) > -0.05
 
 
 @pytest.mark.parametrize("frequent", [M.FREQUENT, 100])
 def test_prior_is_a_distribution(monkeypatch, frequent):
     """Chances of all ids after any id, the unseen ones included, sum to 1; and pairs are counted plainly."""
     monkeypatch.setattr(M, "FREQUENT", frequent)
+    monkeypatch.setattr(M, "SLICE", 77)
     known, numbers, sizes, end, pairs = corpus()
     prior = M.Prior(pairs)
     last, then = (x.ravel() for x in np.meshgrid(np.arange(known.size), np.arange(known.size), indexing="ij"))
@@ -156,8 +160,7 @@ def test_prior_is_a_distribution(monkeypatch, frequent):
 def test_empty_numbers():
     known = M.Numbers(np.zeros(9, np.int64))
     prior = M.Prior(M.Pairs(known))
-    win, goal, _ = M.windows_of(known.of[[1, 2]], np.array([2]), 0, known)
-    assert np.isfinite(M.Attention(prior).ready().log_chances(win, goal)).all() and prior.inside(np.array([0]), np.array([0]))[0] == pytest.approx(-math.log(9))
+    assert np.isfinite(M.Attention(prior).ready().log_sums(M.Windows(known.of[[1, 2]], np.array([2]), 0, known))).all() and prior.inside(np.array([0]), np.array([0]))[0] == pytest.approx(-math.log(9))
 
 
 def test_below_a_bigram(spark):
