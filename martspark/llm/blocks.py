@@ -106,7 +106,7 @@ class _Block:
                            words=words_blob([words[i] for i in part.tolist()]), numbers=pack_rising(part), counts=pack(count[part], "<u8") if counted else None)
 
 
-def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold: np.ndarray | None = None, name: str = "blocks") -> DataFrame:
+def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold: np.ndarray | None = None, name: str = "blocks", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Staged rows: one with the bodies per block, and one packet per block and bucket.
 
     ``tokens(data, offs)`` gives starts, ends and each text's first token; ``trained`` is a
@@ -129,7 +129,7 @@ def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold:
             learn = np.asarray(b.column("trained").cast(pa.int8())).astype(bool)
             for i, j in C.chunks(offs):
                 cur.add(ids[i:j], valid[i:j], data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], learn[i:j], tokens)
-                if cur.bytes >= BLOCK_BYTES:
+                if cur.bytes >= block_bytes:
                     yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted)), schema)
                     made, cur = made + 1, _Block()
         if cur.ids:

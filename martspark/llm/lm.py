@@ -37,6 +37,7 @@ FREQUENT = 2048            # ids whose pairs are counted each
 SMOOTH = 4.0               # counts that the coarser table is worth
 EMBED, WIDTH = 32, 16      # of an id: half from its neighbours, half its class's; of a query, key, value
 ROUNDS, RATE, BATCH = 4, 0.02, 128     # a text is trained on in one of the rounds
+BLOCK = 16 << 20           # bytes of text in a block
 PIECES = 64                # of a summed vector, at most
 SLICE = 1 << 18            # ids, or words, of a block looked at together
 
@@ -286,7 +287,7 @@ def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int):
 def counted(docs: DataFrame, ranks: dict[bytes, int], buckets: int):
     """Staged blocks, and staged answers: count and ids of each block's words."""
     spark = docs.sparkSession
-    parts = B.blocks(docs, word_spans, buckets, trained=C.remainder("doc_id", 7) != 2, fold=C.LOWER, name="lm")
+    parts = B.blocks(docs, word_spans, buckets, trained=C.remainder("doc_id", 7) != 2, fold=C.LOWER, name="lm", block_bytes=BLOCK)
     sent = spark.sparkContext.broadcast(ranks)
 
     def answer(words, total):
@@ -328,26 +329,33 @@ def block_words(right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return count, first, n, flat.astype(np.int64)
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(x).tobytes())
+
+
+def opened(b: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+
+
 def summed(rows: DataFrame, make, kind: type) -> np.ndarray:
     """The sum over tasks of the vector that ``make(batches)`` gives, or None. It is cut into pieces
     that are summed in two steps, so that no group holds more than some tasks' share of a piece."""
     schema = "piece int, task int, part binary"
-    squeeze = lambda x: zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(x).tobytes())
 
     def give(batches):
         from pyspark import TaskContext
         task, got = TaskContext.get().partitionId(), make(batches)
         if got is not None:
-            for i, x in enumerate(np.array_split(got.astype(kind), min(PIECES, 1 + (len(got) >> 14)))):
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([task % PIECES], pa.int32()), pa.array([squeeze(x)], pa.binary())], names=["piece", "task", "part"])
+            for i, x in enumerate(np.array_split(got.astype(kind, copy=False), min(PIECES, 1 + (len(got) >> 14)))):
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([task % PIECES], pa.int32()), pa.array([squeezed(x)], pa.binary())], names=["piece", "task", "part"])
 
     def add(g: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind) for x in g["part"])
-        return pd.DataFrame({"piece": g["piece"].iloc[:1], "task": g["task"].iloc[:1], "part": [squeeze(total)]})
+        total = sum(opened(x, kind) for x in g["part"])
+        return pd.DataFrame({"piece": g["piece"].iloc[:1], "task": g["task"].iloc[:1], "part": [squeezed(total)]})
 
     some = rows.mapInArrow(give, schema).groupBy("piece", "task").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
     got = sorted(some.collect(), key=lambda r: r["piece"])      # at most PIECES rows, together one vector
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(zstandard.ZstdDecompressor().decompress(r["part"]), kind) for r in got)])
+    return np.concatenate([np.zeros(0, kind), *(opened(r["part"], kind) for r in got)])
 
 
 def id_counts(answers: DataFrame, n_ids: int) -> np.ndarray:
@@ -383,7 +391,7 @@ def training_texts(parts: DataFrame, answers: DataFrame, known: Numbers) -> Data
             some.append(flat[C.ragged(first[w], n[w])])
             per += np.bincount(text, n[w], len(per))
         per = per[own]
-        return pd.DataFrame({"block": [row["block"]], "ids": [np.concatenate([*some, np.zeros(0, known.kind)]).tobytes()], "sizes": [per.astype(np.int64).tobytes()]})
+        return pd.DataFrame({"block": [row["block"]], "ids": [squeezed(np.concatenate([*some, np.zeros(0, known.kind)]))], "sizes": [squeezed(per.astype(np.int64))]})
 
     return C.staged(B.reassemble(parts, answers, pick, "block long, ids binary, sizes binary"), "lm")
 
@@ -391,7 +399,7 @@ def training_texts(parts: DataFrame, answers: DataFrame, known: Numbers) -> Data
 def _texts(batches, kind: type):
     for b in batches:
         for x, y, at in zip(b.column("ids").to_pylist(), b.column("sizes").to_pylist(), b.column("block").to_pylist()):
-            yield np.frombuffer(x, kind), np.frombuffer(y, np.int64), at
+            yield opened(x, kind), opened(y, np.int64), at
 
 
 def count_pairs(rows: DataFrame, known: Numbers, end: int) -> Pairs:
