@@ -170,10 +170,8 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, tie, text): tie, the text's hash with its halves swapped, tells different texts with
-    one doc_id apart."""
-    h = F.xxhash64("text")
-    return C.byte_texts(docs).select(F.col("doc_id").alias("doc"), F.shiftleft(h, 32).bitwiseOR(F.shiftrightunsigned(h, 32)).alias("tie"), "text")
+    """(doc, tie, text): tie, the text's hash, tells different texts with one doc_id apart."""
+    return C.byte_texts(docs).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("tie"), "text")
 
 
 _PACKET_TYPE = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n, _ in FIELDS), ("doc_", pa.int64()), ("tie_", pa.int64()), ("lo_", pa.binary()), ("hi_", pa.binary())])
@@ -251,15 +249,20 @@ def compared(packed: DataFrame, buckets: int, leaf: int) -> DataFrame:
 
 
 def fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(a, hot, doc, tie, lo, body) of each wanted context, from the texts."""
+    """(a, hot, doc, tie, lo, body) of each wanted context, from the texts: a task reads one of
+    equal rows only."""
     wanted = wanted.groupBy(F.col("doc").alias("w_doc"), F.col("tie").alias("w_tie")).agg(F.collect_list(F.struct("lo", "hi", "a", "hot")).alias("want"))
     both = texts.join(wanted, texts["doc"].eqNullSafe(wanted["w_doc"]) & (texts["tie"] == wanted["w_tie"])).select("doc", "tie", "text", "want")
 
     def run(batches):
+        done = set()
         for b in batches:
             offs, data = C.buffers(b.column("text"))
             raw, cols = data.tobytes(), {k: [] for k in ("a", "hot", "doc", "tie", "lo", "body")}
             for i, (doc, tie, want) in enumerate(zip(b.column("doc").to_pylist(), b.column("tie").to_pylist(), b.column("want").to_pylist())):
+                if (doc, tie) in done:
+                    continue
+                done.add((doc, tie))
                 for w in want:
                     a, lo, hi = unpack(w["a"], "<u8").view(np.int64).tolist(), unpack(w["lo"]).tolist(), unpack(w["hi"]).tolist()
                     cols["a"] += a
@@ -348,12 +351,25 @@ def _columns(b) -> dict:
                 tie=np.asarray(b.column("tie")).astype(np.uint64), lo=np.asarray(b.column("lo")))
 
 
+def unlike_last(b: pa.Table, last: tuple | None) -> tuple[pa.Table, tuple | None]:
+    """Rows of sorted contexts that are not the same place as the one before, and the last place."""
+    if not len(b):
+        return b, last
+    place = [np.asarray(x) for k in ("a", "doc", "tie", "lo") for x in (b.column(k).is_null(), b.column(k).fill_null(0))]
+    new = np.ones(len(b), bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in place], axis=0)
+    new[0] = tuple(x[0] for x in place) != last
+    return b.filter(pa.array(new)), tuple(x[-1] for x in place)
+
+
 def by_suffix_array(contexts: DataFrame, buckets: int) -> DataFrame:
-    """Spans from groups of at most ``leaf`` contexts, whole groups at a time."""
+    """Spans from groups of at most ``leaf`` contexts, whole groups at a time. Contexts that equal
+    rows brought from several tasks are one before they join a group."""
     schema = pa.schema([("doc", pa.int64()), ("tie", pa.int64()), ("lo", pa.binary()), ("hi", pa.binary())])
 
     def run(batches):
         held: pa.Table | None = None
+        last = None
 
         def work(part: pa.Table):
             t = _columns(part)
@@ -374,7 +390,7 @@ def by_suffix_array(contexts: DataFrame, buckets: int) -> DataFrame:
                 p = q
 
         for b in batches:
-            b = pa.Table.from_batches([b])
+            b, last = unlike_last(pa.Table.from_batches([b]), last)
             held = b if held is None else pa.concat_tables([held, b]).combine_chunks()
             if len(held) >= 4096:
                 a = np.asarray(held.column("a"))
@@ -385,7 +401,7 @@ def by_suffix_array(contexts: DataFrame, buckets: int) -> DataFrame:
         if held is not None and len(held):
             yield from work(held.combine_chunks())
 
-    return contexts.repartition(buckets, "a").sortWithinPartitions("a").mapInArrow(run, SPANS)
+    return contexts.repartition(buckets, "a").sortWithinPartitions("a", "doc", "tie", "lo").mapInArrow(run, SPANS)
 
 
 def by_window(contexts: DataFrame, buckets: int) -> DataFrame:

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def brute(rows):
     """All 100-byte strings in order of (doc_id, start); rows of one doc_id and text are one."""
     import xxhash
-    key = lambda r: (r[0] is None, r[0] or 0, xxhash.xxh64(r[1], seed=42).intdigest() & 0xFFFFFFFF)
+    key = lambda r: (r[0] is None, r[0] or 0, xxhash.xxh64(r[1], seed=42).intdigest())
     rows = [(i, (t or "").encode()) for i, t in rows]
     seen, done = set(), {}
     for r in sorted(rows, key=key):
@@ -103,3 +103,27 @@ def test_texts_of_one_id_that_share_half_a_hash(spark, leaf):
     got = R.remove_repeats(H.frame(spark, [(None, f"{p}{other}"), (None, f"{p}{k}"), (1, "x" + p[:120])]), leaf=leaf).collect()
     removed = sorted(r["n_removed"] for r in got)
     assert removed[0] == 0 and removed[1] == 120 and removed[2] >= 150
+
+
+def test_equal_rows_are_fetched_once(spark):
+    """20 000 rows of one doc_id and text bring their contexts once, in whatever task they are."""
+    rng = random.Random(13)
+    p = "".join(rng.choices("abcdefghij", k=150))
+    rows = [(1, "A" + p + "B")] * 20_000 + [(2, "C" + p + "D")]
+    df = H.frame(spark, rows).repartition(7)
+    texts, buckets = R.keyed(df), 8
+    packed, _ = R._taken_apart(R.C.staged(R.context_packets(texts, buckets), "repeats"))
+    wanted = R.C.staged(R.compared(packed, buckets, R.LEAF), "repeats").filter("a is not null")
+    n = sum(len(R.unpack(r["lo"])) for r in wanted.select("lo").collect())
+    assert R.fetched(texts, wanted).count() <= 8 * n
+    got = R.remove_repeats(df).groupBy("doc_id", "n_removed").count().collect()
+    assert sorted(tuple(r) for r in got) == [(1, 0, 20_000), (2, 150, 1)]
+
+
+def test_places_that_several_tasks_bring_are_one():
+    import pyarrow as pa
+    t = pa.table({"a": [1, 1, 1, 2, 2], "doc": [None, None, 0, 0, 0], "tie": [5, 5, 5, 5, 5], "lo": [0, 0, 0, 0, 3]})
+    kept, last = R.unlike_last(t, None)
+    assert kept.to_pydict() == {"a": [1, 1, 2, 2], "doc": [None, 0, 0, 0], "tie": [5] * 4, "lo": [0, 0, 0, 3]}
+    again, _ = R.unlike_last(t.slice(4), last)
+    assert not len(again)
