@@ -4,7 +4,8 @@ Base spans come from fixed patterns. The field adds spans that no pattern finds,
 tokens: it is trained with numpy from a small labelled table, and labels the words of each line by
 Viterbi in batches. Added spans never touch a base span.
 
-Null text: empty, no spans. Null doc_id: kept. Repeated rows: a result each. Other columns are not
+Null text: empty, no spans. Null doc_id: kept. Very long text: labelled line by line, lines of one
+length in batches. Repeated rows and ties: a result each. Other columns are not
 read, but ``redact`` carries them along. An empty table gives no rows.
 """
 
@@ -76,10 +77,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 _DIGIT, _HEX, _PLAIN = C.table_of(b"0123456789"), C.table_of(b"0123456789abcdefABCDEF"), C.table_of(b".,;:!?|()\"'-")
 _ALPHA = C.table_of(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
-_AT, _DOT, _EQ, _PLUS = (C.table_of(x) for x in (b"@", b".", b"=:", b"+"))
+_AT, _DOT, _DASH, _EQ, _PLUS = (C.table_of(x) for x in (b"@", b".", b"-", b"=:", b"+"))
 _QUOTE = C.table_of(b"\"'.,;:!?()|#$%&*<>[]{}")
-CONTEXT = ("token", "key", "secret", "password", "passwd", "apikey", "api_key", "auth", "=", ":", "bearer")
-SHAPES = 6 * 3 * 2 * 2 * 2 * 4 * 2 + len(CONTEXT) + 1
+_UPPER, _WIDE = C.table_of(bytes(range(65, 91))), C.table_of(bytes(range(128, 256)))
+# words that announce a secret, and those that announce a hash that is none
+CONTEXT = ("token", "key", "secret", "password", "passwd", "pwd", "apikey", "api_key", "access_key", "secret_key", "auth", "=", ":", "bearer",
+           "commit", "revision", "hash", "sha1", "sha256", "md5", "checksum", "digest", "etag", "uuid")
+LONGEST = max(map(len, CONTEXT)) + 1        # with a sign behind
+SHAPES = 6 * 3 * 2 * 2 * 2 * 4 * 2 * 3 + 2 * len(CONTEXT) + 1
 
 
 @functools.lru_cache(1)
@@ -92,9 +97,10 @@ def context_hashes() -> tuple[np.ndarray, np.ndarray]:
 
 
 def shapes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A number for the shape of each word: digits, letters, an @, inner dots, whether all is
-    hexadecimal, length, a plus; words that announce a secret have numbers of their own. 0 for
-    plain words."""
+    """A number for the shape of each word: digits, letters, an @, inner dots or dashes, whether
+    all is hexadecimal, length (of words with a digit, and of long ASCII words without), a plus, the case of
+    long words; words that announce a secret or a hash have numbers of their own, with and without
+    a : or = behind them. 0 for plain words."""
     def count(mask):
         sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
         return sums[e] - sums[s]
@@ -104,17 +110,24 @@ def shapes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     mixed = np.where(alpha == 0, 1, np.where(digits > 0, 2, 0))
     out = out * 3 + mixed
     out = out * 2 + (count(_AT[data]) > 0)
-    out = out * 2 + ((count(_DOT[data]) > 1) & (digits > 0))
-    out = out * 2 + ((count(_HEX[data]) >= core) & (digits > 0) & (alpha > 0))
-    out = out * 4 + np.where(digits > 0, np.searchsorted([8, 16, 32], core, "right"), 0)
+    out = out * 2 + (((count(_DOT[data]) > 1) | (count(_DASH[data]) > 3)) & (digits > 0))
+    hexa = (count(_HEX[data]) >= core) & (digits > 0) & (alpha > 0)
+    out = out * 2 + hexa
+    upper, wide = count(_UPPER[data]), count(_WIDE[data])
+    case = np.where(upper < 2, 0, np.where(upper == alpha, 2, np.where(alpha - upper < 2, 0, 1)))
+    case[(core < 16) | (wide > 0) | hexa] = 0
+    long = (digits > 0) | (case > 0) | ((core >= 24) & (alpha >= core) & (wide == 0))
+    out = out * 4 + np.where(long, np.searchsorted([8, 16, 32], core, "right"), 0)
     out = out * 2 + (count(_PLUS[data]) > 0)
+    out = out * 3 + case
     h, order = context_hashes()
-    short = np.flatnonzero(size <= 9)
+    short = np.flatnonzero(size <= LONGEST)
     lower = C.LOWER[data]
-    own = C.span_hashes(lower, s[short], e[short])[0]
+    sign = (size[short] > 1) & _EQ[data[e[short] - 1]]
+    own = C.span_hashes(lower, s[short], e[short] - sign)[0]
     at = np.minimum(np.searchsorted(h, own), len(h) - 1)
     hit = h[at] == own
-    out[short[hit]] = SHAPES - len(CONTEXT) - 1 + order[at[hit]]
+    out[short[hit]] = SHAPES - 2 * len(CONTEXT) - 1 + 2 * order[at[hit]] + sign[hit]
     return out
 
 
@@ -187,19 +200,25 @@ class Field:
         wide = np.full((b, n + 4), SHAPES)
         wide[:, 2:n + 2] = x
         for j, d in enumerate(self.REACH):
-            np.add.at(g_own[j], wide[:, 2 + d:2 + d + n].ravel(), post.reshape(-1, k))
+            at = wide[:, 2 + d:2 + d + n].ravel()
+            for own, p in zip(g_own[j].T, post.reshape(-1, k).T):
+                own += np.bincount(at, p, SHAPES + 1)
         for t in range(1, n):
             pair = np.exp(fore[:, t - 1][:, :, None] + self.step + (score[:, t] + hind[:, t])[:, None, :] - z[:, None, None])
             g_step += pair.sum(axis=0)
             np.subtract.at(g_step, (y[:, t - 1], y[:, t]), 1)
 
 
-def labelled_table(spark: SparkSession, rows: int = 900, seed: int = 7) -> DataFrame:
-    """A small labelled table (text, spans array of (kind, start, end)), made by rule."""
+def labelled_table(spark: SparkSession, rows: int = 2400, seed: int = 7) -> DataFrame:
+    """A small labelled table (text, spans array of (kind, start, end)), made by rule. Hexadecimal
+    strings, access keys and long strings of mixed case are secrets anywhere but after a word such
+    as ``commit``; short and letter-only ones only after a word such as ``password`` and a sign."""
     rng = random.Random(seed)
     part = ["an", "the", "re", "tion", "ou", "ber", "kei", "ción", "eau", "sch", "lo", "mi", "vi", "st", "wh", "er"]
     hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    some = lambda of, n: "".join(rng.choice(of) for _ in range(n))
 
     def word():
         w = "".join(rng.choice(part) for _ in range(rng.randint(1, 5)))
@@ -215,9 +234,21 @@ def labelled_table(spark: SparkSession, rows: int = 900, seed: int = 7) -> DataF
             return rng.choice(["", "", " ", "-"]).join(digits(4) for _ in range(4))
         if kind == "phone":
             return rng.choice([f"+{digits(1)} ({digits(3)}) {digits(3)}-{digits(4)}", f"+{digits(2)} {digits(3)} {digits(7)}", f"+{digits(11)}"])
-        body = rng.choice([hexa(40), hexa(32), hexa(64), "sk" + hexa(30), hexa(20) + hexa(20).upper()])
+        if kind == "told":
+            return rng.choice([some(lower, 32), some(lower + upper, 32), some(lower, 28), word().strip(",.!#% |").lower() + digits(rng.randint(1, 3)), some(lower + upper, rng.randint(4, 9)) + digits(1) + some(lower + upper + "0123456789", 4),
+                               digits(1) + hexa(rng.randint(6, 18)) + "f", some(lower + "0123456789", rng.randint(20, 40))]).replace("===", "") or "a1"
+        body = rng.choice([hexa(40), hexa(32), hexa(64), "sk" + hexa(30), hexa(20) + hexa(20).upper(), some(upper, 4) + some(upper + "0123456789", 16),
+                           some(lower + upper + "0123456789+/", 40), some(lower + upper + "0123456789", rng.randint(24, 48))])
         return body if any(c.isdigit() for c in body) and any(c.isalpha() for c in body) else "a1" + body
 
+    def no_secret():
+        """Of a secret's look."""
+        if rng.random() < 0.35:
+            return f"{rng.choice(['commit', 'Commit', 'revision', 'sha1', 'md5', 'hash', 'etag', 'digest', 'sha256', 'checksum'])}{rng.choice(['', ':', ' =', ' :'])} {hexa(rng.choice([32, 40, 64]))}"
+        return rng.choice(["-".join(hexa(n) for n in (8, 4, 4, 4, 12)), "".join(rng.choice(part) for _ in range(14)), "".join(rng.choice(part).title() for _ in range(9)),
+                           some(upper, rng.randint(16, 30)), "https://" + ".".join(rng.choice(part) for _ in range(3)) + "/" + "".join(rng.choice(part) for _ in range(9)),
+                           f"{rng.choice(['key', 'token', 'secret', 'password', 'auth'])}{rng.choice([' = ', ': ', ' '])}{word().lower()} {word().lower()}", f"key {digits(2)}", f"the token {digits(1)}", "password is " + word()])
+
     def plain():
         return rng.choice([str(rng.randint(0, 2100)), f"{rng.randint(0, 9)}.{rng.randint(0, 9)}", f"version {rng.randint(0, 9)}", f"{digits(1)},{digits(3)}", f"{digits(1)}th",
                            f"{digits(2)}%", f"p{digits(3)}", f"cafe{digits(2)}", "token", "key", "secret", "the = a", f"{digits(4)}-{digits(2)}-{digits(2)}", f"abc{digits(3)}def", f"CC BY {digits(1)}.0"])
@@ -227,15 +258,17 @@ def labelled_table(spark: SparkSession, rows: int = 900, seed: int = 7) -> DataF
         text, found = "", []
         for _ in range(rng.randint(1, 14)):
             roll = rng.random()
-            if roll < 0.82:
+            if roll < 0.76:
                 text += word() + " "
             elif roll < 0.9:
-                text += plain() + " "
+                text += (plain() if rng.random() < 0.5 else no_secret()) + " "
             else:
-                kind = rng.choice([*BASE, "secret", "secret"])
-                if kind == "secret" and rng.random() < 0.5:
-                    text += rng.choice(["token = ", "key: ", "password = ", "api_key = ", "secret "]) + rng.choice(["", '"', '"'])
+                kind = rng.choice([*BASE, "secret", "secret", "secret", "told", "told"])
+                if kind == "told" or kind == "secret" and rng.random() < 0.5:
+                    name = rng.choice(["token", "key", "password", "api_key", "secret", "passwd", "pwd", "auth", "apikey", "access_key", "secret_key", "Password", "API_KEY"])
+                    text += name + rng.choice([" = ", ": ", " : ", "= "] + [" "] * (kind == "secret")) + rng.choice(["", '"', "'"])
                 v = value(kind)
+                kind = "secret" if kind == "told" else kind
                 found.append((kind, len(text), len(text) + len(v)))
                 text += v + rng.choice([" ", " ", ". ", ", ", '" ', "### ", "!! ", "%%% "])
         out.append((text, found))
@@ -310,9 +343,14 @@ def all_spans(field: Field, data: np.ndarray, offs: np.ndarray) -> list[tuple[st
     for i, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist())):
         text = raw[a:b].decode("utf-8", "replace")
         base, more = base_spans(text), []
+        lead = np.cumsum((data[a:b] & 0xC0) != 0x80) if i in by_text else None
+        whole = lead is None or lead[-1] == len(text)        # else not UTF-8
         for kind, p, q in by_text.get(i, ()):
-            s = len(raw[a:p].decode("utf-8", "replace"))
-            t = s + len(raw[p:q].decode("utf-8", "replace"))
+            if whole:
+                s, t = int(lead[p - a]) - 1, int(lead[q - 1 - a])
+            else:
+                s = len(raw[a:p].decode("utf-8", "replace"))
+                t = s + len(raw[p:q].decode("utf-8", "replace"))
             if not any(s < y and x < t for _, x, y in base):
                 more.append((kind, s, t))
         out.append((text, base, more))
