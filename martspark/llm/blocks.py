@@ -27,10 +27,10 @@ STAGED = "block long, bucket int, doc_ids binary, sizes binary, body binary, wor
 ANSWER = "block long, numbers binary, answer binary, total long, known long, extra binary"
 
 
-def pack(x: np.ndarray, kind: str = "<u4") -> bytes:
+def pack(x: np.ndarray, kind: str = "<u4", level: int = LEVEL) -> bytes:
     """Whole numbers as zstd of their bytes, lowest bytes first together."""
     planes = np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(len(x), np.dtype(kind).itemsize).T
-    return zstandard.ZstdCompressor(LEVEL).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(b: bytes, kind: str = "<u4") -> np.ndarray:
@@ -38,18 +38,18 @@ def unpack(b: bytes, kind: str = "<u4") -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-def pack_rising(x: np.ndarray) -> bytes:
+def pack_rising(x: np.ndarray, level: int = LEVEL) -> bytes:
     """Rising numbers, by their steps."""
-    return pack(np.diff(x, prepend=0))
+    return pack(np.diff(x, prepend=0), level=level)
 
 
 def unpack_rising(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b), dtype=np.int64)
 
 
-def words_blob(words: list[bytes]) -> bytes:
-    sizes = pack(np.fromiter(map(len, words), np.uint32, len(words)))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(LEVEL).compress(b"".join(words))
+def words_blob(words: list[bytes], level: int = LEVEL) -> bytes:
+    sizes = pack(np.fromiter(map(len, words), np.uint32, len(words)), level=level)
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level).compress(b"".join(words))
 
 
 def blob_words(blob: bytes) -> list[bytes]:
@@ -82,7 +82,7 @@ class _Block:
         self.counts.append((own, learn))
         self.bytes += len(data)
 
-    def rows(self, block: int, buckets: int, counted: bool) -> Iterator[dict]:
+    def rows(self, block: int, buckets: int, counted: bool, level: int = LEVEL) -> Iterator[dict]:
         body = np.concatenate(self.body)
         order = np.argsort(-np.bincount(body, minlength=len(self.number)), kind="stable")   # small numbers pack best
         rank = np.empty(len(order), np.uint32)
@@ -93,8 +93,8 @@ class _Block:
         for own, learn in self.counts:
             count[rank[own]] += learn
         ids = np.concatenate(self.ids).astype("<i8").tobytes() + np.concatenate(self.valid).tobytes()
-        yield dict(block=block, bucket=None, doc_ids=ids, sizes=pack(np.concatenate(self.sizes)),
-                   body=pack(rank[body]), words=None, numbers=None, counts=None)
+        yield dict(block=block, bucket=None, doc_ids=ids, sizes=pack(np.concatenate(self.sizes), level=level),
+                   body=pack(rank[body], level=level), words=None, numbers=None, counts=None)
         data = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         starts = np.concatenate([[0], ends])[:-1].astype(np.int64)
@@ -103,14 +103,16 @@ class _Block:
         for part in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
             if len(part):
                 yield dict(block=block, bucket=int(at[part[0]]), doc_ids=None, sizes=None, body=None,
-                           words=words_blob([words[i] for i in part.tolist()]), numbers=pack_rising(part), counts=pack(count[part], "<u8") if counted else None)
+                           words=words_blob([words[i] for i in part.tolist()], level), numbers=pack_rising(part, level), counts=pack(count[part], "<u8", level) if counted else None)
 
 
-def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold: np.ndarray | None = None, name: str = "blocks", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold: np.ndarray | None = None, name: str = "blocks", block_bytes: int = BLOCK_BYTES,
+           level: int = LEVEL) -> DataFrame:
     """Staged rows: one with the bodies per block, and one packet per block and bucket.
 
     ``tokens(data, offs)`` gives starts, ends and each text's first token; ``trained`` is a
-    boolean column, the texts whose words are counted (default: no counts); ``fold`` replaces bytes.
+    boolean column, the texts whose words are counted (default: no counts); ``fold`` replaces bytes;
+    ``level`` of zstd: a lower one costs less time and more disk.
     """
     counted = trained is not None
     src = C.byte_texts(docs).withColumn("trained", trained if counted else F.lit(False))
@@ -130,10 +132,10 @@ def blocks(docs: DataFrame, tokens: Callable, buckets: int, trained=None, fold:
             for i, j in C.chunks(offs):
                 cur.add(ids[i:j], valid[i:j], data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], learn[i:j], tokens)
                 if cur.bytes >= block_bytes:
-                    yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted)), schema)
+                    yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted, level)), schema)
                     made, cur = made + 1, _Block()
         if cur.ids:
-            yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted)), schema)
+            yield pa.RecordBatch.from_pylist(list(cur.rows(part << 32 | made, buckets, counted, level)), schema)
 
     return C.staged(src.mapInArrow(build, STAGED), name)
 

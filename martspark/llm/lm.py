@@ -37,7 +37,9 @@ FREQUENT = 2048            # ids whose pairs are counted each
 SMOOTH = 4.0               # counts that the coarser table is worth
 EMBED, WIDTH = 32, 16      # of an id: half from its neighbours, half its class's; of a query, key, value
 ROUNDS, RATE, BATCH = 4, 0.02, 128     # a text is trained on in one of the rounds
+RUN = 8                    # windows that follow one another and are looked at, and trained on, together
 BLOCK = 16 << 20           # bytes of text in a block
+LEVEL = 3                  # of zstd, of blocks and answers
 PIECES = 64                # of a summed vector, at most
 SLICE = 1 << 18            # ids, or words, of a block looked at together
 
@@ -79,10 +81,10 @@ class Pairs:
     def add(self, last: np.ndarray, then: np.ndarray) -> None:
         a, b, c = np.split(self.flat, self.ends[:2])
         group = self.known.group
-        a += np.bincount(last * CLASSES + group[then], minlength=len(a))
-        b += np.bincount(group[last] * self.known.size + then, minlength=len(b))
+        np.add.at(a, last * CLASSES + group[then], 1)        # the counts are far more than a slice's ids
+        np.add.at(b, group[last] * self.known.size + then, 1)
         both = (last < self.edge) & (then < self.edge)
-        c += np.bincount((last * self.edge + then)[both], minlength=len(c))
+        np.add.at(c, (last * self.edge + then)[both], 1)
 
 
 class Prior:
@@ -136,6 +138,7 @@ class Attention:
 
     NAMES = ("query", "both", "near", "out", "bias")
     GAP = STRIDE + np.arange(STRIDE)[:, None] - np.arange(2 * STRIDE)
+    BACK = np.where(GAP >= 0, GAP, 2 * STRIDE)       # distances; the last: not seen
 
     def __init__(self, prior: Prior, seed: int = 0):
         rng = np.random.default_rng(seed)
@@ -156,117 +159,149 @@ class Attention:
             at += n
         return self
 
+    def scaled(self) -> np.ndarray:
+        return self.w["query"] * np.float32(1 / np.sqrt(WIDTH))
+
     def ready(self) -> Attention:
-        """Queries, and keys and values, of all numbers: for scoring only."""
-        self.tables = self.embed @ (self.w["query"] * np.float32(1 / np.sqrt(WIDTH))), self.embed @ self.w["both"]
+        """Queries, and keys and values, of all numbers, and ``after`` with the bias: for scoring only."""
+        self.tables = self.embed @ self.scaled(), self.embed @ self.w["both"], self.after + self.w["bias"]
         return self
 
-    def seen(self, win: np.ndarray):
-        """Embeddings, queries, keys and values of windows (n, 2 * STRIDE), attention before it is
-        divided by its sums, these sums, and the attended values."""
-        if self.tables is None:
-            x = self.embed.take(win, axis=0, mode="clip")
-            both = (x.reshape(-1, EMBED) @ self.w["both"]).reshape(*win.shape, 2 * WIDTH)
-            q = (x[:, STRIDE:].reshape(-1, EMBED) @ (self.w["query"] * np.float32(1 / np.sqrt(WIDTH)))).reshape(len(win), STRIDE, WIDTH)
-        else:
-            x, (q, both) = None, (t.take(w, axis=0, mode="clip") for t, w in zip(self.tables, (win[:, STRIDE:], win)))
-        a = q @ both[:, :, :WIDTH].transpose(0, 2, 1)
-        np.clip(a, -30, 30, out=a)
+    def maps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Products of the maps to queries and keys, and of those to values and the output."""
+        return self.scaled() @ self.w["both"][:, :WIDTH].T, self.w["both"][:, WIDTH:] @ self.w["out"]
+
+    def seen(self, win: tuple[np.ndarray, np.ndarray], q: np.ndarray, keys: np.ndarray):
+        """Attention in runs of windows before it is divided by its sums, and their inverses."""
+        a = q @ keys.swapaxes(2, 3)
+        a.clip(-30, 30, out=a)
         np.exp(a, out=a)
-        a *= np.where(self.GAP >= 0, np.exp(np.clip(self.w["near"], -30, 30))[np.maximum(self.GAP, 0)], 0).astype(np.float32)
-        a[np.flatnonzero(win[:, 0] == self.pad), :, :STRIDE] = 0     # a text's first window
-        total = (a.reshape(-1, 2 * STRIDE) @ np.ones(2 * STRIDE, np.float32)).reshape(len(win), STRIDE, 1)
-        return x, q, both, a, total, a @ both[:, :, WIDTH:] / total
-
-    def chances(self, win: np.ndarray, y: np.ndarray):
-        """Exponents of the classes, and their sums."""
-        z = y.reshape(-1, WIDTH) @ self.w["out"]
-        z += self.after.take(win[:, STRIDE:].ravel(), axis=0, mode="clip")
+        a *= np.append(np.exp(self.w["near"].clip(-30, 30)), np.float32(0)).take(self.BACK)
+        a[win[1], :, :STRIDE] = 0
+        return a, 1 / (a.reshape(-1, 2 * STRIDE) @ np.ones(2 * STRIDE, np.float32))
+
+    def windowed(self, rows: np.ndarray) -> np.ndarray:
+        """A view of runs (n, RUN + 1, STRIDE, k): the windows (n, RUN, 2 * STRIDE, k)."""
+        n, many, _, k = rows.shape
+        row = rows.itemsize * k
+        return np.ndarray((n, many - 1, 2 * STRIDE, k), rows.dtype, rows, 0, (many * STRIDE * row, STRIDE * row, row, rows.itemsize))
+
+    def attended(self, win: tuple[np.ndarray, np.ndarray]):
+        """For training: embeddings of the scored ids and of what their windows show, attention,
+        attended embeddings, exponents of the classes. Each id is in two windows, so the embeddings
+        themselves are attended, and the products of the maps are applied to the fewer queries and
+        attended embeddings."""
+        ids, first = win
+        to_key, to_class = self.maps()
+        x = self.embed.take(ids, axis=0, mode="clip")
+        own, keys = x[:, 1:].reshape(-1, EMBED), self.windowed(x)
+        a, share = self.seen(win, (own @ to_key).reshape(*first.shape, STRIDE, EMBED), keys)
+        a *= share.reshape(*a.shape[:3], 1)
+        y = (a @ keys).reshape(-1, EMBED)
+        z = y @ to_class
+        z += self.after.take(ids[:, 1:], axis=0, mode="clip").reshape(-1, CLASSES)
         z += self.w["bias"]
-        np.clip(z, -60, 60, out=z)
-        p = np.exp(z)
-        return z, p, p @ np.ones(CLASSES, np.float32)
+        return own, keys, a, y, z.clip(-60, 60, out=z)
 
-    def log_chances(self, win: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def exponents(self, win: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Exponents of the classes of each scored id."""
+        if self.tables is None:
+            return self.attended(win)[-1]
+        q, both, after = self.tables
+        both = self.windowed(both.take(win[0], axis=0, mode="clip"))
+        a, share = self.seen(win, q.take(win[0][:, 1:], axis=0, mode="clip"), both[..., :WIDTH])
+        z = ((a @ both[..., WIDTH:]).reshape(-1, WIDTH) * share[:, None]) @ self.w["out"]
+        z += after.take(win[0][:, 1:], axis=0, mode="clip").reshape(-1, CLASSES)
+        return z.clip(-60, 60, out=z)
+
+    def log_chances(self, win: tuple[np.ndarray, np.ndarray], target: np.ndarray) -> np.ndarray:
         """Log of the chance of each target class (CLASSES: 0)."""
-        z, _, total = self.chances(win, self.seen(win)[-1])
-        t = target.ravel()
-        mine = z[np.arange(len(z)), np.minimum(t, CLASSES - 1)]
-        return np.where(t == CLASSES, 0.0, mine - np.log(total)).reshape(target.shape)
+        z, t = self.exponents(win), target.ravel()
+        mine = z.ravel().take(np.arange(0, z.size, CLASSES) + np.minimum(t, CLASSES - 1))
+        mine -= np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))
+        return np.where(t == CLASSES, 0.0, mine).reshape(target.shape)
 
     def log_sums(self, windows: Windows) -> np.ndarray:
         """Log of the chance of the target classes of each text."""
-        logs = np.zeros(len(windows))
-        for p in range(0, len(logs), BATCH):
-            logs[p:p + BATCH] = self.log_chances(*windows.of(slice(p, p + BATCH))).sum(axis=1)
-        return np.bincount(np.repeat(np.arange(len(windows.many)), windows.many), logs, len(windows.many))
+        logs, runs = np.zeros((windows.runs, RUN)), BATCH // RUN
+        for p in range(0, windows.runs, runs):
+            logs[p:p + runs] = self.log_chances(*windows.of(slice(p, p + runs))).sum(axis=2)
+        return np.bincount(np.repeat(np.arange(len(windows.many)), windows.many), logs.ravel()[:len(windows)], len(windows.many))
 
-    def gradient(self, win: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+    def gradient(self, win: tuple[np.ndarray, np.ndarray], target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss of a target."""
-        x, q, both, a, total, y = self.seen(win)
-        _, p, sums = self.chances(win, y)
-        t = target.ravel()
-        real = np.flatnonzero(t != CLASSES)
-        p *= (1 / sums)[:, None]
-        p[real, t[real]] -= 1
-        if len(real) < len(t):
-            p[t == CLASSES] = 0
-        p *= np.float32(1 / max(1, len(real)))
-        g = {"out": y.reshape(-1, WIDTH).T @ p, "bias": np.ones(len(p), np.float32) @ p}
-        dy = (p @ self.w["out"].T).reshape(y.shape) / total
-        ds = dy @ both[:, :, WIDTH:].transpose(0, 2, 1)
-        ds -= np.einsum("nij,nij->ni", dy, y)[:, :, None]
-        ds *= a
-        g["near"] = np.bincount(np.maximum(self.GAP, 0).ravel(), np.where(self.GAP >= 0, ds.sum(axis=0), 0).ravel(), 2 * STRIDE)
-        d = np.empty_like(both)
-        np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, :WIDTH])
-        np.matmul(a.transpose(0, 2, 1), dy, out=d[:, :, WIDTH:])
-        g["both"] = x.reshape(-1, EMBED).T @ d.reshape(-1, 2 * WIDTH)
-        g["query"] = x[:, STRIDE:].reshape(-1, EMBED).T @ (ds @ both[:, :, :WIDTH]).reshape(-1, WIDTH) * np.float32(1 / np.sqrt(WIDTH))
-        return g
+        own, keys, a, y, z = self.attended(win)
+        p, t = np.exp(z, out=z), target.ravel()
+        share = np.float32(1) / (p @ np.ones(CLASSES, np.float32))
+        real = t != CLASSES
+        many = np.count_nonzero(real)
+        weight = np.float32(1 / max(1, many))
+        share *= weight
+        at = np.arange(0, p.size, CLASSES) + t
+        if many < len(t):
+            share *= real
+            at = at[real]
+        p *= share[:, None]
+        p.reshape(-1)[at] -= weight
+        dy = p @ self.maps()[1].T
+        ds = dy.reshape(*a.shape[:3], EMBED) @ keys.swapaxes(2, 3)
+        ds -= np.einsum("ij,ij->i", dy, y).reshape(*a.shape[:3], 1)
+        ds *= a                                      # 0 where an id is not seen
+        near = np.bincount(self.BACK.ravel(), np.ones(win[1].size, np.float32) @ ds.reshape(-1, self.BACK.size), 2 * STRIDE + 1)[:-1]
+        to_key, to_class = own.T @ (ds @ keys).reshape(-1, EMBED), y.T @ p        # of the products of the maps
+        return {"query": to_key @ self.w["both"][:, :WIDTH] * np.float32(1 / np.sqrt(WIDTH)),
+                "both": np.concatenate([to_key.T @ self.scaled(), to_class @ self.w["out"].T], axis=1),
+                "near": near.astype(np.float32), "out": self.w["both"][:, WIDTH:].T @ to_class, "bias": np.ones(len(p), np.float32) @ p}
 
     def train(self, windows: Windows, rate: float, seed: int, state: dict | None = None) -> Attention:
         """One pass of Adam over the windows; ``state`` keeps its means from call to call."""
         state = {} if state is None else state
-        order = np.random.default_rng(seed).permutation(len(windows))
-        for lo in range(0, len(windows), BATCH):
+        order, w = np.random.default_rng(seed).permutation(windows.runs), self.flat()
+        m, v = state.setdefault("means", (np.zeros_like(w), np.zeros_like(w)))
+        for lo in range(0, windows.runs, BATCH // RUN):
             t = state["steps"] = state.get("steps", 0) + 1
-            for k, g in self.gradient(*windows.of(order[lo:lo + BATCH])).items():
-                m, v = state.setdefault(k, (np.zeros_like(self.w[k]), np.zeros_like(self.w[k])))
-                m += 0.1 * (g - m)
-                v += 0.02 * (g * g - v)
-                self.w[k] -= (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.98 ** t)) + 1e-6)).astype(np.float32)
+            g = self.gradient(*windows.of(order[lo:lo + BATCH // RUN]))
+            g = np.concatenate([g[k].ravel() for k in self.NAMES])
+            m += 0.1 * (g - m)
+            v += 0.02 * (g * g - v)
+            w -= rate / (1 - 0.9 ** t) * m / (np.sqrt(v / (1 - 0.98 ** t)) + 1e-6)
+            self.load(w)
         return self
 
 
 class Windows:
-    """Windows of some texts. A text's inputs are the end and its numbers, its targets the classes
-    of the numbers and of the end; both are filled up. ``many`` counts the windows of each text."""
+    """Windows of some texts, one after another. A text's inputs are the end and its numbers, its
+    targets the classes of the numbers and of the end; both are filled up to whole windows, and the
+    last run to ``RUN`` of them. ``many`` counts the windows of each text."""
 
     def __init__(self, numbers: np.ndarray, sizes: np.ndarray, end: int, known: Numbers):
         self.many = -(-(sizes + 1) // STRIDE)
-        slots = STRIDE * (self.many + 1)
-        start = np.cumsum(slots) - slots
-        self.flat = np.full(int(slots.sum()) + STRIDE, known.pad, np.int32)
-        self.goal = np.full(len(self.flat), CLASSES, np.int32)
-        self.flat[start + STRIDE] = end
-        upto = np.concatenate([[0], np.cumsum(sizes)])
+        upto = np.cumsum(self.many)
+        start = STRIDE * (upto - self.many)
+        self.count = int(upto[-1]) if len(upto) else 0
+        self.runs = -(-self.count // RUN)
+        ids, goal = np.full(STRIDE * (self.runs * RUN + 1), known.pad, np.int32), np.full(STRIDE * self.runs * RUN, CLASSES, np.int32)
+        ids[start + STRIDE] = end
+        before = np.cumsum(sizes) - sizes
         for i in range(0, len(numbers), SLICE):
             x = numbers[i:i + SLICE]
-            text = np.searchsorted(upto, np.arange(i, i + len(x)), "right") - 1
-            place = np.arange(i, i + len(x)) + (start - upto[:-1])[text] + STRIDE
-            self.flat[place + 1] = x
-            self.goal[place] = known.group[x]
-        self.goal[start + STRIDE + sizes] = known.group[end]
-        self.head = (C.ragged(start // STRIDE, self.many) * STRIDE).astype(np.int32)
+            at = np.arange(i, i + len(x))
+            at += (start - before)[np.searchsorted(before + sizes, at, "right")]
+            ids[at + STRIDE + 1] = x
+            goal[at] = known.group[x]
+        goal[start + sizes] = known.group[end]
+        self.ids, self.goal = ids.reshape(-1, STRIDE), goal.reshape(-1, RUN, STRIDE)
+        self.first = np.zeros((self.runs, RUN), bool)
+        self.first.reshape(-1)[start // STRIDE] = True
 
     def __len__(self) -> int:
-        return len(self.head)
+        return self.count
 
-    def of(self, rows) -> tuple[np.ndarray, np.ndarray]:
-        """Inputs (n, 2 * STRIDE) and targets (n, STRIDE) of some windows."""
-        at = self.head[rows][:, None]
-        return self.flat[at + np.arange(2 * STRIDE)], self.goal[at + np.arange(STRIDE, 2 * STRIDE)]
+    def of(self, rows) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Of some runs: inputs (n, RUN + 1, STRIDE), with the ids before the run, and which windows
+        are a text's first, that see none before them; and targets (n, RUN, STRIDE)."""
+        at = np.arange(0, self.runs * RUN, RUN)[rows]
+        return (self.ids.take(at[:, None] + np.arange(RUN + 1), axis=0), self.first[rows]), self.goal[rows]
 
 
 def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int):
@@ -287,7 +322,7 @@ def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int):
 def counted(docs: DataFrame, ranks: dict[bytes, int], buckets: int):
     """Staged blocks, and staged answers: count and ids of each block's words."""
     spark = docs.sparkSession
-    parts = B.blocks(docs, word_spans, buckets, trained=C.remainder("doc_id", 7) != 2, fold=C.LOWER, name="lm", block_bytes=BLOCK)
+    parts = B.blocks(docs, word_spans, buckets, trained=C.remainder("doc_id", 7) != 2, fold=C.LOWER, name="lm", block_bytes=BLOCK, level=LEVEL)
     sent = spark.sparkContext.broadcast(ranks)
 
     def answer(words, total):
@@ -300,8 +335,8 @@ def counted(docs: DataFrame, ranks: dict[bytes, int], buckets: int):
 
         def reply(own):
             n = size[own]
-            a = B.pack(total[own], "<u8")
-            return len(a).to_bytes(4, "little") + a + B.pack(np.concatenate([[len(own)], n, flat[C.ragged(first[own], n)]]))
+            a = B.pack(total[own], "<u8", LEVEL)
+            return len(a).to_bytes(4, "little") + a + B.pack(np.concatenate([[len(own)], n, flat[C.ragged(first[own], n)]]), level=LEVEL)
         return reply, B.pack(seen, "<u8")
 
     return parts, C.staged(B.per_word(parts, buckets, answer), "lm")

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from martspark.llm import blocks as B
 from martspark.llm import lm as M
 from martspark.llm.common import table
 from martspark.llm.queries import tokenizer_path
@@ -157,6 +158,69 @@ def test_prior_is_a_distribution(monkeypatch, frequent):
     assert pairs.flat[:pairs.ends[0]].sum() == sum(want.values())
 
 
+def test_an_id_is_gathered_once_for_its_two_windows():
+    """Runs of windows hold each id about once, though every window shows the one before; what they
+    hold is the texts, their targets, and where texts begin."""
+    known, _, _, end, _ = corpus()
+    sizes = np.array([0, 5, 16, 400, 15, 1000, 31])
+    seqs = [np.random.default_rng(k).integers(0, known.size, n) for k, n in enumerate(sizes)]
+    windows = M.Windows(np.concatenate(seqs), sizes, end, known)
+    (ids, first), goal = windows.of(slice(None))
+    assert ids.size < 1.2 * goal.size
+    assert len(windows) == sum(n // M.STRIDE + 1 for n in sizes) and first.sum() == len(sizes)
+    assert (ids[1:, 0] == ids[:-1, -1]).all()                   # a run begins with the ids before it
+    at = np.flatnonzero(first.ravel()) * M.STRIDE
+    x, y = ids[:, 1:].ravel(), goal.ravel()
+    for i, s in zip(at, seqs):
+        assert x[i:i + len(s) + 1].tolist() == [end, *s] and y[i:i + len(s) + 1].tolist() == known.group[[*s, end]].tolist()
+    assert (y != M.CLASSES).sum() == sum(sizes + 1)
+    got, order = windows.of(np.array([2, 0])), [2, 0]
+    assert (got[0][0] == ids[order]).all() and (got[0][1] == first[order]).all() and (got[1] == goal[order]).all()
+
+
+def test_a_window_sees_no_other_text():
+    known, _, _, end, pairs = corpus()
+    m = model(M.Prior(pairs)).ready()
+    rng = np.random.default_rng(5)
+    sizes = np.array([40, 0, 7, 200, 33])
+    seqs = [rng.integers(0, known.size, n) for n in sizes]
+    alone = [m.log_sums(M.Windows(s, np.array([len(s)]), end, known))[0] for s in seqs]
+    assert np.allclose(m.log_sums(M.Windows(np.concatenate(seqs), sizes, end, known)), alone, atol=1e-3)
+
+
+def test_train_is_adam_of_each_parameter():
+    known, numbers, sizes, end, pairs = corpus()
+    prior, windows = M.Prior(pairs), M.Windows(numbers, sizes, end, known)
+    m, plain_, mean, square = model(prior), model(prior), {}, {}
+    m.train(windows, 0.02, 3)
+    order, step = np.random.default_rng(3).permutation(windows.runs), M.BATCH // M.RUN
+    for t, lo in enumerate(range(0, windows.runs, step), 1):
+        for k, g in plain_.gradient(*windows.of(order[lo:lo + step])).items():
+            mean[k] = 0.9 * mean.get(k, 0) + 0.1 * g
+            square[k] = 0.98 * square.get(k, 0) + 0.02 * g * g
+            plain_.w[k] = (plain_.w[k] - 0.02 * mean[k] / (1 - 0.9 ** t) / (np.sqrt(square[k] / (1 - 0.98 ** t)) + 1e-6)).astype(np.float32)
+    assert t > 1 and all(np.allclose(m.w[k], plain_.w[k], atol=2e-3) for k in m.NAMES)
+
+
+@pytest.mark.parametrize("level", [1, 3, 9])
+def test_blocks_hold_the_same_at_any_level(spark, level):
+    """Also a lower level of compression than the default's gives back words, bodies and counts."""
+    rows = [(k, t) for k, t in enumerate(["a b a", "", None, "b  c\u00e9 b", "a " * 500])]
+    parts = B.blocks(H.frame(spark, rows).coalesce(1), M.word_spans, 3, trained=M.C.remainder("doc_id", 7) != 2, name="test", level=level).collect()
+    (body,) = [r for r in parts if r["body"] is not None]
+    names, count = {}, {}
+    for r in parts:
+        if r["words"] is not None:
+            at = B.unpack_rising(r["numbers"]).tolist()
+            names.update(zip(at, B.blob_words(r["words"])))
+            count.update(zip(B.blob_words(r["words"]), B.unpack(r["counts"], "<u8").tolist()))
+    ids, _, sizes, tokens = B.bodies(body)
+    flat, texts = [names[i] for i in tokens.tolist()], dict(rows)
+    assert flat == [w for i in ids.tolist() for w in words(texts[i])]
+    assert sizes.tolist() == [len(words(texts[i])) for i in ids.tolist()]
+    assert count == {w: sum(words(t).count(w) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2) for w in set(flat)}
+
+
 def test_empty_numbers():
     known = M.Numbers(np.zeros(9, np.int64))
     prior = M.Prior(M.Pairs(known))
