@@ -37,7 +37,7 @@ FREQUENT = 2048            # ids whose pairs are counted each
 SMOOTH = 4.0               # counts that the coarser table is worth
 EMBED, WIDTH = 32, 16      # of an id: half from its neighbours, half its class's; of a query, key, value
 ROUNDS, RATE, BATCH = 4, 0.02, 128     # a text is trained on in one of the rounds
-RUN = 8                    # windows that follow one another and are looked at, and trained on, together
+RUN = 8                    # windows that follow one another and are scored together
 BLOCK = 16 << 20           # bytes of text in a block
 LEVEL = 3                  # of zstd, of blocks and answers
 PIECES = 64                # of a summed vector, at most
@@ -188,9 +188,9 @@ class Attention:
 
     def attended(self, win: tuple[np.ndarray, np.ndarray]):
         """For training: embeddings of the scored ids and of what their windows show, attention,
-        attended embeddings, exponents of the classes. Each id is in two windows, so the embeddings
-        themselves are attended, and the products of the maps are applied to the fewer queries and
-        attended embeddings."""
+        attended embeddings, the map from these to classes, exponents of the classes. A window has
+        twice as many keys as queries, so the embeddings themselves are attended, and the products
+        of the maps are applied to queries and attended embeddings."""
         ids, first = win
         to_key, to_class = self.maps()
         x = self.embed.take(ids, axis=0, mode="clip")
@@ -201,7 +201,7 @@ class Attention:
         z = y @ to_class
         z += self.after.take(ids[:, 1:], axis=0, mode="clip").reshape(-1, CLASSES)
         z += self.w["bias"]
-        return own, keys, a, y, z.clip(-60, 60, out=z)
+        return own, keys, a, y, to_class, z.clip(-60, 60, out=z)
 
     def exponents(self, win: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Exponents of the classes of each scored id."""
@@ -230,7 +230,7 @@ class Attention:
 
     def gradient(self, win: tuple[np.ndarray, np.ndarray], target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss of a target."""
-        own, keys, a, y, z = self.attended(win)
+        own, keys, a, y, to_class, z = self.attended(win)
         p, t = np.exp(z, out=z), target.ravel()
         share = np.float32(1) / (p @ np.ones(CLASSES, np.float32))
         real = t != CLASSES
@@ -243,7 +243,7 @@ class Attention:
             at = at[real]
         p *= share[:, None]
         p.reshape(-1)[at] -= weight
-        dy = p @ self.maps()[1].T
+        dy = p @ to_class.T
         ds = dy.reshape(*a.shape[:3], EMBED) @ keys.swapaxes(2, 3)
         ds -= np.einsum("ij,ij->i", dy, y).reshape(*a.shape[:3], 1)
         ds *= a                                      # 0 where an id is not seen
@@ -256,11 +256,11 @@ class Attention:
     def train(self, windows: Windows, rate: float, seed: int, state: dict | None = None) -> Attention:
         """One pass of Adam over the windows; ``state`` keeps its means from call to call."""
         state = {} if state is None else state
-        order, w = np.random.default_rng(seed).permutation(windows.runs), self.flat()
+        order, w = np.random.default_rng(seed).permutation(len(windows)), self.flat()
         m, v = state.setdefault("means", (np.zeros_like(w), np.zeros_like(w)))
-        for lo in range(0, windows.runs, BATCH // RUN):
+        for lo in range(0, len(windows), BATCH):
             t = state["steps"] = state.get("steps", 0) + 1
-            g = self.gradient(*windows.of(order[lo:lo + BATCH // RUN]))
+            g = self.gradient(*windows.of(order[lo:lo + BATCH], 1))
             g = np.concatenate([g[k].ravel() for k in self.NAMES])
             m += 0.1 * (g - m)
             v += 0.02 * (g * g - v)
@@ -297,11 +297,12 @@ class Windows:
     def __len__(self) -> int:
         return self.count
 
-    def of(self, rows) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-        """Of some runs: inputs (n, RUN + 1, STRIDE), with the ids before the run, and which windows
-        are a text's first, that see none before them; and targets (n, RUN, STRIDE)."""
-        at = np.arange(0, self.runs * RUN, RUN)[rows]
-        return (self.ids.take(at[:, None] + np.arange(RUN + 1), axis=0), self.first[rows]), self.goal[rows]
+    def of(self, rows, run: int = RUN) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Of some runs of ``run`` windows: inputs (n, run + 1, STRIDE), with the ids before the run,
+        and which windows are a text's first, that see none before them; and targets (n, run, STRIDE)."""
+        at = np.arange(0, self.runs * RUN, run)[rows]
+        return ((self.ids.take(at[:, None] + np.arange(run + 1), axis=0), self.first.reshape(-1, run)[rows]),
+                self.goal.reshape(-1, run, STRIDE)[rows])
 
 
 def neighbours(numbers: np.ndarray, sizes: np.ndarray, end: int):

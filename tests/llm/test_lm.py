@@ -193,9 +193,9 @@ def test_train_is_adam_of_each_parameter():
     prior, windows = M.Prior(pairs), M.Windows(numbers, sizes, end, known)
     m, plain_, mean, square = model(prior), model(prior), {}, {}
     m.train(windows, 0.02, 3)
-    order, step = np.random.default_rng(3).permutation(windows.runs), M.BATCH // M.RUN
-    for t, lo in enumerate(range(0, windows.runs, step), 1):
-        for k, g in plain_.gradient(*windows.of(order[lo:lo + step])).items():
+    order, step = np.random.default_rng(3).permutation(len(windows)), M.BATCH
+    for t, lo in enumerate(range(0, len(windows), step), 1):
+        for k, g in plain_.gradient(*windows.of(order[lo:lo + step], 1)).items():
             mean[k] = 0.9 * mean.get(k, 0) + 0.1 * g
             square[k] = 0.98 * square.get(k, 0) + 0.02 * g * g
             plain_.w[k] = (plain_.w[k] - 0.02 * mean[k] / (1 - 0.9 ** t) / (np.sqrt(square[k] / (1 - 0.98 ** t)) + 1e-6)).astype(np.float32)
